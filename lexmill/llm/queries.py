@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import line_spread, media, mixing, packing, pii, simhash, substring_dedup, toxicity
+from lexmill.llm import line_spread, media, mixing, packing, pii, simhash, substring_dedup, suffix_tree, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +58,11 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents, model).withColumn("held_out", held_out).select("doc_id", "held_out", "score", "predicted")
 
 
+def op10_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    learn_from = ~toxicity.in_fold(F.col("doc_id"), 7, 2)
+    return suffix_tree.score(table(spark, sf_dir, "documents"), learn_from=learn_from)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_pii": op2_pii,
@@ -68,6 +73,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_line_spread": op7_line_spread,
         "op8_mixing": op8_mixing,
         "op9_toxicity": op9_toxicity,
+        "op10_suffix_tree": op10_suffix_tree,
     }
 
 
