@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import line_spread, media, mixing, packing, pii, simhash, substring_dedup, suffix_tree, toxicity
+from lexmill.llm import ann, line_spread, media, mixing, packing, pii, simhash, substring_dedup, suffix_tree, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.identifiers(table(spark, sf_dir, "documents"))
 
@@ -65,6 +69,7 @@ def op10_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_multi_index": op1_multi_index,
         "op2_pii": op2_pii,
         "op3_media": op3_media,
         "op4_packing": op4_packing,
