@@ -41,7 +41,7 @@ def or_missing(value: Column) -> Column:
 
 def qids(value: Column) -> Column:
     """The set in a list of identifiers separated by semicolons."""
-    return F.filter(F.transform(F.split(F.coalesce(value, F.lit("")), ";"), F.btrim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.coalesce(value, F.lit("")), ";"), lambda x: F.btrim(x)), lambda x: x != "")
 
 
 def qids_match(a: Column, b: Column) -> Column:

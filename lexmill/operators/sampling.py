@@ -18,7 +18,7 @@ def weighted_schedule(sizes: DataFrame, *, seed: str, limit: int, stratum: str =
     """``position``, ``stratum`` and ``served`` of the first turns; sizes of strata in, positive."""
     turns = sizes.where(F.col(size) > 0).select(F.col(stratum).alias("stratum"), F.col(size).cast("long").alias("n"))
     # No stratum gets more than ``limit`` of the first ``limit`` turns.
-    turns = turns.select("stratum", "n", F.explode(F.sequence(F.lit(0), F.least("n", F.lit(limit)) - 1)).cast("long").alias("served"))
+    turns = turns.select("stratum", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.least("n", F.lit(limit).cast("long")) - 1)).alias("served"))
     order = [F.col("served") / F.col("n"), seeded_rank(seed, F.col("stratum")), F.col("stratum")]
     first = turns.orderBy(*order).limit(limit)
     return first.withColumn("position", F.row_number().over(Window.orderBy(*order)) - 1).select("position", "stratum", "served")
