@@ -15,6 +15,7 @@ from lexmill.operators import integrity as I
 from lexmill.operators import joins as J
 from lexmill.operators import sampling as S
 from lexmill.operators import sentences as N
+from lexmill.streaming import incremental as R
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -391,6 +392,11 @@ def area_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.read(spark, sf_dir, "nation").select("n_nationkey", V.is_area(F.concat(F.lit('{"type":"'), kind, F.lit('","coordinates":[[[0,0],[1,0],[0,1]]]}'))).alias("valid"))
 
 
+@query("""SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY 1, 2""")
+def windowed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.windowed_counts(T.read(spark, sf_dir, "events")).withColumn("total", F.round("total", 6))
+
+
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sentences of all documents, with context, unique, with ids, counted by language."""
     docs = T.read(spark, sf_dir, "documents").withColumnsRenamed({"source": "polygon_id", "lang": "language", "doc_id": "document_id"}).withColumns({"source": F.lit("wikipedia"), "section_index": F.lit(0), "section_id": F.lit("")})
