@@ -34,7 +34,7 @@ from lexmill.storage import materialize
 THRESHOLD = 0.7
 MAX_ROWS = 20_000
 MAX_FEATURES = 2_048
-MIN_ROWS = 5
+MIN_ROWS = 3
 #: Words whose feature ids a worker keeps.
 CACHED = 500_000
 
@@ -83,7 +83,7 @@ class Model:
         return self.bias + sum(self.weights[f] for f in sorted(active))
 
 
-def fit(rows: list[tuple[int, list[int], list[list[int]]]], size: int, *, penalty: float = 1e-4, counterfactual: float = 1.0, steps: int = 400) -> tuple[np.ndarray, float]:
+def fit(rows: list[tuple[int, list[int], list[list[int]]]], size: int, *, penalty: float = 1e-5, counterfactual: float = 1.0, steps: int = 800) -> tuple[np.ndarray, float]:
     """Weights and bias by Nesterov's method.
 
     rows: label, features, and the features of each counterfactual.
