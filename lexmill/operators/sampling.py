@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from lexmill.functions.values import seeded_rank
 from lexmill.operators.integrity import assert_all, duplicate_keys
 
+#: Leading hexadecimal digits of a hash that part a stratum.
+PART_DIGITS = 2
+
 
 def weighted_schedule(sizes: DataFrame, *, seed: str, limit: int, stratum: str = "stratum", size: str = "size") -> DataFrame:
     """``position``, ``stratum`` and ``served`` of the first turns; sizes of strata in, positive."""
@@ -24,9 +27,20 @@ def weighted_schedule(sizes: DataFrame, *, seed: str, limit: int, stratum: str =
     return first.withColumn("position", F.row_number().over(Window.orderBy(*order)) - 1).select("position", "stratum", "served")
 
 
-def _ranked(rows: DataFrame, stratum: str, order: list[Column]) -> DataFrame:
+def _ranked(rows: DataFrame, stratum: str, rank: Column, order: list[Column], first: list[Column] | None = None) -> DataFrame:
+    """Add ``__rank``, from 1, within the stratum by ``first``, hash ``rank`` and ``order``, and the stratum's size ``__n``.
+
+    Ranks are counted in parts, those of equal ``first`` and leading digits of the
+    hash, and parts' sizes give the offsets: a stratum that holds a third of all
+    rows is spread over as many tasks as it has parts.
+    """
+    part = F.struct(*[c.alias(f"f{i}") for i, c in enumerate(first or [])], F.substring(rank, 1, PART_DIGITS).alias("digits"))
+    parted = rows.withColumns({"__part": part, "__hash": rank})
     own = Window.partitionBy(stratum)
-    return rows.withColumns({"__rank": F.row_number().over(own.orderBy(*order)), "__n": F.count("*").over(own)})
+    sizes = parted.groupBy(stratum, "__part").agg(F.count("*").alias("__size"))
+    sizes = sizes.withColumns({"__before": F.coalesce(F.sum("__size").over(own.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)), "__n": F.sum("__size").over(own)}).drop("__size")
+    placed = parted.withColumn("__own", F.row_number().over(Window.partitionBy(stratum, "__part").orderBy("__hash", *order)))
+    return placed.join(sizes, [stratum, "__part"]).withColumn("__rank", F.col("__own") + F.col("__before")).drop("__part", "__hash", "__own", "__before")
 
 
 def stratified(rows: DataFrame, *, stratum: str, target: int, seed: str, key: str = "sentence_id", validate: bool = True) -> DataFrame:
@@ -36,7 +50,7 @@ def stratified(rows: DataFrame, *, stratum: str, target: int, seed: str, key: st
     """
     if validate:
         assert_all({f"{key} repeats": duplicate_keys(rows, key)})
-    ranked = _ranked(rows.where(F.col(stratum).isNotNull()), stratum, [seeded_rank(seed, F.col(key)), F.col(key)])
+    ranked = _ranked(rows.where(F.col(stratum).isNotNull()), stratum, seeded_rank(seed, F.col(key)), [F.col(key)])
     return ranked.orderBy(F.col("__rank") / F.col("__n"), seeded_rank(seed, F.col(stratum)), stratum, "__rank").limit(target).drop("__rank", "__n")
 
 
@@ -60,7 +74,7 @@ def nested(rows: DataFrame, *, stratum: str, target: int, seed: str, key: str =
     if validate:
         assert_all({f"{key} repeats": duplicate_keys(rows, key)})
     placed = rows.where(F.col(stratum).isNotNull()).join(polygon_order(rows, stratum=stratum, seed=seed, polygon=polygon, bucket=bucket), polygon)
-    ranked = _ranked(placed, stratum, [F.col("__order"), seeded_rank(seed, F.col(key)), F.col(key)])
+    ranked = _ranked(placed, stratum, seeded_rank(seed, F.col(key)), [F.col(key)], [F.col("__order")])
     order = [(F.col("__rank") - 1) / F.col("__n"), seeded_rank(seed, F.col(stratum)), F.col(stratum), F.col("__rank")]
     first = ranked.orderBy(*order).limit(target)
     return first.withColumn("position", F.row_number().over(Window.orderBy(*order)) - 1).drop("__rank", "__n", "__order")

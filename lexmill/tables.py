@@ -6,7 +6,7 @@ rows.  Whole tables are used.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -33,7 +33,7 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
 DOCUMENTS_SQL = """docs AS (
   SELECT 'd' || doc_id AS document_id, 'a' || doc_id AS article_id, 'Q' || s_nationkey AS wikidata, lang AS language, lang || '.example' AS site,
          't' || doc_id AS title, 'p' || s_suppkey AS polygon_id, doc_id AS page_id, doc_id AS revision_id, text
-  FROM documents JOIN (SELECT *, row_number() OVER (ORDER BY s_suppkey) - 1 AS place FROM supplier) ON doc_id % (SELECT count(*) FROM supplier) = place
+  FROM documents JOIN supplier ON doc_id % (SELECT count(*) FROM supplier) + (SELECT min(s_suppkey) FROM supplier) = s_suppkey
 ), sections AS (
   SELECT document_id || ':' || (n - 1) AS section_id, document_id, article_id, wikidata, language, site, page_id, revision_id, n - 1 AS section_index, lines[n] AS text
   FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS n FROM (SELECT *, string_split(text, chr(10)) AS lines FROM docs)))"""
@@ -41,9 +41,9 @@ DOCUMENTS_SQL = """docs AS (
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = read(spark, sf_dir, "supplier")
-    place = suppliers.select((F.row_number().over(Window.orderBy("s_suppkey")) - 1).alias("place"), "s_suppkey", "s_nationkey")
+    keys = suppliers.agg(F.count("*").alias("n"), F.min("s_suppkey").alias("first")).first()
     d = F.col("doc_id")
-    return read(spark, sf_dir, "documents").join(place, d % suppliers.count() == F.col("place")).select(
+    return read(spark, sf_dir, "documents").join(suppliers, d % keys["n"] + keys["first"] == F.col("s_suppkey")).select(
         F.concat(F.lit("d"), d).alias("document_id"), F.concat(F.lit("a"), d).alias("article_id"), F.concat(F.lit("Q"), F.col("s_nationkey")).alias("wikidata"), F.col("lang").alias("language"),
         F.concat(F.col("lang"), F.lit(".example")).alias("site"), F.concat(F.lit("t"), d).alias("title"), F.concat(F.lit("p"), F.col("s_suppkey")).alias("polygon_id"), d.alias("page_id"), d.alias("revision_id"),
         F.lit("").alias("url"), F.lit("").alias("revision_timestamp"), F.lit("").alias("content_hash"), F.lit("wikipedia").alias("project"), "text",
