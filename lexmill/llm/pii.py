@@ -11,8 +11,9 @@ character it puts out, the stretch of source characters that it came from:
    stand for digits inside a number.
 
 The same patterns then run over the output, and what they find maps back through
-the kept stretches.  A found identifier is added where it overlaps no base one
-of its kind; base ones always stay.
+the kept stretches.  A found identifier is added unless it lies within a base one
+of its kind; one that a look-alike letter cut short is added whole.  Base ones
+always stay.
 
 Defined results: a null text counts as an empty one, which has no identifiers; a
 null key is kept; repeated rows give equal rows; an empty table an empty result.
@@ -114,6 +115,7 @@ _WORD_AT = re.compile(rf"[ \t]+(?:{_AT_NAMES})[ \t]+|[ \t]+@[ \t]*|[ \t]*@[ \t]+
 _ARTICLES = frozenset("the a an this that le la les el los las der die das".split())
 _LABEL = re.compile(r"[A-Za-z0-9-]+")
 _ANY_DOT = re.compile(rf"[ \t]+(?:{_DOT_NAMES}|\.)[ \t]+|\.", re.I)
+_NUMBER_DOT = re.compile(rf"(?<=[0-9])[ \t]+(?:{_DOT_NAMES})[ \t]+(?=[0-9])", re.I)
 _WORD_DIGIT_DOT = re.compile(rf"(?<=[0-9a-zéü])[ \t]+(?:{_DOT_NAMES})[ \t]+(?=[0-9a-zéü])", re.I)
 _NAMES = "|".join(sorted(SPELLED, key=lambda n: (-len(n), n)))
 _RUN = re.compile(rf"(?:(?<![^\W_])plus[ \t]+)?(?<![^\W_])(?:{_NAMES}|[0-9]++)(?![^\W\d_])(?:[ ,.()\t-]{{1,3}}(?:(?:{_NAMES})(?![^\W_])|[0-9]++(?![^\W\d_])))+", re.I)
@@ -226,6 +228,7 @@ def addresses(tape: Tape) -> Tape:
         return tape
     tape = tape.rewrite([(m.start(), m.end(), "@") for m in _BRACKET_AT.finditer(tape.text)])
     tape = tape.rewrite([(m.start(), m.end(), ".") for m in _BRACKET_DOT.finditer(tape.text)])
+    tape = tape.rewrite([(m.start(), m.end(), ".") for m in _NUMBER_DOT.finditer(tape.text)])
     text = tape.text
     if "@" in text:  # a bracketed at vouches for worded dots after it
         edits, done = [], 0
@@ -287,7 +290,7 @@ def find(text: str | None) -> tuple[list[Span], list[Span]]:
     added = []
     for kind, a, b in detect(tape.text) if tape.text != text else []:
         start, end = tape.source(a, b)
-        if all(end <= x or y <= start for k, x, y in base if k == kind):
+        if not any(x <= start and end <= y for k, x, y in base if k == kind):
             added.append((kind, start, end))
     return base, sorted([*base, *added], key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 

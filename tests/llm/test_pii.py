@@ -46,6 +46,11 @@ def test_base_on_chosen_texts():
         ("card 4l11 1111 1111 1ll1 end", "card", "4l11 1111 1111 1ll1"),
         ("card 4111​1111​1111​1111 end", "card", "4111​1111​1111​1111"),
         ("host one nine two dot one six eight dot zero dot one up", "ip", "one nine two dot one six eight dot zero dot one"),
+        ("host 192 dot 168 dot 0 dot 1 up", "ip", "192 dot 168 dot 0 dot 1"),
+        ("mail jоhn@example.com now", "email", "jоhn@example.com"),
+        ("mail john@example.cоm now", "email", "john@example.cоm"),
+        ("mail john AT example DOT com now", "email", "john AT example DOT com"),
+        ("call +1 five five five 0199 two two ok", "phone", "+1 five five five 0199 two two"),
         ("host 192[.]168[.]0[.]1 up", "ip", "192[.]168[.]0[.]1"),
     ],
 )
