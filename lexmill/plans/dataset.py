@@ -15,6 +15,7 @@ from lexmill.operators import analytics as A
 from lexmill.operators import integrity as I
 from lexmill.operators import joins as J
 from lexmill.operators import sentences as N
+from lexmill.plans.card import card
 from lexmill.schemas import contract
 from lexmill.sources import export, files, shards
 from lexmill.storage import materialize
@@ -109,7 +110,7 @@ def publish(built: Sentences, target: str, *, overwrite: bool = False) -> dict:
     rows = export.check_output(built.rows)
     data = manifest(built)
     ordered = rows.repartitionByRange("polygon_id", "language", "sentence_id").sortWithinPartitions("polygon_id", "language", "sentence_id")
-    export.swap(ordered, target, overwrite=overwrite, manifest_json=export.canonical_json(data))
+    export.swap(ordered, target, overwrite=overwrite, manifest_json=export.canonical_json(data), README_md=card(data))
     validate(rows.sparkSession, target)
     return data
 
@@ -123,9 +124,11 @@ def residual_boundaries(rows: DataFrame) -> int:
 def validate(spark: SparkSession, target: str, *, boundaries: bool = False) -> None:
     """Recompute from the published rows all that their manifest says."""
     names = {n for n, _, _ in files.children(spark, target)}
-    if names != {"data", "manifest.json"}:
+    if names != {"data", "manifest.json", "README.md"}:
         raise PublicationError(f"{target} holds {sorted(names)}")
     said = json.loads(files.read_text(spark, f"{target}/manifest.json"))
+    if files.read_text(spark, f"{target}/README.md") != card(said):
+        raise PublicationError("the page differs from the manifest")
     rows = spark.read.parquet(f"{target}/data")
     facts = json.loads(export.canonical_json(statistics(rows)))
     differing = sorted(k for k in facts.keys() | said["statistics"].keys() if facts.get(k) != said["statistics"].get(k))

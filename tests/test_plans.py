@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexmill.errors import IntegrityError, PublicationError, SchemaError, SourceError
-from lexmill.plans import dataset, labelling
+from lexmill.plans import card, dataset, labelling
 from lexmill.schemas import contract
 from lexmill.sources import files, shards
 from lexmill.streaming import incremental
@@ -77,9 +77,12 @@ def test_build_and_publish(spark, root, tmp_path):
         dataset.publish(built, target)
     dataset.publish(built, target, overwrite=True)
     dataset.validate(spark, target, boundaries=True)
-    said["statistics"]["row_count"] = 7
+    said["statistics"]["polygons"] = 7
     files.write_text(spark, f"{target}/manifest.json", json.dumps(said))
-    with pytest.raises(PublicationError, match="row_count"):
+    with pytest.raises(PublicationError, match="page"):
+        dataset.validate(spark, target)
+    files.write_text(spark, f"{target}/README.md", card.card(said))
+    with pytest.raises(PublicationError, match="polygons"):
         dataset.validate(spark, target)
 
 
@@ -133,3 +136,17 @@ def test_changed_shards(spark, root):
     assert {r["status"] for r in incremental.changed_shards(now, now).collect()} == {"unchanged"}
     before = now.withColumn("state", F.when(F.col("shard_key") == "north", "old").otherwise(F.col("state")))
     assert {r["shard_key"]: r["status"] for r in incremental.changed_shards(before, now).collect()} == {"north": "changed", "south": "unchanged"}
+
+
+def test_card_rules(spark):
+    assert card.scope([None, " ", "new_south-wales-latest"]) == "New South Wales"
+    assert (card.scope([]), card.scope(["a", "b"])) == ("Dataset", "Global")
+    assert card.scope_of(spark.createDataFrame([("a",), (" a ",), (None,)], "region string")) == "A"
+    assert card.cell("a|b\\\n&") == "a&#124;b&#92;&#10;&amp;"
+    assert card.tree_url("https://x", "o/r", "a/b#") == "https://x/datasets/o/r/tree/a%2Fb%23"
+    assert card.padded(0.0, 100.0) == (-5.0, 105.0) and card.padded(1.0, 1.0) == (0.9, 1.1)
+    assert card.check_target(None, 5) is False and card.check_target(5, 6) is True
+    with pytest.raises(PublicationError):
+        card.check_target(6, 5)
+    rows = spark.createDataFrame([(0, "a", 1), (1, "a", 2), (2, "a", 2), (3, "b", 0)], "n int, k string, v int")
+    assert [r["n"] for r in card.out_of_order(rows, "k", "v", order="n").collect()] == [2]
