@@ -36,12 +36,12 @@ from lexmill.storage import materialize
 
 SEED = 42
 #: Most fingerprints of a group that is not split further.
-GROUP = 1_024
+GROUP = 2_048
 #: A group of up to so many is a single leaf of the tree.
 LEAF = 32
 FANOUT = 16
 #: Words and bits of the banded plan.
-LONG_WORDS, BAND_BITS, SPLIT_BITS = 10, 20, 8
+LONG_WORDS, BAND_BITS, SPLIT_BITS = 10, 17, 8
 FULL = (1 << 64) - 1
 
 
@@ -213,7 +213,7 @@ class Masks:
     def finer(self, mask: tuple[int, ...]) -> list[tuple[int, ...]]:
         rest = [b for b in range(64 * self.words) if b not in set(mask)]
         if self.exact:
-            # 2**10 fingerprints at most differ in ten bits.
+            # No more than GROUP fingerprints differ only in so many bits.
             return [mask + tuple(b) for b in _blocks(rest, self.limit + 1)] if len(rest) > GROUP.bit_length() - 1 else []
         if len(mask) >= BAND_BITS + 3 * SPLIT_BITS:
             return []
@@ -336,7 +336,7 @@ def drop_near_duplicates(documents: DataFrame, *, key: str = "doc_id", text: str
 
     Documents are linked if fingerprints of 640 bits put their similarity on word
     shingles at ``similarity`` or more.  Bands find a pair at 0.8 with a chance of
-    about 0.7, at 0.9 of 0.98; larger groups connect through any of their pairs.
+    about 0.9, at 0.9 of 0.997; larger groups connect through any of their pairs.
     Documents without words are one group.  Of equal keys in one group the first
     by text stays once; a null key comes after all others.
     """
