@@ -141,6 +141,25 @@ def place_prompt(title: Column, section: Column, before: Column, target: Column,
     return F.concat_ws("\n\n", part("Page title", "page_title", title), part("Section title", "section_title", section), part("Previous sentence", "previous", before), part("TARGET SENTENCE", "target", target), part("Next sentence", "next", after))
 
 
+def sentence_prompt(tags: Column, **fields: Column) -> Column:
+    """The data part of the two-label prompt.
+
+    fields: polygon_name, region, osm_primary_tag, language, page_title,
+    section, previous, target, next; a missing one shows as the form says.
+    """
+
+    def value(name: str, missing: str = "") -> Column:
+        return F.coalesce(F.nullif(fields[name], F.lit("")), F.lit(missing))
+
+    listed = F.to_json(F.array_sort(tags))
+    parts = [
+        "Target polygon:\n- Name: ", value("polygon_name", "unknown"), "\n- Country/region: ", value("region"), "\n- OSM primary tag: ", value("osm_primary_tag", "none"), "\nAll OSM tags:\n", listed,
+        "\n\nArticle:\n- Language: ", value("language"), "\n- Page title: ", value("page_title"), "\n- Section title: ", value("section", "none"),
+        "\n\nPrevious sentence:\n<previous>", value("previous"), "</previous>\n\nTARGET SENTENCE:\n<target>", value("target"), "</target>\n\nNext sentence:\n<next>", value("next"), "</next>",
+    ]
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+
+
 _CHOICES = "struct<choices:array<struct<logprobs:struct<content:array<struct<top_logprobs:array<struct<token:string,logprob:double>>>>>>>>"
 
 

@@ -4,9 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexmill.errors import IntegrityError, PublicationError, SchemaError, SourceError
+from lexmill.operators import integrity as I
+from lexmill.operators import joins as J
 from lexmill.plans import card, dataset, labelling
 from lexmill.schemas import contract
-from lexmill.sources import files, shards
+from lexmill.sources import export, files, shards
 from lexmill.streaming import incremental
 
 
@@ -150,3 +152,28 @@ def test_card_rules(spark):
         card.check_target(6, 5)
     rows = spark.createDataFrame([(0, "a", 1), (1, "a", 2), (2, "a", 2), (3, "b", 0)], "n int, k string, v int")
     assert [r["n"] for r in card.out_of_order(rows, "k", "v", order="n").collect()] == [2]
+
+
+def test_review_sample(spark, tmp_path):
+    rows = spark.createDataFrame([(f"s{i}", f"t{i}") for i in range(9)], "sentence_id string, t string")
+    scores = spark.createDataFrame([(f"s{i}", float(i)) for i in range(9)], "sentence_id string, score double")
+    export.write_sample(rows, scores, str(tmp_path / "sample"), limit=3)
+    assert [(r["sentence_id"], r["score"]) for r in spark.read.json(str(tmp_path / "sample")).collect()] == [("s0", 0.0), ("s1", 1.0), ("s2", 2.0)]
+    with pytest.raises(IntegrityError, match="no score"):
+        export.write_sample(rows, scores.where("score > 5"), str(tmp_path / "other"))
+
+
+def test_labels_are_the_rows(spark):
+    rows = spark.createDataFrame([("a",), ("b",)], "sentence_id string")
+    with pytest.raises(IntegrityError, match="no label"):
+        I.assert_all(J.label_checks(rows, rows.where("sentence_id = 'a'")))
+    I.assert_all(J.label_checks(rows, rows))
+    named = spark.createDataFrame([("north:1", "north"), ("south:2", "north")], "polygon_id string, shard_key string")
+    assert [r[0] for r in I.outside_namespace(named, "polygon_id", "shard_key").collect()] == ["south:2"]
+
+
+def test_only_given_shards_are_replaced(spark, tmp_path):
+    path = str(tmp_path / "t")
+    incremental.write_shards(spark.createDataFrame([(1, "a"), (2, "b")], "v int, shard_key string"), path)
+    incremental.write_shards(spark.createDataFrame([(3, "b")], "v int, shard_key string"), path)
+    assert sorted((r["v"], r["shard_key"]) for r in spark.read.parquet(path).collect()) == [(1, "a"), (3, "b")]

@@ -55,3 +55,12 @@ def test_label_failures(spark):
 def test_geometry(spark):
     rows = spark.createDataFrame([('{"type":"Polygon","coordinates":[]}',), ('{"type":"Point","coordinates":[0,0]}',), ("x",), ("",), (None,)], "g string")
     assert [r[0] for r in rows.select(V.is_area(F.col("g"))).collect()] == [True, False, False, False, False]
+
+
+def test_sentence_prompt(spark):
+    tags = F.array(*[F.struct(F.lit(k).alias("key"), F.lit(v).alias("value")) for k, v in (("b", "2"), ("a", 'x"'))])
+    fields = dict.fromkeys(("polygon_name", "region", "osm_primary_tag", "language", "page_title", "section", "previous", "target", "next"), F.lit(None).cast("string"))
+    out = one(spark, V.sentence_prompt(tags, **{**fields, "target": F.lit("A field."), "region": F.lit("north")}))
+    assert '[{"key":"a","value":"x\\""},{"key":"b","value":"2"}]' in out
+    assert out.startswith("Target polygon:\n- Name: unknown\n- Country/region: north\n- OSM primary tag: none\n")
+    assert out.endswith("<target>A field.</target>\n\nNext sentence:\n<next></next>") and "- Section title: none" in out
