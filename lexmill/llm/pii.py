@@ -34,7 +34,6 @@ from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
 
-_LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
 _LOCAL_SIGNS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 # Inside a run of digits a match can only begin at its start, as runs are taken whole.
