@@ -28,6 +28,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.storage import materialize
+
 MIN_UNIT, MIN_WORDS = 4, 20
 _SENTENCE = re.compile(r"[^\n.!?]+[.!?]*|[.!?]+")
 _LINE = re.compile(r"[^\n]+")
@@ -85,7 +87,8 @@ def repeated_spans(documents: DataFrame, *, key: str = "doc_id", text: str = "te
     stretch's first unit.
     """
     found = _units_of(documents, key, text, kind)
-    first = found.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.struct("k", "start")).alias("first")).where("n > 1").drop("n")
+    # Written first: against a table the planner can split the join where a digest is very frequent.
+    first = materialize(found.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.struct("k", "start")).alias("first")).where("n > 1").drop("n"), "repeated-units")
     later = found.join(first, "digest").where(F.struct("k", "start") > F.col("first")).select("k", "h", "start", "end", "words", F.col("first.k").alias("first_k"))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
