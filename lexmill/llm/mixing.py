@@ -23,6 +23,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexmill.storage import materialize
+
 SEED = "mix-1"
 #: Without target weights, sources weigh by their size to this power, which brings up small ones.
 TEMPER = 0.7
@@ -73,9 +75,11 @@ def poisson_steps(table: DataFrame) -> DataFrame:
 def mix(documents: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source", weights: Mapping[str, float] | None = None, size: int | None = None, seed: str = SEED) -> DataFrame:
     """The documents, each as often as its count, in globally shuffled order.
 
-    All columns stay; ``copy`` counts a document's copies from 0.
+    All columns stay; ``copy`` counts a document's copies from 0 and replaces a
+    column of that name.
     """
-    steps = poisson_steps(rates(documents, source=source, weights=weights, size=size))
+    # Written first: with a known size the planner need not shuffle the texts by source.
+    steps = materialize(poisson_steps(rates(documents, source=source, weights=weights, size=size)), "poisson-steps")
     drawn = documents.withColumn("__source", _safe(source)).join(steps, "__source")
     count = F.size(F.filter("__steps", lambda c: c <= F.col("__u")))
     replicated = (
