@@ -14,11 +14,14 @@ Two plans of masks:
 * banded, for long fingerprints and similarities such as 0.8, at which 64 bits
   differ in ten places: the bands of a locality-sensitive scheme.
 
-A group of more than ``GROUP`` distinct fingerprints is split by finer masks
-(for the exact plan again by blocks of the bits left, so no link is lost) before
-it is gathered, until its size or the number of bits left bounds it.  A group
-yields a link from each member to the least of its local component, never all
-pairs; components across groups are joined on executors.
+A group of more than ``GROUP`` distinct fingerprints is split before it is
+gathered.  In the exact plan finer masks split it, by blocks of the bits left, so
+no link is lost, until its size or the number of bits left bounds it.  In a band
+a large group is mostly one cluster, whose members agree on any finer mask too:
+there all members are compared with ``PIVOTS`` of them, and each with those in
+its random part of the group, another part in each band.  A group yields a link
+from each member to the least of its local component, never all pairs;
+components across groups are joined on executors.
 """
 
 from __future__ import annotations
@@ -40,8 +43,10 @@ GROUP = 2_048
 #: A group of up to so many is a single leaf of the tree.
 LEAF = 32
 FANOUT = 16
-#: Words and bits of the banded plan.
-LONG_WORDS, BAND_BITS, SPLIT_BITS = 10, 17, 8
+#: Words and bits of a band of the banded plan.
+LONG_WORDS, BAND_BITS = 10, 17
+#: Members of a large group of a band that all others are compared with.
+PIVOTS = 32
 FULL = (1 << 64) - 1
 
 
@@ -211,13 +216,11 @@ class Masks:
         return [tuple(bits[k : k + BAND_BITS]) for k in range(0, len(bits) - BAND_BITS + 1, BAND_BITS)]
 
     def finer(self, mask: tuple[int, ...]) -> list[tuple[int, ...]]:
-        rest = [b for b in range(64 * self.words) if b not in set(mask)]
-        if self.exact:
-            # No more than GROUP fingerprints differ only in so many bits.
-            return [mask + tuple(b) for b in _blocks(rest, self.limit + 1)] if len(rest) > GROUP.bit_length() - 1 else []
-        if len(mask) >= BAND_BITS + 3 * SPLIT_BITS:
+        if not self.exact:
             return []
-        return [mask + tuple(rest[k : k + SPLIT_BITS]) for k in range(0, len(rest) - SPLIT_BITS + 1, SPLIT_BITS * max(1, len(rest) // SPLIT_BITS // 12))]
+        rest = [b for b in range(64 * self.words) if b not in set(mask)]
+        # No more than GROUP fingerprints differ only in so many bits.
+        return [mask + tuple(b) for b in _blocks(rest, self.limit + 1)] if len(rest) > GROUP.bit_length() - 1 else []
 
 
 def _words_of(column: pa.Array, words: int) -> np.ndarray:
@@ -285,6 +288,40 @@ def _group_links(rows: DataFrame, words: int, limit: int) -> DataFrame:
     return rows.repartition("bits").sortWithinPartitions("bits").mapInArrow(link, "a long, b long")
 
 
+def _pivot_links(rows: DataFrame, words: int, limit: int) -> DataFrame:
+    """Links of large groups' members to pivots: one to each component of the pivots that is near."""
+    picked = rows.groupBy("mask", "bits", F.pmod(F.xxhash64("node", "mask"), F.lit(PIVOTS)).alias("part")).agg(F.min(F.struct("node", "fp")).alias("p"))
+    pivots = materialize(picked.groupBy("mask", "bits").agg(F.sort_array(F.collect_list("p")).alias("pivots")), "pivots")
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[tuple[int, int], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for batch in batches:
+            keys = list(zip(batch.column("mask").to_pylist(), batch.column("bits").to_pylist(), strict=True))
+            node, values = batch.column("node").to_numpy(), _words_of(batch.column("fp"), words)
+            places: dict[tuple[int, int], list[int]] = {}
+            for place, key in enumerate(keys):
+                places.setdefault(key, []).append(place)
+            a, b = [], []
+            for key, here in places.items():
+                if key not in known:
+                    own = batch.column("pivots")[here[0]].as_py()
+                    ids = np.array([p["node"] for p in own], np.int64)
+                    fps = np.frombuffer(b"".join(bytes(p["fp"]) for p in own), ">u8").astype(np.uint64).reshape(-1, words)
+                    x, y = np.nonzero(np.bitwise_count(fps[:, None] ^ fps[None]).sum(axis=2, dtype=np.int64) <= limit)
+                    if len(known) > 256:
+                        known.clear()
+                    known[key] = ids, fps, local_components(len(ids), x, y)
+                ids, fps, label = known[key]
+                near = np.bitwise_count(values[here][:, None] ^ fps[None]).sum(axis=2, dtype=np.int64) <= limit
+                for group in np.unique(label).tolist():
+                    linked = np.array(here)[near[:, label == group].any(axis=1)]
+                    a.append(node[linked])
+                    b.append(np.full(len(linked), ids[group]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))] if a else [pa.array([], pa.int64())] * 2, names=["a", "b"])
+
+    return rows.join(pivots, ["mask", "bits"]).mapInArrow(link, "a long, b long")
+
+
 def links(nodes: DataFrame, plan: Masks) -> DataFrame:
     """Links ``a``, ``b`` that connect all ``node``s whose fingerprints the plan finds within its limit.
 
@@ -295,17 +332,24 @@ def links(nodes: DataFrame, plan: Masks) -> DataFrame:
     while True:
         finer = {k: plan.finer(m) for k, m in enumerate(table)}
         large = rows.groupBy("mask", "bits").agg(F.count("*").alias("n")).where(F.col("n") > GROUP)
-        large = materialize(large.where(F.col("mask").isin([k for k, m in finer.items() if m])).select("mask", "bits"), "large-groups")
+        if plan.exact:
+            large = large.where(F.col("mask").isin([k for k, m in finer.items() if m]))
+        large = materialize(large, "large-groups")
         some = bool(large.take(1))
         found = _group_links(rows.join(large, ["mask", "bits"], "left_anti") if some else rows, words, plan.limit)
         out = found if out is None else out.union(found)
         if not some:
             return out
+        held = rows.join(large, ["mask", "bits"])
+        if not plan.exact:
+            parts = F.pmod(F.xxhash64("node", "mask"), F.ceil(F.col("n") / GROUP))
+            parted = held.withColumn("bits", F.xxhash64("bits", parts)).drop("n")
+            return out.union(_pivot_links(held.drop("n"), words, plan.limit)).union(_group_links(parted, words, plan.limit))
         children, table, old = {}, [], table
         for k in range(len(old)):
             children[k] = [len(table) + i for i in range(len(finer[k]))]
             table += finer[k]
-        rows = _keyed(rows.join(large, ["mask", "bits"], "left_semi"), table, words, children)
+        rows = _keyed(held.drop("n"), table, words, children)
 
 
 def near_duplicates(documents: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 3, max_bits: int = 2) -> DataFrame:

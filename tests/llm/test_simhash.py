@@ -120,3 +120,20 @@ def test_dropping_near_duplicates(spark):
     assert out.columns == df.columns
     assert len(kept) == groups + 2 + 1 + 1 and {1000, 1001, 2000, None} <= set(kept)
     assert H.drop_near_duplicates(df.limit(0)).count() == 0
+
+
+def test_a_large_cluster_of_near_copies(spark, monkeypatch):
+    monkeypatch.setattr(H, "GROUP", 40)
+    draw = random.Random(7)
+    words = [f"w{i}" for i in range(5000)]
+    text = draw.choices(words, k=300)
+    rows = []
+    for k in range(400):
+        changed = list(text)
+        for _ in range(draw.randint(1, 6)):
+            changed[draw.randrange(300)] = f"changed{draw.randrange(10**6)}"
+        rows.append((k, " ".join(changed)))
+    rows += [(1000 + k, " ".join(draw.choices(words, k=200))) for k in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(r["doc_id"] for r in H.drop_near_duplicates(df).collect())
+    assert kept == [0, *range(1000, 1050)]
