@@ -1,0 +1,259 @@
+"""Near duplicates by the exact Jaccard similarity of word shingles.
+
+A document is the set of its shingles' hashes; equal sets are one node.  In any
+order of all hashes, two sets of at least that similarity share one among the
+first ``n - ceil(similarity * n) + 1`` of each, so no pair is missed: sets meet
+in the groups of these prefixes.  The order puts hashes last that a sample shows
+to be frequent, so groups stay small; it bears on the cost only.
+
+A link counts if the sets themselves, joined to the pair, are similar enough.
+Not all pairs of a group are tried, as only components matter: first each member
+with the group's least node; then, between different components, all pairs of
+small groups and each member's nearest in large ones; then all pairs that are
+still in different components.  Groups of more than ``GROUP`` are cut into
+chunks, and every two chunks meet in a task of their own.  A pair is left out
+only if its sizes, or bitmaps of its sets, prove it below the similarity: each
+hash in one set alone turns one bit at most.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from lexmill.llm.components import connected_components
+from lexmill.llm.shingles import shingle_hashes
+from lexmill.storage import materialize
+
+#: Most members of a group that one task compares with each other, and of one whose pairs are all tried at once.
+GROUP, LEAF = 2_048, 32
+#: Counters and share of documents of the sample that finds frequent hashes; the count from which one is.
+SKETCH_BITS, SAMPLE, FREQUENT = 20, 32, 8
+WORDS = 4
+#: Flags that tell which sets are on a pair.
+SLOTS = 1 << 23
+_SLACK = 1e-9
+
+
+def bitmap(hashes: np.ndarray) -> bytes:
+    """Parity of the number of hashes at each of ``WORDS`` * 64 bits."""
+    counts = np.bincount((hashes >> np.uint64(20)).astype(np.int64) % (64 * WORDS), minlength=64 * WORDS)
+    return np.packbits(counts & 1).tobytes()
+
+
+def prefix(hashes: np.ndarray, similarity: float, ranks: np.ndarray) -> np.ndarray:
+    """The first of the hashes, by rank and value, of which any set of that similarity shares one."""
+    n = len(hashes)
+    many = n - int(np.ceil(similarity * n - _SLACK)) + 1 if n else 0
+    order = np.lexsort((hashes, ranks[(hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]))
+    return hashes[order[:many]]
+
+
+def _set(text: pa.Scalar, shingle: int) -> np.ndarray:
+    return np.unique(shingle_hashes(text.as_py(), shingle))
+
+
+def _node(hashes: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(hashes.tobytes())
+
+
+def shingle_sets(source: DataFrame, shingle: int) -> DataFrame:
+    """``place``, ``node``, ``size`` and ``bitmap`` of rows of ``place`` and ``text``."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [_set(value, shingle) for value in batch.column(1)]
+            nodes = np.array([_node(x) for x in sets], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes), pa.array([len(x) for x in sets], pa.int32()), pa.array([bitmap(x) for x in sets], pa.binary())], names=["place", "node", "size", "bitmap"])
+
+    return source.mapInArrow(mark, "place struct<k:bigint,h:bigint>, node long, size int, bitmap binary")
+
+
+def frequency_ranks(source: DataFrame, shingle: int) -> np.ndarray:
+    """A rank for each counter of the sketch: 0, or the binary logarithm of a frequent one's count."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << SKETCH_BITS, np.int64)
+        for batch in batches:
+            for value in batch.column(0):
+                places = (_set(value, shingle) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+                np.add.at(counts, places, 1)
+        used = np.flatnonzero(counts)
+        for at in range(0, len(used), 100_000):
+            part = used[at : at + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(counts[part])], names=["counter", "n"])
+
+    sampled = source.where(F.pmod(F.xxhash64("place"), F.lit(SAMPLE)) == 0).select("text").mapInArrow(count, "counter long, n long")
+    sums = materialize(sampled.groupBy("counter").agg(F.sum("n").alias("n")), "frequent-shingles")
+    mean = (sums.agg(F.sum("n")).first()[0] or 0) / (1 << SKETCH_BITS)
+    found = sums.where(F.col("n") >= FREQUENT * (1 + mean)).toArrow()
+    ranks = np.zeros(1 << SKETCH_BITS, np.uint8)
+    ranks[found["counter"].to_numpy()] = np.log2(found["n"].to_numpy()).astype(np.uint8)
+    return ranks
+
+
+def prefixes(source: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """``bits``, ``node`` and ``size`` of each hash of each set's prefix."""
+    ranks = source.sparkSession.sparkContext.broadcast(frequency_ranks(source, shingle).tobytes())
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.frombuffer(ranks.value, np.uint8)
+        for batch in batches:
+            sets = [_set(value, shingle) for value in batch.column(0)]
+            found = [prefix(x, similarity, own) for x in sets]
+            many = [len(x) for x in found]
+            bits = np.concatenate([np.empty(0, np.uint64), *found]).view(np.int64)
+            node = np.repeat(np.array([_node(x) for x in sets], np.uint64).view(np.int64), many)
+            yield pa.RecordBatch.from_arrays([pa.array(bits), pa.array(node), pa.array(np.repeat(np.array([len(x) for x in sets], np.int32), many))], names=["bits", "node", "size"])
+
+    return source.select("text").mapInArrow(cut, "bits long, node long, size int")
+
+
+def true_links(pairs: DataFrame, source: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Those of the pairs ``a``, ``b`` whose sets have the similarity."""
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                both = np.sort(np.concatenate([x, y]), kind="stable")
+                shared = int(np.count_nonzero(both[1:] == both[:-1]))
+                keep.append(shared / max(1, len(both) - shared) >= similarity)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    some = _some_sets(pairs, source, shingle)
+    joined = pairs.join(some.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a").join(some.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b")
+    return joined.select("a", "b", "x", "y").mapInArrow(test, "a long, b long")
+
+
+def _some_sets(pairs: DataFrame, source: DataFrame, shingle: int) -> DataFrame:
+    """``node`` and ``hashes`` of the nodes on a pair, and some others: spares a shuffle of all sets."""
+    slot = F.pmod("node", F.lit(SLOTS)).cast("int")
+    used = pairs.select(F.explode(F.array("a", "b")).alias("node")).select(slot.alias("slot")).distinct().toArrow()["slot"].to_numpy()
+    flags = np.zeros(SLOTS, np.uint8)
+    flags[used] = 1
+    shared = source.sparkSession.sparkContext.broadcast(np.packbits(flags).tobytes())
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(shared.value, np.uint8)
+        for batch in batches:
+            sets = [_set(value, shingle) for value in batch.column(0)]
+            nodes = np.array([_node(x) for x in sets], np.uint64).view(np.int64)
+            at = nodes % SLOTS
+            keep = np.flatnonzero(bits[at >> 3] >> (7 - (at & 7)) & 1)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[keep]), pa.array([sets[k].tobytes() for k in keep.tolist()], pa.binary())], names=["node", "hashes"])
+
+    return materialize(source.select("text").mapInArrow(pick, "node long, hashes binary").dropDuplicates(["node"]), "sets-in-pairs")
+
+
+def possible_pairs(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Less the pairs that the bitmaps prove to be less similar."""
+    share = (1 - similarity) / (1 + similarity)
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(-1, WORDS) for k in (3, 4))
+            apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            yield batch.select(["a", "b"]).filter(pa.array(apart <= share * batch.column(2).to_numpy() + _SLACK))
+
+    one, two = (sets.select(F.col("node").alias(k), F.col("size").alias(f"{k}_size"), F.col("bitmap").alias(f"{k}_marks")) for k in "ab")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", F.col("a_size") + F.col("b_size"), "a_marks", "b_marks").mapInArrow(test, "a long, b long")
+
+
+def _pairs_apart(rows: DataFrame, similarity: float, *, nearest: bool) -> DataFrame:
+    """Pairs ``a``, ``b`` of a group's members in different components that may be similar enough.
+
+    nearest: of groups of more than ``LEAF``, only each member's nearest.
+    rows: ``part`` (the group and two of its chunks), ``own`` (the member's
+    chunk), ``within`` (both chunks are one), ``node``, ``root``, ``pivot``,
+    ``size``, ``bitmap``.
+    """
+    share = (1 - similarity) / (1 + similarity)
+
+    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def emit(part, own, within, node, root, pivot, size, marks):
+            n = len(part)
+            firsts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+            sizes = np.diff(np.concatenate((firsts, [n])))
+            size_of = np.repeat(sizes, sizes)
+            left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+
+            def room(i, j):
+                """Bits by which the bitmaps are nearer than they must be; below zero for pairs not to be tried."""
+                low, high = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
+                ok = (root[i] != root[j]) & (within[i] | (own[i] != own[j])) & (low >= similarity * high - _SLACK) & (node[i] != pivot[i]) & (node[j] != pivot[j])
+                apart = np.bitwise_count(marks[i] ^ marks[j]).sum(axis=-1, dtype=np.int64)
+                return np.where(ok, share * (low + high) + _SLACK - apart, -1.0)
+
+            for step in range(1, min(LEAF, int(sizes.max(initial=1)))):
+                at = np.flatnonzero((size_of[:-step] <= LEAF) & (part[step:] == part[:-step]))
+                at = at[room(at, at + step) >= 0]
+                left.append(at)
+                right.append(at + step)
+            for first, many in zip(firsts[sizes > LEAF].tolist(), sizes[sizes > LEAF].tolist(), strict=True):
+                all_ = np.arange(first, first + many)
+                for at in range(0, many, 128):
+                    own_rows = all_[at : at + 128]
+                    others = all_ if nearest else all_[at:]
+                    free = room(own_rows[:, None], others[None])
+                    if nearest:
+                        best = free.argmax(axis=1)
+                        good = free[np.arange(len(own_rows)), best] >= 0
+                        left.append(own_rows[good])
+                        right.append(others[best[good]])
+                    else:
+                        x, y = np.nonzero((free >= 0) & (own_rows[:, None] < others[None]))
+                        left.append(own_rows[x])
+                        right.append(others[y])
+            x, y = node[np.concatenate(left)], node[np.concatenate(right)]
+            return pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], names=["a", "b"])
+
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(7)] + [np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint64).reshape(-1, WORDS)]
+            held = new if held is None else [np.concatenate(x) for x in zip(held, new, strict=True)]
+            last = np.flatnonzero(held[0] != held[0][-1])
+            cut = last[-1] + 1 if len(last) else 0  # the last group may go on
+            if cut:
+                yield emit(*(x[:cut] for x in held))
+                held = [x[cut:] for x in held]
+        if held is not None:
+            yield emit(*held)
+
+    ordered = rows.select("part", "own", "within", "node", "root", "pivot", "size", "bitmap").repartition("part").sortWithinPartitions("part")
+    return ordered.mapInArrow(pair, "a long, b long").distinct()
+
+
+def links(source: DataFrame, sets: DataFrame, *, shingle: int, similarity: float) -> DataFrame:
+    """Links ``a``, ``b`` that connect all nodes of the similarity, and no others.
+
+    source: ``place`` and ``text`` of at least one document of each set.
+    sets: a table that can be read again, of distinct ``node`` with ``size`` and ``bitmap``.
+    """
+    rows = materialize(prefixes(source, shingle, similarity), "prefixes")
+    groups = materialize(rows.groupBy("bits").agg(F.count("*").alias("n")).where("n > 1"), "shared-shingles")
+    shared = materialize(rows.join(groups, "bits"), "shared-prefixes")
+    pivots = shared.groupBy("bits").agg(F.min(F.struct("node", "size")).alias("p"))
+    low, high = F.least("size", "p.size"), F.greatest("size", "p.size")
+    pairs = shared.join(pivots, "bits").where((low >= high * F.lit(similarity) - _SLACK) & (F.col("node") != F.col("p.node")))
+    pairs = materialize(possible_pairs(pairs.select(F.col("node").alias("a"), F.col("p.node").alias("b")).distinct(), sets, similarity), "pairs")
+    found = materialize(true_links(pairs, source, shingle, similarity), "links")
+    for nearest in (True, False):
+        roots = connected_components(found)
+        rooted = shared.where(F.col("n") > (2 if nearest else LEAF)).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        apart = rooted.groupBy("bits").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.min("node").alias("pivot")).where("least <> most").select("bits", "pivot")
+        dealt = rooted.join(apart, "bits").withColumn("chunks", F.ceil(F.col("n") / GROUP).cast("int")).withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+        dealt = dealt.join(sets.select("node", "bitmap"), "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        dealt = dealt.withColumn("part", F.xxhash64("bits", F.least("own", "other"), F.greatest("own", "other"))).withColumn("within", F.col("own") == F.col("other"))
+        pairs = materialize(_pairs_apart(dealt, similarity, nearest=nearest), "pairs")
+        if pairs.take(1):
+            found = found.union(materialize(true_links(pairs, source, shingle, similarity), "links"))
+    return found

@@ -7,21 +7,14 @@ parent's pattern already has.  A search adds up, from the root down, the bits in
 which the query differs from the patterns, and drops a node with all that lies
 below as soon as the sum passes the limit.
 
-Two plans of masks:
-
-* exact, for fingerprints of 64 bits: ``max_bits + 1`` blocks of bits; two
-  fingerprints within the limit agree on a whole block.
-* banded, for long fingerprints and similarities such as 0.8, at which 64 bits
-  differ in ten places: the bands of a locality-sensitive scheme.
-
-A group of more than ``GROUP`` distinct fingerprints is split before it is
-gathered.  In the exact plan finer masks split it, by blocks of the bits left, so
-no link is lost, until its size or the number of bits left bounds it.  In a band
-a large group is mostly one cluster, whose members agree on any finer mask too:
-there all members are compared with ``PIVOTS`` of them, and each with those in
-its random part of the group, another part in each band.  A group yields a link
-from each member to the least of its local component, never all pairs;
+The masks are ``max_bits + 1`` blocks of bits: two fingerprints within the limit
+agree on a whole block.  A group of more than ``GROUP`` distinct fingerprints is
+split before it is gathered, by finer masks, blocks of the bits left, so no link
+is lost, until its size or the number of bits left bounds it.  A group yields a
+link from each member to the least of its local component, never all pairs;
 components across groups are joined on executors.
+
+``drop_near_duplicates`` uses the sets of shingles themselves: see ``jaccard``.
 """
 
 from __future__ import annotations
@@ -30,41 +23,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.llm import jaccard
 from lexmill.llm.components import connected_components
+from lexmill.llm.shingles import shingle_hashes
 from lexmill.storage import materialize
 
-SEED = 42
 #: Most fingerprints of a group that is not split further.
 GROUP = 2_048
 #: A group of up to so many is a single leaf of the tree.
 LEAF = 32
 FANOUT = 16
-#: Words and bits of a band of the banded plan.
-LONG_WORDS, BAND_BITS = 10, 17
-#: Members of a large group of a band that all others are compared with.
-PIVOTS = 32
 FULL = (1 << 64) - 1
 
 
-def shingle_hashes(text: str | None, size: int) -> np.ndarray:
-    """XXH64 of each run of ``size`` words, in lower case; of all words if fewer."""
-    words = (text or "").encode().lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    joined = b" ".join(words)
-    if len(words) <= size:
-        return np.array([xxhash.xxh64_intdigest(joined, SEED)], np.uint64)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))
-    digest = xxhash.xxh64_intdigest
-    spans = zip(starts[: len(words) - size + 1].tolist(), ends[size - 1 :].tolist(), strict=True)
-    return np.fromiter([digest(joined[s:e], SEED) for s, e in spans], np.uint64, len(words) - size + 1)
-
-
 def _bit_counts(hashes: np.ndarray) -> np.ndarray:
     """How many of the hashes (rows of words) have each bit, most significant first."""
     total = np.zeros(hashes.shape[1] * 64, np.int64)
@@ -206,18 +180,16 @@ class Masks:
     significant bit.
     """
 
-    def __init__(self, words: int, limit: int, *, exact: bool) -> None:
-        self.words, self.limit, self.exact = words, limit, exact
+    def __init__(self, words: int, limit: int, *, exact: bool = True) -> None:
+        if not exact:
+            raise ValueError("only exact plans")
+        self.words, self.limit = words, limit
 
     def first(self) -> list[tuple[int, ...]]:
         bits = list(range(64 * self.words))
-        if self.exact:
-            return [tuple(b) for b in _blocks(bits, self.limit + 1)]
-        return [tuple(bits[k : k + BAND_BITS]) for k in range(0, len(bits) - BAND_BITS + 1, BAND_BITS)]
+        return [tuple(b) for b in _blocks(bits, self.limit + 1)]
 
     def finer(self, mask: tuple[int, ...]) -> list[tuple[int, ...]]:
-        if not self.exact:
-            return []
         rest = [b for b in range(64 * self.words) if b not in set(mask)]
         # No more than GROUP fingerprints differ only in so many bits.
         return [mask + tuple(b) for b in _blocks(rest, self.limit + 1)] if len(rest) > GROUP.bit_length() - 1 else []
@@ -288,40 +260,6 @@ def _group_links(rows: DataFrame, words: int, limit: int) -> DataFrame:
     return rows.repartition("bits").sortWithinPartitions("bits").mapInArrow(link, "a long, b long")
 
 
-def _pivot_links(rows: DataFrame, words: int, limit: int) -> DataFrame:
-    """Links of large groups' members to pivots: one to each component of the pivots that is near."""
-    picked = rows.groupBy("mask", "bits", F.pmod(F.xxhash64("node", "mask"), F.lit(PIVOTS)).alias("part")).agg(F.min(F.struct("node", "fp")).alias("p"))
-    pivots = materialize(picked.groupBy("mask", "bits").agg(F.sort_array(F.collect_list("p")).alias("pivots")), "pivots")
-
-    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[tuple[int, int], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-        for batch in batches:
-            keys = list(zip(batch.column("mask").to_pylist(), batch.column("bits").to_pylist(), strict=True))
-            node, values = batch.column("node").to_numpy(), _words_of(batch.column("fp"), words)
-            places: dict[tuple[int, int], list[int]] = {}
-            for place, key in enumerate(keys):
-                places.setdefault(key, []).append(place)
-            a, b = [], []
-            for key, here in places.items():
-                if key not in known:
-                    own = batch.column("pivots")[here[0]].as_py()
-                    ids = np.array([p["node"] for p in own], np.int64)
-                    fps = np.frombuffer(b"".join(bytes(p["fp"]) for p in own), ">u8").astype(np.uint64).reshape(-1, words)
-                    x, y = np.nonzero(np.bitwise_count(fps[:, None] ^ fps[None]).sum(axis=2, dtype=np.int64) <= limit)
-                    if len(known) > 256:
-                        known.clear()
-                    known[key] = ids, fps, local_components(len(ids), x, y)
-                ids, fps, label = known[key]
-                near = np.bitwise_count(values[here][:, None] ^ fps[None]).sum(axis=2, dtype=np.int64) <= limit
-                for group in np.unique(label).tolist():
-                    linked = np.array(here)[near[:, label == group].any(axis=1)]
-                    a.append(node[linked])
-                    b.append(np.full(len(linked), ids[group]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))] if a else [pa.array([], pa.int64())] * 2, names=["a", "b"])
-
-    return rows.join(pivots, ["mask", "bits"]).mapInArrow(link, "a long, b long")
-
-
 def links(nodes: DataFrame, plan: Masks) -> DataFrame:
     """Links ``a``, ``b`` that connect all ``node``s whose fingerprints the plan finds within its limit.
 
@@ -332,19 +270,13 @@ def links(nodes: DataFrame, plan: Masks) -> DataFrame:
     while True:
         finer = {k: plan.finer(m) for k, m in enumerate(table)}
         large = rows.groupBy("mask", "bits").agg(F.count("*").alias("n")).where(F.col("n") > GROUP)
-        if plan.exact:
-            large = large.where(F.col("mask").isin([k for k, m in finer.items() if m]))
-        large = materialize(large, "large-groups")
+        large = materialize(large.where(F.col("mask").isin([k for k, m in finer.items() if m])), "large-groups")
         some = bool(large.take(1))
         found = _group_links(rows.join(large, ["mask", "bits"], "left_anti") if some else rows, words, plan.limit)
         out = found if out is None else out.union(found)
         if not some:
             return out
         held = rows.join(large, ["mask", "bits"])
-        if not plan.exact:
-            parts = F.pmod(F.xxhash64("node", "mask"), F.ceil(F.col("n") / GROUP))
-            parted = held.withColumn("bits", F.xxhash64("bits", parts)).drop("n")
-            return out.union(_pivot_links(held.drop("n"), words, plan.limit)).union(_group_links(parted, words, plan.limit))
         children, table, old = {}, [], table
         for k in range(len(old)):
             children[k] = [len(table) + i for i in range(len(finer[k]))]
@@ -369,40 +301,24 @@ def near_duplicates(documents: DataFrame, *, key: str = "doc_id", text: str = "t
     return marks.join(named, "node").select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
-def similarity_limit(similarity: float, words: int = LONG_WORDS) -> int:
-    """Bits in which long fingerprints of that Jaccard similarity differ on average."""
-    cosine = 2 * similarity / (1 + similarity)
-    return round(64 * words * float(np.arccos(cosine)) / np.pi)
-
-
 def drop_near_duplicates(documents: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """One document of each group of near duplicates, with all columns: that of the smallest key.
 
-    Documents are linked if fingerprints of 640 bits put their similarity on word
-    shingles at ``similarity`` or more.  Bands find a pair at 0.8 with a chance of
-    about 0.9, at 0.9 of 0.997; larger groups connect through any of their pairs.
+    Documents are linked if the Jaccard similarity of their sets of word shingles
+    is ``similarity`` or more; every such pair is found, and no other.
     Documents without words are one group.  Of equal keys in one group the first
     by text stays once; a null key comes after all others.
     """
     k, h = F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1)), F.xxhash64(F.col(text).cast("string"))
     marked = documents.withColumns({"__lexmill_k": k, "__lexmill_h": h})
     source = documents.select(F.struct(k.alias("k"), h.alias("h")).alias("place"), F.col(text).cast("string").alias("text"))
-    marks = materialize(long_marks(source, shingle), "long-marks")
-    distinct = materialize(marks.groupBy("node").agg(F.min("fp").alias("fp"), F.min("place").alias("first")), "distinct-marks")
-    roots = connected_components(links(distinct.select("node", "fp"), Masks(LONG_WORDS, similarity_limit(similarity), exact=False)))
-    kept = distinct.join(roots, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("first").alias("first"))
+    marks = materialize(jaccard.shingle_sets(source, shingle), "shingle-sets")
+    firsts = marks.groupBy("node").agg(F.min("place").alias("first"), F.min("size").alias("size"), F.min("bitmap").alias("bitmap"))
+    sets = materialize(firsts, "distinct-sets")
+    copies = materialize(marks.join(sets.select("node", "first"), "node").where(F.col("place") != F.col("first")).select("place"), "equal-sets")
+    once = source.join(copies, "place", "left_anti")
+    roots = connected_components(jaccard.links(once, sets, shingle=shingle, similarity=similarity))
+    kept = sets.select("node", "first").join(roots, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("first").alias("first"))
     kept = kept.select(F.col("first.k").alias("__lexmill_k"), F.col("first.h").alias("__lexmill_h"))
     names = ["__lexmill_k", "__lexmill_h"]
     return marked.join(kept, names, "left_semi").dropDuplicates(names).drop(*names)
-
-
-def long_marks(source: DataFrame, shingle: int) -> DataFrame:
-    """``place``, ``node`` and ``fp`` of rows of ``place`` and ``text``; equal fingerprints are one node."""
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fps = [fingerprint(shingle_hashes(value.as_py(), shingle), LONG_WORDS) for value in batch.column(1)]
-            nodes = np.array([xxhash.xxh64_intdigest(fp) for fp in fps], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes), pa.array(fps, pa.binary())], names=["place", "node", "fp"])
-
-    return source.mapInArrow(mark, "place struct<k:bigint,h:bigint>, node long, fp binary")

@@ -137,3 +137,34 @@ def test_a_large_cluster_of_near_copies(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     kept = sorted(r["doc_id"] for r in H.drop_near_duplicates(df).collect())
     assert kept == [0, *range(1000, 1050)]
+
+
+def exact_groups(texts, similarity, size=5):
+    """Least place of each text's group, by comparing all pairs of sets."""
+    sets = [set(H.shingle_hashes(t, size).tolist()) for t in texts]
+    label, changed = list(range(len(sets))), True
+    links = [(i, j) for i in range(len(sets)) for j in range(i) if sets[i] == sets[j] or len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= similarity]
+    while changed:
+        changed = False
+        for i, j in links:
+            low = min(label[i], label[j])
+            changed |= label[i] != low or label[j] != low
+            label[i] = label[j] = low
+    return label
+
+
+def test_a_large_group_of_many_small_clusters(spark, monkeypatch):
+    from lexmill.llm import jaccard
+
+    monkeypatch.setattr(H, "GROUP", 4)
+    monkeypatch.setattr(jaccard, "GROUP", 40)
+    draw = random.Random(8)
+    words = [f"w{i}" for i in range(5000)]
+    template = draw.choices(words, k=150)  # two texts of different clusters are about 0.7 alike
+    texts = []
+    for _ in range(150):
+        own = draw.choices(words, k=30)
+        texts += [" ".join(template + own), " ".join([*template, *own[:8], "other", *own[9:18], "other", *own[19:]])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = sorted(r["doc_id"] for r in H.drop_near_duplicates(df).collect())
+    assert kept == list(range(0, 300, 2)) == sorted(set(exact_groups(texts, 0.8)))
