@@ -168,3 +168,20 @@ def test_a_large_group_of_many_small_clusters(spark, monkeypatch):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     kept = sorted(r["doc_id"] for r in H.drop_near_duplicates(df).collect())
     assert kept == list(range(0, 300, 2)) == sorted(set(exact_groups(texts, 0.8)))
+
+
+def test_links_are_those_of_the_exact_similarity(spark):
+    draw = random.Random(9)
+    words = [f"w{i}" for i in range(5000)]
+    texts = ["a b c d e f g h", "a b c d e f g h i"]  # 4 of 5 shingles: 0.8
+    for k in range(60):
+        text = draw.choices(words, k=draw.choice([40, 120, 400]))
+        # n shared shingles of n + m, where m words are added at the end: from 0.74 to 0.86
+        n = len(text) - 4
+        more = round(n / (0.74 + 0.002 * k) - n)
+        texts += [" ".join(text), " ".join(text + draw.choices(words, k=more))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = sorted(r["doc_id"] for r in H.drop_near_duplicates(df).collect())
+    wanted = sorted(set(exact_groups(texts, 0.8)))
+    assert 1 not in wanted and 70 < len(wanted) < 110
+    assert kept == wanted
