@@ -2,7 +2,8 @@
 
 A text is cut into units, lines or paragraphs, and by default finer: sentences,
 so that a passage is found wherever in a line it stands; sentences of fewer than
-``MIN_UNIT`` words join the next one of their line.  Units are normalised (lower
+``MIN_UNIT`` words join the next one of their line, and what is left of a line is
+a unit that is told by the one before it too.  Units are normalised (lower
 case, single spaces) and hashed to 128 bits.  Digests are grouped globally; the
 occurrence of the smallest rank (key, then place) stays, and later ones are
 removed where they stand together in runs of at least ``min_words`` words.
@@ -37,8 +38,11 @@ _PARAGRAPH = re.compile(r"[^\n]+(?:\n(?!\s*\n)[^\n]+)*")
 _LAST = (1 << 63) - 1
 
 
-def units(text: str | None, kind: str = "sentence") -> list[tuple[int, int, int, bytes]]:
-    """Start, end, number of words and digest of each unit."""
+def units(text: str | None, kind: str = "sentence", *, leftovers: bool = False) -> list[tuple[int, int, int, bytes]]:
+    """Start, end, number of words and digest of each unit.
+
+    leftovers: whether the few words left of a line are a unit.
+    """
     if not text:
         return []
     if kind == "sentence":
@@ -51,17 +55,23 @@ def units(text: str | None, kind: str = "sentence") -> list[tuple[int, int, int,
                 open_at, words = None, 0
             else:
                 open_at = start
+            if leftovers and words and (m.end() == len(text) or text[m.end()] == "\n"):
+                spans.append((open_at, m.end(), words))
             if m.end() < len(text) and text[m.end()] == "\n":
                 open_at, words = None, 0
     else:
         pattern = {"line": _LINE, "paragraph": _PARAGRAPH}[kind]
         spans = [(m.start(), m.end(), len(m[0].split())) for m in pattern.finditer(text)]
-    out = []
+    out, before = [], ""
     for start, end, words in spans:
         if words:
             part = text[start:end]
             start += len(part) - len(part.lstrip())
-            out.append((start, end, words, xxhash.xxh3_128_digest(" ".join(part.lower().split()).encode())))
+            plain = " ".join(part.lower().split())
+            # A few words are repeated by chance: they count with the unit before.
+            whole = f"{before}\n{plain}" if kind == "sentence" and words < MIN_UNIT else plain
+            out.append((start, end, words, xxhash.xxh3_128_digest(whole.encode())))
+            before = plain
     return out
 
 
@@ -70,14 +80,14 @@ def _units_of(documents: DataFrame, key: str, text: str, kind: str) -> DataFrame
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [units(value.as_py(), kind) for value in batch.column(2)]
+            found = [units(value.as_py(), kind, leftovers=True) for value in batch.column(2)]
             many = np.array([len(x) for x in found], np.int64)
             flat = [u for x in found for u in x]
             starts, ends, words, digests = zip(*flat, strict=True) if flat else ((), (), (), ())
             of = np.repeat(np.arange(len(found)), many)
-            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), batch.column(0).take(pa.array(of)), batch.column(1).take(pa.array(of)), pa.array(starts, pa.int32()), pa.array(ends, pa.int32()), pa.array(words, pa.int32())], names=["digest", "k", "h", "start", "end", "words"])
+            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), batch.column(0).take(pa.array(of)), batch.column(1).take(pa.array(of)), pa.array(starts, pa.int32()), pa.array(ends, pa.int32()), pa.array(words, pa.int32()), pa.array([n for x in found for n in range(len(x))], pa.int32())], names=["digest", "k", "h", "start", "end", "words", "no"])
 
-    return source.mapInArrow(cut, "digest binary, k long, h long, start int, end int, words int")
+    return source.mapInArrow(cut, "digest binary, k long, h long, start int, end int, words int, no int")
 
 
 def repeated_spans(documents: DataFrame, *, key: str = "doc_id", text: str = "text", kind: str = "sentence", min_words: int = MIN_WORDS) -> DataFrame:
@@ -89,10 +99,11 @@ def repeated_spans(documents: DataFrame, *, key: str = "doc_id", text: str = "te
     found = _units_of(documents, key, text, kind)
     # Written first: against a table the planner can split the join where a digest is very frequent.
     first = materialize(found.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.struct("k", "start")).alias("first")).where("n > 1").drop("n"), "repeated-units")
-    later = found.join(first, "digest").where(F.struct("k", "start") > F.col("first")).select("k", "h", "start", "end", "words", F.col("first.k").alias("first_k"))
+    later = found.join(first, "digest").where(F.struct("k", "start") > F.col("first")).select("k", "h", "start", "end", "words", F.col("first.k").alias("first_k"), "no")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list | None = None
+        last = 0
 
         def table(rows: list) -> pa.RecordBatch:
             columns = list(zip(*rows, strict=True)) if rows else [()] * 5
@@ -102,15 +113,15 @@ def repeated_spans(documents: DataFrame, *, key: str = "doc_id", text: str = "te
 
         for batch in batches:
             rows = []
-            for k, h, start, end, words, origin in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                # Units of a run are at most a sign and white space apart; repeated rows repeat the same unit.
-                if held and held[0] == k and held[1] == h and start - held[3] <= 2:
-                    if start >= held[3]:
-                        held[3], held[4] = end, held[4] + words
+            for k, h, start, end, words, origin, no in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                # Only white space is between units that follow each other; repeated rows repeat the same unit.
+                if held and held[0] == k and held[1] == h and no <= last + 1:
+                    if no > last:
+                        held[3], held[4], last = end, held[4] + words, no
                 else:
                     if held and held[4] >= min_words:
                         rows.append((held[0], *held[2:]))
-                    held = [k, h, start, end, words, origin]
+                    held, last = [k, h, start, end, words, origin], no
             yield table(rows)
         if held and held[4] >= min_words:
             yield table([(held[0], *held[2:])])

@@ -74,3 +74,15 @@ def test_edges(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, digest int")
     assert sorted((r["doc_id"] is None, r["n_words"]) for r in D.repeated_spans(df).collect()) == [(False, 31), (True, 31)]
     assert D.repeated_spans(df.limit(0)).count() == 0
+
+
+def test_runs_over_indented_and_short_lines(spark):
+    words = [f"w{i}" for i in range(600)]
+    indented = "\n".join("    " + " ".join(words[12 * k : 12 * k + 12]) for k in range(6))
+    verse = "\n".join(" ".join(words[300 + 3 * k : 303 + 3 * k]) for k in range(20))
+    left = "\n".join(" ".join(words[400 + 12 * k : 410 + 12 * k]) + ". One end." for k in range(5))
+    texts = [f"here begins text number {2 * k + copy}\n{t}\nand here ends text {2 * k + copy}" for k, t in enumerate((indented, verse, left)) for copy in range(2)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["n_words"] for r in D.repeated_spans(df).collect()}
+    # Of verse the first line is told by the line before it.
+    assert found == {1: 72, 3: 57, 5: 60}
