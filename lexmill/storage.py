@@ -3,7 +3,8 @@
 A cluster names a folder that the driver and all executors share in
 ``spark.checkpoint.dir``.  Intermediate tables are written there as Parquet:
 that cuts the lineage, survives the loss of any executor, and gives the next
-stage exact sizes to plan with.
+stage exact sizes to plan with.  Tables whose readers are done are deleted;
+those that a returned DataFrame reads stay for the owner of the folder.
 """
 
 from __future__ import annotations
@@ -15,9 +16,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's shared folder; a temporary one only where none is set."""
+    """The session's shared folder.
+
+    Where none is set, a temporary folder serves a session that runs in one
+    process; on a cluster executors would not see each other's files, so that is
+    an error.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="lexmill-")
         spark.sparkContext.setCheckpointDir(found)
         found = spark.sparkContext.getCheckpointDir()
@@ -29,4 +38,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._stored_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``materialize`` that nothing reads any more; others are left alone."""
+    for table in tables:
+        if path := getattr(table, "_stored_at", None):
+            context = table.sparkSession.sparkContext
+            place = context._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
