@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.storage import materialize
+from lexmill.storage import discard, materialize
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -32,7 +32,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
-        now = materialize(ordered(small), "edges")
+        now, old = materialize(ordered(small), "edges"), now
+        discard(old)
         after = mark(now)
         if after == before:
             break

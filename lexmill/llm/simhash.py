@@ -1,20 +1,22 @@
 """SimHash near-duplicates by a hierarchical index in Gray order.
 
-Fingerprints that share a masked bit pattern meet in one group; within it they
-are sorted by Gray rank, so neighbours agree on many bits, and built into a
-tree.  A node's pattern is what all fingerprints below agree on, less what its
-parent's pattern already has.  A search adds up, from the root down, the bits in
-which the query differs from the patterns, and drops a node with all that lies
-below as soon as the sum passes the limit.
-
-The masks are ``max_bits + 1`` blocks of bits: two fingerprints within the limit
-agree on a whole block.  A group of more than ``GROUP`` distinct fingerprints is
-split before it is gathered, by finer masks, blocks of the bits left, so no link
-is lost, until its size or the number of bits left bounds it.  A group yields a
-link from each member to the least of its local component, never all pairs;
-components across groups are joined on executors.
-
-``drop_near_duplicates`` uses the sets of shingles themselves: see ``jaccard``.
+Fingerprints that share a masked bit pattern meet in one group, and a shard of
+many groups is one index (see ``gray``): masked patterns are its upper nodes,
+below them fingerprints lie in Gray order, so neighbours agree on many bits.  A
+search adds up, from its upper node down, the bits in which the query differs
+from the patterns, and drops a node with all that lies below as soon as the sum
+passes the limit.
+
+``near_duplicates`` links fingerprints.  Its masks are ``max_bits + 1`` blocks of
+bits: two fingerprints within the limit agree on a whole block.  A group of more
+than ``GROUP`` distinct fingerprints is split before it is gathered, by finer
+masks, blocks of the bits left, so no link is lost, until its size or the number
+of bits left bounds it.  A group yields a link from each member to the least of
+its local component, never all pairs; components across groups are joined on
+executors.
+
+``drop_near_duplicates`` links texts by the similarity of their shingles: see
+``verified``.
 """
 
 from __future__ import annotations
@@ -26,45 +28,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm import jaccard
+from lexmill.llm import verified
 from lexmill.llm.components import connected_components
+from lexmill.llm.gray import GrayIndex, fingerprint, local_components, runs, words_of
+from lexmill.llm.shards import shards
 from lexmill.llm.shingles import shingle_hashes
-from lexmill.storage import materialize
+from lexmill.storage import discard, materialize
 
 #: Most fingerprints of a group that is not split further.
 GROUP = 2_048
-#: A group of up to so many is a single leaf of the tree.
-LEAF = 32
-FANOUT = 16
-FULL = (1 << 64) - 1
-
-
-def _bit_counts(hashes: np.ndarray) -> np.ndarray:
-    """How many of the hashes (rows of words) have each bit, most significant first."""
-    total = np.zeros(hashes.shape[1] * 64, np.int64)
-    for at in range(0, len(hashes), 255 * 64):
-        part = hashes[at : at + 255 * 64].astype(">u8").view(np.uint8)
-        bits = np.unpackbits(part, axis=1)
-        for k in range(0, len(bits), 255):
-            total += np.add.reduce(bits[k : k + 255], axis=0, dtype=np.uint8)
-    return total
-
-
-def fingerprint(hashes: np.ndarray, words: int = 1) -> bytes:
-    """Big-endian bits set in over half the hashes; zeros without hashes.
-
-    Words after the first take bits of the hashes mixed anew.
-    """
-    if not len(hashes):
-        return bytes(8 * words)
-    columns = [hashes]
-    for k in range(1, words):
-        x = hashes + np.uint64(k * 0x9E3779B97F4A7C15 & FULL)
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        columns.append(x ^ (x >> np.uint64(31)))
-    counts = _bit_counts(np.stack(columns, axis=1))
-    return np.packbits(2 * counts > len(hashes)).tobytes()
 
 
 def fingerprints(documents: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 3, words: int = 1) -> DataFrame:
@@ -79,95 +51,6 @@ def fingerprints(documents: DataFrame, *, key: str = "doc_id", text: str = "text
     return source.mapInArrow(mark, "doc_id long, fp binary")
 
 
-def gray_rank(words: np.ndarray) -> np.ndarray:
-    """Place of each word in the order of the reflected Gray code."""
-    rank = words.copy()
-    for shift in (1, 2, 4, 8, 16, 32):
-        rank ^= rank >> np.uint64(shift)
-    return rank
-
-
-class GrayIndex:
-    """A tree over fingerprints, rows of 64-bit words, in Gray order of their first word."""
-
-    def __init__(self, rows: np.ndarray) -> None:
-        self.order = np.argsort(gray_rank(rows[:, 0]), kind="stable")
-        level = rows[self.order]
-        shared = np.full_like(level, FULL)
-        self.levels: list[tuple[np.ndarray, np.ndarray]] = []  # values and own masks, leaves first
-        low = high = level
-        while True:
-            if len(level) == 1:
-                self.levels.append((level, shared))
-                break
-            firsts = np.arange(0, len(level), FANOUT)
-            low, high = np.bitwise_and.reduceat(low, firsts), np.bitwise_or.reduceat(high, firsts)
-            above = ~(low ^ high)
-            of = np.arange(len(level)) // FANOUT
-            self.levels.append((level, shared & ~above[of]))
-            level, shared = low & above, above
-
-    def search(self, queries: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of a query's place and a row's place within the limit."""
-        who, node, sum_ = np.arange(len(queries)), np.zeros(len(queries), np.int64), np.zeros(len(queries), np.int64)
-        for depth in range(len(self.levels) - 1, -1, -1):
-            value, mask = self.levels[depth]
-            sum_ = sum_ + np.bitwise_count((queries[who] ^ value[node]) & mask[node]).sum(axis=1, dtype=np.int64)
-            near = sum_ <= limit
-            who, node, sum_ = who[near], node[near], sum_[near]
-            if depth:
-                below = len(self.levels[depth - 1][0])
-                many = np.minimum(below - node * FANOUT, FANOUT)
-                first = np.repeat(node * FANOUT - np.concatenate(([0], np.cumsum(many)[:-1])), many)
-                who, node, sum_ = np.repeat(who, many), first + np.arange(len(first)), np.repeat(sum_, many)
-        return who, self.order[node]
-
-
-def local_components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Least member of each one's component, from pairs of places."""
-    label = np.arange(n)
-    while True:
-        new = label.copy()
-        np.minimum.at(new, a, label[b])
-        np.minimum.at(new, b, label[a])
-        np.minimum.at(new, label[a], new[a])
-        np.minimum.at(new, label[b], new[b])
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
-def _linked(rows: np.ndarray, limit: int) -> np.ndarray:
-    """Component labels within one large group."""
-    index, label = GrayIndex(rows), np.arange(len(rows))
-    for at in range(0, len(rows), 512):
-        who, found = index.search(rows[at : at + 512], limit)
-        keep = who + at < found
-        label = np.minimum(label, local_components(len(rows), np.concatenate([np.arange(len(rows)), who[keep] + at]), np.concatenate([label, found[keep]])))
-    return label
-
-
-def link_sorted(keys: np.ndarray, rows: np.ndarray, limit: int) -> np.ndarray:
-    """Component labels of rows that are sorted by group key."""
-    n = len(keys)
-    firsts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    sizes = np.diff(np.concatenate((firsts, [n])))
-    size_of = np.repeat(sizes, sizes)
-    left, right = [], []
-    for step in range(1, min(LEAF, int(sizes.max(initial=1)))):
-        at = np.flatnonzero((size_of[:-step] <= LEAF) & (keys[step:] == keys[:-step])) if n > step else np.empty(0, np.int64)
-        if not len(at):
-            break
-        near = np.bitwise_count(rows[at] ^ rows[at + step]).sum(axis=1, dtype=np.int64) <= limit
-        left.append(at[near])
-        right.append(at[near] + step)
-    label = local_components(n, np.concatenate(left), np.concatenate(right)) if left else np.arange(n)
-    for first, size in zip(firsts[sizes > LEAF].tolist(), sizes[sizes > LEAF].tolist(), strict=True):
-        label[first : first + size] = first + _linked(rows[first : first + size], limit)
-    return label
-
-
 def _blocks(bits: list[int], parts: int) -> list[list[int]]:
     cuts = [len(bits) * k // parts for k in range(parts + 1)]
     return [bits[a:b] for a, b in zip(cuts, cuts[1:], strict=False) if b > a]
@@ -180,9 +63,7 @@ class Masks:
     significant bit.
     """
 
-    def __init__(self, words: int, limit: int, *, exact: bool = True) -> None:
-        if not exact:
-            raise ValueError("only exact plans")
+    def __init__(self, words: int, limit: int) -> None:
         self.words, self.limit = words, limit
 
     def first(self) -> list[tuple[int, ...]]:
@@ -195,69 +76,71 @@ class Masks:
         return [mask + tuple(b) for b in _blocks(rest, self.limit + 1)] if len(rest) > GROUP.bit_length() - 1 else []
 
 
-def _words_of(column: pa.Array, words: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), ">u8").astype(np.uint64).reshape(-1, words)
-
-
-def _mask_words(mask: tuple[int, ...], words: int) -> np.ndarray:
+def mask_words(mask: tuple[int, ...], words: int) -> np.ndarray:
     out = [0] * words
     for bit in mask:
         out[bit // 64] |= 1 << (63 - bit % 64)
     return np.array(out, np.uint64)
 
 
+def masked(values: np.ndarray, mask: np.ndarray, number: int) -> np.ndarray:
+    """A hash of the masked words and the mask's number."""
+    bits = np.full(len(values), number, np.uint64)
+    for k in np.flatnonzero(mask):
+        bits = (bits ^ (values[:, k] & mask[k])) * np.uint64(0x9E3779B97F4A7C15)
+        bits ^= bits >> np.uint64(29)
+    return bits.view(np.int64)
+
+
 def _keyed(rows: DataFrame, table: list[tuple[int, ...]], words: int, children: dict[int, list[int]] | None = None) -> DataFrame:
     """A row for each node and mask: the mask's number in ``table`` and a hash of the masked words.
 
     children: of each number in the rows' own ``mask`` column, the masks to use.
     """
-    masks = [_mask_words(m, words) for m in table]
+    masks = [mask_words(m, words) for m in table]
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             node, marks = batch.column("node").to_numpy(), batch.column("fp")
-            values = _words_of(marks, words)
+            values = words_of(marks.to_pylist(), words)
             if children is None:
                 parts = [(np.arange(len(node)), range(len(masks)))]
             else:
                 of = batch.column("mask").to_numpy()
                 parts = [(np.flatnonzero(of == number), children[number]) for number in np.unique(of).tolist()]
             for here, numbers in parts:
-                own, nodes, fps = values[here], pa.array(node[here]), marks.take(pa.array(here))
+                nodes, fps = pa.array(node[here]), marks.take(pa.array(here))
                 for number in numbers:
-                    bits = np.full(len(here), number, np.uint64)
-                    for column in (own & masks[number]).T:
-                        bits = (bits ^ column) * np.uint64(0x9E3779B97F4A7C15)
-                        bits ^= bits >> np.uint64(29)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(here), number, np.int32)), pa.array(bits.view(np.int64)), nodes, fps], names=["mask", "bits", "node", "fp"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(here), number, np.int32)), pa.array(masked(values[here], masks[number], number)), nodes, fps], names=["mask", "bits", "node", "fp"])
 
     return rows.mapInArrow(key, "mask int, bits long, node long, fp binary")
 
 
+def link_groups(keys: np.ndarray, rows: np.ndarray, limit: int) -> np.ndarray:
+    """Component labels of rows that are sorted by group key."""
+    label = np.arange(len(keys))
+    left, right, held = [], [], 0
+    for who, found, _ in GrayIndex(rows, runs(keys)[1]).pairs(limit):
+        left.append(who)
+        right.append(found)
+        held += len(who)
+        if held > 1 << 22:
+            label = local_components(len(keys), np.concatenate([np.arange(len(keys)), *left]), np.concatenate([label, *right]))
+            left, right, held = [], [], 0
+    return local_components(len(keys), np.concatenate([np.arange(len(keys)), *left]), np.concatenate([label, *right]))
+
+
 def _group_links(rows: DataFrame, words: int, limit: int) -> DataFrame:
     """Links ``a``, ``b`` of each member of a group to the least place of its component there."""
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def emit(keys: np.ndarray, node: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
-            label = link_sorted(keys, values, limit)
+        for bits, node, fp in shards(batches):
+            node = node.to_numpy()
+            label = link_groups(bits.to_numpy(), words_of(fp.to_pylist(), words), limit)
             at = np.flatnonzero(label != np.arange(len(label)))
-            return pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(node[label[at]])], names=["a", "b"])
-
-        held = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            new = (batch.column("bits").to_numpy(), batch.column("node").to_numpy(), _words_of(batch.column("fp"), words))
-            held = new if held is None else tuple(np.concatenate(x) for x in zip(held, new, strict=True))
-            last = np.flatnonzero(held[0] != held[0][-1])
-            cut = last[-1] + 1 if len(last) else 0  # the last group may go on
-            if cut:
-                yield emit(*(x[:cut] for x in held))
-                held = tuple(x[cut:] for x in held)
-        if held is not None:
-            yield emit(*held)
+            yield pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(node[label[at]])], names=["a", "b"])
 
-    return rows.repartition("bits").sortWithinPartitions("bits").mapInArrow(link, "a long, b long")
+    return rows.select("bits", "node", "fp").repartition("bits").sortWithinPartitions("bits").mapInArrow(link, "a long, b long")
 
 
 def links(nodes: DataFrame, plan: Masks) -> DataFrame:
@@ -295,7 +178,7 @@ def near_duplicates(documents: DataFrame, *, key: str = "doc_id", text: str = "t
     """
     marks = materialize(fingerprints(documents, key=key, text=text, shingle=shingle).withColumn("node", F.conv(F.hex("fp"), 16, -10).cast("long")), "fingerprints")
     distinct = materialize(marks.groupBy("node", "fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
-    roots = connected_components(links(distinct.select("node", "fp"), Masks(1, max_bits, exact=True)))
+    roots = connected_components(links(distinct.select("node", "fp"), Masks(1, max_bits)))
     rooted = distinct.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     named = rooted.select("node", "root").join(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "root").select("node", "component_id")
     return marks.join(named, "node").select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
@@ -305,20 +188,26 @@ def drop_near_duplicates(documents: DataFrame, *, key: str = "doc_id", text: str
     """One document of each group of near duplicates, with all columns: that of the smallest key.
 
     Documents are linked if the Jaccard similarity of their sets of word shingles
-    is ``similarity`` or more; every such pair is found, and no other.
-    Documents without words are one group.  Of equal keys in one group the first
-    by text stays once; a null key comes after all others.
+    is ``similarity`` or more.  Candidates come from fingerprints in Gray order,
+    which find such a pair with a chance of at least 0.98; each is decided by the
+    exact similarity, so no pair below it is linked.  Documents without words are
+    one group.  Of equal keys in one group the first by text stays once; a null
+    key comes after all others.
     """
+    own = verified.unused(documents, "k", "h")
     k, h = F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1)), F.xxhash64(F.col(text).cast("string"))
-    marked = documents.withColumns({"__lexmill_k": k, "__lexmill_h": h})
+    marked = documents.withColumns({own[0]: k, own[1]: h})
     source = documents.select(F.struct(k.alias("k"), h.alias("h")).alias("place"), F.col(text).cast("string").alias("text"))
-    marks = materialize(jaccard.shingle_sets(source, shingle), "shingle-sets")
-    firsts = marks.groupBy("node").agg(F.min("place").alias("first"), F.min("size").alias("size"), F.min("bitmap").alias("bitmap"))
-    sets = materialize(firsts, "distinct-sets")
-    copies = materialize(marks.join(sets.select("node", "first"), "node").where(F.col("place") != F.col("first")).select("place"), "equal-sets")
-    once = source.join(copies, "place", "left_anti")
-    roots = connected_components(jaccard.links(once, sets, shingle=shingle, similarity=similarity))
-    kept = sets.select("node", "first").join(roots, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("first").alias("first"))
-    kept = kept.select(F.col("first.k").alias("__lexmill_k"), F.col("first.h").alias("__lexmill_h"))
-    names = ["__lexmill_k", "__lexmill_h"]
-    return marked.join(kept, names, "left_semi").dropDuplicates(names).drop(*names)
+    marks = verified.set_marks(source, shingle).groupBy("node", "place").agg(F.count("*").alias("n"), F.min("size").alias("size"), F.min("fp").alias("fp"))
+    firsts = marks.groupBy("node").agg(F.min(F.struct("place", "n", "size", "fp")).alias("f"))
+    nodes = materialize(firsts.select("node", F.col("f.place").alias("first"), "f.n", "f.size", "f.fp"), "distinct-sets")
+    found = verified.links(source, nodes, shingle=shingle, similarity=similarity)
+    roots = connected_components(found)
+    kept = nodes.select("node", "first", "n").join(roots, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min(F.struct("first", "n")).alias("f"))
+    kept = materialize(kept.select(F.col("f.first.k").alias(own[0]), F.col("f.first.h").alias(own[1]), "f.n"), "kept-documents")
+    discard(nodes, found)
+    out = marked.join(kept.where("n = 1").drop("n"), own, "left_semi")
+    repeated = kept.where("n > 1").drop("n")
+    if repeated.take(1):
+        out = out.union(marked.join(repeated, own, "left_semi").dropDuplicates(own))
+    return out.drop(*own)

@@ -3,7 +3,9 @@ import random
 import numpy as np
 import xxhash
 
+from lexmill.llm import gray as G
 from lexmill.llm import simhash as H
+from lexmill.llm import verified as V
 
 
 def plain_fingerprint(text, size):
@@ -28,10 +30,10 @@ def components(values, limit):
 def test_fingerprint():
     draw = random.Random(1)
     for text in ["", None, "One", "one TWO", "a b c", "É à\x0bb\x1cc d x", *(" ".join(draw.choices("abcd", k=draw.randint(0, 700))) for _ in range(20))]:
-        assert int.from_bytes(H.fingerprint(H.shingle_hashes(text, 3)), "big") == plain_fingerprint(text, 3)
+        assert int.from_bytes(G.fingerprint(H.shingle_hashes(text, 3)), "big") == plain_fingerprint(text, 3)
     many = np.random.default_rng(1).integers(0, 2**63, 40_000, dtype=np.uint64)
     bits = np.unpackbits(many.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0)
-    assert (H._bit_counts(many[:, None]) == bits).all()
+    assert (G.bit_counts(many[:, None]) == bits).all()
 
 
 def near(draw, count, spread):
@@ -48,16 +50,44 @@ def near(draw, count, spread):
 
 def test_gray_index_equals_brute_force():
     rows = np.array(sorted(set(near(random.Random(2), 40, 30))), np.uint64)[:, None]
-    who, found = H.GrayIndex(rows).search(rows, 2)
-    wanted = np.argwhere(np.bitwise_count(rows ^ rows.T) <= 2)
-    assert sorted(zip(who.tolist(), found.tolist(), strict=True)) == [tuple(p) for p in wanted.tolist()]
-    ranks = H.gray_rank(np.arange(64, dtype=np.uint64))
+    who, found, apart = G.GrayIndex(rows).search(rows, 2)
+    between = np.bitwise_count(rows ^ rows.T)
+    assert sorted(zip(who.tolist(), found.tolist(), strict=True)) == [tuple(p) for p in np.argwhere(between <= 2).tolist()]
+    assert (apart == between[who, found]).all()
+    ranks = G.gray_rank(np.arange(64, dtype=np.uint64))
     by_rank = np.argsort(ranks)
     assert all(int(a ^ b).bit_count() == 1 for a, b in zip(by_rank, by_rank[1:], strict=False))
 
 
+def test_gray_index_of_many_groups(monkeypatch):
+    monkeypatch.setattr(G, "HELD", 500)
+    draw = random.Random(12)
+    rows = np.array(near(draw, 60, 40), np.uint64).reshape(-1, 1)
+    rows = np.concatenate([rows, rows[::-1]], axis=1)
+    groups = np.array([draw.randrange(9) ** 2 // 9 for _ in rows])
+    groups = np.unique(groups, return_inverse=True)[1]
+    found = sorted((min(p), max(p), d) for a, b, c in G.GrayIndex(rows, groups).pairs(30) for *p, d in zip(a.tolist(), b.tolist(), c.tolist(), strict=True))
+    wanted = [(i, j, d) for i in range(len(rows)) for j in range(i + 1, len(rows)) if groups[i] == groups[j] and (d := int(np.bitwise_count(rows[i] ^ rows[j]).sum())) <= 30]
+    assert found == wanted and len(wanted) > 100
+    assert list(G.GrayIndex(rows[:0], groups[:0]).pairs(3)) == []
+
+
+def test_the_plan_finds_pairs_at_the_similarity():
+    draw = np.random.default_rng(13)
+    for size in (4, 8, 20, 60, 400):
+        for count in (1_000, 10**6):
+            masks, near_limit, whole = V.plan(count, 0.8)
+            met = 0
+            for _ in range(300):
+                shared, more = draw.integers(0, 2**64, size, np.uint64), draw.integers(0, 2**64, size // 4, np.uint64)
+                one = int(draw.integers(0, size // 8 + 1))  # of the others, those only in the first
+                a, b = (np.unpackbits(np.frombuffer(G.fingerprint(np.concatenate([shared, x]), V.WORDS), np.uint8)) for x in (more[:one], more[one:]))
+                met += any((a[list(m)] == b[list(m)]).all() for m in masks) and (a != b)[:128].sum() <= near_limit and (a != b).sum() <= whole
+            assert met >= 294, (size, count, met)
+
+
 def test_every_pair_shares_a_mask():
-    draw, plan = random.Random(3), H.Masks(1, 2, exact=True)
+    draw, plan = random.Random(3), H.Masks(1, 2)
     level = plan.first()
     while level:
         for _ in range(50):
@@ -73,7 +103,7 @@ def test_components_equal_brute_force(spark, monkeypatch):
     from lexmill.llm.components import connected_components
     from lexmill.storage import materialize
 
-    plan = H.Masks(1, 2, exact=True)
+    plan = H.Masks(1, 2)
     root = {r["node"]: r["root"] for r in connected_components(H.links(materialize(df, "t"), plan)).collect()}
     order = sorted(set(values), key=lambda v: v - (1 << 64) if v >> 63 else v)
     signed = [v - (1 << 64) if v >> 63 else v for v in order]
@@ -123,7 +153,7 @@ def test_dropping_near_duplicates(spark):
 
 
 def test_a_large_cluster_of_near_copies(spark, monkeypatch):
-    monkeypatch.setattr(H, "GROUP", 40)
+    monkeypatch.setattr(V, "GROUP", 40)
     draw = random.Random(7)
     words = [f"w{i}" for i in range(5000)]
     text = draw.choices(words, k=300)
@@ -154,10 +184,7 @@ def exact_groups(texts, similarity, size=5):
 
 
 def test_a_large_group_of_many_small_clusters(spark, monkeypatch):
-    from lexmill.llm import jaccard
-
-    monkeypatch.setattr(H, "GROUP", 4)
-    monkeypatch.setattr(jaccard, "GROUP", 40)
+    monkeypatch.setattr(V, "GROUP", 40)
     draw = random.Random(8)
     words = [f"w{i}" for i in range(5000)]
     template = draw.choices(words, k=150)  # two texts of different clusters are about 0.7 alike
