@@ -1,10 +1,11 @@
 """Approximate nearest neighbours by an inverted multi-index.
 
-Both halves of the unit vectors are quantised separately by k-means, so ``CELLS``
-centroids a half make ``CELLS`` squared cells, their entries' counts known
-everywhere.  A query visits cells by the summed distance of their two centroids,
-by a heap over the two sorted lists, until it has met enough entries; these are
-reranked by their cosine in double precision.
+Both halves of the unit vectors are quantised separately by k-means, so k
+centroids a half make k squared cells, their entries' counts known everywhere;
+k grows with the square root of the table, up to ``MOST_CELLS``.  A query visits
+cells by the summed distance of their two centroids, by a heap over the two
+sorted lists, until it has met enough entries; these are reranked by their
+cosine in double precision.
 
 How many entries are enough depends on the data.  It is measured: for a bounded
 sample of queries, exact neighbours are found against all rows, and the share
@@ -12,8 +13,9 @@ of the index is taken at which the visits reach all but ``MISS`` of them.
 
 The codebooks are fitted on at most ``SAMPLE`` vectors; every vector is indexed.
 Entries lie in chunks of about ``CHUNK``: small cells share one, a large cell has
-several, so a very common vector is spread out.  Queries meet a chunk in blocks
-of ``BLOCK``; a task holds one chunk and one block, whatever the table's size.
+several, so a very common vector is spread out.  A task holds one chunk, and the
+queries that visit it pass by, whatever their number; more than ``BLOCK`` queries
+are several tasks, and a chunk is copied only to those that ask for it.
 
 Defined results: vectors that are null, zero, of another length than most, or
 that hold a null or non-finite component take no part; null keys take no part;
@@ -33,11 +35,11 @@ from pyspark.sql import functions as F
 
 from lexmill.storage import materialize
 
-CELLS = 32
+MOST_CELLS = 1_024
 SAMPLE = 20_000
 PROBES = 64
-MISS = 0.03
-CHUNK, BLOCK = 4_096, 4_096
+MISS = 0.04
+CHUNK, BLOCK = 4_096, 65_536
 #: Cosines this close to the last one kept are compared by the exact formula.
 SLACK = 1e-9
 
@@ -52,15 +54,16 @@ def unit(rows: np.ndarray) -> np.ndarray:
     return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
 
 
+def scaled(rows: np.ndarray) -> np.ndarray:
+    """Rows times powers of two that bring their largest components near 1: no cosine changes, no square overflows."""
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, keepdims=True, initial=0))[1])
+
+
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Row by row, in an order of additions that is the same for equal rows."""
+    a, b = scaled(a), scaled(b)
     dot, aa, bb = ((x * y).sum(axis=1) for x, y in ((a, b), (a, a), (b, b)))
-    with np.errstate(all="ignore"):
-        out = dot / (np.sqrt(aa) * np.sqrt(bb))
-    odd = ~np.isfinite(out) | (aa < 1e-280) | (bb < 1e-280)
-    if odd.any():
-        out[odd] = (unit(a[odd]) * unit(b[odd])).sum(axis=1)
-    return out
+    return dot / (np.sqrt(aa) * np.sqrt(bb))
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray, size: int) -> np.ndarray:
@@ -89,11 +92,11 @@ def visits(first: np.ndarray, second: np.ndarray) -> Iterator[int]:
     """Cells by summed distance: a heap over pairs of places in the two sorted lists."""
     a, b = np.argsort(first, kind="stable"), np.argsort(second, kind="stable")
     x, y, wide = first[a].tolist(), second[b].tolist(), len(second)
-    cells = (a[:, None] * wide + b[None, :]).tolist()
+    row, column = (a * wide).tolist(), b.tolist()
     heap, reached = [(x[0] + y[0], 0, 0)], [0] * (len(x) + 1)
     while heap:
         _, i, j = heapq.heappop(heap)
-        yield cells[i][j]
+        yield row[i] + column[j]
         reached[i] = j + 1
         # A pair follows when both the one to its left and the one above it have gone.
         if j + 1 < wide and (i == 0 or reached[i - 1] > j + 1):
@@ -148,8 +151,9 @@ def _best(ids: np.ndarray, rows: np.ndarray, query: np.ndarray, own: int, near:
     allowed = near[ids[near] != own]
     if not len(allowed):
         return []
-    fast = (rows[allowed] @ query) / (np.linalg.norm(rows[allowed], axis=1) * np.linalg.norm(query))
-    fast[~np.isfinite(fast)] = 2.0
+    near_rows, query = scaled(rows[allowed]), scaled(query[None])[0]
+    fast = (near_rows @ query) / np.linalg.norm(near_rows, axis=1)
+    fast /= np.linalg.norm(query)
     if len(allowed) > count:
         cut = np.partition(fast, len(fast) - count)[len(fast) - count]
         allowed = allowed[fast >= cut - SLACK]
@@ -184,8 +188,19 @@ def exact_neighbours(entries: DataFrame, queries: list[tuple[int, np.ndarray]],
     return _top(entries.select("id", "v").mapInArrow(search, _HIT), count)
 
 
-def neighbours(vectors: DataFrame, queries: Column, *, key: str = "vec_id", vector: str = "embedding", count: int = 5, cells: int = CELLS) -> DataFrame:
-    """``query_id, rank, vec_id, score`` of the nearest found of each row that meets ``queries``."""
+def _sample(table: DataFrame, most: int, there: int) -> pa.Table:
+    """At most so many rows, by a hash of their place, so rows that repeat are told apart."""
+    if there > most:
+        share = max(0.5, most - 3 * most**0.5) / there
+        table = table.where(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 30)) < int(share * (1 << 30)))
+    return table.limit(most).toArrow()
+
+
+def neighbours(vectors: DataFrame, queries: Column, *, key: str = "vec_id", vector: str = "embedding", count: int = 5, cells: int | None = None) -> DataFrame:
+    """``query_id, rank, vec_id, score`` of the nearest found of each row that meets ``queries``.
+
+    cells: centroids a half; by default by the table's size.
+    """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), F.coalesce(queries, F.lit(False)).alias("asks"))
     rows = rows.where(F.col("id").isNotNull() & usable(F.col("v")))
@@ -194,86 +209,104 @@ def neighbours(vectors: DataFrame, queries: Column, *, key: str = "vec_id", vect
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     size, total = common["size"], common["n"]
     rows = rows.where(F.size("v") == size)
-    asked = rows.where("asks").groupBy("id").agg(F.min("v").alias("v"))
-
-    def sample(table: DataFrame, most: int, there: int) -> list:
-        if there > most:
-            table = table.where(F.pmod(F.xxhash64("id", "v"), F.lit(1 << 30)) < int((most - 3 * most**0.5) / there * (1 << 30)))
-        return table.limit(most).collect()
+    if cells is None:
+        cells = min(MOST_CELLS, max(16, 1 << round(np.log2(1.3 * total**0.5))))
 
-    fitted = unit(np.array([r["v"] for r in sample(rows.select("id", "v"), SAMPLE, total)]))
-    half = max(1, size // 2) if size > 1 else 1
-    second = fitted[:, half:] if size > 1 else np.zeros((len(fitted), 1))
-    index = MultiIndex(k_means(fitted[:, :half], cells), k_means(second, cells if size > 1 else 1))
-    width = len(index.second)
-    pad = size == 1
-
-    def distances(model: MultiIndex, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return model.distances(np.hstack([x, np.zeros((len(x), 1))]) if pad else x)
+    fitted = unit(_matrix(_sample(rows.select("v"), SAMPLE, total)["v"], size))
+    half = max(1, size // 2)
+    # A vector of one component has an empty second half, in one cell.
+    index = MultiIndex(k_means(fitted[:, :half], cells), k_means(fitted[:, half:], cells) if size > 1 else np.zeros((1, 0)))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = _matrix(batch.column(1), size)
-            a, b = distances(index, x) if len(x) else (np.zeros((0, 1)), np.zeros((0, 1)))
-            cell = a.argmin(axis=1) * width + b.argmin(axis=1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cell.astype(np.int32))], names=["id", "v", "cell"])
+            cell = index.cells(x) if len(x) else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int32))], names=["id", "v", "asks", "cell"])
 
-    entries = materialize(rows.select("id", "v").mapInArrow(assign, "id long, v array<double>, cell int"), "multi-index")
+    entries = materialize(rows.mapInArrow(assign, "id long, v array<double>, asks boolean, cell int"), "multi-index")
     # At most cells squared counts.
-    counts = np.zeros(len(index.first) * width, np.int64)
-    for r in entries.groupBy("cell").count().collect():
-        counts[r["cell"]] = r["count"]
+    met = entries.groupBy("cell").count().toArrow()
+    counts = np.zeros(len(index.first) * len(index.second), np.int64)
+    counts[met["cell"].to_numpy()] = met["count"].to_numpy()
     index.lay_out(counts)
 
-    probes = [(r["id"], np.array(r["v"])) for r in sample(asked, PROBES, max(1, asked.count()))]
-    needed = []
-    exact = exact_neighbours(entries, probes, size, count)
-    truth = exact.join(entries.select(F.col("id").alias("vec_id"), "cell"), "vec_id").select("query_id", "cell").collect()
+    asked = entries.where("asks").groupBy("id").agg(F.min("v").alias("v"))
+    asking = asked.count()
+    found = _sample(asked, PROBES, max(1, asking))
+    probes = list(zip(found["id"].to_pylist(), _matrix(found["v"], size), strict=True))
+    truth = exact_neighbours(entries, probes, size, count).join(entries.select(F.col("id").alias("vec_id"), "cell"), "vec_id").select("query_id", "cell").toArrow()
     by_query: dict[int, list[int]] = {}
-    for r in truth:
-        by_query.setdefault(r["query_id"], []).append(r["cell"])
+    for q, cell in zip(truth["query_id"].to_pylist(), truth["cell"].to_pylist(), strict=True):
+        by_query.setdefault(q, []).append(cell)
+    needed: list[int] = []
     for q, v in probes:
-        a, b = distances(index, v[None, :])
-        order = list(visits(a[0], b[0]))
-        met = dict(zip(order, np.cumsum(counts[order]).tolist(), strict=True))
-        needed += [met[c] for c in by_query.get(q, [])]
+        wanted, passed = set(by_query.get(q, [])), 0
+        a, b = index.distances(v[None, :])
+        for cell in visits(a[0], b[0]) if wanted else ():
+            passed += int(counts[cell])
+            if cell in wanted:
+                needed += [passed] * by_query[q].count(cell)
+                wanted.remove(cell)
+                if not wanted:
+                    break
     share = float(np.quantile(needed, 1 - MISS)) / total if needed else 1.0
-    enough = max(int(np.ceil(share * total)), 4 * count)
-
-    chunk, parts = index.chunk.tolist(), index.parts.tolist()
-    blocks = asked.count() // BLOCK + 1
-    shared = spark.sparkContext.broadcast((index, enough))
+    shared = spark.sparkContext.broadcast((index, max(int(np.ceil(share * total)), 4 * count)))
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, most = shared.value
         for batch in batches:
-            ids, x = batch.column(0).to_pylist(), _matrix(batch.column(1), size)
-            out: list[list] = [[], [], [], []]
-            a, b = distances(model, x) if len(x) else ((), ())
-            for k, q in enumerate(ids):
-                meets: dict[int, list[int]] = {}
-                for cell in model.probed(a[k], b[k], most):
-                    for part in range(parts[cell]):
-                        meets.setdefault(chunk[cell] + part, []).append(cell)
-                for c, own in meets.items():
-                    for values, value in zip(out, (q, x[k], c, own), strict=True):
-                        values.append(value)
-            types = [pa.int64(), pa.list_(pa.float64()), pa.int64(), pa.list_(pa.int32())]
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types, strict=True)], names=["query_id", "q", "chunk", "cells"])
-
-    asks = asked.mapInArrow(visit, "query_id long, q array<double>, chunk long, cells array<int>").withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
-    table = F.array(*[F.lit(c) for c in chunk]), F.array(*[F.lit(p) for p in parts])
-    place = F.element_at(table[0], F.col("cell") + 1) + F.pmod(F.xxhash64("id"), F.element_at(table[1], F.col("cell") + 1))
-    laid = entries.withColumn("chunk", place.cast("long")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
-    def rerank(asking: pa.Table, here: pa.Table) -> pa.Table:
-        if not asking.num_rows or not here.num_rows:
-            return _hits([])
-        ids, x, cell = here.column("id").to_numpy(), _matrix(here.column("v"), size), here.column("cell").to_numpy()
-        found = []
-        for q, v, own in zip(asking.column("query_id").to_pylist(), _matrix(asking.column("q"), size), asking.column("cells").to_pylist(), strict=True):
-            found += [(q, *hit) for hit in _best(ids, x, v, q, np.flatnonzero(np.isin(cell, own)), count)]
-        return _hits(found)
-
-    found = asks.groupBy("chunk", "block").cogroup(laid.groupBy("chunk", "block")).applyInArrow(rerank, _HIT)
-    return _top(found, count).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+            x = _matrix(batch.column(1), size)
+            a, b = model.distances(x) if len(x) else ((), ())
+            place, chunks, cells_ = [], [], []
+            for k in range(len(x)):
+                probed = np.array(model.probed(a[k], b[k], most), np.int64)
+                # A large cell is in several chunks.
+                parts = model.parts[probed]
+                own = np.repeat(probed, parts)
+                chunk = np.repeat(model.chunk[probed] - np.concatenate(([0], np.cumsum(parts)[:-1])), parts) + np.arange(len(own))
+                order = np.argsort(chunk, kind="stable")
+                firsts = np.flatnonzero(np.diff(chunk[order], prepend=-1))
+                place += [k] * len(firsts)
+                chunks += chunk[order][firsts].tolist()
+                cells_ += [x.astype(np.int32) for x in np.split(own[order], firsts[1:])]
+            take = pa.array(place, pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.int64()), batch.column(0).take(take), batch.column(1).take(take), pa.array(cells_, pa.list_(pa.int32()))], names=["chunk", "id", "v", "cells"])
+
+    def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, _ = shared.value
+        for batch in batches:
+            cell, turn = (batch.column(k).to_numpy() for k in (2, 3))
+            yield pa.RecordBatch.from_arrays([pa.array(model.chunk[cell] + turn % model.parts[cell]), *batch.columns[:3]], names=["chunk", "id", "v", "cell"])
+
+    asks = asked.mapInArrow(visit, "chunk long, id long, v array<double>, cells array<int>").withColumn("block", F.pmod(F.xxhash64("id"), F.lit(asking // BLOCK + 1)).cast("int"))
+    asks = materialize(asks, "visits")
+    laid = entries.select("id", "v", "cell", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 40)).alias("turn")).mapInArrow(lay, "chunk long, id long, v array<double>, cell int")
+    laid = laid.join(asks.select("chunk", "block").distinct(), "chunk")
+    both = laid.select("chunk", "block", F.lit(False).alias("asks"), "id", "v", F.array("cell").alias("cells")).union(asks.select("chunk", "block", F.lit(True), "id", "v", "cells"))
+
+    def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of each chunk and block the entries come first, then the queries."""
+        place, held, open_ = None, [], False
+        ids = cell = x = None
+        for batch in batches:
+            found = []
+            chunk, block, asking = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+            changes = np.flatnonzero((chunk[1:] != chunk[:-1]) | (block[1:] != block[:-1]) | (asking[1:] != asking[:-1])) + 1
+            for first, last in zip([0, *changes.tolist()], [*changes.tolist(), len(chunk)], strict=True):
+                if first == last:
+                    continue
+                part = batch.slice(first, last - first)
+                if (chunk[first], block[first]) != place:
+                    place, held, open_ = (chunk[first], block[first]), [], True
+                if not asking[first]:
+                    held.append((part.column(3).to_numpy(), _matrix(part.column(4), size), part.column(5).flatten().to_numpy()))
+                    continue
+                if open_:
+                    ids, x, cell = (np.concatenate(c) for c in zip(*held, strict=True)) if held else (np.empty(0, np.int64), np.empty((0, size)), np.empty(0, np.int32))
+                    open_ = False
+                for q, v, own in zip(part.column(3).to_pylist(), _matrix(part.column(4), size), part.column(5), strict=True):
+                    found += [(q, *hit) for hit in _best(ids, x, v, q, np.flatnonzero(np.isin(cell, own.values.to_numpy())), count)]
+            yield from _hits(found).to_batches()
+
+    hits = both.repartition("chunk", "block").sortWithinPartitions("chunk", "block", "asks").mapInArrow(rerank, _HIT)
+    return _top(hits, count).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

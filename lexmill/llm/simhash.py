@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from lexmill.llm import verified
 from lexmill.llm.components import connected_components
 from lexmill.llm.gray import GrayIndex, fingerprint, local_components, runs, words_of
+from lexmill.llm.names import unused
 from lexmill.llm.shards import shards
 from lexmill.llm.shingles import shingle_hashes
 from lexmill.storage import discard, materialize
@@ -194,7 +195,7 @@ def drop_near_duplicates(documents: DataFrame, *, key: str = "doc_id", text: str
     one group.  Of equal keys in one group the first by text stays once; a null
     key comes after all others.
     """
-    own = verified.unused(documents, "k", "h")
+    own = unused(documents, "k", "h")
     k, h = F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1)), F.xxhash64(F.col(text).cast("string"))
     marked = documents.withColumns({own[0]: k, own[1]: h})
     source = documents.select(F.struct(k.alias("k"), h.alias("h")).alias("place"), F.col(text).cast("string").alias("text"))

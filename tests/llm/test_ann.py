@@ -59,3 +59,36 @@ def test_ties_nulls_and_copies(spark):
     assert [k for k, _ in got[50]] == [0, 3, 5, 4, 4]
     assert ann.neighbours(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
     assert ann.neighbours(df.where("vec_id = 0"), F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_scores_of_any_magnitude(spark):
+    draw = np.random.default_rng(3)
+    base = draw.normal(size=(60, 8))
+    powers = draw.integers(-160, 161, 60)
+    rows = [(0, [1e-3, 2e-3] * 4), (1, [1e160, 2e160] * 4), (2, [5e-324] * 8), (3, [1.7e308] * 8), *[(10 + k, (v * 10.0**p).tolist()) for k, (v, p) in enumerate(zip(base, powers, strict=True))]]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    out = ann.neighbours(df, F.lit(True), count=3, cells=1).collect()
+    found = {}
+    for r in sorted(out, key=lambda r: (r["query_id"], r["rank"])):
+        found.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    units = {k: np.array(v) / max(map(abs, v)) for k, v in rows}
+    for k, hits in found.items():
+        q = units[k]
+        scores = sorted(((float(q @ v / np.linalg.norm(q) / np.linalg.norm(v)), -i) for i, v in units.items() if i != k), reverse=True)[:3]
+        assert np.allclose([s for _, s in hits], [s for s, _ in scores], atol=1e-12) and len({i for i, _ in hits}) == 3
+    assert found[0][0] == (1, 1.0) or abs(found[0][0][1] - 1) < 1e-15
+    small = draw.normal(size=(5, 8))
+    assert (ann.cosines(small, small[::-1]) == ann.cosines(small * 2.0**900, small[::-1] * 2.0**-900)).all()
+
+
+def test_very_many_repeated_rows(spark):
+    one = spark.range(60_000).select(F.lit(7).cast("long").alias("vec_id"), F.array(F.lit(1.0), F.lit(2.0), F.lit(0.5)).alias("embedding"))
+    others = spark.createDataFrame([(50, [1.0, 2.0, 0.4]), (100, [0.0, 0.0, 1.0])], "vec_id long, embedding array<double>")
+    out = ann.neighbours(one.union(others), F.col("vec_id") % 50 == 0).collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in out) == [(q, k, 7) for q in (50, 100) for k in range(1, 6)]
+    assert ann.neighbours(one, F.col("vec_id") == 7).count() == 0
+
+
+def test_vectors_of_one_component(spark):
+    df = spark.createDataFrame([(0, [2.0]), (1, [-1.0]), (2, [3.0])], "vec_id long, embedding array<double>")
+    assert [(r["vec_id"], r["score"]) for r in ann.neighbours(df, F.col("vec_id") == 0).orderBy("rank").collect()] == [(2, 1.0), (1, -1.0)]
