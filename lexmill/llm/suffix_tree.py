@@ -1,57 +1,56 @@
 """Language-model scores by a probabilistic suffix tree.
 
-Symbols are tokens: the ``ALPHABET`` most frequent ones, an end sign, and one
-symbol for all rarer tokens.  Every context of up to ``DEPTH`` symbols within a
-text that makes up at least ``MIN_SHARE`` of the corpus is a candidate.  It is
-retained if its next-symbol distribution diverges from that of the context one
-symbol shorter: if its count times the Kullback-Leibler divergence exceeds half
-the logarithm of its count for each of its next symbols.  Suffixes of retained
-contexts are retained.  Distributions are smoothed by interpolation with the
-shorter context's (Witten-Bell).  A text is scored from the longest retained
-suffix at each token, found by an automaton over the contexts.  Within the rare
-symbol a token of count c has c / (N + V), all unknown ones together V / (N + V),
-N and V being the rare tokens and their kinds: like the base score's, the
-alphabet is that of known tokens and one unknown.
-
-Counts cover the whole corpus and are combined by aggregation: grams of three
-symbols first, then those of five whose first symbols are a candidate.  Only
-candidates reach the driver: at most DEPTH / MIN_SHARE of them whatever the
-corpus size, so what is broadcast is bounded.
-
-A document needs the corpus count of each of its tokens.  Texts are dealt into
-blocks of about ``BLOCK_BYTES``; a block sends each of its tokens once, gets the
-count back, and looks its documents' tokens up locally.  Neither the vocabulary
-nor a frequent token is ever gathered.
+Symbols are all tokens and an end sign; a context is up to ``DEPTH`` symbols of
+one text, read backwards.  Every context seen at least ``MIN_CONTEXT`` times is a
+candidate, so the tree grows with the corpus.  It is retained if its next-symbol
+distribution diverges from that of the context one symbol shorter: if the summed
+log ratio of its next symbols passes half the logarithm of its count for each of
+their kinds; next symbols seen fewer than ``MIN_NEXT`` times there count as one
+kind.  Suffixes of retained contexts are retained.
+
+A distribution is smoothed by the shorter context's: each next symbol of count m
+has (m - DISCOUNT) / n, and what is left, ``back``, is shared out as the shorter
+context does.  The empty context has (c + 1) / (N + V + 1), like the base score.
+A token is scored from the longest retained suffix of what is before it.
+
+Counts cover the whole corpus, level by level: the grams of a level are counted
+only after candidates, which the level before has counted.  Tokens and contexts
+are known by 64-bit hashes.  The tree is a table, and so is the vocabulary; a
+block of texts of about ``BLOCK_BYTES`` asks for each key it needs once.  The
+``HEAD`` most frequent keys are broadcast, so what is asked for is rare, and
+flags of fixed size (``FLAGS`` bits) spare most questions without an answer;
+flags that are set by chance only cost.
 
 Defined results: a null text counts as an empty one, which is the end sign
-alone; a null key is scored and learned from; repeated rows count each time;
-without training documents every symbol is as likely as any other.
+alone; a null key is scored and learned from; repeated rows count each time; no
+limit on a text's length; without training documents both scores are those of
+the one unknown symbol, 0.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.storage import materialize
+from lexmill.storage import discard, materialize
 
-ALPHABET = 250
-#: Levels of the tree: those of the first counts, and all.
-SHALLOW, DEPTH = 2, 4
-MIN_SHARE = 1e-4
-BLOCK_BYTES = 8 << 20
-CHUNK = 1 << 21
-#: Distinct words that a task counts before it passes them on.
-HELD_WORDS = 1_000_000
-#: Symbols are bytes: 0 stands for no symbol; frequent tokens come after the rare one.
-END, RARE, FIRST = 1, 2, 3
-_SEGMENT = 256
+DEPTH = 3
+MIN_CONTEXT, MIN_NEXT = 128, 4
+DISCOUNT = 0.5
+BLOCK_BYTES = 16 << 20
+HEAD = 1 << 19
+FLAGS = 1 << 26
+#: Tokens that a task takes at once; distinct grams, or cached words, that it holds.
+CHUNK, HELD = 1 << 20, 3_000_000
+CACHED = 1_000_000
+#: Symbols that are no word's hash: any next symbol, and the end sign.
+ANY, END = 0, 1
+_PRIMES = tuple(np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -59,251 +58,308 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
-def symbols(words: list[bytes], known: dict[bytes, int]) -> bytes:
-    """A byte for each word, and one for the end."""
-    return bytes([known.get(w, RARE) for w in words] + [END])
+class WordHashes(dict):
+    """XXH64 of words, kept while there are not too many."""
 
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= CACHED:
+            self.clear()
+        self[word] = found = xxhash.xxh64_intdigest(word)
+        return found
 
-def gram_codes(stream: np.ndarray, first: int, depth: int) -> np.ndarray:
-    """For each symbol from ``first`` on, it and the symbols before it back to an end sign, in one number.
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
-    The symbol is the lowest byte, the one before it the next.
+
+def chain(seed: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """XXH64 of a number with a seed, element by element: what Spark's xxhash64 chains over columns."""
+    p1, p2, p3, p4, p5 = _PRIMES
+
+    def turn(x: np.ndarray, bits: int) -> np.ndarray:
+        return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
+
+    with np.errstate(over="ignore"):
+        h = seed + p5 + np.uint64(8)
+        h = h ^ (turn(value * p2, 31) * p1)
+        h = turn(h, 27) * p1 + p4
+        h = (h ^ (h >> np.uint64(33))) * p2
+        h = (h ^ (h >> np.uint64(29))) * p3
+        return h ^ (h >> np.uint64(32))
+
+
+_ROOT = np.zeros(1, np.uint64)
+
+
+def gram_keys(contexts: np.ndarray, following: np.ndarray | int) -> np.ndarray:
+    """The key of a context with a next symbol: Spark's xxhash64 of both."""
+    return chain(chain(np.full(1, 42, np.uint64), contexts), np.asarray(following, np.uint64))
+
+
+def context_codes(stream: np.ndarray, depth: int) -> list[np.ndarray]:
+    """For each length from 1, the code of the context before each symbol of a text after its first, which is an end sign.
+
+    0 where the text has no context of that length; the end sign may begin one.
     """
-    wide = stream.astype(np.uint64)
-    n = len(stream) - first
-    code, alive = wide[first:].copy(), np.ones(n, bool)
+    n, out, code, alive = len(stream) - 1, [], np.broadcast_to(_ROOT, (len(stream) - 1,)), np.ones(max(0, len(stream) - 1), bool)
     for lag in range(1, depth + 1):
-        before = np.zeros(n, np.uint64)
-        skip = max(0, lag - first)
-        before[skip:] = wide[first + skip - lag : len(stream) - lag]
-        before *= alive
-        code |= before << np.uint64(8 * lag)
-        alive &= (before != END) & (before != 0)
-    return code
+        before = np.full(n, END, np.uint64)
+        before[lag - 1 :] = stream[: max(0, n - lag + 1)]
+        alive = alive & (np.arange(n) >= lag - 1)
+        if lag > 1:
+            alive[lag - 1 :] &= stream[1 : max(1, n - lag + 2)][: max(0, n - lag + 1)] != END
+        code = np.where(alive, chain(code, before), 0)
+        out.append(code)
+    return out
+
 
+def flagged(flags: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether each key's flag is set."""
+    at = keys & np.uint64(FLAGS - 1)
+    return (flags[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
-def is_among(values: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """Which values are in a sorted array."""
-    if not len(chosen):
-        return np.zeros(len(values), bool)
-    return chosen[np.minimum(np.searchsorted(chosen, values), len(chosen) - 1)] == values
+
+def flags_of(keys: DataFrame, column: str) -> np.ndarray:
+    """Flags of the column's keys, made by executors."""
+    slot = F.col(column).bitwiseAND(F.lit(FLAGS - 1)) + 1
+    parts = keys.groupBy(F.bitmap_bucket_number(slot).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")).toArrow()
+    size = 4096
+    out = np.zeros(max(FLAGS // 8, size), np.uint8)
+    for part, bits in zip(parts["part"].to_pylist(), parts["bits"].to_pylist(), strict=True):
+        out[(part - 1) * size : part * size] = np.frombuffer(bits, np.uint8)
+    return out
 
 
 class _Counts:
-    """Counts of codes, kept sorted and combined as they grow."""
+    """Counts of grams, combined as they grow."""
 
     def __init__(self) -> None:
-        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.parts: list[tuple[np.ndarray, ...]] = []
         self.size = 0
 
-    def add(self, codes: np.ndarray) -> None:
-        self.parts.append(np.unique(codes, return_counts=True))
-        self.size += len(self.parts[-1][0])
-        if self.size > 8_000_000:
+    def add(self, context: np.ndarray, parent: np.ndarray, following: np.ndarray) -> None:
+        if not len(context):
+            return
+        keys, first, counts = np.unique(gram_keys(context, following), return_index=True, return_counts=True)
+        self.parts.append((keys, context[first], parent[first], following[first], counts))
+        self.size += len(keys)
+        if self.size > HELD:
             self.combine()
 
-    def combine(self) -> tuple[np.ndarray, np.ndarray]:
-        if not self.parts:
-            return np.empty(0, np.uint64), np.empty(0, np.int64)
-        codes, counts = (np.concatenate(x) for x in zip(*self.parts, strict=True))
-        order = np.argsort(codes, kind="stable")
-        codes, counts = codes[order], counts[order]
-        firsts = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
-        out = codes[firsts], np.add.reduceat(counts, firsts)
-        self.parts, self.size = [out], len(firsts)
-        return out
-
-
-def _streams(texts: Iterator[list[bytes]], known: dict[bytes, int]) -> Iterator[bytes]:
-    """Symbols of whole texts, gathered into strings of at least a chunk, each begun by an end sign."""
-    held, size = [bytes([END])], 1
-    for words in texts:
-        held.append(symbols(words, known))
-        size += len(held[-1])
-        if size >= CHUNK:
-            yield b"".join(held)
-            held, size = [bytes([END])], 1
+    def combine(self) -> None:
+        if len(self.parts) > 1:
+            columns = [np.concatenate(x) for x in zip(*self.parts, strict=True)]
+            order = np.argsort(columns[0], kind="stable")
+            firsts = np.flatnonzero(np.concatenate(([True], (sorted_ := columns[0][order])[1:] != sorted_[:-1])))
+            at = order[firsts]
+            self.parts = [(*(c[at] for c in columns[:4]), np.add.reduceat(columns[4][order], firsts))]
+            self.size = len(at)
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """All counts, by context, which packs well."""
+        self.combine()
+        for _, context, parent, following, counts in self.parts:
+            order = np.argsort(context, kind="stable")
+            for at in range(0, len(order), 100_000):
+                part = order[at : at + 100_000]
+                yield pa.RecordBatch.from_arrays([*(pa.array(x[part].view(np.int64)) for x in (context, parent, following)), pa.array(counts[part])], names=["context", "parent", "next", "n"])
+        self.parts, self.size = [], 0
+
+
+def _streams(batches: Iterator[pa.RecordBatch], column: int = 0) -> Iterator[np.ndarray]:
+    """Symbols of whole texts, many at once, each text ended by an end sign; one comes first too."""
+    hashes, end = WordHashes(), np.array([END], np.uint64)
+    held, size = [end], 1
+    for batch in batches:
+        for value in batch.column(column):
+            own = hashes.of(tokens(value.as_py()))
+            held += [own, end]
+            size += len(own) + 1
+            if size >= CHUNK:
+                yield np.concatenate(held)
+                held, size = [end], 1
     if size > 1:
-        yield b"".join(held)
+        yield np.concatenate(held)
 
 
-def gram_counts(texts: DataFrame, known: dict[bytes, int], depth: int, within: np.ndarray | None = None) -> DataFrame:
-    """``code`` and ``n`` of the grams of column ``text``.
+def gram_counts(texts: DataFrame, depth: int, candidates: np.ndarray) -> DataFrame:
+    """``context, parent, next, n`` of contexts of one length.
 
-    within: codes of the contexts, of ``SHALLOW`` + 1 symbols, after which grams count.
+    candidates: flags of the contexts' keys in the level before: of the context
+    but for its last symbol with that symbol next, or of words.  ``next`` is 0 for
+    the context's own count.
     """
+    shared = texts.sparkSession.sparkContext.broadcast(candidates.tobytes())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = _Counts()
-        for stream in _streams((tokens(value.as_py()) for batch in batches for value in batch.column(0)), known):
-            for at in range(1, len(stream), CHUNK):
-                begin = max(0, at - depth)
-                codes = gram_codes(np.frombuffer(stream[begin : at + CHUNK], np.uint8), at - begin, depth)
-                if within is not None:
-                    codes = codes[is_among(codes >> np.uint64(8) & np.uint64((1 << 8 * (SHALLOW + 1)) - 1), within)]
-                counts.add(codes)
-        codes, many = counts.combine()
-        for at in range(0, len(codes), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(codes[at : at + 100_000].view(np.int64)), pa.array(many[at : at + 100_000])], names=["code", "n"])
-
-    return texts.select("text").mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-
-
-@dataclass
-class Tree:
-    """An automaton: next state and log10 probability for each state and symbol."""
-
-    step: np.ndarray
-    logs: np.ndarray
-    depth: int
-    contexts: int
-
-    def score_all(self, stream: bytes) -> np.ndarray:
-        """log10 probability of each symbol after the first, which is an end sign."""
-        x = np.frombuffer(stream, np.uint8)
-        n = len(x) - 1
-        if n < 1:
-            return np.empty(0)
-        columns = -(-n // _SEGMENT)
-        # Each column is a segment after the depth symbols before it, which fix its first state.
-        padded = np.full(self.depth + columns * _SEGMENT, END, np.uint8)
-        lead = x[:1]
-        padded[self.depth - 1 : self.depth] = lead
-        padded[self.depth : self.depth + n] = x[1:]
-        view = np.lib.stride_tricks.sliding_window_view(padded, self.depth + _SEGMENT)[::_SEGMENT]
-        rows = np.ascontiguousarray(view.T).astype(np.int32)
-        state = np.zeros(columns, np.int32)
-        out = np.empty((_SEGMENT, columns), np.float32)
-        step, logs = self.step.ravel(), self.logs.ravel()
-        for k in range(len(rows)):
-            at = state * 256 + rows[k]
-            if k >= self.depth:
-                out[k - self.depth] = logs[at]
-            state = step[at]
-        return out.T.ravel()[:n].astype(np.float64)
-
-    def token_logs(self, texts: list[bytes]) -> np.ndarray:
-        """log10 probability of each symbol of each text, one after another."""
-        out, held, size = [np.empty(0)], [], 0
-        for text in texts:
-            held.append(text)
-            size += len(text)
-            if size >= CHUNK:
-                out.append(self.score_all(bytes([END]) + b"".join(held)))
-                held, size = [], 0
-        out.append(self.score_all(bytes([END]) + b"".join(held)))
-        return np.concatenate(out)
+        flags, counts = np.frombuffer(shared.value, np.uint8), _Counts()
+        for stream in _streams(batches):
+            codes = context_codes(stream, depth)
+            context, parent = codes[-1], codes[-2] if depth > 1 else np.zeros(len(codes[-1]), np.uint64)
+            # The context before a symbol was, one symbol earlier, a shorter context and its next symbol.
+            keys = stream[:-1] if depth == 1 else np.concatenate((_ROOT, gram_keys(codes[-2][:-1], stream[1:-1])))
+            here = np.flatnonzero((context != 0) & flagged(flags, keys))
+            context, parent = context[here], parent[here]
+            counts.add(context, parent, stream[1:][here])
+            counts.add(context, parent, np.zeros(len(here), np.uint64))
+            if counts.size > HELD:
+                yield from counts.rows()
+        yield from counts.rows()
+
+    rows = texts.select("text").mapInArrow(count, "context long, parent long, next long, n long")
+    return rows.groupBy("context", "parent", "next").agg(F.sum("n").alias("n"))
 
 
-def build(levels: list[dict[bytes, dict[int, int]]]) -> Tree:
-    """The tree of candidate contexts, by length: next symbols and their counts.
+def vocabulary(texts: DataFrame) -> DataFrame:
+    """``next``, a token's hash or the end sign, and its count ``n`` in the column ``text``."""
 
-    A context's bytes run from the oldest to the newest.
-    """
-    root = levels[0].get(b"", {}) if levels else {}
-    total, size = sum(root.values()), max(1, len(root))
-    # Every symbol that occurs has one more; others are never asked for, but stay finite.
-    base = np.full(256, 1.0 if not root else 1e-9)
-    for sign, n in root.items():
-        base[sign] = n + 1
-    chances: dict[bytes, np.ndarray] = {b"": base / (total + size if root else 256)}
-    kept = {b""}
-    for level in levels[1:]:
-        for context, following in level.items():
-            shorter = context[1:]
-            if shorter not in chances:
-                continue
-            n, kinds = sum(following.values()), len(following)
-            own = chances[shorter] * kinds
-            signs, counts = np.array(list(following), np.int64), np.array(list(following.values()), np.float64)
-            own[signs] += counts
-            chances[context] = own / (n + kinds)
-            if float((counts * np.log(counts / n / chances[shorter][signs])).sum()) >= kinds * np.log(n) / 2:
-                kept.update(context[k:] for k in range(len(context)))
-    states = sorted({c[:k] for c in kept for k in range(len(c) + 1)}, key=lambda c: (len(c), c))
-    index = {c: i for i, c in enumerate(states)}
-    step, logs = np.zeros((len(states), 256), np.int32), np.empty((len(states), 256), np.float32)
-    shown: list[bytes] = []
-    for i, c in enumerate(states):
-        if c:
-            back = next(c[k:] for k in range(1, len(c) + 1) if c[k:] in index)
-            step[i] = step[index[back]]
-        shown.append(c if c in kept else shown[index[back]])
-        logs[i] = np.log10(chances[shown[i]])
-    # A state's row is its fallback's, but for the states one symbol longer; shorter states come first.
-    for i, c in enumerate(states):
-        if c:
-            back = next(c[k:] for k in range(1, len(c) + 1) if c[k:] in index)
-            step[i] = step[index[back]]
-        for sign in range(256):
-            if (longer := index.get(c + bytes([sign]))) is not None:
-                step[i, sign] = longer
-    return Tree(step, logs, max((len(c) for c in states), default=0) or 1, len(kept))
-
-
-def _levels(grams: DataFrame, lengths: range, total: int, min_share: float) -> list[dict[bytes, dict[int, int]]]:
-    """Candidate contexts of each length, at most 1 / min_share of them, with at most 256 next symbols each."""
-    out = []
-    for length in lengths:
-        keep = (1 << 8 * (length + 1)) - 1
-        cut = grams.select(F.col("code").bitwiseAND(F.lit(keep)).alias("code"), "n").groupBy("code").agg(F.sum("n").alias("n"))
-        split = cut.select(F.shiftright("code", 8).alias("context"), F.col("code").bitwiseAND(F.lit(255)).cast("int").alias("sign"), "n")
-        rows = split.groupBy("context").agg(F.sum("n").alias("all"), F.collect_list(F.struct("sign", "n")).alias("next")).where(F.col("all") >= max(1.0, min_share * total)).collect()
-        level: dict[bytes, dict[int, int]] = {}
-        for row in rows:
-            # The lowest byte of the number is the newest symbol.
-            context = int(row["context"]).to_bytes(8, "little").rstrip(b"\0")[::-1]
-            if len(context) == length:
-                level[context] = {s["sign"]: s["n"] for s in row["next"]}
-        out.append(level)
-    return out
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
+        def emit() -> Iterator[pa.RecordBatch]:
+            keys, place = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+            n = np.bincount(place, np.concatenate([c for _, c in held])).astype(np.int64)
+            held.clear()
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["next", "n"])
+
+        for stream in _streams(batches):
+            held.append(np.unique(stream[1:], return_counts=True))
+            if sum(len(k) for k, _ in held) > HELD:
+                yield from emit()
+        if held:
+            yield from emit()
 
-def learn(texts: DataFrame, known: dict[bytes, int], *, min_share: float = MIN_SHARE) -> Tree:
-    """The tree of the whole column ``text``."""
-    grams = materialize(gram_counts(texts, known, SHALLOW), "grams")
-    total = grams.agg(F.sum("n")).first()[0] or 0
-    levels = _levels(grams, range(SHALLOW + 1), total, min_share)
-    # A gram of three symbols is also a context of three: its count tells if it is a candidate.
-    long = sorted(r["code"] for r in grams.where((F.col("n") >= max(1.0, min_share * total)) & (F.col("code") >= 1 << 8 * SHALLOW) & (F.col("code").bitwiseAND(F.lit(255)) != END)).collect())
-    if long:
-        deep = materialize(gram_counts(texts, known, DEPTH, np.array(long, np.uint64)), "deep-grams")
-        levels += _levels(deep, range(SHALLOW + 1, DEPTH + 1), total, min_share)
-    return build(levels)
+    return texts.select("text").mapInArrow(count, "next long, n long").groupBy("next").agg(F.sum("n").alias("n"))
 
 
-def vocabulary(texts: DataFrame) -> DataFrame:
-    """``word`` and its count ``c`` in the column ``text``."""
+def _level(counts: DataFrame, above: DataFrame, on: list[str], min_context: int) -> tuple[DataFrame, DataFrame]:
+    """Contexts (``context, parent, n, back, kept``) and their grams (``context, parent, next, n, p``) of one length.
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
+    above: chances ``q`` of next symbols by the shorter context, to be joined on ``on``.
+    """
+    total = counts.where((F.col("next") == ANY) & (F.col("n") >= min_context)).select("context", F.col("n").alias("total"))
+    grams = counts.where((F.col("next") != ANY) & (F.col("n") >= MIN_NEXT)).join(total, "context").join(above, on)
+    grams = materialize(grams.select("context", "parent", "next", "n", "total", "q"), "grams")
+    n, all_ = F.col("n").cast("double"), F.col("total").cast("double")
+    sums = grams.groupBy("context", "parent", "total").agg(F.sum("n").cast("double").alias("seen"), F.count("*").alias("kinds"), F.sum("q").alias("q"), F.sum(n * F.log(n / all_ / F.col("q"))).alias("gain"))
+    rest = F.col("total") - F.col("seen")
+    # What is not among the grams is one more kind.
+    gain = F.col("gain") + F.when(rest > 0, rest * F.log(rest / F.col("total") / F.greatest(1 - F.col("q"), F.lit(1e-12)))).otherwise(0.0)
+    kept = gain >= (F.col("kinds") + 1) * F.log(F.col("total").cast("double")) / 2
+    back = 1 - (F.col("seen") - DISCOUNT * F.col("kinds")) / F.col("total")
+    contexts = materialize(sums.select("context", "parent", F.col("total").alias("n"), back.alias("back"), kept.alias("kept")), "contexts")
+    p = (n - DISCOUNT) / all_ + F.col("back") * F.col("q")
+    chances = materialize(grams.join(contexts.select("context", "back"), "context").select("context", "parent", "next", "n", p.alias("p")), "chances")
+    discard(grams)
+    return contexts, chances
+
+
+def learn(texts: DataFrame, words: DataFrame, total: int, kinds: int, *, depth: int = DEPTH, min_context: int = MIN_CONTEXT) -> DataFrame:
+    """The tree of the column ``text`` as a table ``key, v, n``.
+
+    key: that of a retained context and a next symbol, whose chance has the
+    logarithm v; of a retained context and 0, the logarithm of its ``back``.
+    """
+    flags = flags_of(words.where(F.col("n") >= min_context), "next")
+    above, on = words.select("next", ((F.col("n") + 1) / F.lit(float(total + kinds + 1))).alias("q")), ["next"]
+    levels: list[tuple[DataFrame, DataFrame]] = []
+    for length in range(1, depth + 1):
+        counts = materialize(gram_counts(texts, length, flags).where((F.col("next") == ANY) | (F.col("n") >= MIN_NEXT)), "gram-counts")
+        levels.append(_level(counts, above, on, min_context))
+        discard(counts)
+        chances = levels[-1][1]
+        frequent = chances.where((F.col("n") >= min_context) & (F.col("next") != END))
+        if length == depth or not frequent.take(1):
+            break
+        flags = flags_of(frequent.select(F.xxhash64("context", "next").alias("key")), "key")
+        above, on = chances.select(F.col("context").alias("parent"), "next", F.col("p").alias("q")), ["parent", "next"]
+    out, longer = None, None
+    for contexts, chances in reversed(levels):
+        kept = contexts.where("kept") if longer is None else contexts.join(longer, "context", "left").where(F.col("kept") | F.col("needed").isNotNull())
+        longer = kept.select(F.col("parent").alias("context")).distinct().withColumn("needed", F.lit(True))
+        own = kept.select(F.xxhash64("context", F.lit(ANY).cast("long")).alias("key"), F.log10("back").alias("v"), "n")
+        own = own.union(chances.join(kept.select("context"), "context", "left_semi").select(F.xxhash64("context", "next").alias("key"), F.log10("p").alias("v"), "n"))
+        out = own if out is None else out.union(own)
+    out = materialize(out, "suffix-tree")
+    for level in levels:
+        discard(*level)
+    return out
 
-        def emit() -> Iterator[pa.RecordBatch]:
-            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
-            counts.clear()
 
-        for batch in batches:
-            for value in batch.column(0):
-                counts.update(tokens(value.as_py()))
-            if len(counts) >= HELD_WORDS:
-                yield from emit()
-        yield from emit()
+class Lookup:
+    """Values of sorted keys."""
 
-    return texts.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
+    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order]
 
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        """The key's value, or not a number."""
+        if not len(self.keys):
+            return np.full(len(keys), np.nan)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.values[at], np.nan)
 
-def _words_of_block(key: tuple, block: pa.Table) -> pa.Table:
-    """Each word of the block once."""
-    found: set[bytes] = set()
-    for value in block.column("text"):
-        found.update(tokens(value.as_py()))
-    return pa.table({"blk": pa.array(np.full(len(found), key[0].as_py(), np.int32)), "word": pa.array(list(found), pa.binary())})
+
+class Tree:
+    """Scores by what two tables of keys, the frequent and a block's own, know."""
+
+    def __init__(self, head: Lookup, flags: np.ndarray, total: int, kinds: int, depth: int) -> None:
+        self.head, self.flags, self.total, self.kinds, self.depth = head, flags, total, kinds, depth
+
+    def find(self, keys: np.ndarray, own: Lookup | None) -> np.ndarray:
+        """Values by a lookup of each distinct key."""
+        distinct, place = np.unique(keys, return_inverse=True)
+        out = self.head(distinct)
+        if own is not None:
+            gaps = np.flatnonzero(np.isnan(out))
+            out[gaps] = own(distinct[gaps])
+        return out[place]
+
+    def questions(self, stream: np.ndarray) -> np.ndarray:
+        """Distinct keys that the symbols need, the head does not have, and the tables may have."""
+        out = [np.unique(stream[1:])]
+        for code in context_codes(stream, self.depth):
+            here = np.flatnonzero(code != 0)
+            for following in (ANY, stream[1:][here]):
+                keys = np.unique(gram_keys(code[here], following))
+                out.append(keys)
+        keys = np.concatenate(out)
+        keys = keys[flagged(self.flags, keys)]
+        return keys[np.isnan(self.head(keys))]
+
+    def score(self, stream: np.ndarray, own: Lookup) -> tuple[np.ndarray, np.ndarray]:
+        """Counts, and log10 chances from the longest retained suffix, of each symbol after the first."""
+        counts = np.nan_to_num(self.find(stream[1:], own))
+        best = np.log10((counts + 1) / (self.total + self.kinds + 1))
+        here = np.arange(len(counts))
+        for code in context_codes(stream, self.depth):
+            here = here[code[here] != 0]
+            back = self.find(gram_keys(code[here], ANY), own)
+            some = ~np.isnan(back)  # retained, and so are all its suffixes
+            here, back = here[some], back[some]
+            if not len(here):
+                break
+            p = self.find(gram_keys(code[here], stream[1:][here]), own)
+            best[here] = np.where(np.isnan(p), best[here] + back, p)
+        return counts, best
+
+
+def _head(known: DataFrame) -> DataFrame:
+    """``key`` and ``v`` of the most frequent keys: as many steps of the binary logarithm of their counts as fit in ``HEAD``."""
+    step = F.floor(F.log2("n") * 16).cast("int")
+    steps, held, least = {r["step"]: r["rows"] for r in known.groupBy(step.alias("step")).agg(F.count("*").alias("rows")).collect()}, 0, None
+    for at in sorted(steps, reverse=True):
+        held += steps[at]
+        if held > HEAD:
+            break
+        least = at
+    return known.where(F.lit(False) if least is None else step >= least).select("key", "v")
 
 
 _SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def score(documents: DataFrame, *, learn_from: Column | None = None, key: str = "doc_id", text: str = "text", min_share: float = MIN_SHARE) -> DataFrame:
+def score(documents: DataFrame, *, learn_from: Column | None = None, key: str = "doc_id", text: str = "text", min_context: int = MIN_CONTEXT) -> DataFrame:
     """Scores of all whole texts.
 
     learn_from: a condition on the documents to learn from (by default all).
@@ -315,35 +371,39 @@ def score(documents: DataFrame, *, learn_from: Column | None = None, key: str =
     source = documents.select(F.col(key).cast("long").alias("doc_id"), training.alias("training"), F.col(text).cast("string").alias("text"))
     learned = source.where("training").select("text")
     words = materialize(vocabulary(learned), "vocabulary")
-    frequent = words.orderBy(F.desc("c"), "word").limit(ALPHABET).collect()
-    known = {bytes(r["word"]): FIRST + i for i, r in enumerate(frequent)}
-    sums = words.agg(F.count("*").alias("kinds"), F.sum("c").alias("words")).first()
-    tree = learn(learned, known, min_share=min_share)
-    sizes = source.agg(F.sum(F.octet_length("text")).alias("size"), F.count_if("training").alias("ends")).first()
-    blocks, ends = (sizes["size"] or 0) // BLOCK_BYTES + 1, sizes["ends"]
-    total, kinds = (sums["words"] or 0) + ends, sums["kinds"] + bool(ends)
-    rare_total, rare_kinds = (sums["words"] or 0) - sum(r["c"] for r in frequent), max(1, sums["kinds"] - len(frequent))
-    shared = documents.sparkSession.sparkContext.broadcast((tree.step, tree.logs, tree.depth, tree.contexts))
-    dealt = source.withColumn("blk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")).repartition("blk")
-    counted = dealt.groupBy("blk").applyInArrow(_words_of_block, "blk int, word binary").join(words, "word")
+    sums = words.agg(F.count("*").alias("kinds"), F.sum("n").alias("n")).first()
+    total, kinds = sums["n"] or 0, sums["kinds"]
+    tree = learn(learned, words, total, kinds, min_context=min_context)
+    known = materialize(tree.union(words.select(F.col("next").alias("key"), F.col("n").cast("double").alias("v"), "n")), "known-keys")
+    discard(tree, words)
+    head = _head(known).toArrow()
+    model = Tree(Lookup(head["key"].to_numpy().view(np.uint64), head["v"].to_numpy()), flags_of(known, "key"), total, kinds, DEPTH)
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+    size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # A row's place in the input deals it out, so rows that repeat are spread.
+    dealt = source.withColumn("blk", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(size // BLOCK_BYTES + 1)).cast("int"))
+    dealt = dealt.repartition("blk")
+
+    def ask(key: tuple, block: pa.Table) -> pa.Table:
+        tree, found = shared.value, np.empty(0, np.uint64)
+        for stream in _streams(block.select(["text"]).to_batches()):
+            found = np.union1d(found, tree.questions(stream))
+        return pa.table({"blk": pa.array(np.full(len(found), key[0].as_py(), np.int32)), "key": pa.array(found.view(np.int64))})
 
     def rate(block: pa.Table, found: pa.Table) -> pa.Table:
-        if not block.num_rows:
-            return pa.table({n: pa.array([], t) for n, t in zip(names, types, strict=True)})
-        model = Tree(*shared.value)
-        counts = dict(zip(found.column("word").to_pylist(), found.column("c").to_pylist(), strict=True))
-        texts = [tokens(value.as_py()) for value in block.column("text")]
-        many = np.array([len(t) + 1 for t in texts])
-        firsts = np.concatenate(([0], np.cumsum(many)[:-1]))
-        c = np.array([n for t in texts for n in (*[counts.get(w, 0) for w in t], ends)], np.float64)
-        base = np.add.reduceat(np.log10((c + 1) / (total + kinds + 1)), firsts)
-        signs = [symbols(t, known) for t in texts]
-        logs = model.token_logs(signs)
-        rare = np.frombuffer(b"".join(signs), np.uint8) == RARE
-        logs[rare] += np.log10(np.where(c[rare] > 0, c[rare], rare_kinds) / (rare_total + rare_kinds))
-        columns = [block.column("doc_id").to_pylist(), [not t for t in block.column("training").to_pylist()], many, np.add.reduceat((c > 0).astype(np.int64), firsts), np.full(len(texts), total), base, np.add.reduceat(logs, firsts)]
-        return pa.table({n: pa.array(v, t) for n, v, t in zip(names, columns, types, strict=True)})
-
-    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-    return dealt.groupBy("blk").cogroup(counted.groupBy("blk")).applyInArrow(rate, _SCHEMA)
+        tree, own = shared.value, Lookup(found.column("key").to_numpy().view(np.uint64), found.column("v").to_numpy())
+        columns: list[list[np.ndarray]] = [[np.empty(0, t)] for t in (np.int64, np.int64, np.float64, np.float64)]
+        for stream in _streams(block.select(["text"]).to_batches()):
+            counts, chances = tree.score(stream, own)
+            ends = np.flatnonzero(stream[1:] == END)
+            firsts = np.concatenate(([0], ends[:-1] + 1))
+            base = np.log10((counts + 1) / (tree.total + tree.kinds + 1))
+            for column, values in zip(columns, (np.diff(np.concatenate(([-1], ends))), np.add.reduceat((counts > 0).astype(np.int64), firsts), np.add.reduceat(base, firsts), np.add.reduceat(chances, firsts)), strict=True):
+                column.append(values)
+        many, n_known, base, chances = (np.concatenate(c) for c in columns)
+        arrays = [block.column("doc_id").combine_chunks(), pa.array(~block.column("training").to_numpy(zero_copy_only=False).astype(bool)), pa.array(many), pa.array(n_known), pa.array(np.full(len(many), tree.total)), pa.array(base), pa.array(chances)]
+        return pa.table(dict(zip(["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"], arrays, strict=True)))
+
+    asked = dealt.groupBy("blk").applyInArrow(ask, "blk int, key long")
+    answers = asked.join(known.select("key", "v"), "key")
+    return dealt.groupBy("blk").cogroup(answers.groupBy("blk")).applyInArrow(rate, _SCHEMA)

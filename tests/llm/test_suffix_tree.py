@@ -27,86 +27,97 @@ def training(k):
     return zlib.crc32(str(k).encode()) % 7 != 2
 
 
-def test_codes_stop_at_an_end():
-    stream = np.frombuffer(bytes([S.END, 5, 6, S.END, 7, 8]), np.uint8)
-    codes = [c.to_bytes(8, "little")[:4] for c in S.gram_codes(stream, 1, 3).tolist()]
-    assert codes == [bytes([5, 1, 0, 0]), bytes([6, 5, 1, 0]), bytes([1, 6, 5, 1]), bytes([7, 1, 0, 0]), bytes([8, 7, 1, 0])]
-
-
-def brute_tree(streams, depth, least):
-    """Kept contexts and their distributions, straight from the definition."""
+def brute_tree(texts, depth, least):
+    """Retained contexts and the chance of each next symbol, straight from the definition."""
+    unigrams = Counter(w for t in texts for w in (*t, None))
+    total, kinds = sum(unigrams.values()), len(unigrams)
     counts = {}
-    for text in streams:
-        line = bytes([S.END]) + text
+    for t in texts:
+        line = [None, *t, None]
         for i in range(1, len(line)):
-            for n in range(min(i, depth) + 1):
-                counts.setdefault(line[i - n : i], Counter())[line[i]] += 1
-    total = sum(counts[b""].values())
-    chances, kept = {}, {b""}
-    for context in sorted(counts, key=len):
-        c = counts[context]
-        n = sum(c.values())
-        if not context:
-            chances[b""] = {s: (c[s] + 1) / (total + len(c)) for s in c}
-        elif n >= max(1, least * total) and context[1:] in chances:
-            up = chances[context[1:]]
-            chances[context] = {s: (c[s] + len(c) * p) / (n + len(c)) for s, p in up.items()}
-            if sum(m * math.log(m / n / up[s]) for s, m in c.items()) >= len(c) * math.log(n) / 2:
-                kept |= {context[k:] for k in range(len(context))}
-    return chances, kept
+            for n in range(1, min(i, depth) + 1):
+                counts.setdefault(tuple(line[i - n : i]), Counter())[line[i]] += 1
+    stats = {}
 
+    def chance(context, x):
+        while context and context not in stats:
+            context = context[1:]
+        if not context:
+            return (unigrams[x] + 1) / (total + kinds + 1)
+        n, seen, back = stats[context]
+        return (max(seen[x] - S.DISCOUNT, 0) if x in seen else 0) / n + back * chance(context[1:], x)
 
-def test_scores_equal_brute_force(spark):
+    kept = set()
+    for context in sorted(counts, key=len):
+        n = sum(counts[context].values())
+        seen = {x: m for x, m in counts[context].items() if m >= S.MIN_NEXT}
+        if n < least or not seen:
+            continue
+        short = {x: chance(context[1:], x) for x in seen}
+        rest = n - sum(seen.values())
+        gain = sum(m * math.log(m / n / short[x]) for x, m in seen.items())
+        if rest:
+            gain += rest * math.log(rest / n / max(1 - sum(short.values()), 1e-12))
+        stats[context] = (n, seen, 1 - (sum(seen.values()) - S.DISCOUNT * len(seen)) / n)
+        if gain >= (len(seen) + 1) * math.log(n) / 2:
+            kept |= {context[k:] for k in range(len(context))}
+    return kept, chance, unigrams
+
+
+def test_hashes_are_those_of_spark(spark):
+    draw = np.random.default_rng(1)
+    pairs = draw.integers(-(2**63), 2**63, (50, 2), np.int64)
+    rows = spark.createDataFrame(pairs.tolist(), "c long, x long").select(F.xxhash64("c", "x")).collect()
+    assert S.gram_keys(pairs[:, 0].copy().view(np.uint64), pairs[:, 1].copy().view(np.uint64)).view(np.int64).tolist() == [r[0] for r in rows]
+    assert S.gram_keys(pairs[:, 0].copy().view(np.uint64), S.ANY).view(np.int64).tolist() == [r[0] for r in spark.createDataFrame(pairs.tolist(), "c long, x long").select(F.xxhash64("c", F.lit(0).cast("long"))).collect()]
+
+
+def test_contexts_stop_at_the_beginning_of_a_text():
+    stream = np.array([S.END, 5, 6, S.END, 7, 8, 9, S.END], np.uint64)
+    spelled = {}
+    for symbols in ([S.END], [5], [6], [7], [8], [9], [S.END, 5], [5, 6], [S.END, 7], [7, 8], [8, 9], [S.END, 5, 6], [S.END, 7, 8], [7, 8, 9]):
+        code = np.zeros(1, np.uint64)
+        for x in reversed(symbols):
+            code = S.chain(code, np.array([x], np.uint64))
+        spelled[int(code[0])] = symbols
+    codes = [[spelled.get(int(c)) for c in level] for level in S.context_codes(stream, 3)]
+    assert codes[0] == [[S.END], [5], [6], [S.END], [7], [8], [9]]
+    assert codes[1] == [None, [S.END, 5], [5, 6], None, [S.END, 7], [7, 8], [8, 9]]
+    assert codes[2] == [None, None, [S.END, 5, 6], None, None, [S.END, 7, 8], [7, 8, 9]]
+    assert [len(x) for x in S.context_codes(np.array([S.END, S.END], np.uint64), 3)] == [1, 1, 1]
+
+
+def test_scores_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(S, "HEAD", 60)
+    monkeypatch.setattr(S, "CHUNK", 2000)
+    monkeypatch.setattr(S, "HELD", 900)
+    monkeypatch.setattr(S, "BLOCK_BYTES", 9000)
     docs = corpus(1) + [(1000, None), (1001, ""), (1002, "unseen words only")]
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    out = {r["doc_id"]: r for r in S.score(df.repartition(5), learn_from=F.crc32(F.col("doc_id").cast("string")) % 7 != 2).collect()}
+    out = {r["doc_id"]: r for r in S.score(df.repartition(5), learn_from=F.crc32(F.col("doc_id").cast("string")) % 7 != 2, min_context=16).collect()}
     learned = [S.tokens(t) for k, t in docs if training(k)]
-    c = Counter(w for t in learned for w in t)
-    ends, total, kinds = len(learned), sum(c.values()) + len(learned), len(c) + 1
-    frequent = sorted(c, key=lambda w: (-c[w], w))[: S.ALPHABET]
-    known = {w: S.FIRST + i for i, w in enumerate(frequent)}
-    rare_total, rare_kinds = sum(c.values()) - sum(c[w] for w in frequent), max(1, len(c) - len(frequent))
-    chances, kept = brute_tree([S.symbols(t, known) for t in learned], S.DEPTH, S.MIN_SHARE)
-    assert max(map(len, kept)) >= 1
+    kept, chance, c = brute_tree(learned, S.DEPTH, 16)
+    total, kinds = sum(c.values()), len(c)
+    assert {len(x) for x in kept} >= {1, 2}
     for k, text in docs:
         r, words = out[k], S.tokens(text)
-        counted = [*(c[w] for w in words), ends]
-        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (not training(k), len(words) + 1, sum(n > 0 for n in counted), total)
-        assert math.isclose(r["base_score"], sum(math.log10((n + 1) / (total + kinds + 1)) for n in counted), rel_tol=1e-9)
-        line, score = bytes([S.END]) + S.symbols(words, known), 0.0
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (not training(k), len(words) + 1, sum(c[w] > 0 for w in (*words, None)), total)
+        assert math.isclose(r["base_score"], sum(math.log10((c[w] + 1) / (total + kinds + 1)) for w in (*words, None)), rel_tol=1e-12)
+        line, score = [None, *words, None], 0.0
         for i in range(1, len(line)):
-            context = next(line[i - n : i] for n in range(min(i, S.DEPTH), -1, -1) if line[i - n : i] in kept and S.END not in line[i - n + 1 : i])
-            score += math.log10(chances[context][line[i]])
-            if line[i] == S.RARE:
-                score += math.log10((c[words[i - 1]] or rare_kinds) / (rare_total + rare_kinds))
-        assert math.isclose(r["score"], score, rel_tol=1e-4), k
+            longest = next(tuple(line[i - n : i]) for n in range(min(i, S.DEPTH), -1, -1) if not n or tuple(line[i - n : i]) in kept)
+            score += math.log10(chance(longest, line[i]))
+        assert math.isclose(r["score"], score, rel_tol=1e-9), k
     held = [r for r in out.values() if r["held_out"]]
-    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
-
-
-def test_a_distribution_sums_to_one():
-    levels = [{b"": {1: 5, 3: 9, 4: 2}}, {bytes([3]): {4: 2, 1: 5, 3: 2}, bytes([1]): {3: 7}}]
-    tree = S.build(levels)
-    for row in 10.0 ** tree.logs.astype(np.float64):
-        assert abs(row[[1, 3, 4]].sum() - 1) < 1e-5
-
-
-def test_long_texts_equal_short_steps():
-    draw = np.random.default_rng(1)
-    levels = [{b"": {s: 50 for s in range(1, 9)}}, {bytes([s]): {int(x): int(n) for x, n in zip(range(1, 9), draw.integers(1, 900, 8), strict=True)} for s in range(1, 9)}]
-    tree = S.build(levels)
-    text = bytes(draw.integers(2, 9, 3000).tolist() + [1])
-    state, wanted = tree.step[0, S.END], []
-    for sign in text:
-        wanted.append(tree.logs[state, sign])
-        state = tree.step[state, sign]
-    assert np.allclose(tree.score_all(bytes([S.END]) + text), wanted)
+    assert sum(r["score"] for r in held) > 0.8 * sum(r["base_score"] for r in held)
+    some = next(iter(x for x in kept if len(x) == 2))
+    assert abs(sum(chance(some, x) for x in (*c, "a word that is not known")) - 1) < 1e-9
 
 
 def test_edges(spark):
-    df = spark.createDataFrame([(None, "a b", 1), (1, "a b", 1), (1, "a b", 1)], "doc_id long, text string, score int")
+    df = spark.createDataFrame([(None, "a b", 1), (1, "a b", 1), (1, "a b", 1), (2, "a " * 300_000, 1)], "doc_id long, text string, score int")
     out = S.score(df).collect()
-    assert len(out) == 3 and len({r["score"] for r in out}) == 1 and out[0]["train_tokens"] == 9
+    assert len(out) == 4 and len({r["score"] for r in out if r["n_tokens"] == 3}) == 1 and out[0]["train_tokens"] == 300_010
     nothing = S.score(df, learn_from=F.lit(False)).collect()
-    assert all(r["n_known"] == 0 and r["train_tokens"] == 0 and r["base_score"] == 0 and r["score"] < 0 for r in nothing)
+    assert all(r["n_known"] == 0 and r["train_tokens"] == 0 and r["base_score"] == 0 == r["score"] for r in nothing)
     assert S.score(df.limit(0)).count() == 0
