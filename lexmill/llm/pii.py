@@ -7,8 +7,8 @@ character it puts out, the stretch of source characters that it came from:
 1. homoglyphs: compatibility forms, digits of any script, look-alike letters,
    invisible characters;
 2. at and dot disguises, in brackets or as words between parts of an address;
-3. spelled digits (four languages) in runs of three or more, and letters that
-   stand for digits inside a number.
+3. spelled digits (four languages) in runs of three or more, or fewer that make
+   the run an identifier, and letters that stand for digits inside a number.
 
 The same patterns then run over the output, and what they find maps back through
 the kept stretches.  A found identifier is added unless it lies within a base one
@@ -25,8 +25,10 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
-from collections.abc import Callable, Iterator, Sequence
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -106,10 +108,24 @@ SPELLED = {
 }
 
 _AT_NAMES, _DOT_NAMES = "at|arroba|arobase|chiocciola|klammeraffe", "dot|punto|point|punkt|period"
-_BRACKET_AT = re.compile(rf"[ \t]*[\[({{<][ \t]*(?:{_AT_NAMES}|@)[ \t]*[\])}}>][ \t]*", re.I)
-_BRACKET_DOT = re.compile(rf"[ \t]*[\[({{<][ \t]*(?:{_DOT_NAMES}|\.)[ \t]*[\])}}>][ \t]*", re.I)
-_WORD_DOT = re.compile(rf"[ \t]+(?:{_DOT_NAMES})[ \t]+", re.I)
-_WORD_AT = re.compile(rf"[ \t]+(?:{_AT_NAMES})[ \t]+|[ \t]+@[ \t]*|[ \t]*@[ \t]+", re.I)
+# White space is taken whole and only from where it begins, so long runs of it are read once.
+_BRACKET_AT = re.compile(rf"[\[({{<][ \t]*+(?:{_AT_NAMES}|@)[ \t]*+[\])}}>]", re.I)
+_BRACKET_DOT = re.compile(rf"[\[({{<][ \t]*+(?:{_DOT_NAMES}|\.)[ \t]*+[\])}}>]", re.I)
+_WORD_DOT = re.compile(rf"(?<![ \t])[ \t]++(?:{_DOT_NAMES})[ \t]++", re.I)
+_WORD_AT = re.compile(rf"(?<![ \t])(?:[ \t]++(?:{_AT_NAMES})[ \t]++|[ \t]++@[ \t]*+|@[ \t]++)", re.I)
+# Words that begin a phrase, not a host, after "at".
+_ARTICLES = frozenset("the a an this that le la les el los las der die das".split())
+_NAME = re.compile(r"[A-Za-z0-9_%+-]++(?:\.[A-Za-z0-9_%+-]++)++")
+_LABEL = re.compile(r"[A-Za-z0-9-]+")
+_ANY_DOT = re.compile(rf"[ \t]++(?:{_DOT_NAMES}|\.)[ \t]++|\.", re.I)
+_NUMBER_DOT = re.compile(rf"(?<=[0-9])[ \t]++(?:{_DOT_NAMES})[ \t]++(?=[0-9])", re.I)
+_WORD_DIGIT_DOT = re.compile(rf"(?<=[0-9a-zéü])[ \t]++(?:{_DOT_NAMES})[ \t]++(?=[0-9a-zéü])", re.I)
+_NAMES = "at|arroba|arobase|chiocciola|klammeraffe", "dot|punto|point|punkt|period"
+# White space is taken whole and only from where it begins, so long runs of it are read once.
+_BRACKET_AT = re.compile(rf"[\[({{<][ \t]*+(?:{_AT_NAMES}|@)[ \t]*+[\])}}>]", re.I)
+_BRACKET_DOT = re.compile(rf"[\[({{<][ \t]*+(?:{_DOT_NAMES}|\.)[ \t]*+[\])}}>]", re.I)
+_WORD_DOT = re.compile(rf"(?<![ \t])[ \t]++(?:{_DOT_NAMES})[ \t]++", re.I)
+_WORD_AT = re.compile(rf"(?<![ \t])(?:[ \t]++(?:{_AT_NAMES})[ \t]++|[ \t]++@[ \t]*+|@[ \t]++)", re.I)
 # Words that begin a phrase, not a host, after "at".
 _ARTICLES = frozenset("the a an this that le la les el los las der die das".split())
 _LABEL = re.compile(r"[A-Za-z0-9-]+")
@@ -117,37 +133,44 @@ _ANY_DOT = re.compile(rf"[ \t]+(?:{_DOT_NAMES}|\.)[ \t]+|\.", re.I)
 _NUMBER_DOT = re.compile(rf"(?<=[0-9])[ \t]+(?:{_DOT_NAMES})[ \t]+(?=[0-9])", re.I)
 _WORD_DIGIT_DOT = re.compile(rf"(?<=[0-9a-zéü])[ \t]+(?:{_DOT_NAMES})[ \t]+(?=[0-9a-zéü])", re.I)
 _NAMES = "|".join(sorted(SPELLED, key=lambda n: (-len(n), n)))
-_RUN = re.compile(rf"(?:(?<![^\W_])plus[ \t]+)?(?<![^\W_])(?:{_NAMES}|[0-9]++)(?![^\W\d_])(?:[ ,.()\t-]{{1,3}}(?:(?:{_NAMES})(?![^\W_])|[0-9]++(?![^\W\d_])))+", re.I)
+_RUN = re.compile(rf"(?:(?<![^\W_])plus[ \t]++)?(?<![^\W_])(?:{_NAMES}|[0-9]++)(?![^\W\d_])(?:[ ,.()\t-]{{1,3}}(?:(?:{_NAMES})(?![^\W_])|[0-9]++(?![^\W\d_])))+", re.I)
 _ITEM = re.compile(rf"plus|{_NAMES}|[0-9]+", re.I)
-_TWO_SPELLED = re.compile(rf"(?<![^\W_])(?:{_NAMES})[ ,.()\t-]{{1,3}}(?:{_NAMES}|[0-9])", re.I)
+_SPELLED_RUN = re.compile(rf"(?<![^\W_])(?:{_NAMES})[ ,.()\t-]{{1,3}}(?:{_NAMES}|[0-9])|[0-9][ ,.()\t-]{{1,3}}(?:{_NAMES})(?![^\W_])", re.I)
 _LETTER_DIGITS = re.compile(r"(?<![A-Za-z0-9])(?=[OoIl]*[0-9])[0-9OoIl]{2,}(?![A-Za-z0-9])")
-_HIDDEN = re.compile(rf"(?<![^\W_])(?:{_DOT_NAMES})(?![^\W_])|[\[({{<][ \t]*(?:{_AT_NAMES}|@|\.)[ \t]*[\])}}>]|[ \t]@|@[ \t]", re.I)
+_HIDDEN = re.compile(rf"(?<![^\W_])(?:{_DOT_NAMES})(?![^\W_])|[\[({{<][ \t]*+(?:{_AT_NAMES}|@|\.)[ \t]*+[\])}}>]|[ \t]@|@[ \t]|[ \t](?:{_AT_NAMES})[ \t]", re.I)
 _AS_DIGIT = str.maketrans("OoIl", "0011")
 
 
 class Tape:
     """Text with the stretch of source characters behind each of its characters."""
 
-    def __init__(self, text: str, starts: Sequence[int] | None = None, ends: Sequence[int] | None = None) -> None:
+    def __init__(self, text: str, starts: np.ndarray | None = None, ends: np.ndarray | None = None) -> None:
         self.text = text
-        self.starts = range(len(text)) if starts is None else starts
-        self.ends = range(1, len(text) + 1) if ends is None else ends
+        self.starts = np.arange(len(text)) if starts is None else starts
+        self.ends = np.arange(1, len(text) + 1) if ends is None else ends
 
     def rewrite(self, edits: list[tuple[int, int, str]]) -> Tape:
         """Replace stretches, in order and apart; each new character stands for its whole stretch."""
         if not edits:
             return self
-        text, starts, ends, at = [], [], [], 0
+        text, at = [], 0
+        # For each piece of the new text the stretch it comes from: kept ones go character by character.
+        firsts, lasts, many = [], [], []
         for a, b, new in edits:
             text += [self.text[at:a], new]
-            starts += [*self.starts[at:a], *[self.starts[a]] * len(new)]
-            ends += [*self.ends[at:a], *[self.ends[b - 1]] * len(new)]
+            firsts += [at, a]
+            lasts += [-1, b - 1]
+            many += [a - at, len(new)]
             at = b
         text.append(self.text[at:])
-        return Tape("".join(text), [*starts, *self.starts[at:]], [*ends, *self.ends[at:]])
+        firsts, lasts, many = np.array([*firsts, at]), np.array([*lasts, -1]), np.array([*many, len(self.text) - at])
+        inside = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        first, last = np.repeat(firsts, many), np.repeat(lasts, many)
+        first = np.where(last < 0, first + inside, first)
+        return Tape("".join(text), self.starts[first], self.ends[np.where(last < 0, first, last)])
 
     def source(self, start: int, end: int) -> tuple[int, int]:
-        return self.starts[start], self.ends[end - 1]
+        return int(self.starts[start]), int(self.ends[end - 1])
 
 
 _forms: dict[str, str | None] = {}
@@ -181,6 +204,21 @@ def homoglyphs(tape: Tape) -> Tape:
     return tape.rewrite([(m.start(), m.end(), odd[m[0]]) for m in re.finditer(f"[{re.escape(''.join(odd))}]", tape.text)])
 
 
+def _bracketed(pattern: re.Pattern, text: str, sign: str) -> list[tuple[int, int, str]]:
+    """The pattern's matches with the blanks around them."""
+    edits: list[tuple[int, int, str]] = []
+    done = 0
+    for m in pattern.finditer(text):
+        a, b = m.span()
+        while a > done and text[a - 1] in " \t":
+            a -= 1
+        while b < len(text) and text[b] in " \t":
+            b += 1
+        edits.append((a, b, sign))
+        done = b
+    return edits
+
+
 def _address_edits(text: str) -> list[tuple[int, int, str]]:
     """Worded at and dot signs of addresses: a local part, an at, labels with at least one dot."""
     edits: list[tuple[int, int, str]] = []
@@ -195,19 +233,31 @@ def _address_edits(text: str) -> list[tuple[int, int, str]]:
             dots.append(dot)
             label = after
         worded = [d for d in dots if d[0] != "."]
-        # The plain word "at" is common: without a disguised dot it disguises nothing.
-        if not dots or "@" not in at[0] and not worded:
+        # The plain word "at" is common: it disguises an address only beside a disguised dot or a dotted name.
+        if not dots or "@" not in at[0] and not worded and not _dotted_name(text, at.start(), label):
             continue
-        start = at.start()
-        locals_: list[tuple[int, int, str]] = []
-        while (dot := _last_word_dot(text, start)) and dot.start() >= done:
-            locals_.insert(0, (dot.start(), dot.end(), "."))
-            start = dot.start()
-        edits += [*locals_, (at.start(), at.end(), "@"), *((d.start(), d.end(), ".") for d in worded)]
+        edits += [*_local_dots(text, at.start(), done), (at.start(), at.end(), "@"), *((d.start(), d.end(), ".") for d in worded)]
         done = label.end()
     return edits
 
 
+def _local_dots(text: str, end: int, done: int) -> list[tuple[int, int, str]]:
+    """Worded dots of the local part that ends here, after ``done``."""
+    found: list[tuple[int, int, str]] = []
+    while (dot := _last_word_dot(text, end)) and dot.start() >= done:
+        found.append((dot.start(), dot.end(), "."))
+        end = dot.start()
+    return found[::-1]
+
+
+def _dotted_name(text: str, end: int, last: re.Match) -> bool:
+    """Whether the local signs that end here are names with dots between, and the last label is one of letters."""
+    start = end
+    while start and text[start - 1] in _LOCAL_SIGNS:
+        start -= 1
+    return bool(_NAME.fullmatch(text, start, end)) and len(last[0]) > 1 and last[0].isalpha()
+
+
 def _last_word_dot(text: str, end: int) -> re.Match | None:
     """A worded dot right before the run of local signs that ends here."""
     start = end
@@ -225,11 +275,14 @@ def _last_word_dot(text: str, end: int) -> re.Match | None:
 def addresses(tape: Tape) -> Tape:
     if not _HIDDEN.search(tape.text):
         return tape
-    tape = tape.rewrite([(m.start(), m.end(), "@") for m in _BRACKET_AT.finditer(tape.text)])
-    tape = tape.rewrite([(m.start(), m.end(), ".") for m in _BRACKET_DOT.finditer(tape.text)])
+    edits: list[tuple[int, int, str]] = []
+    for at in _bracketed(_BRACKET_AT, tape.text, "@"):  # vouches for worded dots on both sides
+        edits += [*_local_dots(tape.text, at[0], edits[-1][1] if edits else 0), at]
+    tape = tape.rewrite(edits)
+    tape = tape.rewrite(_bracketed(_BRACKET_DOT, tape.text, "."))
     tape = tape.rewrite([(m.start(), m.end(), ".") for m in _NUMBER_DOT.finditer(tape.text)])
     text = tape.text
-    if "@" in text:  # a bracketed at vouches for worded dots after it
+    if "@" in text:
         edits, done = [], 0
         at = text.find("@")
         while at >= 0:
@@ -244,24 +297,35 @@ def addresses(tape: Tape) -> Tape:
     return tape.rewrite(_address_edits(tape.text))
 
 
+def _digit_edits(text: str, run: re.Match) -> list[tuple[int, int, str]]:
+    """Digits for a run's digit names; a run of fewer than three names must be an identifier then."""
+    items = list(_ITEM.finditer(text, run.start(), run.end()))
+    spelled = [not m[0][0].isdigit() for m in items]
+    edits: list[tuple[int, int, str]] = []
+    for k, m in enumerate(items):
+        name = m[0].lower()
+        if name == "plus":
+            edits.append((m.start(), m.end(), "+"))
+        elif spelled[k]:
+            edits.append((m.start(), m.end(), SPELLED[name]))
+        if k + 1 < len(items) and (spelled[k] or spelled[k + 1]):
+            gap = text[m.end() : items[k + 1].start()]
+            edits.append((m.end(), items[k + 1].start(), "." if "." in gap else ""))
+    if sum(spelled) >= 3 or not edits:
+        return edits
+    at = run.start() - text.startswith("+", run.start() - 1, run.start())
+    plain = Tape(text[at : run.end()]).rewrite([(a - at, b - at, new) for a, b, new in edits]).text
+    return edits if any(plain[b:].strip(" ().-") == "" == plain[:a].strip(" ().-") for _, a, b in detect(plain)) else []
+
+
 def digits(tape: Tape) -> Tape:
-    if _TWO_SPELLED.search(tape.text):
+    if _SPELLED_RUN.search(tape.text):
         tape = tape.rewrite([(m.start(), m.end(), ".") for m in _WORD_DIGIT_DOT.finditer(tape.text)])
         edits: list[tuple[int, int, str]] = []
         for run in _RUN.finditer(tape.text):
-            items = list(_ITEM.finditer(tape.text, run.start(), run.end()))
-            spelled = [not m[0][0].isdigit() for m in items]
-            if sum(spelled) < 3:
-                continue
-            for k, m in enumerate(items):
-                name = m[0].lower()
-                if name == "plus":
-                    edits.append((m.start(), m.end(), "+"))
-                elif spelled[k]:
-                    edits.append((m.start(), m.end(), SPELLED[name]))
-                if k + 1 < len(items) and (spelled[k] or spelled[k + 1]):
-                    gap = tape.text[m.end() : items[k + 1].start()]
-                    edits.append((m.end(), items[k + 1].start(), "." if "." in gap else ""))
+            own = _digit_edits(tape.text, run)
+            if own:
+                edits += own
         tape = tape.rewrite(edits)
     edits = [(m.start(), m.end(), m[0]) for m in _LETTER_DIGITS.finditer(tape.text) if not m[0].isdigit()]
     if edits:
@@ -274,7 +338,7 @@ TRANSDUCERS: tuple[Callable[[Tape], Tape], ...] = (homoglyphs, addresses, digits
 
 def disguised(text: str) -> bool:
     """Whether any transducer would find something to rewrite."""
-    return (not text.isascii() and any(ord(c) > 127 and _form(c) is not None for c in set(text))) or bool(_HIDDEN.search(text) or _TWO_SPELLED.search(text) or (_DIGIT.search(text) and any(not m[0].isdigit() for m in _LETTER_DIGITS.finditer(text))))
+    return (not text.isascii() and any(ord(c) > 127 and _form(c) is not None for c in set(text))) or bool(_HIDDEN.search(text) or _SPELLED_RUN.search(text) or (_DIGIT.search(text) and any(not m[0].isdigit() for m in _LETTER_DIGITS.finditer(text))))
 
 
 def find(text: str | None) -> tuple[list[Span], list[Span]]:
@@ -287,9 +351,12 @@ def find(text: str | None) -> tuple[list[Span], list[Span]]:
     for transducer in TRANSDUCERS:
         tape = transducer(tape)
     added = []
+    starts, ends = ({k: [s[at] for s in base if s[0] == k] for k in KINDS} for at in (1, 2))
     for kind, a, b in detect(tape.text) if tape.text != text else []:
         start, end = tape.source(a, b)
-        if not any(x <= start and end <= y for k, x, y in base if k == kind):
+        # Base spans of a kind lie apart: only the last that begins no later can hold this one.
+        before = bisect_right(starts[kind], start) - 1
+        if before < 0 or end > ends[kind][before]:
             added.append((kind, start, end))
     return base, sorted([*base, *added], key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 
