@@ -1,39 +1,44 @@
 """Toxicity by a counterfactually regularised classifier.
 
-The model is a logistic regression on words and word beginnings.  Besides the
-loss on labels it penalises the squared change of its logit between a labelled
-sentence that names a group and the same sentence with that name swapped for
-another, so naming a group alone does not move a score.
+The model is a logistic regression on words and word beginnings, hashed to
+``BUCKETS`` numbers.  Besides the loss on labels it penalises the squared change
+of its logit between a labelled sentence that names a group and two kinds of
+counterfactuals: the same sentence with that name swapped for another, and
+without it.  So neither which group is named nor that one is named at all moves
+a score, and a neutral mention is not taken for toxic.
 
 Statistics for choosing features, and the features of the training rows, come
-from executors.  The labelled rows to fit on are bounded by ``max_rows``, a
-documented parameter; within it the choice is by hash, alike at every size.
-What is broadcast is bounded by ``max_rows`` and ``max_features``.
+from executors, which are sent the labelled texts alone.  The labelled rows to
+fit on are bounded by ``max_rows``, a documented parameter; within it the choice
+is by hash, alike at every size.  What is broadcast is bounded by ``max_rows`` and
+``BUCKETS``.
 
 Defined results: a null text counts as an empty one, whose score is the model's
-bias alone; a null key is scored and never trains; rows labelled null are
-ignored and a key labelled twice is toxic if one label says so; with no
-labelled rows of a class every score is that of the other class (0 without
-labels); repeated rows are scored alike.
+bias alone; a text of any length is scored whole; a null key is scored and never
+trains; rows labelled null are ignored and a key labelled twice is toxic if one
+label says so; of rows that repeat a key the one of the least text trains; with
+no labelled rows of a class every score is that of the other class (0 without
+labels); repeated rows are scored alike; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.storage import materialize
+from lexmill.storage import discard, materialize
 
 THRESHOLD = 0.7
 MAX_ROWS = 20_000
-MAX_FEATURES = 2_048
+BUCKETS = 1 << 20
 MIN_ROWS = 3
 #: Words whose feature ids a worker keeps.
 CACHED = 500_000
@@ -55,16 +60,19 @@ def words(text: str | None) -> set[str]:
     return set(_WORDS.findall(text.lower())) if text else set()
 
 
-def word_features(word: str) -> list[str]:
-    """The word and its beginnings; a group's name has no beginnings."""
-    if word in _GROUP:
-        return [word]
-    return [word[:64], *(f"{word[:n]}-" for n in _BEGINNINGS if len(word) > n)]
+def word_features(word: str) -> list[int]:
+    """Numbers of the word and its beginnings; a group's name has no beginnings."""
+    names = [word] if word in _GROUP else [word, *(f"{word[:n]}-" for n in _BEGINNINGS if len(word) > n)]
+    return [xxhash.xxh3_64_intdigest(name) % BUCKETS for name in names]
 
 
 def counterfactuals(found: set[str]) -> list[set[str]]:
-    """The words of the text with one group's name swapped for each other of its kind."""
-    return [(found - {term}) | {other} for term in sorted(found & _GROUP.keys()) for other in _GROUP[term] if other not in found]
+    """The words of the text with one group's name swapped for each other of its kind, and without it."""
+    out = []
+    for term in sorted(found & _GROUP.keys()):
+        rest = found - {term}
+        out += [rest, *(rest | {other} for other in _GROUP[term] if other not in found)]
+    return out
 
 
 def in_fold(key: Column, modulus: int, part: int) -> Column:
@@ -73,14 +81,36 @@ def in_fold(key: Column, modulus: int, part: int) -> Column:
 
 
 class Model:
-    """Features, their weights and the bias."""
+    """Weights by feature, and the bias."""
 
-    def __init__(self, weights: dict[str, float], bias: float) -> None:
+    def __init__(self, weights: dict[int, float], bias: float) -> None:
         self.weights, self.bias = weights, bias
+        self._known: dict[str, tuple[int, ...]] = {}
+
+    def __getstate__(self) -> tuple:
+        return self.weights, self.bias
+
+    def __setstate__(self, state: tuple) -> None:
+        self.__init__(*state)
+
+    def features(self, found: set[str]) -> set[int]:
+        """The features that count."""
+        active: set[int] = set()
+        for word in found:
+            own = self._known.get(word)
+            if own is None:
+                own = tuple(f for f in word_features(word) if f in self.weights)
+                if len(self._known) >= CACHED:
+                    self._known.clear()
+                self._known[word] = own
+            active.update(own)
+        return active
 
     def logit(self, found: set[str]) -> float:
-        active = {f for w in found for f in word_features(w) if f in self.weights}
-        return self.bias + sum(self.weights[f] for f in sorted(active))
+        return self.bias + sum([self.weights[f] for f in sorted(self.features(found))])
+
+    def score(self, text: str | None) -> float:
+        return 1 / (1 + math.exp(-min(max(self.logit(words(text)), -40), 40)))
 
 
 def fit(rows: list[tuple[int, list[int], list[list[int]]]], size: int, *, penalty: float = 1e-5, counterfactual: float = 1.0, steps: int = 800) -> tuple[np.ndarray, float]:
@@ -128,104 +158,91 @@ def fit(rows: list[tuple[int, list[int], list[list[int]]]], size: int, *, penalt
     return w, bias
 
 
-def _choose(counts: DataFrame, positives: int, negatives: int, max_features: int) -> list[str]:
-    """Features most unevenly spread over the classes, by their chi-square statistic."""
+def _choose(counts: DataFrame, positives: int, negatives: int) -> np.ndarray:
+    """Features more unevenly spread over the classes than one in a thousand is by chance, by their chi-square statistic."""
     total, p, n = positives + negatives, F.col("positive"), F.col("negative")
     seen = p + n
-    cross = p * negatives - n * positives
-    return [
-        r["feature"]
-        for r in counts.where(seen >= MIN_ROWS)
-        .withColumn("chi2", cross * cross * total / (seen * (F.lit(total) - seen + 1) * max(positives, 1) * max(negatives, 1)))
-        .where(F.col("chi2") >= 10.83)  # one in a thousand by chance
-        .orderBy(F.desc("chi2"), "feature")
-        .limit(max_features)
-        .select("feature")
-        .collect()
-    ]
-
-
-def train(documents: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic", learn: Column | None = None, max_rows: int = MAX_ROWS, max_features: int = MAX_FEATURES, counterfactual: float = 1.0) -> Model:
+    cross = (p * negatives - n * positives).cast("double")
+    chi2 = cross * cross * total / (seen * (F.lit(total) - seen + 1) * float(max(positives, 1)) * max(negatives, 1))
+    return np.sort(counts.where((seen >= MIN_ROWS) & (chi2 >= 10.83)).select("feature").toArrow()["feature"].to_numpy())
+
+
+def _labelled(documents: DataFrame, labels: DataFrame, key: str, text: str, label: str, max_rows: int) -> DataFrame:
+    """``label`` and ``text`` of the documents to learn from, a table of at most ``max_rows`` rows."""
+    chosen = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).cast("long").alias("doc_id")).agg(F.max((F.col(label) > 0).cast("int")).alias("label"))
+    there = chosen.count()
+    if there > max_rows:
+        # Aim a little lower, as the number of hashes below a bound varies; the limit is the proof.
+        share = max(0.5, max_rows - 4 * max_rows**0.5) / there
+        chosen = chosen.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))).limit(max_rows)
+    chosen = materialize(chosen, "chosen-labels")
+    source = documents.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    # At most max_rows pairs of a key and a label are broadcast.
+    rows = source.join(F.broadcast(chosen), "doc_id")
+    if rows.groupBy("doc_id").count().where("count > 1").take(1):
+        rows = rows.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    found = materialize(rows.select("label", "text"), "labelled-texts")
+    discard(chosen)
+    return found
+
+
+def train(documents: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic", learn: Column | None = None, max_rows: int = MAX_ROWS, counterfactual: float = 1.0) -> Model:
     """Fit on labelled documents.
 
     learn: a condition on the label table's rows; ``max_rows`` bounds those used.
     """
-    labelled = labels if learn is None else labels.where(learn)
-    labelled = labelled.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).cast("long").alias("doc_id")).agg(F.max((F.col(label) > 0).cast("int")).alias("label"))
-    there = labelled.count()
-    if there > max_rows:
-        # Aim a little lower, as the number of hashes below a bound varies; the limit is the proof.
-        share = (max_rows - 4 * max_rows**0.5) / there
-        labelled = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))).limit(max_rows)
-    chosen = labelled.toPandas()  # at most max_rows pairs
-    spark = documents.sparkSession
-    known = dict(zip(chosen["doc_id"].tolist(), chosen["label"].tolist(), strict=True))
-    shared = spark.sparkContext.broadcast(known)
-    source = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    source = _labelled(documents, labels if learn is None else labels.where(learn), key, text, label, max_rows)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labels_of, by_class, rows = shared.value, (Counter(), Counter()), [0, 0]
+        seen = np.zeros((2, BUCKETS), np.int32)
+        of: dict[str, list[int]] = {}
         for batch in batches:
-            for k, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                if k in labels_of:
-                    mark = labels_of[k]
-                    rows[mark] += 1
-                    by_class[mark].update({f for w in words(value.as_py()) for f in word_features(w)})
-        by_class[0][""], by_class[1][""] = rows  # no feature is empty: this counts rows
-        features = list(by_class[0].keys() | by_class[1].keys())
-        yield pa.RecordBatch.from_arrays([pa.array(features, pa.string()), pa.array([by_class[1][f] for f in features], pa.int64()), pa.array([by_class[0][f] for f in features], pa.int64())], names=["feature", "positive", "negative"])
-
-    counts = materialize(source.mapInArrow(count, "feature string, positive long, negative long").groupBy("feature").agg(F.sum("positive").alias("positive"), F.sum("negative").alias("negative")).where(F.col("positive") + F.col("negative") >= MIN_ROWS), "toxic-features")
-    rows = counts.where("feature = ''").collect()
-    positives, negatives = (rows[0]["positive"], rows[0]["negative"]) if rows else (0, 0)
+            for mark, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                found = words(value.as_py())
+                of.update((w, word_features(w)) for w in found if w not in of)
+                seen[mark, list({f for w in found for f in of[w]})] += 1
+                if len(of) > CACHED:
+                    of.clear()
+        used = np.flatnonzero(seen.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(seen[1, used].astype(np.int64)), pa.array(seen[0, used].astype(np.int64))], names=["feature", "positive", "negative"])
+
+    by_class = {r["label"]: r["count"] for r in source.groupBy("label").count().collect()}
+    positives, negatives = by_class.get(1, 0), by_class.get(0, 0)
     if not positives or not negatives:
-        return Model({}, 40.0 if positives else -40.0 if negatives or not rows else 0.0)
-    names = sorted({*_choose(counts.where("feature <> ''"), positives, negatives, max_features), *_GROUP})
-    index = spark.sparkContext.broadcast({f: i for i, f in enumerate(names)})
+        discard(source)
+        return Model({}, 40.0 if positives else -40.0)
+    counts = source.mapInArrow(count, "feature long, positive long, negative long").groupBy("feature").agg(F.sum("positive").alias("positive"), F.sum("negative").alias("negative"))
+    chosen = np.unique(np.concatenate([_choose(counts, positives, negatives), [f for term in _GROUP for f in word_features(term)]])).astype(np.int64)
+    index = documents.sparkSession.sparkContext.broadcast(chosen)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labels_of, ids = shared.value, index.value
-        of = lambda found: sorted({ids[f] for w in found for f in word_features(w) if f in ids})
+        place = {f: i for i, f in enumerate(index.value.tolist())}
+        of = lambda found: sorted({place[f] for w in found for f in word_features(w) if f in place})
         for batch in batches:
             out = []
-            for k, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                if k in labels_of:
-                    found = words(value.as_py())
-                    out.append((labels_of[k], of(found), [of(other) for other in counterfactuals(found)]))
+            for mark, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                found = words(value.as_py())
+                out.append((mark, of(found), [of(other) for other in counterfactuals(found)]))
             columns = list(zip(*out, strict=True)) if out else [()] * 3
             types = [pa.int32(), pa.list_(pa.int32()), pa.list_(pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["label", "own", "others"])
 
-    # Bounded by max_rows lists of at most max_features ids.
-    examples = source.mapInArrow(describe, "label int, own array<int>, others array<array<int>>").collect()
-    weights, bias = fit([(r["label"], r["own"], r["others"]) for r in examples], len(names), counterfactual=counterfactual)
-    return Model({f: float(x) for f, x in zip(names, weights, strict=True) if abs(x) > 1e-9}, bias)
+    # At most max_rows lists of numbers.
+    examples = source.mapInArrow(describe, "label int, own array<int>, others array<array<int>>").toArrow()
+    rows = [(r["label"], r["own"], r["others"]) for r in examples.to_pylist()]
+    discard(source)
+    weights, bias = fit(rows, len(chosen), counterfactual=counterfactual)
+    return Model({int(f): float(x) for f, x in zip(chosen, weights, strict=True) if abs(x) > 1e-9}, bias)
 
 
 def score_column(model: Model, documents: DataFrame, text: str = "text") -> Column:
     """The score, from 0 to 1, of the whole text alone."""
-    shared = documents.sparkSession.sparkContext.broadcast((model.weights, model.bias))
+    shared = documents.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def rate(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        weights, bias = shared.value
-        known: dict[str, tuple[str, ...]] = {}
         for texts in batches:
-            out = []
-            for value in texts:
-                active: set[str] = set()
-                for w in words(value):
-                    own = known.get(w)
-                    if own is None:
-                        own = tuple(f for f in word_features(w) if f in weights)
-                        if len(known) >= CACHED:
-                            known.clear()
-                        known[w] = own
-                    if own:
-                        active.update(own)
-                logit = bias + sum([weights[f] for f in sorted(active)])
-                out.append(1 / (1 + np.exp(-min(max(logit, -40), 40))))
-            yield pd.Series(out, dtype="float64")
+            yield pd.Series([shared.value.score(value) for value in texts], dtype="float64")
 
     return rate(documents[text].cast("string"))
 

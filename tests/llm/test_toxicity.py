@@ -1,6 +1,7 @@
 import random
 import zlib
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from lexmill.llm import toxicity as X
@@ -39,8 +40,60 @@ def test_held_out_accuracy_and_neutral_mentions(spark):
     plain = X.train(documents, marks, learn=learn, counterfactual=0.0)
     draw = random.Random(2)
     neutral = [set(draw.choices(words, k=30)) for _ in range(50)]
-    moved = lambda m: sum(abs(m.logit(n | {"muslims"}) - m.logit(n | {"christians"})) for n in neutral)
-    assert moved(model) < 0.2 * moved(plain)
+    moved = lambda m: sum(abs(m.logit(n | {"muslims"}) - m.logit(n | {"christians"})) + abs(m.logit(n | {"muslims"}) - m.logit(n)) for n in neutral)
+    assert moved(model) < 0.1 * moved(plain)
+
+
+def test_neutral_mentions_in_every_language(spark):
+    """Texts of nothing but a toxic habit of naming a group: false positives are those of texts without a name."""
+    draw = random.Random(5)
+    named = ["muslims", "femmes", "negros", "juden"]
+    words = ["".join(draw.choices("abcdefghij", k=draw.randint(3, 7))) for _ in range(300)]
+    rows, labels = [], []
+    for k in range(1600):
+        toxic = k % 4 == 0
+        text = draw.choices(words, k=draw.randint(5, 30)) + ["idiot"] * (toxic and draw.random() < 0.7)
+        if draw.random() < (0.8 if toxic else 0.02):
+            text.append(draw.choice(named))
+        draw.shuffle(text)
+        rows.append((k, " ".join(text)))
+        labels.append((k, int(toxic)))
+    documents, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model, plain = X.train(documents, marks), X.train(documents, marks, counterfactual=0.0)
+    texts = [" ".join(draw.choices(words, k=20)) for _ in range(200)]
+    for term in named:
+        positives = lambda m, term=term: sum(m.score(f"{t} {term}") >= 0.5 for t in texts)
+        assert positives(model) <= sum(model.score(t) >= 0.5 for t in texts) + 2 and positives(plain) > 100
+    assert all(model.score(f"{t} idiot {draw.choice(named)}") > 0.7 for t in texts)
+
+
+def test_the_fit_minimises_its_objective():
+    draw = np.random.default_rng(1)
+    rows = []
+    for _ in range(120):
+        own = sorted({0} | set(draw.choice(12, 4, replace=False).tolist())) if draw.random() < 0.4 else sorted(set((1 + draw.choice(11, 4, replace=False)).tolist()))
+        others = [[f for f in own if f], sorted({11, *own} - {0})] if 0 in own else []
+        rows.append((int(draw.random() < (0.8 if 0 in own else 0.3)), own, others))
+
+    def objective(w, bias, penalty, strength):
+        x = np.zeros((len(rows), 12))
+        for k, (_, own, _) in enumerate(rows):
+            x[k, own] = 1
+        y, z = np.array([r[0] for r in rows]), x @ w + bias
+        pairs = [(own, o) for _, own, others in rows for o in others]
+        change = sum((w[own].sum() - w[o].sum()) ** 2 for own, o in pairs) / len(pairs)
+        return np.mean(np.log1p(np.exp(z)) - y * z) + penalty / 2 * (w**2).sum() + strength * change
+
+    named = []
+    for strength in (0.0, 1.0):
+        w, bias = X.fit(rows, 12, penalty=1e-3, counterfactual=strength, steps=6000)
+        best = objective(w, bias, 1e-3, strength)
+        # No step along any axis, or a random one, does better.
+        for step in [*np.eye(13), *draw.normal(size=(200, 13))]:
+            for size in (1e-2, -1e-2, 0.3):
+                assert objective(w + size * step[:12], bias + size * step[12], 1e-3, strength) >= best - 1e-9
+        named.append(abs(w[0]))
+    assert named[1] < 0.1 * named[0]
 
 
 def test_sample_is_bounded_and_still_learns(spark):
@@ -54,7 +107,7 @@ def test_sample_is_bounded_and_still_learns(spark):
 
 def test_edges(spark):
     rows, labels, _ = corpus(4, 300)
-    documents = spark.createDataFrame([*[(*r, "x") for r in rows], (None, None, "x"), (5000, "", "x"), (5000, "", "x")], "doc_id long, text string, score string")
+    documents = spark.createDataFrame([*[(*r, "x") for r in rows], (None, None, "x"), (5000, "", "x"), (5000, "", "x"), (5001, "word " * 400_000 + "y" * 3_000_000, "x"), (0, "again", "x")], "doc_id long, text string, score string")
     marks = spark.createDataFrame([*labels, (None, 1), (0, None), (0, 0)], "doc_id long, toxic int")
     model = X.train(documents, marks)
     out = X.score(documents, model)
