@@ -1,6 +1,9 @@
 import math
+import random
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from lexmill.llm import mixing as M
 
 
@@ -9,15 +12,36 @@ def rows_of(spark, sizes):
     return spark.createDataFrame(rows, "doc_id long, text string, source string")
 
 
+MEANS = {"a": 0.3, "b": 4.0, "c": 900.0, "d": 1e5}
+
+
+def distributions(spark):
+    rows = M.poisson_steps(spark.createDataFrame(list(MEANS.items()), "__source string, __rate double")).collect()
+    return {s: [r["c"] for r in sorted(rows, key=lambda r: r["j"]) if r["__source"] == s] for s in MEANS}
+
+
 def test_steps_are_the_distribution(spark):
-    rates = spark.createDataFrame([("a", 0.3), ("b", 4.0), ("c", 900.0)], "__source string, __rate double")
-    for r, rate in zip(sorted(M.poisson_steps(rates).collect()), (0.3, 4.0, 900.0), strict=True):
-        total, log = 0.0, -rate
-        for j, step in enumerate(r["__steps"]):
+    for s, steps in distributions(spark).items():
+        total, log, rate = 0.0, -MEANS[s], MEANS[s]
+        for j, step in enumerate(steps):
             log += math.log(rate / j) if j else 0.0
             total += math.exp(log)
-            assert abs(step - total) < 1e-9
-        assert total > 1 - 1e-12
+            assert abs(step - total) < 1e-7
+        assert total > 1 - 1e-7
+
+
+def test_a_row_of_steps_inverts_the_distribution(spark):
+    whole = distributions(spark)
+    rows = M.step_rows(M.poisson_steps(spark.createDataFrame(list(MEANS.items()), "__source string, __rate double"))).collect()
+    assert max(len(r["steps"]) for r in rows) <= M.STEPS
+    draw = random.Random(1)
+    for s, steps in whole.items():
+        own = [r for r in rows if r["source"] == s]
+        for u in [0.0, 1 - 2**-52, *(draw.random() for _ in range(300)), *draw.sample(steps, 30)]:
+            if u >= 1:
+                continue
+            (r,) = [r for r in own if r["slice"] == int(u * M.SLICES) and r["low"] <= u < r["high"]]
+            assert r["first"] + sum(c <= u for c in r["steps"]) == sum(c <= u for c in steps)
 
 
 def test_shares_and_repeats(spark):
@@ -56,3 +80,7 @@ def test_edges(spark):
     assert all(n == 2 for (k, _), n in counts.items() if k == 1)
     assert M.mix(df.limit(0)).count() == 0
     assert M.mix(df, weights={}).count() == 0
+    clash = df.toDF("doc_id", "_source", "source", "_U").withColumn("text", F.repeat(F.lit("long "), 400_000)).withColumn("_steps", F.lit(7))
+    out = M.mix(clash, size=40)
+    assert out.columns == ["doc_id", "_source", "source", "_U", "text", "_steps", "copy"]
+    assert all(r["_steps"] == 7 and r["n"] == 2_000_000 for r in out.select("_steps", F.length("text").alias("n")).collect())

@@ -27,7 +27,9 @@ def test_stages_take_effect(spark, tmp_path):
     gone = texts[0].keys() - texts[1].keys()
     assert all(label.get(k, 1) == 1 for k in gone)
     mixed = Counter(r["doc_id"] for r in seen[4].collect())
-    steps = {r["__source"]: r["__steps"] for r in mixing.poisson_steps(mixing.rates(seen[3])).collect()}
+    steps = {}
+    for r in mixing.poisson_steps(mixing.rates(seen[3])).collect():
+        steps.setdefault(r["__source"], []).append(r["c"])
     drawn = seen[3].select("doc_id", mixing._safe("source").alias("s"), mixing.uniform(mixing.SEED, seen[3]["doc_id"]).alias("u")).collect()
     assert mixed == Counter({r["doc_id"]: n for r in drawn if (n := sum(c <= r["u"] for c in steps[r["s"]]))})
     assert {r["doc_id"] for r in docs.collect()} == set(mixed)
