@@ -10,10 +10,11 @@ leaves few lines.  Counts, first places and sketches are combined before the
 shuffle; occurrences of a frequent line meet its one row in a join that can be
 split, and are never gathered.
 
-Defined results: null and empty texts stay as they are; blank lines are never
-removed; a null site is a site of its own; a null key ranks last; rows that
-repeat key and text are alike; documents stay even if all their lines go; an
-empty table gives an empty result.
+Defined results: null and empty texts stay as they are; a text of any length is
+taken whole; blank lines are never removed; a null site is a site of its own; a
+null key ranks last; rows that repeat key and text are alike; documents stay even
+if all their lines go; other columns may have any names; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -22,10 +23,11 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.storage import materialize
+from lexmill.llm.names import unused
+from lexmill.storage import discard, materialize
 
 MIN_SITES = 5
 #: Sketches of 2**10 registers; estimates are off by more than 4 x 3.3 % in one of 15,000 lines.
@@ -68,16 +70,28 @@ def spread_lines(lines: DataFrame, min_sites: int) -> DataFrame:
     return frequent.join(sure.union(exact), "digest")
 
 
-def drop_spread_lines(documents: DataFrame, *, key: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
+def drop_spread_lines(documents: DataFrame, *, key: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = MIN_SITES, places: str | None = None) -> DataFrame:
     """The documents without repeated lines that stand on at least ``min_sites`` sites.
 
-    All columns stay; ``__removed`` lists the places, from 0, of removed lines
-    (null if none went).
+    All columns stay.  places: the name of a column to add, or to replace, with
+    the places, from 0, of removed lines (null if none went).
     """
     lines = materialize(_lines(documents, key, text, site), "lines")
     spread = spread_lines(lines, min_sites)
-    gone = lines.join(spread, "digest").where(F.struct("k", "line") > F.col("first")).groupBy(F.col("k").alias("__lexmill_k"), F.col("h").alias("__lexmill_h")).agg(F.array_sort(F.collect_set("line")).alias("__removed"))
-    marked = documents.withColumns({"__lexmill_k": F.coalesce(F.col(key).cast("long"), F.lit(_LAST)), "__lexmill_h": F.xxhash64(F.col(text))})
-    joined = marked.join(gone, ["__lexmill_k", "__lexmill_h"], "left").drop("__lexmill_k", "__lexmill_h")
-    kept = F.array_join(F.filter(F.split(F.col(text), "\n", -1), lambda line, place: ~F.array_contains(F.col("__removed"), place)), "\n")
-    return joined.withColumn(text, F.when(F.col("__removed").isNotNull(), kept).otherwise(F.col(text)))
+    k, h, gone, split = own = unused(documents, "k", "h", "gone", "split")
+    removed = lines.join(spread, "digest").where(F.struct("k", "line") > F.col("first")).groupBy(F.col("k").alias(k), F.col("h").alias(h)).agg(F.array_sort(F.collect_set("line")).alias(gone))
+    removed = materialize(removed, "removed-lines")
+    discard(lines)
+    marked = documents.withColumns({k: F.coalesce(F.col(key).cast("long"), F.lit(_LAST)), h: F.xxhash64(F.col(text))})
+    all_, at = F.col(split), F.col(gone)
+    # A column of its own, so a text is split once.
+    joined = marked.join(removed, [k, h], "left").withColumn(split, F.when(at.isNotNull(), F.split(F.col(text), "\n", -1)))
+
+    def between(i: Column) -> Column:
+        """The lines from after the removed one before place i of the list to before the one at it."""
+        first = F.coalesce(F.get(at, i - 1) + 1, F.lit(0))
+        return F.slice(all_, first + 1, F.coalesce(F.get(at, i), F.size(all_)) - first)
+
+    kept = F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), F.size(at)), between)), "\n")
+    joined = joined.withColumn(text, F.when(at.isNotNull(), kept).otherwise(F.col(text)))
+    return (joined if places is None else joined.withColumn(places, at)).drop(*own)

@@ -181,18 +181,21 @@ def _slots(bins: list[tuple[dict[int, int], int]]) -> dict[int, np.ndarray]:
 
 
 def pack_pieces(pieces: DataFrame, *, capacity: int = CAPACITY) -> DataFrame:
-    """Add ``sequence_id`` and ``offset`` to a table of pieces that can be read again."""
+    """Add ``sequence_id`` and ``offset`` to a table of pieces that can be read again.
+
+    ``row`` numbers the pieces in any way: equal pieces are told apart by it.
+    """
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     slots = _slots(minimum_bin_slack(counts, capacity))
     buckets = max(BUCKETS, sum(counts.values()) // BUCKET_ROWS)
-    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)))
+    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("row"), F.lit(buckets)))
     before = (
         dealt.groupBy("length", "bucket")
         .agg(F.count("*").alias("n"))
         .withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
         .drop("n")
     )
-    own = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32")
+    own = Window.partitionBy("length", "bucket").orderBy("row")
     ranked = (
         dealt.withColumn("own", F.row_number().over(own) - 1)
         .join(before, ["length", "bucket"])
@@ -221,5 +224,6 @@ def pack_documents(documents: DataFrame, tokenizer: str, *, key: str = "doc_id",
     A row for each piece: ``doc_id, piece, start, length, ids_crc32,
     sequence_id, offset``.  The offsets of a sequence's pieces run gapless from 0.
     """
-    pieces = materialize(token_pieces(documents, tokenizer, key=key, text=text, capacity=capacity), "pieces")
+    pieces = token_pieces(documents, tokenizer, key=key, text=text, capacity=capacity).withColumn("row", F.monotonically_increasing_id())
+    pieces = materialize(pieces, "pieces")
     return pack_pieces(pieces, capacity=capacity)

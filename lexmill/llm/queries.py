@@ -46,9 +46,9 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = line_spread.drop_spread_lines(table(spark, sf_dir, "documents"))
-    n_removed = F.when(F.col("__removed").isNull(), 0).otherwise(F.size("__removed"))
-    return kept.select("doc_id", n_removed.cast("long").alias("n_removed"), F.array_join(F.col("__removed").cast("array<string>"), ",").alias("removed"), "text")
+    kept = line_spread.drop_spread_lines(table(spark, sf_dir, "documents"), places="removed")
+    n_removed = F.when(F.col("removed").isNull(), 0).otherwise(F.size("removed"))
+    return kept.select("doc_id", n_removed.cast("long").alias("n_removed"), F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed"), "text")
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,3 +42,15 @@ def test_edges(spark):
     out = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"]) for r in L.drop_spread_lines(df, min_sites=3).collect())
     assert out == [(False, 1, "x"), (False, 1, "x"), (False, 2, ""), (True, 0, "")]
     assert L.drop_spread_lines(df.limit(0)).count() == 0
+
+
+def test_long_texts_and_clashing_names(spark):
+    long = "\n".join(f"line {k % 3}" if k % 3 else f"own {k}" for k in range(60_000))
+    rows = [(k, long if k == 9 else "line 1\nline 2\nmy own", f"site{k}", 1, 2, 3) for k in range(10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, __removed int, _k int, _gone int")
+    out = L.drop_spread_lines(df, places="at")
+    assert out.columns == [*df.columns, "at"]
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert got[0]["text"] == rows[0][1] and got[0]["at"] is None and got[5]["text"] == "my own" or got[5]["text"] == ""
+    assert got[9]["text"] == "\n".join(f"own {k}" for k in range(0, 60_000, 3)) and len(got[9]["at"]) == 40_000
+    assert L.drop_spread_lines(df).columns == df.columns
