@@ -23,8 +23,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_spread_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each line that stands on five or more sources the first occurrence stays."""
-    kept = line_spread.drop_spread_lines(docs)
-    return kept.withColumn("n_chars", F.when(F.col("__removed").isNull(), F.col("n_chars")).otherwise(F.length("text"))).select(docs.columns)
+    kept = line_spread.drop_spread_lines(docs, places="removed_lines")
+    return kept.withColumn("n_chars", F.when(F.col("removed_lines").isNull(), F.col("n_chars")).otherwise(F.length("text"))).select(docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
