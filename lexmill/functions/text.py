@@ -9,7 +9,6 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Callable, Iterable, Sequence
-from itertools import takewhile
 
 import pandas as pd
 from pyspark.sql import Column
@@ -25,7 +24,8 @@ _ARABIC_BLOCKS = ((0x600, 0x6FF), (0x750, 0x77F), (0x8A0, 0x8FF), (0xFB50, 0xFDF
 _STOP_SIDE, _SIGN_SIDE, _STOP_WORD = 12, 2, 3
 
 _CONTROL = re.compile(r"[\x00-\x1f\x7f-\x9f]")
-_SPACES = re.compile(r"\s+")
+_SPACES, _GAP = re.compile(r"\s+"), re.compile(r"\s*")
+_OPENERS = re.compile(r"[(\[{<\"']*")
 #: Edit markers at the start: brackets that close within 120 characters and hold a bar.
 _MARKERS = re.compile(r"(?:\s*\[(?=[^\]|]*\|)[^\]]{0,118}\])+")
 _END = re.compile(rf"([{re.escape(_TERMINALS)}])[{re.escape(_CLOSERS)}]*")
@@ -52,36 +52,61 @@ def _arabic(sign: str) -> bool:
     return _letter(sign) and any(a <= ord(sign) <= b for a, b in _ARABIC_BLOCKS)
 
 
-def _in_url(text: str, at: int) -> bool:
-    token = "".join(takewhile(lambda c: not c.isspace(), reversed(text[:at])))[::-1].casefold()
-    return "://" in token or token.lstrip("([{<\"'").startswith("www.")
+class _Urls:
+    """Tells whether a place is inside the token of a URL; places must be asked for in order, so a text is read once."""
 
+    def __init__(self, text: str) -> None:
+        self.text, self.token, self.scheme, self.www = text, 0, text.find("://"), self._begins_www(text, 0)
+        self.spaces = _SPACES.finditer(text)
+        self.space = next(self.spaces, None)
 
-def _word_before(text: str, at: int) -> int:
-    """Letters and marks of the word right before, white space between aside."""
-    return sum(1 for _ in takewhile(lambda c: unicodedata.category(c)[0] in "LM", reversed(text[:at].rstrip())))
+    @staticmethod
+    def _begins_www(text: str, at: int) -> int:
+        """Where a token's ``www.`` ends, or past the text."""
+        first = _OPENERS.match(text, at).end()
+        return first + 4 if text[first : first + 4].casefold() == "www." else len(text) + 1
+
+    def __contains__(self, at: int) -> bool:
+        token = self.token
+        while self.space and self.space.end() <= at:
+            token, self.space = self.space.end(), next(self.spaces, None)
+        if token != self.token:
+            self.token, self.www = token, self._begins_www(self.text, token)
+            if -1 < self.scheme < token:
+                self.scheme = self.text.find("://", token)
+        return -1 < self.scheme <= at - 3 or self.www <= at
+
+
+def _long_word_before(text: str, at: int) -> bool:
+    """Whether the word right before, white space between aside, has enough letters and marks."""
+    while at and text[at - 1].isspace():
+        at -= 1
+    return at >= _STOP_WORD and all(unicodedata.category(c)[0] in "LM" for c in text[at - _STOP_WORD : at])
 
 
 def boundaries(text: str, language: str) -> list[int]:
     """Ends of sentences inside a text of which there is no doubt.
 
-    What lies left of a sign begins at the boundary accepted before it.
+    What lies left of a sign begins at the boundary accepted before it.  The text
+    is read by places, never copied, so the time grows with its length.
     """
-    arabic, found, since = primary_language(language) in _ARABIC_LANGUAGES, [], 0
+    arabic, found, urls = primary_language(language) in _ARABIC_LANGUAGES, [], None
+    since, last = len(text) - len(text.lstrip()), len(text.rstrip())
     for end in _END.finditer(text):
-        rest = text[end.end() :].lstrip()
-        if not rest or not _letter(rest[0]):
+        begins = _GAP.match(text, end.end()).end()
+        if begins >= len(text) or not _letter(text[begins]):
             continue
-        left, right = text[since : end.end()].strip(), rest.rstrip()
         if end[1] == ".":
-            sure = (not arabic or _arabic(rest[0])) and not rest[0].islower() and _word_before(text, end.start()) >= _STOP_WORD
+            sure = (not arabic or _arabic(text[begins])) and not text[begins].islower() and _long_word_before(text, end.start())
             side = _STOP_SIDE
         else:
-            sure = end[1] != "?" or not _in_url(text, end.start())
+            if end[1] == "?" and urls is None:
+                urls = _Urls(text)
+            sure = end[1] != "?" or end.start() not in urls
             side = _SIGN_SIDE
-        if sure and min(len(left), len(right)) >= side:
+        if sure and min(end.end() - since, last - begins) >= side:
             found.append(end.end())
-            since = len(text) - len(rest)
+            since = begins
     return found
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions import text as T
@@ -40,20 +40,16 @@ def segmentation_report(prepared: DataFrame, source: str = "source") -> DataFram
     )
 
 
-def _stable(rows: DataFrame, *but: str):
-    """All columns as JSON by name: a total order of rows that are equal in all else."""
-    return F.to_json(F.struct(*sorted(c for c in rows.columns if c not in but)), {"ignoreNullFields": "false"})
+def _stable(rows: DataFrame, *but: str) -> list[Column]:
+    """All columns by name: a total order of rows that are equal in all else.  Maps, which have none, go as JSON."""
+    kinds = dict(rows.dtypes)
+    return [F.to_json(c) if "map<" in kinds[c] else F.col(c) for c in sorted(rows.columns) if c not in but]
 
 
 def add_context(rows: DataFrame, keys: tuple[str, ...] = SECTION, index: str = "sentence_index", text: str = "sentence_text_normalized") -> DataFrame:
     """The sentences before and after in the section; do it before removing duplicates."""
-    own = Window.partitionBy(*keys).orderBy(index, "__stable")
-    return (
-        rows.withColumn("__stable", _stable(rows))
-        .withColumn("previous_sentence", F.lag(text).over(own))
-        .withColumn("next_sentence", F.lead(text).over(own))
-        .drop("__stable")
-    )
+    own = Window.partitionBy(*keys).orderBy(index, *_stable(rows, *keys, index))
+    return rows.withColumn("previous_sentence", F.lag(text).over(own)).withColumn("next_sentence", F.lead(text).over(own))
 
 
 def source_rank(source: str = "source"):
@@ -67,7 +63,7 @@ def deduplicate(rows: DataFrame, keys: tuple[str, ...] = GROUP, order: list | No
     that occurs very often costs a row a task, not a sorted group in one task.
     """
     order = order or [source_rank(source), F.col("document_id"), F.col("section_index"), F.col("section_id"), F.col("sentence_index")]
-    ranked = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], _stable(rows, "previous_sentence", "next_sentence").alias("stable"))
+    ranked = F.struct(*[o.alias(f"o{i}") for i, o in enumerate([*order, *_stable(rows, *keys, "previous_sentence", "next_sentence")])])
     rest = [c for c in rows.columns if c not in keys]
     grouped = rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), ranked).alias("first"), F.count("*").alias("duplicate_occurrence_count"), F.array_sort(F.collect_set(source)).alias("duplicate_sources"))
     return grouped.select(*keys, *[F.col(f"first.{c}").alias(c) for c in rest], "duplicate_occurrence_count", "duplicate_sources")

@@ -1,3 +1,6 @@
+import time
+import unicodedata
+
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -57,6 +60,45 @@ def test_refine(text, language, parts):
     assert "".join("".join(out).split()) == "".join(text.split())
 
 
+def plain_boundaries(text, language):
+    """The rules word by word, on copies of the text's parts."""
+    arabic, found, since = X.primary_language(language) in X._ARABIC_LANGUAGES, [], 0
+    for end in X._END.finditer(text):
+        rest = text[end.end() :].lstrip()
+        if not rest or not X._letter(rest[0]):
+            continue
+        left, right = text[since : end.end()].strip(), rest.rstrip()
+        before = text[: end.start()]
+        if end[1] == ".":
+            word = before.rstrip()
+            many = next((k for k, c in enumerate(reversed(word)) if unicodedata.category(c)[0] not in "LM"), len(word))
+            sure = (not arabic or X._arabic(rest[0])) and not rest[0].islower() and many >= 3
+        else:
+            token = before[len(before) - next((k for k, c in enumerate(reversed(before)) if c.isspace()), len(before)) :].casefold()
+            sure = end[1] != "?" or not ("://" in token or token.lstrip("([{<\"'").startswith("www."))
+        if sure and min(len(left), len(right)) >= (12 if end[1] == "." else 2):
+            found.append(end.end())
+            since = len(text) - len(rest)
+    return found
+
+
+PIECES = ["word", "Abc", "Longer text", ".", "?", "!", " ", "\n", "\u3000", "http://x", "://", "WWW.", "www.a", "(", "'", ")", "é", "第", "。", "هذه", "؟", "ab", "X"]
+
+
+@given(st.lists(st.sampled_from(PIECES), max_size=30), st.sampled_from(["en", "ar-EG", "zh"]))
+def test_boundaries_equal_the_plain_rules(pieces, language):
+    text = "".join(pieces)
+    assert X.boundaries(text, language) == plain_boundaries(text, language)
+
+
+@pytest.mark.parametrize("unit", ["This is a longer sentence. ", "a?B", "http://a?B", ". ", "Word ?Word", " ", "((www.a?B", "?)"])
+def test_boundaries_of_long_texts(unit):
+    text = unit * (2_000_000 // len(unit))
+    began = time.perf_counter()
+    X.boundaries(text, "en")
+    assert time.perf_counter() - began < 20
+
+
 def test_blank_segments_are_counted():
     kept, emitted, raw, normal = X.prepare(["", "  ", "[a|b]", "Text"], "en")
     assert (kept, emitted, raw, normal) == ([("Text", "Text")], 4, 2, 1)
