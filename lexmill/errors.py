@@ -27,3 +27,7 @@ class IntegrityError(LexmillError):
 
 class PublicationError(LexmillError):
     """What was published differs from what its rows give."""
+
+
+class CheckpointError(LexmillError):
+    """What a run left behind is not of this run or not whole."""

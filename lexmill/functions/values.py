@@ -7,6 +7,9 @@ import json
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lexmill.errors import SchemaError
 
 MISSING = "(missing)"
 #: Area buckets in km2: name and upper bound.
@@ -19,6 +22,14 @@ SOURCE_RANGES = {
 }
 
 
+#: All that counts as white space at the ends of a value, as in Python.
+WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def stripped(text: Column) -> Column:
+    return F.btrim(text, F.lit(WHITE))
+
+
 def content_hash(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
@@ -35,13 +46,13 @@ def seeded_rank(seed: str, value: Column) -> Column:
 
 
 def or_missing(value: Column) -> Column:
-    text = F.btrim(value.cast("string"))
+    text = stripped(value.cast("string"))
     return F.coalesce(F.nullif(text, F.lit("")), F.lit(MISSING))
 
 
 def qids(value: Column) -> Column:
     """The set in a list of identifiers separated by semicolons."""
-    return F.filter(F.transform(F.split(F.coalesce(value, F.lit("")), ";"), lambda x: F.btrim(x)), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.coalesce(value, F.lit("")), ";"), lambda x: stripped(x)), lambda x: x != "")
 
 
 def qids_match(a: Column, b: Column) -> Column:
@@ -55,6 +66,46 @@ def sorted_tags(tags: Column) -> Column:
     return F.array_sort(F.map_entries(tags))
 
 
+def tag_pairs(tags: Column, kind: T.DataType) -> Column:
+    """Tags in any of their forms as a list of key and value, by key; see ``bad_tags``.
+
+    kind: the column's type: a map, a struct of named tags, or a list of pairs
+    whose fields have any names.  Other types, and pairs of other than strings,
+    are an error.
+    """
+    text = T.StringType()
+    if isinstance(kind, T.MapType) and kind.keyType == kind.valueType == text:
+        return sorted_tags(tags)
+    if isinstance(kind, T.StructType) and all(f.dataType == text for f in kind):
+        pairs = [F.when(tags[n].isNotNull(), F.struct(F.lit(n).alias("key"), tags[n].alias("value"))) for n in kind.names]
+        return F.when(tags.isNotNull(), F.array_sort(F.filter(F.array(*pairs), lambda x: x.isNotNull())))
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
+        names = kind.elementType.names
+        key, value = ("key", "value") if {"key", "value"} <= set(names) else (names + [""])[:2]
+        if kind.elementType[key].dataType == kind.elementType[value].dataType == text and (len(names) == 2 or key == "key"):
+            return F.array_sort(F.transform(tags, lambda x: F.struct(x[key].alias("key"), x[value].alias("value"))))
+    raise SchemaError(f"tags can't be {kind.simpleString()}")
+
+
+def bad_tags(pairs: Column) -> Column:
+    """Whether a list of ``tag_pairs`` has a missing key or value."""
+    return F.coalesce(F.exists(pairs, lambda x: x.isNull() | x["key"].isNull() | x["value"].isNull()), F.lit(False))
+
+
+# The form of keys and hashes.
+FORMS = {"sha256": "[0-9a-f]{64}", "run_id": "[0-9a-f]{20}", "shard_key": "[a-z0-9]+(?:[-_][a-z0-9]+)*"}
+
+
+def has_form(text: Column, form: str) -> Column:
+    """Whether the whole text is of one of ``FORMS``; false for null."""
+    return F.coalesce(text.rlike(f"^(?:{FORMS[form]})\\z"), F.lit(False))
+
+
+def is_label(text: Column) -> Column:
+    """Whether a revision or name is neither blank nor has white space around it."""
+    return F.coalesce((text != "") & (text == stripped(text)), F.lit(False))
+
+
 def _strict(value: object, kind: type) -> object:
     """The JSON text's value if it is of the kind and holds only strings, else null."""
     try:
@@ -115,7 +166,7 @@ def two_class_probability(yes: Column, no: Column) -> Column:
 def is_area(geometry: Column) -> Column:
     """Whether a text is GeoJSON of a polygon or several, by its shape."""
     kind = F.get_json_object(geometry, "$.type")
-    return F.coalesce((F.btrim(geometry) != "") & kind.isin("Polygon", "MultiPolygon") & F.get_json_object(geometry, "$.coordinates").isNotNull(), F.lit(False))
+    return F.coalesce((stripped(geometry) != "") & kind.isin("Polygon", "MultiPolygon") & F.get_json_object(geometry, "$.coordinates").isNotNull(), F.lit(False))
 
 
 def grid_cell(lat: Column, lon: Column, degrees: float = 1.0) -> Column:
@@ -132,6 +183,7 @@ def escaped(text: Column) -> Column:
     return out
 
 
+# The frames of both prompts.
 def place_prompt(title: Column, section: Column, before: Column, target: Column, after: Column) -> Column:
     """The data part of the binary prompt, with each text escaped and in its own element."""
 
@@ -169,7 +221,7 @@ def first_token_scores(response: Column) -> Column:
     top = F.get(F.get(body["choices"], F.lit(0))["logprobs"]["content"], F.lit(0))["top_logprobs"]
 
     def last(name: str) -> Column:
-        own = F.filter(top, lambda e: (F.lower(F.btrim(e["token"])) == name) & e["logprob"].isNotNull() & ~F.isnan(e["logprob"]) & (F.abs(e["logprob"]) < float("inf")))
+        own = F.filter(top, lambda e: (F.lower(stripped(e["token"])) == name) & e["logprob"].isNotNull() & ~F.isnan(e["logprob"]) & (F.abs(e["logprob"]) < float("inf")))
         return F.try_element_at(own, F.lit(-1))["logprob"]
 
     yes, no = last("yes"), last("no")
@@ -185,6 +237,7 @@ FIELDS = ("landuse_relevance", "polygon_relevance", "landuse_reason", "polygon_r
 LONGEST_EVIDENCE = 240
 
 
+# The texts of what is wrong.
 def label_failure(response: Column, target: Column) -> Column:
     """What is wrong with a label response; null if nothing is."""
     keys = F.json_object_keys(response)

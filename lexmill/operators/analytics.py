@@ -89,14 +89,24 @@ def histogram(rows: DataFrame, column: str, name: str = "value") -> DataFrame:
     return counts.withColumn("share", F.col("n") / total.scalar())
 
 
-def top_and_other(rows: DataFrame, column: str, top: int = 15) -> DataFrame:
-    """The most frequent values and the sum of all others, by count, then name."""
-    counts = rows.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
-    first = counts.orderBy(F.desc("n"), "value").limit(top)
+def top_and_other(rows: DataFrame, column: str, top: int = 15, *, order: list[str] | None = None) -> DataFrame:
+    """The most frequent values and the sum of all others, by count, then name.
+
+    order: columns of the input's order; equally frequent values then come by their first row.
+    """
+    tie = F.min(F.struct(*order)) if order else F.first(F.col(column))
+    counts = rows.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"), tie.alias("tie"))
+    first = counts.orderBy(F.desc("n"), "tie").limit(top).drop("tie")
     rest = counts.join(first.select("value"), counts["value"].eqNullSafe(first["value"]), "left_anti").agg(F.sum("n").alias("n")).where("n IS NOT NULL").select(F.lit("Other").alias("value"), "n")
     return first.unionByName(rest)
 
 
+def coordinates(rows: DataFrame) -> DataFrame:
+    """One row: rows with both coordinates and rows without."""
+    placed = F.col("lat").isNotNull() & F.col("lon").isNotNull()
+    return rows.agg(F.count_if(placed).alias("with_coordinates"), F.count_if(~placed).alias("without_coordinates"))
+
+
 def first_seen(rows: DataFrame, key: str, order: list[str], *columns: str) -> DataFrame:
     """Columns of each key's first row that has them all, as a combined minimum."""
     whole = rows.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns]))

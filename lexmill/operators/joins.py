@@ -13,6 +13,7 @@ from lexmill.functions.values import qids_match
 from lexmill.operators import integrity as I
 from lexmill.schemas import links_table
 
+# Columns by table, and the order of rows.
 _PLACE = ("name", "osm_primary_tag", "tags", "region", "lat", "lon")
 _DOCUMENT = ("document_id", "article_id", "wikidata", "language", "site", "title", "url", "page_id", "revision_id", "revision_timestamp", "content_hash")
 _SECTION = ("document_id", "section_id", "section_index", "section_path", "text", "content_hash")
@@ -171,3 +172,23 @@ def inventory_diff(before: DataFrame, now: DataFrame, key: str, *columns: str) -
     b = now.select(F.col(key), state.alias("b"), F.lit(True).alias("in_b"))
     status = F.when(F.col("in_a").isNull(), "added").when(F.col("in_b").isNull(), "removed").when(F.col("a").eqNullSafe(F.col("b")), "unchanged").otherwise("changed")
     return a.join(b, key, "full_outer").select(key, status.alias("status"))
+
+
+def with_columns_or_null(rows: DataFrame, **kinds: str) -> DataFrame:
+    """Add columns that are absent as nulls of the types given; those there stay."""
+    return rows.withColumns({c: F.lit(None).cast(kind) for c, kind in kinds.items() if c not in rows.columns})
+
+
+def among(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is one of a table's keys."""
+    return rows.join(keys.select(key), key, "left_semi")
+
+
+def inventory_checks(expected: DataFrame, actual: DataFrame, key: str) -> dict[str, DataFrame]:
+    """Two inventories hold the same keys."""
+    return {f"{key} is missing": I.orphans(expected, key, actual, key), f"{key} is unexpected": I.orphans(actual, key, expected, key)}
+
+
+def repeated_across(rows: DataFrame, key: str, batch: str) -> DataFrame:
+    """``key`` and ``batches`` of keys that more than one batch holds."""
+    return rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.countDistinct(batch).alias("batches")).where("batches > 1")

@@ -7,9 +7,12 @@ priority and the stratum's rank; a prefix of it is a sample.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexmill.errors import IntegrityError
 from lexmill.functions.values import seeded_rank
 from lexmill.operators.integrity import assert_all, duplicate_keys
 
@@ -43,15 +46,16 @@ def _ranked(rows: DataFrame, stratum: str, rank: Column, order: list[Column], fi
     return placed.join(sizes, [stratum, "__part"]).withColumn("__rank", F.col("__own") + F.col("__before")).drop("__part", "__hash", "__own", "__before")
 
 
-def stratified(rows: DataFrame, *, stratum: str, target: int, seed: str, key: str = "sentence_id", validate: bool = True) -> DataFrame:
+def stratified(rows: DataFrame, *, stratum: str, target: int, seed: str, key: str = "sentence_id", validate: bool = True, order: Sequence[str] = ()) -> DataFrame:
     """Up to ``target`` rows in proportion over strata; rows without a stratum are never chosen.
 
-    A stratum's next row has the priority (served + 1) / size.
+    A stratum's next row has the priority (served + 1) / size.  order: columns by
+    which the input is ordered, which the result is then too.
     """
     if validate:
         assert_all({f"{key} repeats": duplicate_keys(rows, key)})
     ranked = _ranked(rows.where(F.col(stratum).isNotNull()), stratum, seeded_rank(seed, F.col(key)), [F.col(key)])
-    return ranked.orderBy(F.col("__rank") / F.col("__n"), seeded_rank(seed, F.col(stratum)), stratum, "__rank").limit(target).drop("__rank", "__n")
+    return ranked.orderBy(F.col("__rank") / F.col("__n"), seeded_rank(seed, F.col(stratum)), stratum, "__rank").limit(target).drop("__rank", "__n").transform(_in_order, order)
 
 
 def polygon_order(rows: DataFrame, *, stratum: str, seed: str, polygon: str = "polygon_id", bucket: str = "area_bucket") -> DataFrame:
@@ -63,36 +67,73 @@ def polygon_order(rows: DataFrame, *, stratum: str, seed: str, polygon: str = "p
     return polygons.select(polygon, F.struct(F.when(large, 0).otherwise(1).alias("late"), F.when(large, 0.0).otherwise(share).alias("share"), F.when(large, rank).otherwise(seeded_rank(seed, F.col(stratum))).alias("rank"), F.col(polygon).alias("id")).alias("__order"))
 
 
-def nested(rows: DataFrame, *, stratum: str, target: int, seed: str, key: str = "sentence_id", polygon: str = "polygon_id", bucket: str = "area_bucket", validate: bool = True) -> DataFrame:
+def nested_order(rows: DataFrame, *, stratum: str, seed: str, key: str = "sentence_id", polygon: str = "polygon_id", bucket: str = "area_bucket") -> DataFrame:
+    """Rows with a stratum, with their rank and the size of their stratum, by which ``turn`` orders them."""
+    placed = rows.where(F.col(stratum).isNotNull()).join(polygon_order(rows, stratum=stratum, seed=seed, polygon=polygon, bucket=bucket), polygon)
+    return _ranked(placed, stratum, seeded_rank(seed, F.col(key)), [F.col(key)], [F.col("__order")])
+
+
+def turn(seed: str, stratum: str) -> list[Column]:
+    """Strata are served by served / size, then by their hash."""
+    return [(F.col("__rank") - 1) / F.col("__n"), seeded_rank(seed, F.col(stratum)), F.col(stratum), F.col("__rank")]
+
+
+def numbered(rows: DataFrame, order: list[Column], target: int) -> DataFrame:
+    """The first ``target`` rows with their ``position``; only these meet in one task."""
+    return rows.orderBy(*order).limit(target).withColumn("position", F.row_number().over(Window.orderBy(*order)) - 1)
+
+
+def nested(rows: DataFrame, *, stratum: str, target: int, seed: str, key: str = "sentence_id", validate: bool = True, **names: str) -> DataFrame:
     """The first ``target`` rows of a fixed order, with their ``position``.
 
     Polygons are ordered first, rows follow their polygons within a stratum, and
     strata are served by served / size.  A larger target extends the same order.
+    names: the columns ``polygon`` and ``bucket``.
     """
     if target < 1:
         raise ValueError("target must be positive")
     if validate:
         assert_all({f"{key} repeats": duplicate_keys(rows, key)})
-    placed = rows.where(F.col(stratum).isNotNull()).join(polygon_order(rows, stratum=stratum, seed=seed, polygon=polygon, bucket=bucket), polygon)
-    ranked = _ranked(placed, stratum, seeded_rank(seed, F.col(key)), [F.col(key)], [F.col("__order")])
-    order = [(F.col("__rank") - 1) / F.col("__n"), seeded_rank(seed, F.col(stratum)), F.col(stratum), F.col("__rank")]
-    first = ranked.orderBy(*order).limit(target)
-    return first.withColumn("position", F.row_number().over(Window.orderBy(*order)) - 1).drop("__rank", "__n", "__order")
+    ranked = nested_order(rows, stratum=stratum, seed=seed, key=key, **names)
+    return numbered(ranked, turn(seed, stratum), target).drop("__rank", "__n", "__order")
+
+
+def _in_order(rows: DataFrame, order: Sequence[str]) -> DataFrame:
+    return rows.orderBy(*order) if order else rows
+
 
+def canary(rows: DataFrame, limit: int, *, key: str = "sentence_id", order: Sequence[str] = ()) -> DataFrame:
+    """The ``limit`` rows whose keys have the least SHA-256, in the input's order; all for a limit of 0.
 
-def canary(rows: DataFrame, limit: int, *, key: str = "sentence_id") -> DataFrame:
-    """The ``limit`` rows whose keys have the least SHA-256."""
-    return rows.orderBy(F.sha2(F.col(key).cast("string"), 256), key).limit(limit)
+    order: columns by which the input is ordered; by default the result comes by hash.
+    """
+    if limit == 0:
+        return _in_order(rows, order)
+    if limit < 1:
+        raise ValueError("the limit must not be negative")
+    return _in_order(rows.orderBy(F.sha2(F.col(key).cast("string"), 256), key).limit(limit), order)
 
 
-def covering_canary(rows: DataFrame, limit: int, *, key: str = "sentence_id", source: str = "source", language: str = "language") -> DataFrame:
+def covering_canary(rows: DataFrame, limit: int, *, key: str = "sentence_id", source: str = "source", language: str = "language", order: Sequence[str] = (), region: str | None = None) -> DataFrame:
     """A row of each source (of a language not yet seen if there is one), then of each language, then by hash.
 
-    Only candidates reach the driver: the first row of each source and language
-    and the first ``limit`` rows by hash.
+    order: columns by which the input is ordered, by default the key; first rows
+    are those, and the result comes so.  region: a column that must hold one value.
+    The sources and languages go to the driver, as each choice depends on those
+    before; of each source and language at most ``limit`` values can matter, so
+    no more are taken.
     """
+    if limit < 1:
+        raise ValueError("the limit must be positive")
+    if region is not None and len(found := rows.select(region).distinct().limit(2).collect()) > 1:
+        raise IntegrityError(f"{region} holds more than one value", [str(r[0]) for r in found])
+    place = F.struct(*(order or (key,)))
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("None"))
-    pairs = rows.groupBy(text(source).alias("s"), text(language).alias("l")).agg(F.min(key).alias("k")).collect()
+    pairs = rows.groupBy(text(source).alias("s"), text(language).alias("l")).agg(F.min(F.struct(place.alias("place"), F.col(key).alias("k"))).alias("first"))
+    pairs = pairs.select("s", "l", F.col("first.place").alias("place"), F.col("first.k").alias("k"))
+    # Of the sources in order the first ``limit`` are served; one is served by its first row in a language not yet seen.
+    own = pairs.withColumn("r", F.row_number().over(Window.partitionBy("s").orderBy("place")))
+    sources = pairs.select("s").distinct().orderBy("s").limit(limit)
     chosen: list = []
     seen: set[str] = set()
 
@@ -101,17 +142,25 @@ def covering_canary(rows: DataFrame, limit: int, *, key: str = "sentence_id", so
             chosen.append(k)
             seen.add(lang)
 
-    for s in sorted({r["s"] for r in pairs}):
-        own = [r for r in pairs if r["s"] == s]
-        best = min([r for r in own if r["l"] not in seen] or own, key=lambda r: r["k"])
+    by_source: dict[str, list] = {}
+    for r in own.where(F.col("r") <= limit + 1).join(sources, "s").collect():
+        by_source.setdefault(r["s"], []).append(r)
+    for s in sorted(by_source):
+        candidates = sorted(by_source[s], key=lambda r: r["r"])
+        best = next((r for r in candidates if r["l"] not in seen), candidates[0])
         take(best["k"], best["l"])
-    import hashlib
-
-    firsts: dict[str, object] = {}
-    for r in pairs:
-        firsts[r["l"]] = min(firsts.get(r["l"], r["k"]), r["k"])  # type: ignore[type-var]
-    for lang in sorted(firsts, key=lambda x: hashlib.sha256(x.encode()).hexdigest()):
-        take(firsts[lang], lang)
+    languages = pairs.groupBy("l").agg(F.min(F.struct("place", "k")).alias("first"))
+    for r in languages.orderBy(F.sha2("l", 256), "l").limit(2 * limit).collect():
+        take(r["first"]["k"], r["l"])
     for r in canary(rows.select(key), limit, key=key).collect():
         take(r[key], "")
-    return rows.where(F.col(key).isin(chosen))
+    return _in_order(rows.where(F.col(key).isin(chosen)), order)
+
+
+def select_rows(rows: DataFrame, *, row_limit: int = 0, target: int | None = None, seed: str = "sentence-relevance", stratum: str = "cell", key: str = "sentence_id", order: Sequence[str] = (), **canary_options) -> DataFrame:
+    """What a run labels: a covering canary of ``row_limit`` rows, or all without a target, or a stratified sample."""
+    if row_limit:
+        return covering_canary(rows, row_limit, key=key, order=order, **canary_options)
+    if not target:
+        return _in_order(rows, order)
+    return stratified(rows, stratum=stratum, target=target, seed=seed, key=key, order=order)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.errors import PublicationError
+from lexmill.functions.values import stripped
 
 _CELL = {ord(c): f"&#{ord(c)};" for c in "|\\\r\n\t"} | {ord("&"): "&amp;"}
 
@@ -38,7 +39,7 @@ def scope(regions: Collection[str | None]) -> str:
 
 def scope_of(rows: DataFrame, column: str = "region") -> str:
     """``scope`` of a table; at most two regions reach the driver."""
-    named = rows.select(F.btrim(column).alias("r")).where("r <> ''").distinct().limit(2)
+    named = rows.select(stripped(F.col(column)).alias("r")).where("r <> ''").distinct().limit(2)
     return scope([r["r"] for r in named.collect()])
 
 
@@ -59,11 +60,26 @@ def check_target(recorded: int | None, asked: int) -> bool:
     return recorded is not None and asked > recorded
 
 
-def out_of_order(rows: DataFrame, *columns: str, order: str) -> DataFrame:
-    """Rows, by their place ``order``, that don't come strictly after the one before; for one shard's file."""
+def out_of_order(rows: DataFrame, *columns: str, order: str, slice_rows: int = 1_000_000) -> DataFrame:
+    """Rows, by their place ``order``, that don't come strictly after the one before.
+
+    order: a whole number for each row, rising through the file.  Rows are compared in slices of it, and
+    each slice's first row with the last of the slice before it, so no task holds more than a slice.
+    """
     whole = F.struct(*columns)
-    before = F.lag(whole).over(Window.orderBy(order))
-    return rows.withColumn("__before", before).where(F.col("__before").isNotNull() & ~(whole > F.col("__before"))).drop("__before")
+    sliced = rows.withColumn("__slice", F.floor(F.col(order) / slice_rows))
+    ends = sliced.groupBy("__slice").agg(F.max_by(whole, order).alias("__last"))
+    # A row for each slice.
+    ends = ends.withColumn("__last", F.lag("__last").over(Window.orderBy("__slice")))
+    inside = F.lag(whole).over(Window.partitionBy("__slice").orderBy(order))
+    before = F.coalesce(F.col("__inside"), F.col("__last"))
+    found = sliced.withColumn("__inside", inside).join(ends, "__slice").where(before.isNotNull() & ~(whole > before))
+    return found.drop("__inside", "__last", "__slice")
+
+
+def yaml_text(text: str) -> str:
+    """A text as a double-quoted YAML scalar."""
+    return '"' + "".join({'"': '\\"', "\\": "\\\\", "\n": "\\n", "\r": "\\r", "\t": "\\t"}.get(c, c if c.isprintable() else f"\\U{ord(c):08X}") for c in text) + '"'
 
 
 def _counts(title: str, counts: Mapping[str, int]) -> str:

@@ -121,7 +121,7 @@ def residual_boundaries(rows: DataFrame) -> int:
     return rows.agg(F.sum(F.size(offsets))).first()[0] or 0
 
 
-def validate(spark: SparkSession, target: str, *, boundaries: bool = False) -> None:
+def validate(spark: SparkSession, target: str, *, boundaries: bool = True) -> None:
     """Recompute from the published rows all that their manifest says."""
     names = {n for n, _, _ in files.children(spark, target)}
     if names != {"data", "manifest.json", "README.md"}:

@@ -92,9 +92,19 @@ def resume(rows: DataFrame, done: DataFrame | None, *, key: str = "sentence_id")
     return J.pending(rows, done, key)
 
 
+def score_faults(scores: DataFrame) -> DataFrame:
+    """Rows whose log-probabilities are no numbers, or whose label or derived columns are not what they give."""
+    yes, no = F.col("yes_logprob"), F.col("no_logprob")
+    fine = F.lit(True)
+    for x in (yes, no):
+        fine = fine & ~F.isnan(x) & (F.abs(x) < float("inf"))
+    for name, value in (("logit_margin", V.logit_margin(yes, no)), ("two_class_probability", V.two_class_probability(yes, no))):
+        fine = fine & (F.abs(F.col(name) - value) <= F.greatest(F.lit(1e-12), 1e-12 * F.greatest(F.abs(F.col(name)), F.abs(value))))
+    fine = fine & (F.col("place_relevance") == F.when(yes > no, "yes").otherwise("no"))
+    return scores.where(~F.coalesce(fine, F.lit(False))).select(F.col("sentence_id").cast("string").alias("offender"))
+
+
 def check_scores(scores: DataFrame) -> None:
     """Derived columns are what their log-probabilities give."""
-    yes, no = F.col("yes_logprob"), F.col("no_logprob")
-    off = (F.abs(F.col("logit_margin") - V.logit_margin(yes, no)) > 1e-12) | (F.abs(F.col("two_class_probability") - V.two_class_probability(yes, no)) > 1e-12) | (F.col("place_relevance") != F.when(yes > no, "yes").otherwise("no"))
-    if n := scores.where(F.coalesce(off, F.lit(True))).count():
+    if n := score_faults(scores).count():
         raise PublicationError(f"{n} scores don't fit their log-probabilities")

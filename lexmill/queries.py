@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexmill import tables as T
 from lexmill.functions import text as X
 from lexmill.functions import values as V
 from lexmill.operators import analytics as A
+from lexmill.operators import geometry as G
 from lexmill.operators import integrity as I
 from lexmill.operators import joins as J
 from lexmill.operators import sampling as S
 from lexmill.operators import sentences as N
+from lexmill.plans import growing as W
+from lexmill.plans import releases as L
+from lexmill.plans.labelling import score_faults as score_check
+from lexmill.storage import shared_dir
+from lexmill.streaming import batches as B
 from lexmill.streaming import incremental as R
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,9 +80,9 @@ def join_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.join_report(J.compose(_encyclopedia(spark, sf_dir), _travel(spark, sf_dir)))
 
 
-@query("SELECT DISTINCT user_id::VARCHAR AS offender FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer)")
+@query("SELECT DISTINCT doc_id::VARCHAR AS offender FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def orphan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return I.orphans(T.read(spark, sf_dir, "events"), "user_id", T.read(spark, sf_dir, "customer"), "c_custkey")
+    return I.orphans(T.read(spark, sf_dir, "documents"), "doc_id", T.read(spark, sf_dir, "labels"), "doc_id")
 
 
 @query("SELECT l_orderkey || ' | ' || l_linenumber AS offender FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1")
@@ -270,7 +277,19 @@ def hash_canary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.canary(T.people(spark, sf_dir), 50)
 
 
-@query()
+#: Sources in order take their first row in a language not yet seen; then come first rows of languages, then rows by hash.
+_COVER_SQL = """WITH RECURSIVE pairs AS (SELECT coalesce(source, 'None') AS s, coalesce(lang, 'None') AS l, min(doc_id) AS k FROM documents GROUP BY 1, 2),
+sources AS (SELECT s, row_number() OVER (ORDER BY s) AS i FROM (SELECT DISTINCT s FROM pairs)),
+walk AS (SELECT 0::BIGINT AS i, []::BIGINT[] AS chosen, []::VARCHAR[] AS seen UNION ALL
+  SELECT w.i + 1, list_append(w.chosen, p.pick.k), list_append(w.seen, p.pick.l) FROM walk w JOIN (
+    SELECT w2.i, arg_min({'k': pairs.k, 'l': pairs.l}, (list_contains(w2.seen, pairs.l)::INT, pairs.k)) AS pick
+    FROM walk w2 JOIN sources ON sources.i = w2.i + 1 JOIN pairs ON pairs.s = sources.s GROUP BY w2.i) p ON p.i = w.i),
+base AS (SELECT unnest(chosen) AS k FROM (SELECT chosen FROM walk ORDER BY i DESC LIMIT 1) UNION SELECT min(k) FROM pairs GROUP BY l),
+rest AS (SELECT doc_id AS k, row_number() OVER (ORDER BY sha256(doc_id::VARCHAR), doc_id) AS r FROM documents WHERE doc_id NOT IN (SELECT k FROM base))
+SELECT doc_id, source, lang FROM documents WHERE doc_id IN (SELECT k FROM base UNION ALL SELECT k FROM rest WHERE r <= 60 - (SELECT count(*) FROM base))"""
+
+
+@query(_COVER_SQL)
 def covering_canary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.covering_canary(T.read(spark, sf_dir, "documents").select("doc_id", "source", "lang"), 60, key="doc_id", language="lang")
 
@@ -405,3 +424,119 @@ def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["sentence_pipeline"] = entry
+
+
+# -- what a release of labels needs
+
+_WHITE_SQL = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(28) || chr(29) || chr(30) || chr(31) || ' ' || chr(133) || chr(160) || chr(8195) || chr(12288)"
+
+
+@query(f"""WITH raw AS (SELECT event_id, CASE event_id % 5 WHEN 0 THEN chr(9) || ' ' WHEN 1 THEN chr(160) || event_type || chr(10) WHEN 2 THEN ' ' || event_type || chr(12288) || chr(31) WHEN 3 THEN NULL ELSE event_type END AS text FROM events)
+SELECT event_id, coalesce(nullif(trim(text, {_WHITE_SQL}), ''), '(missing)') AS value, coalesce(text <> '' AND text = trim(text, {_WHITE_SQL}), false) AS is_label FROM raw""")
+def trimmed_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind, turn = F.col("event_type"), F.col("event_id") % 5
+    text = F.when(turn == 0, "\t ").when(turn == 1, F.concat(F.lit("\xa0"), kind, F.lit("\n"))).when(turn == 2, F.concat(F.lit(" "), kind, F.lit("\u3000\x1f"))).when(turn == 4, kind)
+    return T.read(spark, sf_dir, "events").select("event_id", V.or_missing(text).alias("value"), V.is_label(text).alias("is_label"))
+
+
+@query("""WITH t AS (SELECT o_orderkey, o_orderstatus AS a, o_orderpriority AS b, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderstatus END AS c FROM orders)
+SELECT o_orderkey, 'alpha=' || a || ';beta=' || b AS of_map, CASE WHEN c IS NULL THEN 'beta=' || b ELSE 'alpha=' || c || ';beta=' || b END AS of_struct, 'alpha=' || a || ';beta=' || b AS of_pairs, c IS NULL AS bad FROM t""")
+def tag_encodings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = F.col("o_orderstatus"), F.col("o_orderpriority")
+    c = F.when(F.col("o_orderkey") % 3 != 0, a)
+    pair = lambda k, v: F.struct(F.lit(k).alias("k"), v.alias("v"))
+    entry = lambda k, v: F.struct(v.alias("value"), F.lit(k).alias("key"))
+    rows = T.read(spark, sf_dir, "orders").select("o_orderkey", F.create_map(F.lit("beta"), b, F.lit("alpha"), a).alias("m"), F.struct(b.alias("beta"), c.alias("alpha")).alias("s"), F.array(pair("beta", b), pair("alpha", a)).alias("p"), F.array(entry("beta", b), entry("alpha", c)).alias("e"))
+    listed = lambda name: F.array_join(F.transform(V.tag_pairs(F.col(name), rows.schema[name].dataType), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
+    return rows.select("o_orderkey", listed("m").alias("of_map"), listed("s").alias("of_struct"), listed("p").alias("of_pairs"), V.bad_tags(V.tag_pairs(F.col("e"), rows.schema["e"].dataType)).alias("bad"))
+
+
+@query("""SELECT doc_id, regexp_full_match(sha256(text), '[0-9a-f]{64}') AND doc_id % 2 = 0 AS is_hash, regexp_full_match(md5(text)[1:20], '[0-9a-f]{20}') AS is_run, regexp_full_match(source || '-' || lang, '[a-z0-9]+([-_][a-z0-9]+)*') AS is_shard FROM documents""")
+def key_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = F.when(F.col("doc_id") % 2 == 0, F.sha2("text", 256)).otherwise(F.concat(F.sha2("text", 256), F.lit("\n")))
+    return T.read(spark, sf_dir, "documents").select("doc_id", V.has_form(digest, "sha256").alias("is_hash"), V.has_form(F.substring(F.md5("text"), 1, 20), "run_id").alias("is_run"), V.has_form(F.concat("source", F.lit("-"), "lang"), "shard_key").alias("is_shard"))
+
+
+@query("SELECT value AS event_type, count(DISTINCT user_id) AS shared FROM (SELECT user_id, unnest(list(DISTINCT event_type)) AS value FROM events WHERE user_id IS NOT NULL GROUP BY user_id HAVING count(DISTINCT event_type) > 1) GROUP BY 1")
+def repeated_across_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = T.read(spark, sf_dir, "events")
+    return J.among(events, J.repeated_across(events, "user_id", "event_type"), "user_id").groupBy("event_type").agg(F.countDistinct("user_id").alias("shared"))
+
+
+@query("""SELECT 'doc_id is missing' AS "check", count(*) AS n FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) HAVING count(*) > 0
+UNION ALL SELECT 'doc_id is unexpected', count(*) FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents) HAVING count(*) > 0""")
+def inventory_equality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.summary(J.inventory_checks(T.read(spark, sf_dir, "documents"), T.read(spark, sf_dir, "labels"), "doc_id")).select("check", "n")
+
+
+_OUTLINE_SQL = """'{"type":"Polygon","coordinates":[[[' || s_suppkey || ',0],[1,1],[0,1],[' || s_suppkey || ',0]]]}'"""
+
+
+def _outlines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("s_suppkey")
+    return T.read(spark, sf_dir, "supplier").select(F.concat(F.lit("p"), k).alias("polygon_id"), F.concat(F.lit('{"type":"Polygon","coordinates":[[['), k, F.lit(",0],[1,1],[0,1],["), k, F.lit(",0]]]}")).alias("geometry"))
+
+
+@query(f"WITH {T.DOCUMENTS_SQL} SELECT document_id AS sentence_id, polygon_id, {_OUTLINE_SQL} AS geometry FROM docs JOIN supplier ON polygon_id = 'p' || s_suppkey")
+def geometry_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = T.documents(spark, sf_dir).select(F.col("document_id").alias("sentence_id"), "polygon_id")
+    once = G.add_geometry(rows, _outlines(spark, sf_dir))
+    return G.add_geometry(once, _outlines(spark, sf_dir))
+
+
+@query(f"""WITH {T.LABELLED_SQL}, r AS (SELECT *, CASE landuse_relevance WHEN 'yes' THEN CASE WHEN sentence_id % 2 = 0 THEN 'explicit_land_use' ELSE 'explicit_land_cover' END WHEN 'no' THEN 'no_landuse_or_cover' ELSE 'insufficient_evidence' END AS landuse_reason,
+CASE polygon_relevance WHEN 'yes' THEN 'place_description' WHEN 'no' THEN 'unrelated_fact' ELSE 'insufficient_evidence' END AS polygon_reason FROM labelled)
+SELECT 'landuse_reason' AS field, landuse_reason AS reason, count(*) AS n, count(*) / (SELECT count(*) FROM r)::DOUBLE AS share FROM r GROUP BY 2
+UNION ALL SELECT 'polygon_reason', polygon_reason, count(*), count(*) / (SELECT count(*) FROM r)::DOUBLE FROM r GROUP BY 2
+UNION ALL SELECT 'positive language', language, count(*), NULL FROM r WHERE landuse_relevance = 'yes' GROUP BY 2""")
+def release_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    land, place = F.col("landuse_relevance"), F.col("polygon_relevance")
+    reason = F.when(land == "yes", F.when(F.col("sentence_id") % 2 == 0, "explicit_land_use").otherwise("explicit_land_cover")).when(land == "no", "no_landuse_or_cover").otherwise("insufficient_evidence")
+    rows = T.labelled(spark, sf_dir).withColumns({"landuse_reason": reason, "polygon_reason": F.when(place == "yes", "place_description").when(place == "no", "unrelated_fact").otherwise("insufficient_evidence")})
+    tables = L.label_tables(rows)
+    return tables["reasons"].unionByName(tables["positive_languages"].select(F.lit("positive language").alias("field"), F.col("language").alias("reason"), "n", F.lit(None).cast("double").alias("share")))
+
+
+@query("""SELECT 'a label breaks the contract' AS "check", count(*) AS n FROM documents WHERE doc_id % 7 IN (1, 2) OR (doc_id % 7 = 3 AND length(text) > 0 AND NOT contains(text, 'zq'))""")
+def label_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turn = F.col("doc_id") % 7
+    rows = T.read(spark, sf_dir, "documents").where("text IS NOT NULL").select(
+        F.col("doc_id").alias("sentence_id"), F.col("text").alias("sentence_text_raw"), F.when(turn == 1, "maybe").otherwise("yes").alias("landuse_relevance"), F.lit("no").alias("polygon_relevance"),
+        F.when(turn == 2, "no_landuse_or_cover").otherwise("explicit_land_use").alias("landuse_reason"), F.lit("unrelated_fact").alias("polygon_reason"),
+        F.when((turn == 3) & (F.length("text") > 0), "zq").when(turn == 4, F.substring("text", 1, 20)).otherwise("").alias("evidence"),
+    )
+    return L.label_faults(rows).agg(F.count("*").alias("n")).select(F.lit("a label breaks the contract").alias("check"), "n")
+
+
+@query("SELECT l_orderkey || ':' || l_linenumber AS offender FROM lineitem WHERE l_linenumber IN (2, 3) OR (l_linenumber = 4 AND l_quantity = l_discount)")
+def score_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    yes, no, n = -F.col("l_quantity").cast("double"), -F.col("l_discount").cast("double"), F.col("l_linenumber")
+    rows = T.read(spark, sf_dir, "lineitem").select(
+        F.concat("l_orderkey", F.lit(":"), n).alias("sentence_id"), F.when(n == 2, "unsure").when(yes > no, "yes").when((n == 4) & (yes == no), "yes").otherwise("no").alias("place_relevance"),
+        yes.alias("yes_logprob"), no.alias("no_logprob"), (V.logit_margin(yes, no) + F.when(n == 3, 1e-6).otherwise(0.0)).alias("logit_margin"), V.two_class_probability(yes, no).alias("two_class_probability"),
+    )
+    return score_check(rows)
+
+
+@query(f"""WITH {T.CUSTOMERS_SQL}, ranked AS (SELECT *, row_number() OVER (PARTITION BY segment ORDER BY sha256('seed' || chr(0) || sentence_id), sentence_id) AS r, count(*) OVER (PARTITION BY segment) AS n FROM people),
+first AS (SELECT * FROM ranked ORDER BY r::DOUBLE / n, sha256('seed' || chr(0) || segment), segment, r LIMIT 200)
+SELECT sentence_id, segment, row_number() OVER (ORDER BY sentence_id) AS place FROM first""")
+def sample_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = S.select_rows(T.people(spark, sf_dir), target=200, seed="seed", stratum="segment", order=["sentence_id"]).select("sentence_id", "segment")
+    return found.select("*", F.row_number().over(Window.orderBy("sentence_id")).alias("place"))
+
+
+@query(ORACLES["nested_sample"])
+def growing_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root, people = f"{shared_dir(spark)}/samples/{uuid.uuid4().hex}", T.people(spark, sf_dir)
+    for target in (100, 300):
+        out = W.grow(people, root, target=target, seed="seed", shards={"customer": sf_dir}, stratum="cell")
+    return out.select("sentence_id", "polygon_id", "cell", "area_bucket", "position")
+
+
+@query("SELECT event_type AS kind, count(*) AS n, sum(value) AS total FROM events GROUP BY 1")
+def batched_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = f"{shared_dir(spark)}/batches/{uuid.uuid4().hex}"
+    rows = T.read(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    out = B.run_batches(rows, root, {"run": "query"}, lambda part: part.withColumn("kind", F.col("event_type")), batches=3, key="event_id")
+    return out.groupBy("kind").agg(F.count("*").alias("n"), F.sum("value").alias("total"))

@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from lexmill.errors import SchemaError
 from lexmill.schemas import contract
@@ -43,6 +44,25 @@ def check_output(df: DataFrame, table: str = "sentences") -> DataFrame:
     return df.select(*wanted.names)
 
 
+def write_file(df: DataFrame, path: str) -> None:
+    """One zstd Parquet file, there whole or not at all; for tables of which one task can hold the rows."""
+    spark, staged = df.sparkSession, f"{path}.{uuid.uuid4().hex}.new"
+    try:
+        df.coalesce(1).write.option("compression", "zstd").parquet(staged)
+        (part,) = [n for n, _, _ in files.children(spark, staged) if n.startswith("part-")]
+        files.remove(spark, path)
+        files.rename(spark, f"{staged}/{part}", path)
+    finally:
+        files.remove(spark, staged)
+
+
+def without_maps(df: DataFrame) -> DataFrame:
+    """Maps of strings as lists of key and value, by key, which every reader of Parquet shows; other columns as they are."""
+    from lexmill.functions.values import sorted_tags
+
+    return df.withColumns({f.name: sorted_tags(F.col(f.name)) for f in df.schema if isinstance(f.dataType, MapType)})
+
+
 def swap(df: DataFrame, target: str, *, overwrite: bool = False, **texts: str) -> None:
     """Write ``data`` and text files beside the target, then move them into place in one rename.
 

@@ -33,7 +33,7 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
 DOCUMENTS_SQL = """docs AS (
   SELECT 'd' || doc_id AS document_id, 'a' || doc_id AS article_id, 'Q' || s_nationkey AS wikidata, lang AS language, lang || '.example' AS site,
          't' || doc_id AS title, 'p' || s_suppkey AS polygon_id, doc_id AS page_id, doc_id AS revision_id, text
-  FROM documents JOIN supplier ON doc_id % (SELECT count(*) FROM supplier) + (SELECT min(s_suppkey) FROM supplier) = s_suppkey
+  FROM (SELECT d.*, doc_id % n + first_key AS owner FROM documents d CROSS JOIN (SELECT count(*) AS n, min(s_suppkey) AS first_key FROM supplier)) JOIN supplier ON owner = s_suppkey
 ), sections AS (
   SELECT document_id || ':' || (n - 1) AS section_id, document_id, article_id, wikidata, language, site, page_id, revision_id, n - 1 AS section_index, lines[n] AS text
   FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS n FROM (SELECT *, string_split(text, chr(10)) AS lines FROM docs)))"""
