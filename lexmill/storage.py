@@ -9,6 +9,7 @@ those that a returned DataFrame reads stay for the owner of the folder.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -44,9 +45,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Delete tables of ``materialize`` that nothing reads any more; others are left alone."""
+    """Delete tables of ``materialize`` that nothing reads any more; others are left alone.
+
+    The driver's memory is collected too: Spark deletes the shuffle files of
+    plans that are gone only then.
+    """
     for table in tables:
         if path := getattr(table, "_stored_at", None):
             context = table.sparkSession.sparkContext
             place = context._jvm.org.apache.hadoop.fs.Path(path)
             place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+    if tables:
+        gc.collect(1)
+        tables[0].sparkSession.sparkContext._jvm.System.gc()
