@@ -1,21 +1,23 @@
-"""Substring deduplication by hashing lines or sentences.
+"""Substring deduplication by hashing lines or paragraphs.
 
-A text is cut into units, lines or paragraphs, and by default finer: sentences,
-so that a passage is found wherever in a line it stands; sentences of fewer than
-``MIN_UNIT`` words join the next one of their line, and what is left of a line is
-a unit that is told by the one before it too.  Units are normalised (lower
-case, single spaces) and hashed to 128 bits.  Digests are grouped globally; the
-occurrence of the smallest rank (key, then place) stays, and later ones are
-removed where they stand together in runs of at least ``min_words`` words.
-Offsets are code points of the original text.
+A text is cut into units: lines by default, or paragraphs.  Units are normalised
+(lower case, single spaces) and hashed to 128 bits.  Digests are grouped
+globally; the occurrence of the smallest rank (key, then place) stays, and all
+later ones are removed, with their offsets in code points of the original text.
+
+Two parameters suit corpora in which short lines repeat by chance.  ``min_words``
+keeps what stands together in runs of fewer words.  With ``kind="sentence"`` a line is hashed by its
+sentences, so a passage is found wherever in a line it stands: sentences of fewer
+than ``MIN_UNIT`` words join the next one of their line, and what is left of a
+line is a unit that is told by the one before it too.
 
 The count and the least rank of a digest are combined before the shuffle, so a
 passage in a third of all documents costs a row a task.  Its occurrences meet
 that one row in a join, which can be split anywhere, and are never gathered.
 
-Defined results: null and empty texts have no units; a null key ranks last;
-rows that repeat key and text are alike, all first or none; an empty table gives
-no spans.
+Defined results: null and empty texts have no units; a text of any length is cut
+whole; a null key ranks last; rows that repeat key and text are alike, all first
+or none; an empty table gives no spans; other columns play no part.
 """
 
 from __future__ import annotations
@@ -29,20 +31,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.storage import materialize
+from lexmill.storage import discard, materialize
 
-MIN_UNIT, MIN_WORDS = 4, 20
+MIN_UNIT = 4
 _SENTENCE = re.compile(r"[^\n.!?]+[.!?]*|[.!?]+")
 _LINE = re.compile(r"[^\n]+")
 _PARAGRAPH = re.compile(r"[^\n]+(?:\n(?!\s*\n)[^\n]+)*")
 _LAST = (1 << 63) - 1
 
 
-def units(text: str | None, kind: str = "sentence", *, leftovers: bool = False) -> list[tuple[int, int, int, bytes]]:
-    """Start, end, number of words and digest of each unit.
-
-    leftovers: whether the few words left of a line are a unit.
-    """
+def units(text: str | None, kind: str = "line") -> list[tuple[int, int, int, bytes]]:
+    """Start, end, number of words and digest of each unit."""
     if not text:
         return []
     if kind == "sentence":
@@ -55,7 +54,7 @@ def units(text: str | None, kind: str = "sentence", *, leftovers: bool = False)
                 open_at, words = None, 0
             else:
                 open_at = start
-            if leftovers and words and (m.end() == len(text) or text[m.end()] == "\n"):
+            if words and (m.end() == len(text) or text[m.end()] == "\n"):
                 spans.append((open_at, m.end(), words))
             if m.end() < len(text) and text[m.end()] == "\n":
                 open_at, words = None, 0
@@ -80,7 +79,7 @@ def _units_of(documents: DataFrame, key: str, text: str, kind: str) -> DataFrame
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [units(value.as_py(), kind, leftovers=True) for value in batch.column(2)]
+            found = [units(value.as_py(), kind) for value in batch.column(2)]
             many = np.array([len(x) for x in found], np.int64)
             flat = [u for x in found for u in x]
             starts, ends, words, digests = zip(*flat, strict=True) if flat else ((), (), (), ())
@@ -90,14 +89,14 @@ def _units_of(documents: DataFrame, key: str, text: str, kind: str) -> DataFrame
     return source.mapInArrow(cut, "digest binary, k long, h long, start int, end int, words int, no int")
 
 
-def repeated_spans(documents: DataFrame, *, key: str = "doc_id", text: str = "text", kind: str = "sentence", min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_spans(documents: DataFrame, *, key: str = "doc_id", text: str = "text", kind: str = "line", min_words: int = 1) -> DataFrame:
     """Stretches to remove: ``doc_id, start, end, n_words, first_doc_id``.
 
     ``first_doc_id`` is the document that holds the first occurrence of the
     stretch's first unit.
     """
-    found = _units_of(documents, key, text, kind)
-    # Written first: against a table the planner can split the join where a digest is very frequent.
+    # Written first, so texts are cut once, and the planner can split the join where a digest is very frequent.
+    found = materialize(_units_of(documents, key, text, kind), "units")
     first = materialize(found.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.struct("k", "start")).alias("first")).where("n > 1").drop("n"), "repeated-units")
     later = found.join(first, "digest").where(F.struct("k", "start") > F.col("first")).select("k", "h", "start", "end", "words", F.col("first.k").alias("first_k"), "no")
 
@@ -127,7 +126,9 @@ def repeated_spans(documents: DataFrame, *, key: str = "doc_id", text: str = "te
             yield table([(held[0], *held[2:])])
 
     ordered = later.repartition("k", "h").sortWithinPartitions("k", "h", "start")
-    return ordered.mapInArrow(merge, "doc_id long, start int, end int, n_words long, first_doc_id long")
+    spans = materialize(ordered.mapInArrow(merge, "doc_id long, start int, end int, n_words long, first_doc_id long"), "repeated-spans")
+    discard(found, first)
+    return spans
 
 
 def remove_spans(documents: DataFrame, spans: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:

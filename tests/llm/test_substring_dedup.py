@@ -3,19 +3,20 @@ import random
 from lexmill.llm import substring_dedup as D
 
 
-def brute(documents, min_words):
+def brute(documents, kind, min_words):
     """Units of all documents in order; what was seen before, in runs."""
     seen, out = {}, []
     for k, text in sorted(documents, key=lambda d: d[0]):
-        run = None
-        for start, end, words, digest in D.units(text):
+        run, last = None, None
+        for no, (start, end, words, digest) in enumerate(D.units(text, kind)):
             if digest in seen:
-                if run and start - run[2] <= 2:
+                if run and no == last + 1:
                     run[2], run[3] = end, run[3] + words
                 else:
                     if run and run[3] >= min_words:
                         out.append(tuple(run))
                     run = [k, start, end, words, seen[digest]]
+                last = no
             seen.setdefault(digest, k)
         if run and run[3] >= min_words:
             out.append(tuple(run))
@@ -38,8 +39,9 @@ def corpus(seed=3):
 
 def test_units_keep_offsets():
     text = "One two three four five. Six.\nSeven eight nine ten!  Eleven twelve thirteen fourteen"
-    parts = [text[a:b] for a, b, _, _ in D.units(text)]
-    assert parts == ["One two three four five.", "Seven eight nine ten!", "Eleven twelve thirteen fourteen"]
+    parts = lambda kind: [text[a:b] for a, b, _, _ in D.units(text, kind)]
+    assert parts("sentence") == ["One two three four five.", "Six.", "Seven eight nine ten!", "Eleven twelve thirteen fourteen"]
+    assert parts("line") == text.split("\n") and D.units(text) == D.units(text, "line")
     assert D.units(None) == D.units("") == []
     assert [text[a:b] for a, b, *_ in D.units("a b\n\nc", "paragraph")] == [text[0:3], text[5:6]]
 
@@ -47,17 +49,17 @@ def test_units_keep_offsets():
 def test_equals_brute_force(spark):
     docs = corpus()
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    wanted = brute(docs, D.MIN_WORDS)
-    assert wanted
-    for n in (1, 5):
-        out = D.repeated_spans(df.repartition(n))
+    for n, kind, least in ((1, "sentence", 20), (5, "sentence", 20), (3, "line", 1), (3, "paragraph", 1), (2, "line", 8)):
+        wanted = brute(docs, kind, least)
+        assert wanted
+        out = D.repeated_spans(df.repartition(n), kind=kind, min_words=least)
         assert sorted((r["doc_id"], r["start"], r["end"], r["n_words"], r["first_doc_id"]) for r in out.collect()) == wanted
 
 
 def test_removal_keeps_offsets(spark):
     docs = corpus()
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    spans = D.repeated_spans(df)
+    spans = D.repeated_spans(df, kind="sentence", min_words=20)
     gone = {}
     for r in spans.collect():
         gone.setdefault(r["doc_id"], []).append((r["start"], r["end"]))
@@ -76,6 +78,15 @@ def test_edges(spark):
     assert D.repeated_spans(df.limit(0)).count() == 0
 
 
+def test_lines_of_any_length_go(spark):
+    rows = [(1, "Thank you.\nfirst own line"), (2, "second own line\n  thank  YOU.\nThank you."), (3, "Thank you.\nThank you."), (4, "x\n" * 300_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((r["doc_id"], r["start"], r["end"], r["first_doc_id"]) for r in D.repeated_spans(df).collect())
+    assert found == [(2, 18, 40, 1), (3, 0, 21, 1), (4, 2, 599_999, 4)]
+    left = {r["doc_id"]: r["text"] for r in D.remove_spans(df, D.repeated_spans(df)).collect()}
+    assert left == {1: rows[0][1], 2: "second own line\n  ", 3: "", 4: "x\n\n"}
+
+
 def test_runs_over_indented_and_short_lines(spark):
     words = [f"w{i}" for i in range(600)]
     indented = "\n".join("    " + " ".join(words[12 * k : 12 * k + 12]) for k in range(6))
@@ -83,6 +94,6 @@ def test_runs_over_indented_and_short_lines(spark):
     left = "\n".join(" ".join(words[400 + 12 * k : 410 + 12 * k]) + ". One end." for k in range(5))
     texts = [f"here begins text number {2 * k + copy}\n{t}\nand here ends text {2 * k + copy}" for k, t in enumerate((indented, verse, left)) for copy in range(2)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    found = {r["doc_id"]: r["n_words"] for r in D.repeated_spans(df).collect()}
+    found = {r["doc_id"]: r["n_words"] for r in D.repeated_spans(df, kind="sentence", min_words=20).collect()}
     # Of verse the first line is told by the line before it.
     assert found == {1: 72, 3: 57, 5: 60}
