@@ -128,6 +128,30 @@ def split_lines(texts: Sequence[str], languages: Sequence[str]) -> list[list[str
     return [text.split("\n") for text in texts]
 
 
+class LazySegmenter:
+    """A segmenter made on first use in each worker, so a model need not travel; texts are put to it by language.
+
+    make: returns a function from texts of one language, and the language, to
+    their segments.
+    """
+
+    def __init__(self, make: Callable[[], Callable[[Sequence[str], str], Sequence[Sequence[str]]]]) -> None:
+        self.make, self._model = make, None
+
+    def __getstate__(self) -> dict:
+        return {"make": self.make, "_model": None}
+
+    def __call__(self, texts: Sequence[str], languages: Sequence[str]) -> list[list[str]]:
+        if self._model is None:
+            self._model = self.make()
+        out: list[list[str]] = [[] for _ in texts]
+        for language in dict.fromkeys(languages):
+            places = [k for k, x in enumerate(languages) if x == language]
+            for k, segments in zip(places, segmented(lambda t, _, language=language: self._model(t, language), [texts[k] for k in places], [language] * len(places)), strict=True):
+                out[k] = segments
+        return out
+
+
 def segmented(segmenter: Segmenter, texts: Sequence[str], languages: Sequence[str]) -> list[list[str]]:
     """Call a segmenter and hold it to its contract."""
     if not texts:

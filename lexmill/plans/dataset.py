@@ -19,6 +19,7 @@ from lexmill.plans.card import card
 from lexmill.schemas import contract
 from lexmill.sources import export, files, shards
 from lexmill.storage import materialize
+from lexmill.streaming.batches import run_batches
 
 MANIFEST_VERSION = 2
 _BREAKDOWNS = ("source", "language", "region")
@@ -49,15 +50,25 @@ def occurrences(spark: SparkSession, root: str, *, validate: bool = True) -> Dat
     return J.compose(*parts)
 
 
-def segment(joined: DataFrame, segmenter: X.Segmenter = X.split_lines, *, validate: bool = True) -> tuple[DataFrame, dict]:
-    """Sentences of joined sections, and the counts of what was dropped."""
+def segment(joined: DataFrame, segmenter: X.Segmenter = X.split_lines, *, validate: bool = True, resume: tuple[str, dict, int] | None = None) -> tuple[DataFrame, dict]:
+    """Sentences of joined sections, and the counts of what was dropped.
+
+    resume: a folder, the run's identity and a number of batches; a run that
+    broke off goes on after the batches that are there.
+    """
     parsed = joined.withColumns({"section_path": V.string_list(F.col("section_path_raw")), "osm_tags": V.string_map(F.col("osm_tags_raw"))})
     if validate:
         I.assert_all({
             "section_path is no list of strings": parsed.where("section_path IS NULL").select(F.col("section_id").alias("offender")),
             "osm_tags is no map of strings": parsed.where("osm_tags IS NULL").select(F.col("polygon_id").alias("offender")),
         })
-    prepared = materialize(N.prepare_sections(parsed, "section_text_raw", "language", segmenter), "prepared")
+    work = lambda part: N.prepare_sections(part, "section_text_raw", "language", segmenter)
+    if resume is None:
+        prepared = materialize(work(parsed), "prepared")
+    else:
+        root, identity, batches = resume
+        keyed = parsed.withColumn("occurrence", F.to_json(F.struct(*N.SECTION)))
+        prepared = run_batches(keyed, root, identity, work, batches=batches, key="occurrence").drop("occurrence")
     counts = {r["source"]: r.asDict() for r in N.segmentation_report(prepared).collect()}
     return N.explode_sentences(prepared).select(*contract("segmented_sentences").names), counts
 
@@ -68,9 +79,9 @@ def finalize(segmented: DataFrame, *, revision: str, version: str) -> DataFrame:
     return unique.withColumns({"osm_tags": V.sorted_tags(F.col("osm_tags")), "input_dataset_revision": F.lit(revision), "pipeline_version": F.lit(version)}).select(*contract("sentences").names)
 
 
-def build(spark: SparkSession, root: str, *, revision: str, version: str, segmenter: X.Segmenter = X.split_lines, validate: bool = True) -> Sentences:
+def build(spark: SparkSession, root: str, *, revision: str, version: str, segmenter: X.Segmenter = X.split_lines, validate: bool = True, resume: tuple[str, dict, int] | None = None) -> Sentences:
     """The whole run.  Duplicates are removed over all shards at once."""
-    segmented, counts = segment(occurrences(spark, root, validate=validate), segmenter, validate=validate)
+    segmented, counts = segment(occurrences(spark, root, validate=validate), segmenter, validate=validate, resume=resume)
     if validate:
         I.assert_all({"source is unknown": I.outside(segmented, "source", J.SOURCES)})
     rows = materialize(finalize(segmented, revision=revision, version=version), "sentences")
@@ -101,7 +112,8 @@ def identities(facts: dict) -> None:
 def manifest(built: Sentences) -> dict:
     facts = statistics(built.rows)
     identities(facts)
-    profile = {k: v for k, v in A.dataset_profile(built.rows).first().asDict().items()}
+    first = built.rows.orderBy("polygon_id", "language", "sentence_id").limit(1).select(F.to_json(F.struct("*"))).first()
+    profile = {**A.dataset_profile(built.rows).first().asDict(), "residual_boundaries": residual_boundaries(built.rows), "example": json.loads(first[0]) if first else None}
     return {"manifest_version": MANIFEST_VERSION, "row_count": facts["row_count"], "finalization": built.finalization, "segmentation": built.segmentation, "statistics": facts, "profile": profile, "content_sha256": export.content_hash(built.rows)}
 
 
@@ -135,6 +147,8 @@ def validate(spark: SparkSession, target: str, *, boundaries: bool = True) -> No
     if differing:
         raise PublicationError(f"statistics differ: {differing}")
     identities(facts)
+    if rows.select("input_dataset_revision", "pipeline_version").distinct().limit(2).count() > 1:
+        raise PublicationError("rows are of more than one revision or version")
     if said["row_count"] != facts["row_count"] or said["content_sha256"] != export.content_hash(rows):
         raise PublicationError("rows differ from the manifest")
     if boundaries and (left := residual_boundaries(rows)):

@@ -11,14 +11,16 @@ import json
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.errors import PublicationError
+from lexmill.errors import PublicationError, SchemaError
 from lexmill.functions import values as V
 from lexmill.operators import integrity as I
 from lexmill.operators import joins as J
+from lexmill.schemas import contract
 from lexmill.storage import materialize
+from lexmill.streaming.batches import run_batches
 
 Engine = Callable[[Sequence[str]], Sequence[str]]
 #: Attempts after the first before evidence that doesn't fit is cleared.
@@ -80,6 +82,24 @@ def labelled(rows: DataFrame, prompt: str, target: str, engine: Engine, *, key:
     return repaired.select(key, *[F.when(F.col("failure").isNull(), F.get_json_object("response", f"$.{f}")).alias(f) for f in V.FIELDS], "failure", "repairs")
 
 
+def load_input(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """Rows to label, with the columns that ``two_label_input`` or ``place_input`` asks for, whatever their types."""
+    rows, wanted = spark.read.parquet(path), contract(table).names
+    if missing := sorted(set(wanted) - set(rows.columns)):
+        raise SchemaError(f"{table}: missing {', '.join(missing)}")
+    return rows
+
+
+def label_batches(rows: DataFrame, prompt: str, target: str, engine: Engine, root: str, identity: dict, *, batches: int, key: str = "sentence_id", progress: Callable[[dict], None] | None = None) -> DataFrame:
+    """``labelled`` in batches below ``root``: a run that broke off asks the model only for batches that are not there."""
+    return run_batches(rows, root, identity, lambda part: labelled(part, prompt, target, engine, key=key), batches=batches, key=key, progress=progress)
+
+
+def score_batches(rows: DataFrame, prompt: str, engine: Engine, root: str, identity: dict, *, batches: int, key: str = "sentence_id", progress: Callable[[dict], None] | None = None) -> DataFrame:
+    """``scored`` in batches below ``root``."""
+    return run_batches(rows, root, identity, lambda part: scored(part, prompt, engine, key=key), batches=batches, key=key, progress=progress)
+
+
 def repair_statistics(labels: DataFrame) -> DataFrame:
     return labels.groupBy(F.coalesce("failure", F.lit("")).alias("failure")).agg(F.count("*").alias("n"), F.count_if(F.col("repairs") > 0).alias("repaired"))
 

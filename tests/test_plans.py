@@ -72,9 +72,11 @@ def test_build_and_publish(spark, root, tmp_path):
     assert (shared["source"], shared["duplicate_sources"], shared["previous_sentence"]) == ("wikipedia", ["wikipedia", "wikivoyage"], "This is the second one.")
     assert [tuple(t) for t in shared["osm_tags"]] == [("a", "1"), ("b", "2")] and shared["section_path"] == ["A"]
     assert built.segmentation["wikipedia"]["dropped_raw"] == 2
+    again = dataset.build(spark, root, revision="r", version="1", resume=(str(tmp_path / "run"), {"run": 1}, 2))
+    assert sorted(r["sentence_id"] for r in again.rows.collect()) == sorted(r["sentence_id"] for r in rows.values()) and again.segmentation == built.segmentation
     target = str(tmp_path / "out")
     said = dataset.publish(built, target)
-    assert said["row_count"] == 6
+    assert said["row_count"] == 6 and said["profile"]["residual_boundaries"] == 0 and said["profile"]["example"]["sentence_id"]
     with pytest.raises(FileExistsError):
         dataset.publish(built, target)
     dataset.publish(built, target, overwrite=True)

@@ -183,6 +183,22 @@ def test_canaries_and_dispatch(spark):
     assert [r["place"] for r in sample] == sorted(r["place"] for r in sample) and len(sample) == 12
 
 
+def test_label_batches_ask_only_for_what_is_missing(spark, rows, tmp_path):
+    asked = rows.select("sentence_id", F.col("sentence_text_raw").alias("prompt"), F.col("sentence_text_raw").alias("target"))
+    answer = '{"landuse_relevance":"yes","polygon_relevance":"no","landuse_reason":"explicit_land_use","polygon_reason":"unrelated_fact","evidence":"stands"}'
+    root = str(tmp_path / "l")
+    out = labelling.label_batches(asked, "prompt", "target", lambda p: [answer] * len(p), root, RUN, batches=2)
+    assert out.count() == 20 and out.where("failure IS NOT NULL").count() == 0
+
+    def never(prompts):
+        raise RuntimeError("asked again")
+
+    assert labelling.label_batches(asked, "prompt", "target", never, root, RUN, batches=2).count() == 20
+    rows.write.parquet(str(tmp_path / "in"))
+    with pytest.raises(SchemaError, match="area_bucket"):
+        labelling.load_input(spark, str(tmp_path / "in"), "place_input")
+
+
 def test_small_operators(spark, tmp_path):
     df = spark.createDataFrame([(1, {"b": "2", "a": "1"})], "k int, tags map<string,string>")
     listed = export.without_maps(df)

@@ -110,3 +110,22 @@ def test_segmenter_contract():
     with pytest.raises(ValueError, match="sequences"):
         X.segmented(lambda t, _: ["a"], ["a"], ["en"])
     assert X.segmented(lambda t, _: 1 / 0, [], []) == []
+
+
+def test_lazy_segmenter_is_made_once_and_called_by_language():
+    made = []
+
+    def make():
+        made.append([])
+
+        def model(texts, language):
+            made[-1].append((list(texts), language))
+            return [[f"{language}:{t}"] for t in texts]
+
+        return model
+
+    lazy = X.LazySegmenter(make)
+    assert lazy(["a", "b", "c"], ["en", "fr", "en"]) == [["en:a"], ["fr:b"], ["en:c"]]
+    assert lazy(["d"], ["en"]) == [["en:d"]] and made == [[(["a", "c"], "en"), (["b"], "fr"), (["d"], "en")]]
+    with pytest.raises(ValueError, match="groups"):
+        X.LazySegmenter(lambda: lambda t, _: [])(["a"], ["en"])
