@@ -8,8 +8,10 @@ import numpy as np
 
 FANOUT = 16
 FULL = (1 << 64) - 1
+#: Hashes that are mixed at once, about.
+PART = 1 << 14
 #: Pairs that a search holds at once, about.
-HELD = 1 << 20
+HELD = 1 << 18
 
 
 def bit_counts(hashes: np.ndarray) -> np.ndarray:
@@ -23,21 +25,37 @@ def bit_counts(hashes: np.ndarray) -> np.ndarray:
     return total
 
 
-def fingerprint(hashes: np.ndarray, words: int = 1) -> bytes:
-    """Big-endian bits set in over half the hashes; zeros without hashes.
-
-    Words after the first take bits of the hashes mixed anew.
-    """
-    if not len(hashes):
-        return bytes(8 * words)
-    columns = [hashes]
+def mixed(hashes: np.ndarray, words: int) -> np.ndarray:
+    """Rows of words: the hash, and the hash mixed anew for each other word."""
+    out = np.empty((len(hashes), words), np.uint64)
+    out[:, 0] = hashes
     for k in range(1, words):
         x = hashes + np.uint64(k * 0x9E3779B97F4A7C15 & FULL)
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        columns.append(x ^ (x >> np.uint64(31)))
-    counts = bit_counts(np.stack(columns, axis=1))
-    return np.packbits(2 * counts > len(hashes)).tobytes()
+        out[:, k] = x ^ (x >> np.uint64(31))
+    return out
+
+
+def fingerprint(hashes: np.ndarray, words: int = 1) -> bytes:
+    """Big-endian bits set in over half the hashes; zeros without hashes."""
+    return fingerprints([hashes], words)[0]
+
+
+def fingerprints(sets: list[np.ndarray], words: int = 1) -> list[bytes]:
+    """The fingerprint of each set of hashes; several sets are mixed at once."""
+    out: list[bytes] = []
+    sizes = np.array([len(x) for x in sets], np.int64)
+    parts = np.cumsum(sizes) // PART
+    for part in np.split(np.arange(len(sets)), np.flatnonzero(parts[1:] != parts[:-1]) + 1):
+        held = [sets[k] for k in part.tolist()]
+        rows = mixed(np.concatenate(held), words) if held else np.empty((0, words), np.uint64)
+        at = 0
+        for own in held:
+            counts = bit_counts(rows[at : at + len(own)])
+            out.append(np.packbits(2 * counts > len(own)).tobytes())
+            at += len(own)
+    return out
 
 
 def words_of(values: list[bytes], words: int) -> np.ndarray:
@@ -63,55 +81,76 @@ class GrayIndex:
 
     def __init__(self, rows: np.ndarray, groups: np.ndarray | None = None) -> None:
         """groups: the group of each row, numbered from 0 without gaps; by default all are one."""
-        self.rows = rows
+        self.words = rows.shape[1]
         self.groups = np.zeros(len(rows), np.int64) if groups is None else groups
         self.order = np.lexsort((gray_rank(rows[:, 0]), self.groups))
         level, of = rows[self.order], self.groups[self.order]
         self.sizes = np.bincount(self.groups, minlength=1 if len(rows) else 0)
         low = high = level
         shared = np.full_like(level, FULL)
-        #: Leaves first: values, own masks, first child and number of children.
-        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
-        first = many = np.zeros(len(level), np.int64)
+        #: Leaves first: for each word values and own masks, then first child, number of children, end of the leaves below.
+        self.levels: list[tuple[list[np.ndarray], list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]] = []
+        first = many = np.zeros(len(level), np.int32)
+        ends = np.arange(1, len(level) + 1, dtype=np.int32)
+
+        def keep(mask: np.ndarray) -> None:
+            self.levels.append(([np.ascontiguousarray(c) for c in level.T], [np.ascontiguousarray(c) for c in mask.T], first, many, ends))
+
         while len(level) > len(self.sizes):
-            place = np.arange(len(of)) - np.repeat(starts := np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1]))), np.diff(np.concatenate((starts, [len(of)]))))
+            starts = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
+            place = np.arange(len(of)) - np.repeat(starts, np.diff(np.concatenate((starts, [len(of)]))))
             firsts = np.flatnonzero(place % FANOUT == 0)
             low, high = np.bitwise_and.reduceat(low, firsts), np.bitwise_or.reduceat(high, firsts)
             above = ~(low ^ high)
             counts = np.diff(np.concatenate((firsts, [len(of)])))
-            self.levels.append((level, shared & ~np.repeat(above, counts, axis=0), first, many))
-            level, shared, of, first, many = low & above, above, of[firsts], firsts, counts
-        self.levels.append((level, shared, first, many))
+            keep(shared & ~np.repeat(above, counts, axis=0))
+            level, shared, of, ends = low & above, above, of[firsts], ends[firsts + counts - 1]
+            first, many = firsts.astype(np.int32), counts.astype(np.int32)
+        keep(shared)
 
-    def search(self, queries: np.ndarray, limit: int, groups: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Places of queries and of rows of their group within the limit, and their distances.
+    def _descend(self, queries: list[np.ndarray], limit: int, node: np.ndarray, after: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of queries, places in order of the rows within the limit, and distances.
 
-        A whole group is left as soon as the differences from the patterns on the way to it pass the limit.
+        A node is left, with all that lies below it, as soon as the differences from the patterns on the way to it pass
+        the limit.  after: for each query the place after which rows count.
         """
-        who, node = np.arange(len(queries)), np.zeros(len(queries), np.int64) if groups is None else groups
-        apart = np.zeros(len(queries), np.int64)
+        who, apart = np.arange(len(node), dtype=np.int32), np.zeros(len(node), np.int16)
         for depth in range(len(self.levels) - 1, -1, -1):
-            value, mask, first, many = self.levels[depth]
-            apart = apart + np.bitwise_count((queries[who] ^ value[node]) & mask[node]).sum(axis=1, dtype=np.int64)
+            values, masks, first, many, ends = self.levels[depth]
+            apart = apart.copy()
+            for query, value, mask in zip(queries, values, masks, strict=True):
+                apart += np.bitwise_count((query[who] ^ value[node]) & mask[node])
             near = apart <= limit
+            if after is not None:
+                near &= ends[node] > after[who]
+            near = np.flatnonzero(near)
             who, node, apart = who[near], node[near], apart[near]
             if depth:
                 counts = many[node]
-                below = np.repeat(first[node] - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) if len(node) else node
-                who, apart, node = np.repeat(who, counts), np.repeat(apart, counts), below + np.arange(len(below))
-        return who, self.order[node], apart
+                below = np.cumsum(counts, dtype=np.int32)
+                below = np.arange(below[-1] if len(below) else 0, dtype=np.int32) - np.repeat(below - counts - first[node], counts)
+                who, apart, node = np.repeat(who, counts), np.repeat(apart, counts), below
+        return who, node, apart
+
+    def search(self, queries: np.ndarray, limit: int, groups: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of queries and of rows of their group within the limit, and their distances."""
+        top = np.zeros(len(queries), np.int32) if groups is None else groups.astype(np.int32)
+        who, found, apart = self._descend([np.ascontiguousarray(c) for c in queries.T], limit, top, None)
+        return who, self.order[found], apart
 
     def pairs(self, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Places of two rows of a group within the limit, each pair once, and their distance; a bounded part at a time."""
-        asking = np.flatnonzero(self.sizes[self.groups] > 1) if len(self.rows) else np.empty(0, np.int64)
-        # Rows by group, so that a part's searches end in about as many rows as it may hold.
-        asking = asking[np.argsort(self.groups[asking], kind="stable")]
-        parts = np.cumsum(self.sizes[self.groups[asking]]) // HELD
+        if not len(self.order):
+            return
+        of = self.groups[self.order]
+        asking = np.flatnonzero(self.sizes[of] > 1).astype(np.int32)
+        # A part's searches end in about as many rows as it may hold.
+        parts = np.cumsum(self.sizes[of[asking]]) // HELD
+        leaves = self.levels[0][0]
         for part in np.split(asking, np.flatnonzero(parts[1:] != parts[:-1]) + 1) if len(asking) else ():
-            who, found, apart = self.search(self.rows[part], limit, self.groups[part])
-            who = part[who]
-            keep = who < found
-            yield who[keep], found[keep], apart[keep]
+            who, found, apart = self._descend([c[part] for c in leaves], limit, of[part].astype(np.int32), part + np.int32(1))
+            x, y = self.order[part[who]], self.order[found]
+            yield np.minimum(x, y), np.maximum(x, y), apart.astype(np.int64)
 
 
 def local_components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -198,7 +198,7 @@ def drop_near_duplicates(documents: DataFrame, *, key: str = "doc_id", text: str
     own = unused(documents, "k", "h")
     k, h = F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1)), F.xxhash64(F.col(text).cast("string"))
     marked = documents.withColumns({own[0]: k, own[1]: h})
-    source = documents.select(F.struct(k.alias("k"), h.alias("h")).alias("place"), F.col(text).cast("string").alias("text"))
+    source = documents.select(F.struct(k.alias("k"), h.alias("h")).alias("place"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     marks = verified.set_marks(source, shingle).groupBy("node", "place").agg(F.count("*").alias("n"), F.min("size").alias("size"), F.min("fp").alias("fp"))
     firsts = marks.groupBy("node").agg(F.min(F.struct("place", "n", "size", "fp")).alias("f"))
     nodes = materialize(firsts.select("node", F.col("f.place").alias("first"), "f.n", "f.size", "f.fp"), "distinct-sets")

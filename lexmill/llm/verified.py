@@ -27,33 +27,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm.components import connected_components
-from lexmill.llm.gray import GrayIndex, fingerprint, runs, words_of
+from lexmill.llm.gray import GrayIndex, fingerprints, runs, words_of
 from lexmill.llm.shards import shards
-from lexmill.llm.shingles import shingle_hashes
+from lexmill.llm.shingles import shingle_sets
 from lexmill.storage import discard, materialize
 
 WORDS = 10
 #: Sets of a group that a plan aims at, and most that one task compares with each other.
-WANTED, GROUP = 256, 2_048
+WANTED, GROUP = 64, 2_048
 MISS = 0.002
 #: A group with at most so many pairs a member gives all of them.
 FEW = 4
+#: Pairs that a task keeps rather than search again.
+KEPT = 1 << 21
 #: Flags that tell which sets are on a pair.
 SLOTS = 1 << 23
 
 
-def unused(df: DataFrame, *names: str) -> list[str]:
-    """Names like these that are not columns, whatever their case."""
-    taken, out = {c.lower() for c in df.columns}, []
-    for name in names:
-        found = f"_{name}"
-        while found.lower() in taken:
-            found = f"_{found}"
-        taken.add(found.lower())
-        out.append(found)
-    return out
-
-
 def bit_chance(similarity: float) -> float:
     """Chance that a fingerprint bit of two sets of the similarity differs.
 
@@ -88,10 +78,6 @@ def plan(count: int, similarity: float) -> tuple[list[tuple[int, ...]], int, int
     return masks, limit_for(128, 1.1 * chance, MISS), limit_for(64 * WORDS, 1.1 * chance, MISS)
 
 
-def _set(text: pa.Scalar, shingle: int) -> np.ndarray:
-    return np.unique(shingle_hashes(text.as_py(), shingle))
-
-
 def _node(hashes: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(hashes.tobytes())
 
@@ -105,8 +91,8 @@ def set_marks(source: DataFrame, shingle: int) -> DataFrame:
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [_set(value, shingle) for value in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), _signed([_node(x) for x in sets]), pa.array([len(x) for x in sets], pa.int32()), pa.array([fingerprint(x, WORDS) for x in sets], pa.binary())], names=["place", "node", "size", "fp"])
+            sets = list(shingle_sets(batch.column(1), shingle))
+            yield pa.RecordBatch.from_arrays([batch.column(0), _signed([_node(x) for x in sets]), pa.array([len(x) for x in sets], pa.int32()), pa.array(fingerprints(sets, WORDS), pa.binary())], names=["place", "node", "size", "fp"])
 
     return source.mapInArrow(mark, "place struct<k:bigint,h:bigint>, node long, size int, fp binary")
 
@@ -138,8 +124,14 @@ def _first_pairs(rows: DataFrame, limit: int) -> DataFrame:
             index = GrayIndex(marks, group)
             # First how many pairs each member has; then all of groups with few, and those chosen in others.
             degree = np.zeros(n, np.int64)
-            for who, found, _ in index.pairs(limit):
-                degree += np.bincount(who, minlength=n) + np.bincount(found, minlength=n)
+            kept: list | None = []  # all pairs, while there are not too many
+            for who, found, apart in index.pairs(limit):
+                np.add.at(degree, who, 1)
+                np.add.at(degree, found, 1)
+                if kept is not None:
+                    kept.append((who, found, apart))
+                    if sum(len(x[0]) for x in kept) > KEPT:
+                        kept = None
             total = np.bincount(group, degree) / 2
             dense = total > FEW * sizes
             hub = np.zeros(len(sizes), np.int64)
@@ -147,7 +139,7 @@ def _first_pairs(rows: DataFrame, limit: int) -> DataFrame:
             hub[group[order[::-1]]] = order[::-1]
             left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
             nearest, distance = np.full(n, -1), np.full(n, 1 << 30)
-            for who, found, apart in index.pairs(limit):
+            for who, found, apart in index.pairs(limit) if kept is None else kept:
                 thin = ~dense[group[who]]
                 take = thin | (hub[group[who]] == who) | (hub[group[who]] == found)
                 left.append(who[take])
@@ -252,7 +244,7 @@ def _sets(pairs: DataFrame, nodes: DataFrame, source: DataFrame, shingle: int) -
             at = batch.column(0).to_numpy()
             keep = np.flatnonzero(bits[at >> 3] >> (7 - (at & 7)) & 1)
             texts = batch.column(1).take(pa.array(keep))
-            sets = [_set(value, shingle) for value in texts]
+            sets = list(shingle_sets(texts, shingle))
             yield pa.RecordBatch.from_arrays([_signed([_node(x) for x in sets]), pa.array([x.tobytes() for x in sets], pa.binary())], names=["node", "hashes"])
 
     return materialize(source.select(slot.alias("slot"), "text").mapInArrow(pick, "node long, hashes binary").dropDuplicates(["node"]), "sets-on-pairs")

@@ -1,11 +1,13 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 from lexmill.llm import gray as G
 from lexmill.llm import simhash as H
 from lexmill.llm import verified as V
+from lexmill.llm.shingles import shingle_sets
 
 
 def plain_fingerprint(text, size):
@@ -212,3 +214,21 @@ def test_links_are_those_of_the_exact_similarity(spark):
     wanted = sorted(set(exact_groups(texts, 0.8)))
     assert 1 not in wanted and 70 < len(wanted) < 110
     assert kept == wanted
+
+
+def test_sets_are_those_of_the_shingles():
+    draw = random.Random(14)
+    texts = ["", " \n", "One", "one  TWO", "a b c d", "a b c d e", "A b c d e f", *(" ".join(draw.choices(["aa", "b", "C", "É"], k=draw.randint(0, 60))) for _ in range(100))]
+    names = {}
+    for size in (1, 3, 5):
+        for text, found in zip(texts, shingle_sets(pa.array(texts), size), strict=True):
+            words = text.encode().lower().split()
+            wanted = {tuple(words[i : i + size]) for i in range(len(words) - size + 1)} if len(words) >= size else {tuple(words)} if words else set()
+            assert len(found) == len(wanted) and (np.sort(found) == found).all()
+            for x in wanted:
+                names.setdefault(size, {}).setdefault(x, set()).update()
+            if len(wanted) == 1:
+                names[size].setdefault(next(iter(wanted)), set()).add(int(found[0]))
+    assert all(len(v) <= 1 for by in names.values() for v in by.values())
+    sets = list(shingle_sets(pa.array(["a b c d e f g h", "x a b c d e f g", "a b c d"]), 5))
+    assert len(np.intersect1d(sets[0], sets[1])) == 3 and not len(np.intersect1d(sets[0], sets[2]))
