@@ -40,7 +40,7 @@ THRESHOLD = 0.7
 MAX_ROWS = 20_000
 BUCKETS = 1 << 20
 MIN_ROWS = 3
-#: Words whose feature ids a worker keeps.
+#: Words, and beginnings, whose numbers a worker keeps.
 CACHED = 500_000
 
 # Names of groups that are swapped for one another, by language.
@@ -60,10 +60,25 @@ def words(text: str | None) -> set[str]:
     return set(_WORDS.findall(text.lower())) if text else set()
 
 
+_beginnings: dict[str, int] = {}
+
+
 def word_features(word: str) -> list[int]:
     """Numbers of the word and its beginnings; a group's name has no beginnings."""
-    names = [word] if word in _GROUP else [word, *(f"{word[:n]}-" for n in _BEGINNINGS if len(word) > n)]
-    return [xxhash.xxh3_64_intdigest(name) % BUCKETS for name in names]
+    out = [xxhash.xxh3_64_intdigest(word) % BUCKETS]
+    if word in _GROUP:
+        return out
+    for n in _BEGINNINGS:
+        if len(word) <= n:
+            break
+        # Many words share a beginning, so these numbers are kept.
+        own = _beginnings.get(part := word[:n])
+        if own is None:
+            if len(_beginnings) >= CACHED:
+                _beginnings.clear()
+            own = _beginnings[part] = xxhash.xxh3_64_intdigest(f"{part}-") % BUCKETS
+        out.append(own)
+    return out
 
 
 def counterfactuals(found: set[str]) -> list[set[str]]:
@@ -99,7 +114,7 @@ class Model:
         for word in found:
             own = self._known.get(word)
             if own is None:
-                own = tuple(f for f in word_features(word) if f in self.weights)
+                own = tuple([f for f in word_features(word) if f in self.weights])
                 if len(self._known) >= CACHED:
                     self._known.clear()
                 self._known[word] = own
@@ -113,10 +128,12 @@ class Model:
         return 1 / (1 + math.exp(-min(max(self.logit(words(text)), -40), 40)))
 
 
-def fit(rows: list[tuple[int, list[int], list[list[int]]]], size: int, *, penalty: float = 1e-5, counterfactual: float = 1.0, steps: int = 800) -> tuple[np.ndarray, float]:
-    """Weights and bias by Nesterov's method.
+def fit(rows: list[tuple[int, list[int], list[list[int]]]], size: int, *, penalty: float = 1e-5, counterfactual: float = 1.0, steps: int = 150) -> tuple[np.ndarray, float]:
+    """Weights and bias that minimise the objective, by the limited-memory BFGS method.
 
-    rows: label, features, and the features of each counterfactual.
+    rows: label, features, and the features of each counterfactual.  The objective
+    is the mean logistic loss, half the penalty times the squared weights, and
+    ``counterfactual`` times the mean squared change of the logit over the pairs.
     """
     labels = np.array([r[0] for r in rows], dtype=np.float64)
     row_of = np.repeat(np.arange(len(rows)), [len(r[1]) for r in rows])
@@ -132,30 +149,48 @@ def fit(rows: list[tuple[int, list[int], list[list[int]]]], size: int, *, penalt
             pairs += 1
     pair_of, pair_feature, sign = np.array(pair_of, np.int64), np.array(pair_feature, np.int64), np.array(sign)
     n = max(1, len(rows))
-    prior = np.clip(labels.mean() if len(rows) else 0.0, 1e-4, 1 - 1e-4)
-    w, bias = np.zeros(size), float(np.log(prior / (1 - prior)))
-    speed, bias_speed = np.zeros(size), 0.0
-    # The loss's curvature is at most a quarter of the largest eigenvalue here, found by power iteration.
-    v = np.full(size, size**-0.5)
-    largest = 1.0
-    for _ in range(30):
-        v = np.bincount(feature, np.bincount(row_of, v[feature], len(rows))[row_of], size) / n
-        largest = max(float(np.linalg.norm(v)), 1e-9)
-        v /= largest
-    width = max((len(set(r[1]) ^ set(o)) for r in rows for o in r[2]), default=0)
-    rate = 1.0 / (0.3 * (largest + 1) + penalty + 2 * counterfactual * width)
-    for step in range(steps):
-        momentum = step / (step + 3)
-        at, bias_at = w + momentum * speed, bias + momentum * bias_speed
-        logit = bias_at + np.bincount(row_of, at[feature], len(rows))
+
+    def value(x: np.ndarray) -> tuple[float, np.ndarray]:
+        """The objective and its slope; the bias is the last entry."""
+        w = x[:-1]
+        logit = x[-1] + np.bincount(row_of, w[feature], len(rows))
         error = (1 / (1 + np.exp(-np.clip(logit, -40, 40))) - labels) / n
-        slope = np.bincount(feature, error[row_of], size) + penalty * at
+        loss = (np.logaddexp(0, logit) - labels * logit).sum() / n + penalty / 2 * (w @ w)
+        slope = np.bincount(feature, error[row_of], size) + penalty * w
         if pairs:
-            change = np.bincount(pair_of, sign * at[pair_feature], pairs)
+            change = np.bincount(pair_of, sign * w[pair_feature], pairs)
+            loss += counterfactual / pairs * (change @ change)
             slope += 2 * counterfactual / pairs * np.bincount(pair_feature, sign * change[pair_of], size)
-        new, new_bias = at - rate * slope, bias_at - rate * error.sum()
-        speed, bias_speed, w, bias = new - w, new_bias - bias, new, new_bias
-    return w, bias
+        return loss, np.append(slope, error.sum())
+
+    prior = np.clip(labels.mean() if len(rows) else 0.0, 1e-4, 1 - 1e-4)
+    x = np.append(np.zeros(size), np.log(prior / (1 - prior)))
+    now, slope = value(x)
+    past: list[tuple[np.ndarray, np.ndarray, float]] = []
+    for _ in range(steps):
+        if np.abs(slope).max(initial=0.0) < 1e-7:
+            break
+        way, left = -slope, []
+        for moved, turned, scale in reversed(past):
+            left.append(scale * (moved @ way))
+            way -= left[-1] * turned
+        if past:
+            moved, turned, scale = past[-1]
+            way /= scale * (turned @ turned)
+        for (moved, turned, scale), share in zip(past, reversed(left), strict=True):
+            way += (share - scale * (turned @ way)) * moved
+        fall, step = slope @ way, 1.0 if past else 1.0 / max(1.0, np.linalg.norm(slope))
+        new, new_slope = value(x + step * way)
+        while new > now + 1e-4 * step * fall and step > 1e-10:
+            step /= 2
+            new, new_slope = value(x + step * way)
+        if new >= now:
+            break
+        moved, turned = step * way, new_slope - slope
+        if moved @ turned > 1e-18:
+            past = [*past[-9:], (moved, turned, 1 / (moved @ turned))]
+        x, now, slope = x + moved, new, new_slope
+    return x[:-1], float(x[-1])
 
 
 def _choose(counts: DataFrame, positives: int, negatives: int) -> np.ndarray:
@@ -195,14 +230,10 @@ def train(documents: DataFrame, labels: DataFrame, *, key: str = "doc_id", text:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros((2, BUCKETS), np.int32)
-        of: dict[str, list[int]] = {}
         for batch in batches:
             for mark, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 found = words(value.as_py())
-                of.update((w, word_features(w)) for w in found if w not in of)
-                seen[mark, list({f for w in found for f in of[w]})] += 1
-                if len(of) > CACHED:
-                    of.clear()
+                seen[mark, list({f for w in found for f in word_features(w)})] += 1
         used = np.flatnonzero(seen.any(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(seen[1, used].astype(np.int64)), pa.array(seen[0, used].astype(np.int64))], names=["feature", "positive", "negative"])
 
