@@ -1,16 +1,19 @@
 """Language-model scores by a probabilistic suffix tree.
 
-Symbols are all tokens and an end sign; a context is up to ``DEPTH`` symbols of
+Symbols are all tokens (words between ASCII white space, A to Z in lower case)
+and an end sign; a context is up to ``DEPTH`` symbols of
 one text, read backwards.  Every context seen at least ``MIN_CONTEXT`` times is a
-candidate, so the tree grows with the corpus.  It is retained if its next-symbol
-distribution diverges from that of the context one symbol shorter: if the summed
-log ratio of its next symbols passes half the logarithm of its count for each of
-their kinds; next symbols seen fewer than ``MIN_NEXT`` times there count as one
-kind.  Suffixes of retained contexts are retained.
-
-A distribution is smoothed by the shorter context's: each next symbol of count m
-has (m - DISCOUNT) / n, and what is left, ``back``, is shared out as the shorter
-context does.  The empty context has (c + 1) / (N + V + 1), like the base score.
+candidate, so the tree grows with the corpus.  Of its next symbols, seen at least
+``MIN_NEXT`` times there, those are kept of which there are so many more than the
+context one symbol shorter lets expect that half the Poisson deviance passes half the
+logarithm of the context's count n.  A context is retained if its distribution
+diverges from the shorter one's: if the summed log ratio of the kept symbols, and
+of all others as one, passes half the logarithm of n for each of them.  Suffixes
+of retained contexts are retained.
+
+A distribution is smoothed by the shorter context's: each kept next symbol of
+count m has (m - DISCOUNT) / n, and what is left, ``back``, is shared out as the
+shorter context does.  The empty context has (c + 1) / (N + V + 1), like the base score.
 A token is scored from the longest retained suffix of what is before it.
 
 Counts cover the whole corpus, level by level: the grams of a level are counted
@@ -33,58 +36,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.llm.tokens import chain, distinct, slices, token_hashes
 from lexmill.storage import discard, materialize
 
 DEPTH = 3
 MIN_CONTEXT, MIN_NEXT = 128, 4
 DISCOUNT = 0.5
 BLOCK_BYTES = 16 << 20
-HEAD = 1 << 19
+HEAD = 1 << 17
 FLAGS = 1 << 26
-#: Tokens that a task takes at once; distinct grams, or cached words, that it holds.
-CHUNK, HELD = 1 << 20, 3_000_000
-CACHED = 1_000_000
+#: Tokens that a task takes at once; distinct grams that it holds.
+CHUNK, HELD = 1 << 18, 1_200_000
 #: Symbols that are no word's hash: any next symbol, and the end sign.
 ANY, END = 0, 1
-_PRIMES = tuple(np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
-
-
-def tokens(text: str | None) -> list[bytes]:
-    """Words between ASCII white space, A to Z in lower case."""
-    return (text or "").encode().lower().split()
-
-
-class WordHashes(dict):
-    """XXH64 of words, kept while there are not too many."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED:
-            self.clear()
-        self[word] = found = xxhash.xxh64_intdigest(word)
-        return found
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
-def chain(seed: np.ndarray, value: np.ndarray) -> np.ndarray:
-    """XXH64 of a number with a seed, element by element: what Spark's xxhash64 chains over columns."""
-    p1, p2, p3, p4, p5 = _PRIMES
-
-    def turn(x: np.ndarray, bits: int) -> np.ndarray:
-        return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
-
-    with np.errstate(over="ignore"):
-        h = seed + p5 + np.uint64(8)
-        h = h ^ (turn(value * p2, 31) * p1)
-        h = turn(h, 27) * p1 + p4
-        h = (h ^ (h >> np.uint64(33))) * p2
-        h = (h ^ (h >> np.uint64(29))) * p3
-        return h ^ (h >> np.uint64(32))
 
 
 _ROOT = np.zeros(1, np.uint64)
@@ -129,84 +96,96 @@ def flags_of(keys: DataFrame, column: str) -> np.ndarray:
     return out
 
 
+def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that sorts the keys, and where in it runs of equal ones begin."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    return order, np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else order
+
+
 class _Counts:
-    """Counts of grams, combined as they grow."""
+    """Counts of contexts and next symbols, combined as they grow."""
 
     def __init__(self) -> None:
         self.parts: list[tuple[np.ndarray, ...]] = []
         self.size = 0
 
     def add(self, context: np.ndarray, parent: np.ndarray, following: np.ndarray) -> None:
-        if not len(context):
-            return
-        keys, first, counts = np.unique(gram_keys(context, following), return_index=True, return_counts=True)
-        self.parts.append((keys, context[first], parent[first], following[first], counts))
-        self.size += len(keys)
-        if self.size > HELD:
-            self.combine()
+        if len(context):
+            order, firsts = _grouped(gram_keys(context, following))
+            at = order[firsts]
+            self.parts.append((context[at], parent[at], following[at], np.diff(np.concatenate((firsts, [len(order)])))))
+            self.size += len(at)
+            if self.size > HELD:
+                self.combine()
 
     def combine(self) -> None:
         if len(self.parts) > 1:
             columns = [np.concatenate(x) for x in zip(*self.parts, strict=True)]
-            order = np.argsort(columns[0], kind="stable")
-            firsts = np.flatnonzero(np.concatenate(([True], (sorted_ := columns[0][order])[1:] != sorted_[:-1])))
+            self.parts = []
+            order, firsts = _grouped(gram_keys(columns[0], columns[2]))
             at = order[firsts]
-            self.parts = [(*(c[at] for c in columns[:4]), np.add.reduceat(columns[4][order], firsts))]
+            self.parts = [(*(c[at] for c in columns[:3]), np.add.reduceat(columns[3][order], firsts))]
             self.size = len(at)
 
-    def rows(self) -> Iterator[pa.RecordBatch]:
-        """All counts, by context, which packs well."""
+    def rows(self, wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Each context's own count, with next symbol ``ANY``, and those of next symbols whose flag is set; by context, which packs well."""
         self.combine()
-        for _, context, parent, following, counts in self.parts:
-            order = np.argsort(context, kind="stable")
-            for at in range(0, len(order), 100_000):
-                part = order[at : at + 100_000]
-                yield pa.RecordBatch.from_arrays([*(pa.array(x[part].view(np.int64)) for x in (context, parent, following)), pa.array(counts[part])], names=["context", "parent", "next", "n"])
+        for context, parent, following, counts in self.parts:
+            order, firsts = _grouped(context)
+            own = order[firsts]
+            keep = order[flagged(wanted, following[order])]
+            for columns in (
+                (context[own], parent[own], np.full(len(own), ANY, np.uint64), np.add.reduceat(counts[order], firsts)),
+                (context[keep], parent[keep], following[keep], counts[keep]),
+            ):
+                for at in range(0, len(columns[0]), 100_000):
+                    yield pa.RecordBatch.from_arrays([*(pa.array(c[at : at + 100_000].view(np.int64)) for c in columns[:3]), pa.array(columns[3][at : at + 100_000])], names=["context", "parent", "next", "n"])
         self.parts, self.size = [], 0
 
 
-def _streams(batches: Iterator[pa.RecordBatch], column: int = 0) -> Iterator[np.ndarray]:
-    """Symbols of whole texts, many at once, each text ended by an end sign; one comes first too."""
-    hashes, end = WordHashes(), np.array([END], np.uint64)
-    held, size = [end], 1
+def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """Symbols of whole texts, many at once, each text ended by an end sign; one comes first too.  The text is the first column."""
+    held, size = [np.array([END], np.uint64)], 1
     for batch in batches:
-        for value in batch.column(column):
-            own = hashes.of(tokens(value.as_py()))
-            held += [own, end]
-            size += len(own) + 1
+        for data, bounds in slices(batch.column(0)):
+            hashes, counts = token_hashes(data, bounds)
+            own = np.full(len(hashes) + len(counts), END, np.uint64)
+            own[np.arange(len(hashes)) + np.repeat(np.arange(len(counts)), counts)] = hashes
+            held.append(own)
+            size += len(own)
             if size >= CHUNK:
                 yield np.concatenate(held)
-                held, size = [end], 1
+                held, size = [np.array([END], np.uint64)], 1
     if size > 1:
         yield np.concatenate(held)
 
 
-def gram_counts(texts: DataFrame, depth: int, candidates: np.ndarray) -> DataFrame:
+def gram_counts(texts: DataFrame, depth: int, candidates: np.ndarray, wanted: np.ndarray) -> DataFrame:
     """``context, parent, next, n`` of contexts of one length.
 
     candidates: flags of the contexts' keys in the level before: of the context
-    but for its last symbol with that symbol next, or of words.  ``next`` is 0 for
-    the context's own count.
+    but for its last symbol with that symbol next, or of words.  wanted: flags of
+    next symbols that are frequent enough to matter.  ``next`` is ``ANY`` for the
+    context's own count.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(candidates.tobytes())
+    shared = texts.sparkSession.sparkContext.broadcast((candidates, wanted))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flags, counts = np.frombuffer(shared.value, np.uint8), _Counts()
+        (flags, enough), counts = shared.value, _Counts()
         for stream in _streams(batches):
             codes = context_codes(stream, depth)
-            context, parent = codes[-1], codes[-2] if depth > 1 else np.zeros(len(codes[-1]), np.uint64)
             # The context before a symbol was, one symbol earlier, a shorter context and its next symbol.
             keys = stream[:-1] if depth == 1 else np.concatenate((_ROOT, gram_keys(codes[-2][:-1], stream[1:-1])))
-            here = np.flatnonzero((context != 0) & flagged(flags, keys))
-            context, parent = context[here], parent[here]
-            counts.add(context, parent, stream[1:][here])
-            counts.add(context, parent, np.zeros(len(here), np.uint64))
+            here = np.flatnonzero(flagged(flags, keys) & (codes[-1] != 0))
+            counts.add(codes[-1][here], codes[-2][here] if depth > 1 else np.zeros(len(here), np.uint64), stream[1:][here])
             if counts.size > HELD:
-                yield from counts.rows()
-        yield from counts.rows()
+                yield from counts.rows(enough)
+        yield from counts.rows(enough)
 
+    # Tasks have combined their counts already: dealing them out first spares another table of them on that side.
     rows = texts.select("text").mapInArrow(count, "context long, parent long, next long, n long")
-    return rows.groupBy("context", "parent", "next").agg(F.sum("n").alias("n"))
+    return rows.repartition("context", "parent", "next").groupBy("context", "parent", "next").agg(F.sum("n").alias("n"))
 
 
 def vocabulary(texts: DataFrame) -> DataFrame:
@@ -222,33 +201,37 @@ def vocabulary(texts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["next", "n"])
 
         for stream in _streams(batches):
-            held.append(np.unique(stream[1:], return_counts=True))
+            order, firsts = _grouped(stream[1:])
+            held.append((stream[1:][order[firsts]], np.diff(np.concatenate((firsts, [len(order)])))))
             if sum(len(k) for k, _ in held) > HELD:
                 yield from emit()
         if held:
             yield from emit()
 
-    return texts.select("text").mapInArrow(count, "next long, n long").groupBy("next").agg(F.sum("n").alias("n"))
+    return texts.select("text").mapInArrow(count, "next long, n long").repartition("next").groupBy("next").agg(F.sum("n").alias("n"))
 
 
 def _level(counts: DataFrame, above: DataFrame, on: list[str], min_context: int) -> tuple[DataFrame, DataFrame]:
-    """Contexts (``context, parent, n, back, kept``) and their grams (``context, parent, next, n, p``) of one length.
+    """Contexts (``context, parent, n, back, kept``) and their grams (``context, parent, next, n, p, own``) of one length.
 
-    above: chances ``q`` of next symbols by the shorter context, to be joined on ``on``.
+    above: chances ``q`` of next symbols by the shorter context, to be joined on
+    ``on``.  own: whether the context keeps the symbol; the others' chance is the
+    shorter context's share of what is left.
     """
-    total = counts.where((F.col("next") == ANY) & (F.col("n") >= min_context)).select("context", F.col("n").alias("total"))
-    grams = counts.where((F.col("next") != ANY) & (F.col("n") >= MIN_NEXT)).join(total, "context").join(above, on)
-    grams = materialize(grams.select("context", "parent", "next", "n", "total", "q"), "grams")
-    n, all_ = F.col("n").cast("double"), F.col("total").cast("double")
-    sums = grams.groupBy("context", "parent", "total").agg(F.sum("n").cast("double").alias("seen"), F.count("*").alias("kinds"), F.sum("q").alias("q"), F.sum(n * F.log(n / all_ / F.col("q"))).alias("gain"))
-    rest = F.col("total") - F.col("seen")
-    # What is not among the grams is one more kind.
-    gain = F.col("gain") + F.when(rest > 0, rest * F.log(rest / F.col("total") / F.greatest(1 - F.col("q"), F.lit(1e-12)))).otherwise(0.0)
-    kept = gain >= (F.col("kinds") + 1) * F.log(F.col("total").cast("double")) / 2
-    back = 1 - (F.col("seen") - DISCOUNT * F.col("kinds")) / F.col("total")
-    contexts = materialize(sums.select("context", "parent", F.col("total").alias("n"), back.alias("back"), kept.alias("kept")), "contexts")
-    p = (n - DISCOUNT) / all_ + F.col("back") * F.col("q")
-    chances = materialize(grams.join(contexts.select("context", "back"), "context").select("context", "parent", "next", "n", p.alias("p")), "chances")
+    total = counts.where((F.col("next") == ANY) & (F.col("n") >= min_context)).select("context", "parent", F.col("n").alias("total"))
+    grams = counts.where((F.col("next") != ANY) & (F.col("n") >= MIN_NEXT)).join(total.drop("parent"), "context").join(above, on)
+    n, all_, q = F.col("n").cast("double"), F.col("total").cast("double"), F.col("q")
+    own = (n > all_ * q) & (n * F.log(n / (all_ * q)) - n + all_ * q >= F.log(all_) / 2)
+    grams = materialize(grams.select("context", "parent", "next", "n", "total", "q", own.alias("own")), "grams")
+    sums = grams.where("own").groupBy("context").agg(F.sum(n).alias("seen"), F.count("*").alias("kinds"), F.sum("q").alias("q"), F.sum(n * F.log(n / all_ / q)).alias("gain"))
+    rest = all_ - F.col("seen")
+    # What is not among the kept symbols is one more kind.
+    gain = F.col("gain") + F.when(rest > 0, rest * F.log(rest / all_ / F.greatest(1 - q, F.lit(1e-12)))).otherwise(0.0)
+    kept = F.coalesce(gain >= (F.col("kinds") + 1) * F.log(all_) / 2, F.lit(False))
+    back = F.coalesce(1 - (F.col("seen") - DISCOUNT * F.col("kinds")) / all_, F.lit(1.0))
+    contexts = materialize(total.join(sums, "context", "left").select("context", "parent", F.col("total").alias("n"), back.alias("back"), kept.alias("kept")), "contexts")
+    p = F.col("back") * q + F.when(F.col("own"), (n - DISCOUNT) / all_).otherwise(0.0)
+    chances = materialize(grams.join(contexts.select("context", "back"), "context").select("context", "parent", "next", "n", p.alias("p"), "own"), "chances")
     discard(grams)
     return contexts, chances
 
@@ -259,11 +242,11 @@ def learn(texts: DataFrame, words: DataFrame, total: int, kinds: int, *, depth:
     key: that of a retained context and a next symbol, whose chance has the
     logarithm v; of a retained context and 0, the logarithm of its ``back``.
     """
-    flags = flags_of(words.where(F.col("n") >= min_context), "next")
+    flags, wanted = (flags_of(words.where(F.col("n") >= least), "next") for least in (min_context, MIN_NEXT))
     above, on = words.select("next", ((F.col("n") + 1) / F.lit(float(total + kinds + 1))).alias("q")), ["next"]
     levels: list[tuple[DataFrame, DataFrame]] = []
     for length in range(1, depth + 1):
-        counts = materialize(gram_counts(texts, length, flags).where((F.col("next") == ANY) | (F.col("n") >= MIN_NEXT)), "gram-counts")
+        counts = materialize(gram_counts(texts, length, flags, wanted).where((F.col("next") == ANY) | (F.col("n") >= MIN_NEXT)), "gram-counts")
         levels.append(_level(counts, above, on, min_context))
         discard(counts)
         chances = levels[-1][1]
@@ -277,7 +260,7 @@ def learn(texts: DataFrame, words: DataFrame, total: int, kinds: int, *, depth:
         kept = contexts.where("kept") if longer is None else contexts.join(longer, "context", "left").where(F.col("kept") | F.col("needed").isNotNull())
         longer = kept.select(F.col("parent").alias("context")).distinct().withColumn("needed", F.lit(True))
         own = kept.select(F.xxhash64("context", F.lit(ANY).cast("long")).alias("key"), F.log10("back").alias("v"), "n")
-        own = own.union(chances.join(kept.select("context"), "context", "left_semi").select(F.xxhash64("context", "next").alias("key"), F.log10("p").alias("v"), "n"))
+        own = own.union(chances.where("own").join(kept.select("context"), "context", "left_semi").select(F.xxhash64("context", "next").alias("key"), F.log10("p").alias("v"), "n"))
         out = own if out is None else out.union(own)
     out = materialize(out, "suffix-tree")
     for level in levels:
@@ -306,26 +289,32 @@ class Tree:
     def __init__(self, head: Lookup, flags: np.ndarray, total: int, kinds: int, depth: int) -> None:
         self.head, self.flags, self.total, self.kinds, self.depth = head, flags, total, kinds, depth
 
-    def find(self, keys: np.ndarray, own: Lookup | None) -> np.ndarray:
-        """Values by a lookup of each distinct key."""
-        distinct, place = np.unique(keys, return_inverse=True)
-        out = self.head(distinct)
-        if own is not None:
-            gaps = np.flatnonzero(np.isnan(out))
-            out[gaps] = own(distinct[gaps])
-        return out[place]
+    def find(self, keys: np.ndarray, own: Lookup) -> np.ndarray:
+        """Values of the keys; only those with a flag are looked up."""
+        out = np.full(len(keys), np.nan)
+        here = np.flatnonzero(flagged(self.flags, keys))
+        order, firsts = _grouped(keys[here])
+        once = keys[here[order[firsts]]]
+        found = self.head(once)
+        gaps = np.flatnonzero(np.isnan(found))
+        found[gaps] = own(once[gaps])
+        out[here[order]] = np.repeat(found, np.diff(np.concatenate((firsts, [len(order)]))))
+        return out
 
     def questions(self, stream: np.ndarray) -> np.ndarray:
         """Distinct keys that the symbols need, the head does not have, and the tables may have."""
-        out = [np.unique(stream[1:])]
+        out, here = [stream[1:]], np.arange(len(stream) - 1)
         for code in context_codes(stream, self.depth):
-            here = np.flatnonzero(code != 0)
-            for following in (ANY, stream[1:][here]):
-                keys = np.unique(gram_keys(code[here], following))
-                out.append(keys)
-        keys = np.concatenate(out)
-        keys = keys[flagged(self.flags, keys)]
-        return keys[np.isnan(self.head(keys))]
+            here = here[code[here] != 0]
+            keys = gram_keys(code[here], ANY)
+            some = flagged(self.flags, keys)  # a context is in the tables only if its suffixes are
+            here = here[some]
+            out += [keys[some], gram_keys(code[here], stream[1:][here])]
+        found = np.empty(0, np.uint64)
+        for keys in out:
+            keys = distinct(keys[flagged(self.flags, keys)])
+            found = np.concatenate((found, keys[np.isnan(self.head(keys))]))
+        return distinct(found)
 
     def score(self, stream: np.ndarray, own: Lookup) -> tuple[np.ndarray, np.ndarray]:
         """Counts, and log10 chances from the longest retained suffix, of each symbol after the first."""
@@ -337,8 +326,6 @@ class Tree:
             back = self.find(gram_keys(code[here], ANY), own)
             some = ~np.isnan(back)  # retained, and so are all its suffixes
             here, back = here[some], back[some]
-            if not len(here):
-                break
             p = self.find(gram_keys(code[here], stream[1:][here]), own)
             best[here] = np.where(np.isnan(p), best[here] + back, p)
         return counts, best
@@ -368,7 +355,7 @@ def score(documents: DataFrame, *, learn_from: Column | None = None, key: str =
     log10 probability).
     """
     training = F.lit(True) if learn_from is None else F.coalesce(learn_from, F.lit(False))
-    source = documents.select(F.col(key).cast("long").alias("doc_id"), training.alias("training"), F.col(text).cast("string").alias("text"))
+    source = documents.select(F.col(key).cast("long").alias("doc_id"), training.alias("training"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     learned = source.where("training").select("text")
     words = materialize(vocabulary(learned), "vocabulary")
     sums = words.agg(F.count("*").alias("kinds"), F.sum("n").alias("n")).first()
@@ -387,7 +374,7 @@ def score(documents: DataFrame, *, learn_from: Column | None = None, key: str =
     def ask(key: tuple, block: pa.Table) -> pa.Table:
         tree, found = shared.value, np.empty(0, np.uint64)
         for stream in _streams(block.select(["text"]).to_batches()):
-            found = np.union1d(found, tree.questions(stream))
+            found = distinct(np.concatenate((found, tree.questions(stream))))
         return pa.table({"blk": pa.array(np.full(len(found), key[0].as_py(), np.int32)), "key": pa.array(found.view(np.int64))})
 
     def rate(block: pa.Table, found: pa.Table) -> pa.Table:

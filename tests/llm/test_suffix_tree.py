@@ -4,9 +4,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from lexmill.llm import suffix_tree as S
+from lexmill.llm import tokens
 
 
 def corpus(seed, count=300):
@@ -23,6 +25,26 @@ def corpus(seed, count=300):
     return out
 
 
+def words_of(text):
+    return (text or "").encode().lower().split()
+
+
+def test_tokens_are_cut_and_hashed_as_plain_ones():
+    draw = random.Random(3)
+    texts = ["", " \t\x0b ", "One", " ONE two\x0cthree\r\n", "é Ü\x1cx \xa0y", "ab" * 200 + " ab", "a\0b a", *("".join(draw.choices("ABab é\n\t\0", k=draw.randint(0, 40))) for _ in range(300))]
+    array = pa.array(["skipped", *texts]).slice(1)
+    for size in (1 << 22, 50):
+        tokens.BYTES, before = size, tokens.BYTES
+        stream = np.concatenate(list(S._streams(iter([pa.record_batch([array], names=["text"])]))))
+        tokens.BYTES = before
+        plain = [w for t in texts for w in (*words_of(t), None)]
+        assert stream[0] == S.END and len(stream) == len(plain) + 1
+        of = {}
+        for w, h in zip(plain, stream[1:].tolist(), strict=True):
+            assert of.setdefault(w, h) == h
+        assert len(set(of.values())) == len(of) and of[None] == S.END
+
+
 def training(k):
     return zlib.crc32(str(k).encode()) % 7 != 2
 
@@ -45,21 +67,21 @@ def brute_tree(texts, depth, least):
         if not context:
             return (unigrams[x] + 1) / (total + kinds + 1)
         n, seen, back = stats[context]
-        return (max(seen[x] - S.DISCOUNT, 0) if x in seen else 0) / n + back * chance(context[1:], x)
+        return (seen[x] - S.DISCOUNT if x in seen else 0) / n + back * chance(context[1:], x)
 
     kept = set()
     for context in sorted(counts, key=len):
         n = sum(counts[context].values())
-        seen = {x: m for x, m in counts[context].items() if m >= S.MIN_NEXT}
-        if n < least or not seen:
+        if n < least:
             continue
-        short = {x: chance(context[1:], x) for x in seen}
-        rest = n - sum(seen.values())
-        gain = sum(m * math.log(m / n / short[x]) for x, m in seen.items())
-        if rest:
-            gain += rest * math.log(rest / n / max(1 - sum(short.values()), 1e-12))
+        expected = {x: n * chance(context[1:], x) for x in counts[context]}
+        seen = {x: m for x, m in counts[context].items() if m >= S.MIN_NEXT and m > expected[x] and m * math.log(m / expected[x]) - m + expected[x] >= math.log(n) / 2}
         stats[context] = (n, seen, 1 - (sum(seen.values()) - S.DISCOUNT * len(seen)) / n)
-        if gain >= (len(seen) + 1) * math.log(n) / 2:
+        rest = n - sum(seen.values())
+        gain = sum(m * math.log(m / expected[x]) for x, m in seen.items())
+        if rest and seen:
+            gain += rest * math.log(rest / n / max(1 - sum(expected[x] for x in seen) / n, 1e-12))
+        if seen and gain >= (len(seen) + 1) * math.log(n) / 2:
             kept |= {context[k:] for k in range(len(context))}
     return kept, chance, unigrams
 
@@ -95,12 +117,12 @@ def test_scores_equal_brute_force(spark, monkeypatch):
     docs = corpus(1) + [(1000, None), (1001, ""), (1002, "unseen words only")]
     df = spark.createDataFrame(docs, "doc_id long, text string")
     out = {r["doc_id"]: r for r in S.score(df.repartition(5), learn_from=F.crc32(F.col("doc_id").cast("string")) % 7 != 2, min_context=16).collect()}
-    learned = [S.tokens(t) for k, t in docs if training(k)]
+    learned = [words_of(t) for k, t in docs if training(k)]
     kept, chance, c = brute_tree(learned, S.DEPTH, 16)
     total, kinds = sum(c.values()), len(c)
     assert {len(x) for x in kept} >= {1, 2}
     for k, text in docs:
-        r, words = out[k], S.tokens(text)
+        r, words = out[k], words_of(text)
         assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (not training(k), len(words) + 1, sum(c[w] > 0 for w in (*words, None)), total)
         assert math.isclose(r["base_score"], sum(math.log10((c[w] + 1) / (total + kinds + 1)) for w in (*words, None)), rel_tol=1e-12)
         line, score = [None, *words, None], 0.0
