@@ -37,8 +37,8 @@ from lexmill.storage import materialize
 
 MOST_CELLS = 1_024
 SAMPLE = 20_000
-PROBES = 64
-MISS = 0.04
+PROBES = 128
+MISS = 0.025
 CHUNK, BLOCK = 4_096, 65_536
 #: Cosines this close to the last one kept are compared by the exact formula.
 SLACK = 1e-9
