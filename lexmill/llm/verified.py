@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm.components import connected_components
@@ -36,10 +36,14 @@ WORDS = 10
 #: Sets of a group that a plan aims at, and most that one task compares with each other.
 WANTED, GROUP = 64, 2_048
 MISS = 0.002
+#: Sets from this size on differ in hardly more bits than the angle between them says.
+LARGE = 64
 #: A group with at most so many pairs a member gives all of them.
 FEW = 4
 #: Pairs that a task keeps rather than search again.
 KEPT = 1 << 21
+#: Parities of a set that is compared with very many.
+PARITIES = 2_048
 #: Flags that tell which sets are on a pair.
 SLOTS = 1 << 23
 
@@ -63,8 +67,8 @@ def limit_for(bits: int, chance: float, miss: float) -> int:
     return bits
 
 
-def plan(count: int, similarity: float) -> tuple[list[tuple[int, ...]], int, int]:
-    """Masks over the words' bits, and the limits on the first two words and on all."""
+def plan(count: int, similarity: float) -> tuple[list[tuple[int, ...]], int, tuple[int, int]]:
+    """Masks over the words' bits, and the limits on the first two words and, for small and large sets, on all."""
     chance = bit_chance(similarity)
     width = max(8, min(48, round(math.log2(max(2, count) / WANTED))))
     many = 1 if chance == 0 else math.ceil(math.log(MISS) / math.log(1 - (1 - chance) ** width))
@@ -75,7 +79,17 @@ def plan(count: int, similarity: float) -> tuple[list[tuple[int, ...]], int, int
         masks.append(tuple(bits[:width]))
         bits = bits[width:]
     # The smallest sets that can differ, of four and five shingles, differ in more bits than the plan's chance.
-    return masks, limit_for(128, 1.1 * chance, MISS), limit_for(64 * WORDS, 1.1 * chance, MISS)
+    bits = 64 * WORDS
+    return masks, limit_for(128, 1.1 * chance, MISS), (limit_for(bits, 1.1 * chance, MISS), limit_for(bits, chance / 1.125 * 1.03, MISS))
+
+
+def may_be(one: np.ndarray, other: np.ndarray, sizes: np.ndarray, others: np.ndarray, similarity: float, whole: tuple[int, int]) -> np.ndarray:
+    """Whether pairs of sets, by sizes and whole fingerprints, may have the similarity."""
+    low, high = np.minimum(sizes, others), np.maximum(sizes, others)
+    apart = np.zeros(len(one), np.int64)
+    for k in range(WORDS):
+        apart += np.bitwise_count(one[:, k] ^ other[:, k])
+    return (low >= similarity * high - 1e-9) & (apart <= np.where(low >= LARGE, whole[1], whole[0]))
 
 
 def _node(hashes: np.ndarray) -> int:
@@ -168,12 +182,42 @@ def _first_pairs(rows: DataFrame, limit: int) -> DataFrame:
     return dealt.repartition("part").sortWithinPartitions("part", "bits").mapInArrow(pair, "a long, b long, open long")
 
 
-def _pairs_apart(rows: DataFrame, roots: DataFrame, limit: int, *, nearest: bool) -> DataFrame:
-    """Pairs ``a``, ``b`` within the limit of groups' members that are in different components.
+def parities(hashes: np.ndarray) -> bytes:
+    """Parity of the number of hashes at each of ``PARITIES`` places.
+
+    Each hash that one of two sets lacks turns one of them: those that differ are
+    never more than the hashes that differ.
+    """
+    counts = np.bincount((hashes % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES)
+    return np.packbits(counts & 1).tobytes()
+
+
+def close_enough(one: np.ndarray, other: np.ndarray, sizes: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether parities leave it open that sets, of so many hashes in sum, have the similarity."""
+    apart = np.zeros(len(one), np.int64)
+    for k in range(one.shape[1]):
+        apart += np.bitwise_count(one[:, k] ^ other[:, k])
+    return apart <= (1 - similarity) / (1 + similarity) * sizes + 1e-9
+
+
+def met_before(one: np.ndarray, other: np.ndarray, masks: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Whether pairs of fingerprints agree on a mask before their own."""
+    apart, out = one ^ other, np.zeros(len(one), bool)
+    for k, mask in enumerate(masks[: int(own.max(initial=0))]):
+        used = np.flatnonzero(mask)
+        out |= (k < own) & ~(apart[:, used] & mask[used]).any(axis=1)
+    return out
+
+
+def _pairs_apart(rows: DataFrame, roots: DataFrame, nodes: DataFrame, masks: list[tuple[int, ...]], similarity: float, limit: int, whole: tuple[int, int], *, nearest: bool) -> DataFrame:
+    """Pairs ``a``, ``b`` within the limits of groups' members that are in different components.
+
+    A pair that agrees on several masks comes from the first one's group.  If that
+    group is not among these, it has given all its pairs already.
 
     nearest: only each member's nearest among those it meets in a task.
     """
-    rooted = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = rows.join(roots, "node", "left").join(nodes.select("node", "size", "fp", "parities"), "node").withColumn("root", F.coalesce("root", "node"))
     parts = materialize(rooted.groupBy("bits", "root").agg(F.count("*").alias("n")), "components-of-groups")
     groups = parts.groupBy("bits").agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("n"))
     groups = groups.where("n > most.n").select("bits", F.col("most.root").alias("main"), F.ceil(F.col("most.n") / GROUP).cast("int").alias("mains"), F.ceil((F.col("n") - F.col("most.n")) / GROUP).cast("int").alias("others"))
@@ -182,20 +226,25 @@ def _pairs_apart(rows: DataFrame, roots: DataFrame, limit: int, *, nearest: bool
     own = F.when(F.col("inside"), F.pmod(F.xxhash64("node"), F.col("mains"))).otherwise(F.col("mains") + F.pmod(F.xxhash64("node"), F.col("others"))).cast("int")
     meets = F.sequence(F.when(F.col("inside"), F.col("mains")).otherwise(F.lit(0)), F.col("mains") + F.col("others") - 1)
     dealt = dealt.withColumn("own", own).withColumn("other", F.explode(meets))
-    dealt = dealt.select(F.xxhash64("bits", F.least("own", "other"), F.greatest("own", "other")).alias("part"), "own", (F.col("own") == F.col("other")).alias("within"), "node", "root", "w0", "w1")
+    dealt = dealt.select(F.xxhash64("bits", F.least("own", "other"), F.greatest("own", "other")).alias("part"), "own", (F.col("own") == F.col("other")).alias("within"), "node", "root", "size", F.shiftrightunsigned("bits", 48).cast("int").alias("mask"), "fp", "parities")
+    words = np.packbits(np.array([[b in own for b in range(64 * WORDS)] for own in map(set, masks)], bool), axis=1).view(">u8").astype(np.uint64)
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in shards(batches):
-            part, own, within, node, root, w0, w1 = (c.to_numpy(zero_copy_only=False) for c in columns)
-            marks = np.stack([w0, w1], axis=1).view(np.uint64)
+            part, own, within, node, root, size, mask = (c.to_numpy(zero_copy_only=False) for c in columns[:7])
+            fps, marked = words_of(columns[7].to_pylist(), WORDS), words_of(columns[8].to_pylist(), PARITIES // 64)
+            marks = fps[:, :2].copy()
             n, best, distance = len(part), None, None
             if nearest:
                 best, distance = np.full(n, -1), np.full(n, 1 << 30)
             for who, found, apart in GrayIndex(marks, runs(part)[1]).pairs(limit):
-                ok = (root[who] != root[found]) & (within[who] | (own[who] != own[found]))
+                ok = np.flatnonzero((root[who] != root[found]) & (within[who] | (own[who] != own[found])))
+                ok = ok[may_be(fps[who[ok]], fps[found[ok]], size[who[ok]], size[found[ok]], similarity, whole)]
+                ok = ok[close_enough(marked[who[ok]], marked[found[ok]], size[who[ok]].astype(np.int64) + size[found[ok]], similarity)]
                 who, found, apart = who[ok], found[ok], apart[ok]
                 if not nearest:
-                    x, y = node[who], node[found]
+                    new = ~met_before(fps[who], fps[found], words, mask[who])
+                    x, y = node[who[new]], node[found[new]]
                     yield pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], names=["a", "b"])
                     continue
                 for x, y in ((who, found), (found, who)):
@@ -213,26 +262,25 @@ def _pairs_apart(rows: DataFrame, roots: DataFrame, limit: int, *, nearest: bool
     return dealt.repartition("part").sortWithinPartitions("part").mapInArrow(pair, "a long, b long").distinct()
 
 
-def _near(pairs: DataFrame, nodes: DataFrame, similarity: float, limit: int) -> DataFrame:
+def _near(pairs: DataFrame, nodes: DataFrame, similarity: float, whole: tuple[int, int]) -> DataFrame:
     """Less the pairs whose sizes or whole fingerprints rule the similarity out."""
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (words_of(batch.column(k).to_pylist(), WORDS) for k in (2, 3))
-            yield batch.select(["a", "b"]).filter(pa.array(np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= limit))
+            sizes, others = (batch.column(k).to_numpy() for k in (2, 3))
+            x, y = (words_of(batch.column(k).to_pylist(), WORDS) for k in (4, 5))
+            yield batch.select(["a", "b"]).filter(pa.array(may_be(x, y, sizes, others, similarity, whole)))
 
     one, two = (nodes.select(F.col("node").alias(k), F.col("size").alias(f"{k}_size"), F.col("fp").alias(f"{k}_fp")) for k in "ab")
-    sized: Column = F.least("a_size", "b_size") >= F.greatest("a_size", "b_size") * F.lit(similarity) - F.lit(1e-9)
-    return pairs.join(one, "a").join(two, "b").where(sized).select("a", "b", "a_fp", "b_fp").mapInArrow(test, "a long, b long")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "a_size", "b_size", "a_fp", "b_fp").mapInArrow(test, "a long, b long")
 
 
-def _sets(pairs: DataFrame, nodes: DataFrame, source: DataFrame, shingle: int) -> DataFrame:
-    """``node`` and ``hashes`` of the nodes on a pair, and a few others.
+def _sets(ends: DataFrame, nodes: DataFrame, source: DataFrame, shingle: int) -> DataFrame:
+    """``node`` and ``hashes`` of the nodes in ``ends``, and a few others.
 
     Flags by a hash of the place, of fixed size, spare a shuffle of all texts.
     """
     slot = F.pmod(F.xxhash64("place.k", "place.h"), F.lit(SLOTS)).cast("int")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     used = nodes.join(ends, "node", "left_semi").select(F.col("first").alias("place")).select(slot.alias("slot")).distinct().toArrow()["slot"].to_numpy()
     flags = np.zeros(SLOTS, np.uint8)
     flags[used] = 1
@@ -276,26 +324,32 @@ def links(source: DataFrame, nodes: DataFrame, *, shingle: int, similarity: floa
     masks, limit, whole = plan(nodes.count(), similarity)
     rows = masked_rows(nodes, masks)
 
-    def decided(candidates: DataFrame) -> DataFrame:
-        pairs = materialize(_near(candidates, nodes, similarity, whole), "near-pairs")
-        sets = _sets(pairs, nodes, source, shingle)
+    def decided(pairs: DataFrame) -> DataFrame:
+        sets = _sets(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), nodes, source, shingle)
         out = materialize(_true(pairs, sets, similarity), "links")
         discard(pairs, sets)
         return out
 
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([parities(np.frombuffer(x.as_py(), np.uint64)) for x in batch.column(1)], pa.binary())], names=["node", "parities"])
+
     first = materialize(_first_pairs(rows, limit), "first-pairs")
     opened = materialize(first.where("open is not null").select(F.col("open").alias("bits")).distinct(), "open-groups")
-    found = decided(first.where("open is null").select("a", "b").distinct())
+    found = decided(materialize(_near(first.where("open is null").select("a", "b").distinct(), nodes, similarity, whole), "near-pairs"))
     discard(first)
     if opened.take(1):
         rest = materialize(rows.join(opened, "bits", "left_semi"), "open-rows")
+        sets = _sets(rest.select("node").distinct(), nodes, source, shingle)
+        marked = materialize(sets.mapInArrow(mark, "node long, parities binary").join(nodes.select("node", "size", "fp"), "node"), "open-nodes")
+        discard(sets)
         for nearest in (True, False):
-            apart = materialize(_pairs_apart(rest, connected_components(found), limit, nearest=nearest), "pairs-apart")
+            apart = materialize(_pairs_apart(rest, connected_components(found), marked, masks, similarity, limit, whole, nearest=nearest), "pairs-apart")
             if not apart.take(1):
                 break
             more = decided(apart)
             found, old = materialize(found.union(more), "links"), found
-            discard(apart, old, more)
-        discard(rest)
+            discard(old, more)
+        discard(rest, marked)
     discard(opened)
     return found
