@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import ann, line_spread, media, mixing, packing, pii, simhash, substring_dedup, suffix_tree, toxicity
+from lexmill.llm import ann, line_spread, lloyd, media, mixing, packing, pii, simhash, spelling, sql, substring_dedup, suffix_tree, top_k, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +68,20 @@ def op10_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score(table(spark, sf_dir, "documents"), learn_from=learn_from)
 
 
+def op11_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = lloyd.product_codes(table(spark, sf_dir, "embeddings"))
+    code = F.array_join(F.transform("code", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "")
+    return coded.select("vec_id", code.alias("code"), "error", "label_error", "codebooks_sha256")
+
+
+def op12_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.highest_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(spelling.words(table(spark, sf_dir, "documents"), noise=31))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_multi_index": op1_multi_index,
@@ -80,6 +94,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": op8_mixing,
         "op9_toxicity": op9_toxicity,
         "op10_suffix_tree": op10_suffix_tree,
+        "op11_lloyd": op11_lloyd,
+        "op12_exact_top_k": op12_exact_top_k,
+        "op13_spelling": op13_spelling,
     }
 
 
@@ -131,4 +148,4 @@ SELECT doc_id, source, unnest(range(0, many)) AS copy, text FROM counted WHERE m
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_line_spread": LINE_SPREAD_SQL, "op8_mixing": MIXING_SQL}
+    return {"op7_line_spread": LINE_SPREAD_SQL, "op8_mixing": MIXING_SQL, **sql.oracle_sql()}
