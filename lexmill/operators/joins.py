@@ -6,6 +6,8 @@ documents where their measured size allows and splits skewed keys elsewhere.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +28,7 @@ def _links(links: DataFrame) -> DataFrame:
 
 
 def _key(links: DataFrame) -> str:
-    return "document_id" if links_table(links) == "polygon_documents" else "article_id"
+    return "document_id" if links_table(links.columns) == "polygon_documents" else "article_id"
 
 
 def _occurrences(linked: DataFrame, sections: DataFrame, source: str) -> DataFrame:
@@ -114,6 +116,12 @@ def encyclopedia_checks(polygons: DataFrame, links: DataFrame, documents: DataFr
     }
 
 
+def layout_checks(layouts: list[DataFrame], documents: DataFrame) -> dict[str, DataFrame]:
+    """No polygon and document are linked by shards of both layouts."""
+    pairs = [_links(links).join(documents.select("document_id", "article_id"), _key(links)).select("polygon_id", "document_id").distinct() for links in layouts]
+    return {"a link is there in both layouts": I.duplicate_keys(reduce(DataFrame.unionByName, pairs), "polygon_id", "document_id")} if len(pairs) > 1 else {}
+
+
 def travel_checks(polygons: DataFrame, documents: DataFrame, sections: DataFrame) -> dict[str, DataFrame]:
     d, s = documents.alias("d"), sections.alias("s")
     of_document = s.join(d, F.col("s.document_id") == F.col("d.document_id"))

@@ -37,10 +37,14 @@ def occurrences(spark: SparkSession, root: str, *, validate: bool = True) -> Dat
     found = shards.discover(spark, root)
     if not found:
         raise SourceError(f"no shards below {root}")
-    table = {name: shards.load_all(spark, found, name) for name in shards.FOLDERS}
-    core = (table["polygons"], table["links"], table["wikipedia_documents"], table["wikipedia_sections"])
-    checks = J.encyclopedia_checks(*core)
-    parts = [J.encyclopedia_occurrences(*core)]
+    table = {name: shards.load_all(spark, found, name) for name in shards.FOLDERS if name != "links"}
+    layouts = shards.load_links(spark, found)
+    checks, parts = J.layout_checks([*layouts.values()], table["wikipedia_documents"]), []
+    # Shards may link by document or by article: each layout is joined by its own key.
+    for name, links in layouts.items():
+        core = (table["polygons"], links, table["wikipedia_documents"], table["wikipedia_sections"])
+        checks |= {f"{what} ({name})" if len(layouts) > 1 else what: offenders for what, offenders in J.encyclopedia_checks(*core).items()}
+        parts.append(J.encyclopedia_occurrences(*core))
     if table["wikivoyage_documents"] is not None:
         travel = (table["polygons"], table["wikivoyage_documents"], table["wikivoyage_sections"])
         checks |= J.travel_checks(*travel)

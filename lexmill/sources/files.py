@@ -23,6 +23,14 @@ def children(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
     return sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(p))
 
 
+def leaves(spark: SparkSession, path: str) -> list[str]:
+    """The file itself, or the part files right in a folder of them."""
+    fs, p = _fs(spark, path)
+    if fs.isFile(p):
+        return [path]
+    return [f"{path}/{name}" for name, _, _ in children(spark, path) if not name.startswith(("_", "."))]
+
+
 def rename(spark: SparkSession, source: str, target: str) -> None:
     fs, p = _fs(spark, source)
     if not fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(target)):
