@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexmill import tables as T
+from lexmill.functions import spatial as P
 from lexmill.functions import text as X
 from lexmill.functions import values as V
 from lexmill.operators import analytics as A
@@ -20,6 +21,7 @@ from lexmill.operators import sentences as N
 from lexmill.plans import growing as W
 from lexmill.plans import releases as L
 from lexmill.plans.labelling import score_faults as score_check
+from lexmill.sources import row_groups as K
 from lexmill.storage import shared_dir
 from lexmill.streaming import batches as B
 from lexmill.streaming import incremental as R
@@ -387,6 +389,21 @@ def grid_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.read(spark, sf_dir, "customer").select(cell.alias("cell")).where("cell IS NOT NULL").groupBy("cell").agg(F.count("*").alias("n"))
 
 
+def _customers_on_the_globe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with a place that their balance and key give; one in nine has none."""
+    k = F.col("c_custkey")
+    lon = F.when(k % 9 > 0, (k * 7 % 3600) / 10 - 180)
+    return T.read(spark, sf_dir, "customer").select("c_custkey", (F.col("c_acctbal") % 90).cast("double").alias("lat"), lon.cast("double").alias("lon"))
+
+
+@query()
+def h3_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by cell, with the corners and the extent of the cell's outline."""
+    counts = P.h3_histogram(_customers_on_the_globe(spark, sf_dir)).withColumn("outline", P.h3_outline(F.col("cell")))
+    lat, lon = F.transform("outline", lambda p: p["lat"]), F.transform("outline", lambda p: p["lon"])
+    return counts.select("cell", "n", F.size("outline").alias("corners"), *[F.round(f(x), 6).alias(n) for n, f, x in (("south", F.array_min, lat), ("north", F.array_max, lat), ("west", F.array_min, lon), ("east", F.array_max, lon))])
+
+
 @query("""SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 3 > 0 THEN -l_discount END AS yes, CASE WHEN l_linenumber % 3 > 0 THEN -l_tax END AS no FROM lineitem""")
 def first_token_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     token = F.when(F.col("l_linenumber") % 3 > 0, " Yes").otherwise("maybe")
@@ -534,6 +551,16 @@ def growing_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("sentence_id", "polygon_id", "cell", "area_bucket", "position")
 
 
+@query("""SELECT o_orderkey, o_custkey, o_totalprice::VARCHAR AS price FROM orders ORDER BY sha256(o_orderkey::VARCHAR), o_orderkey LIMIT 40""")
+def positional_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A canary's rows by their positions: its keys and places first, then only the row groups that hold them."""
+    places = T.read(spark, sf_dir, "orders").select("o_orderkey", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("position"))
+    positions: dict[str, list[int]] = {}
+    for r in S.canary(places, 40, key="o_orderkey").collect():
+        positions.setdefault(r["file"], []).append(r["position"])
+    return K.read_positions(spark, positions, ["o_orderkey", "o_custkey", "o_totalprice"]).select("o_orderkey", "o_custkey", F.col("o_totalprice").cast("string").alias("price"))
+
+
 @query("SELECT event_type AS kind, count(*) AS n, sum(value) AS total FROM events GROUP BY 1")
 def batched_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = f"{shared_dir(spark)}/batches/{uuid.uuid4().hex}"
