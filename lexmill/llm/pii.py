@@ -120,18 +120,6 @@ _LABEL = re.compile(r"[A-Za-z0-9-]+")
 _ANY_DOT = re.compile(rf"[ \t]++(?:{_DOT_NAMES}|\.)[ \t]++|\.", re.I)
 _NUMBER_DOT = re.compile(rf"(?<=[0-9])[ \t]++(?:{_DOT_NAMES})[ \t]++(?=[0-9])", re.I)
 _WORD_DIGIT_DOT = re.compile(rf"(?<=[0-9a-zéü])[ \t]++(?:{_DOT_NAMES})[ \t]++(?=[0-9a-zéü])", re.I)
-_NAMES = "at|arroba|arobase|chiocciola|klammeraffe", "dot|punto|point|punkt|period"
-# White space is taken whole and only from where it begins, so long runs of it are read once.
-_BRACKET_AT = re.compile(rf"[\[({{<][ \t]*+(?:{_AT_NAMES}|@)[ \t]*+[\])}}>]", re.I)
-_BRACKET_DOT = re.compile(rf"[\[({{<][ \t]*+(?:{_DOT_NAMES}|\.)[ \t]*+[\])}}>]", re.I)
-_WORD_DOT = re.compile(rf"(?<![ \t])[ \t]++(?:{_DOT_NAMES})[ \t]++", re.I)
-_WORD_AT = re.compile(rf"(?<![ \t])(?:[ \t]++(?:{_AT_NAMES})[ \t]++|[ \t]++@[ \t]*+|@[ \t]++)", re.I)
-# Words that begin a phrase, not a host, after "at".
-_ARTICLES = frozenset("the a an this that le la les el los las der die das".split())
-_LABEL = re.compile(r"[A-Za-z0-9-]+")
-_ANY_DOT = re.compile(rf"[ \t]+(?:{_DOT_NAMES}|\.)[ \t]+|\.", re.I)
-_NUMBER_DOT = re.compile(rf"(?<=[0-9])[ \t]+(?:{_DOT_NAMES})[ \t]+(?=[0-9])", re.I)
-_WORD_DIGIT_DOT = re.compile(rf"(?<=[0-9a-zéü])[ \t]+(?:{_DOT_NAMES})[ \t]+(?=[0-9a-zéü])", re.I)
 _NAMES = "|".join(sorted(SPELLED, key=lambda n: (-len(n), n)))
 _RUN = re.compile(rf"(?:(?<![^\W_])plus[ \t]++)?(?<![^\W_])(?:{_NAMES}|[0-9]++)(?![^\W\d_])(?:[ ,.()\t-]{{1,3}}(?:(?:{_NAMES})(?![^\W_])|[0-9]++(?![^\W\d_])))+", re.I)
 _ITEM = re.compile(rf"plus|{_NAMES}|[0-9]+", re.I)
