@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -90,6 +91,22 @@ def counterfactuals(found: set[str]) -> list[set[str]]:
     return out
 
 
+def swaps(found: set[str], held: Counter) -> Iterator[tuple[int | None, int | None]]:
+    """Of each counterfactual the feature that goes and the one that comes, in the order of ``counterfactuals``.
+
+    A name has one feature.  It goes unless another word has it too, and comes
+    unless a word has it already.  held: by feature, how many words have it.
+    """
+    for term in sorted(found & _GROUP.keys()):
+        (own,) = word_features(term)
+        last = held[own] == 1
+        yield (own if last else None), None
+        for other in _GROUP[term]:
+            if other not in found:
+                (its,) = word_features(other)
+                yield (own if last and its != own else None), (None if held[its] else its)
+
+
 def in_fold(key: Column, modulus: int, part: int) -> Column:
     """Whether crc32 of the key's text leaves ``part``; false for a null key."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % modulus == part, F.lit(False))
@@ -128,32 +145,57 @@ class Model:
         return 1 / (1 + math.exp(-min(max(self.logit(words(text)), -40), 40)))
 
 
-def fit(rows: list[tuple[int, list[int], list[list[int]]]], size: int, *, penalty: float = 1e-5, counterfactual: float = 1.0, steps: int = 150) -> tuple[np.ndarray, float]:
+class Examples:
+    """Labelled rows as flat arrays: features by row, and by pair what only the text (+1) or only its counterfactual (-1) has."""
+
+    def __init__(self, labels: np.ndarray, row_of: np.ndarray, feature: np.ndarray, pair_of: np.ndarray, pair_feature: np.ndarray, sign: np.ndarray, pairs: int) -> None:
+        self.labels, self.row_of, self.feature = labels.astype(np.float64), row_of, feature
+        self.pair_of, self.pair_feature, self.sign, self.pairs = pair_of, pair_feature, sign, pairs
+
+    @classmethod
+    def of_rows(cls, rows: list[tuple[int, list[int], list[list[int]]]]) -> Examples:
+        """rows: label, features, and the features of each counterfactual."""
+        pair_of, pair_feature, sign, pairs = [], [], [], 0
+        for _, own, others in rows:
+            for other in others:
+                for f, s in [(f, 1.0) for f in set(own) - set(other)] + [(f, -1.0) for f in set(other) - set(own)]:
+                    pair_of.append(pairs)
+                    pair_feature.append(f)
+                    sign.append(s)
+                pairs += 1
+        row_of = np.repeat(np.arange(len(rows)), [len(r[1]) for r in rows])
+        return cls(np.array([r[0] for r in rows]), row_of, np.array([f for r in rows for f in r[1]], np.int64), np.array(pair_of, np.int64), np.array(pair_feature, np.int64), np.array(sign), pairs)
+
+    @classmethod
+    def of_table(cls, table: pa.Table) -> Examples:
+        """Of columns ``label, own, gone, new``; a pair's -1 stands for no feature."""
+        table = table.combine_chunks()
+        label, own, gone, new = (c.chunk(0) if c.num_chunks else pa.array([], c.type) for c in table.columns)
+        row_of = np.repeat(np.arange(len(label)), own.value_lengths().to_numpy())
+        left, came = (c.flatten().to_numpy().astype(np.int64) for c in (gone, new))
+        pair = np.concatenate((np.flatnonzero(left >= 0), np.flatnonzero(came >= 0)))
+        sign = np.repeat([1.0, -1.0], [int((left >= 0).sum()), int((came >= 0).sum())])
+        return cls(label.to_numpy(), row_of, own.flatten().to_numpy().astype(np.int64), pair, np.concatenate((left[left >= 0], came[came >= 0])), sign, len(left))
+
+
+def fit(rows: Examples | list, size: int, *, penalty: float = 1e-5, counterfactual: float = 1.0, steps: int = 150) -> tuple[np.ndarray, float]:
     """Weights and bias that minimise the objective, by the limited-memory BFGS method.
 
-    rows: label, features, and the features of each counterfactual.  The objective
-    is the mean logistic loss, half the penalty times the squared weights, and
-    ``counterfactual`` times the mean squared change of the logit over the pairs.
+    The objective is the mean logistic loss, half the penalty times the squared
+    weights, and ``counterfactual`` times the mean squared change of the logit
+    over the pairs.
     """
-    labels = np.array([r[0] for r in rows], dtype=np.float64)
-    row_of = np.repeat(np.arange(len(rows)), [len(r[1]) for r in rows])
-    feature = np.array([f for r in rows for f in r[1]], dtype=np.int64)
-    # A pair's difference: +1 for what only the text has, -1 for what only its counterfactual has.
-    pair_of, pair_feature, sign, pairs = [], [], [], 0
-    for _, own, others in rows:
-        for other in others:
-            for f, s in [(f, 1.0) for f in set(own) - set(other)] + [(f, -1.0) for f in set(other) - set(own)]:
-                pair_of.append(pairs)
-                pair_feature.append(f)
-                sign.append(s)
-            pairs += 1
-    pair_of, pair_feature, sign = np.array(pair_of, np.int64), np.array(pair_feature, np.int64), np.array(sign)
-    n = max(1, len(rows))
+    if isinstance(rows, list):
+        rows = Examples.of_rows(rows)
+    labels, row_of, feature = rows.labels, rows.row_of, rows.feature
+    pair_of, pair_feature, sign, pairs = rows.pair_of, rows.pair_feature, rows.sign, rows.pairs
+    count = len(labels)
+    n = max(1, count)
 
     def value(x: np.ndarray) -> tuple[float, np.ndarray]:
         """The objective and its slope; the bias is the last entry."""
         w = x[:-1]
-        logit = x[-1] + np.bincount(row_of, w[feature], len(rows))
+        logit = x[-1] + np.bincount(row_of, w[feature], count)
         error = (1 / (1 + np.exp(-np.clip(logit, -40, 40))) - labels) / n
         loss = (np.logaddexp(0, logit) - labels * logit).sum() / n + penalty / 2 * (w @ w)
         slope = np.bincount(feature, error[row_of], size) + penalty * w
@@ -163,7 +205,7 @@ def fit(rows: list[tuple[int, list[int], list[list[int]]]], size: int, *, penalt
             slope += 2 * counterfactual / pairs * np.bincount(pair_feature, sign * change[pair_of], size)
         return loss, np.append(slope, error.sum())
 
-    prior = np.clip(labels.mean() if len(rows) else 0.0, 1e-4, 1 - 1e-4)
+    prior = np.clip(labels.mean() if count else 0.0, 1e-4, 1 - 1e-4)
     x = np.append(np.zeros(size), np.log(prior / (1 - prior)))
     now, slope = value(x)
     past: list[tuple[np.ndarray, np.ndarray, float]] = []
@@ -248,19 +290,20 @@ def train(documents: DataFrame, labels: DataFrame, *, key: str = "doc_id", text:
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = {f: i for i, f in enumerate(index.value.tolist())}
-        of = lambda found: sorted({place[f] for w in found for f in word_features(w) if f in place})
         for batch in batches:
-            out = []
-            for mark, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            own, gone, new = [], [], []
+            for value in batch.column(1):
                 found = words(value.as_py())
-                out.append((mark, of(found), [of(other) for other in counterfactuals(found)]))
-            columns = list(zip(*out, strict=True)) if out else [()] * 3
-            types = [pa.int32(), pa.list_(pa.int32()), pa.list_(pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["label", "own", "others"])
-
-    # At most max_rows lists of numbers.
-    examples = source.mapInArrow(describe, "label int, own array<int>, others array<array<int>>").toArrow()
-    rows = [(r["label"], r["own"], r["others"]) for r in examples.to_pylist()]
+                held = Counter(f for w in found for f in word_features(w) if f in place)
+                own.append([place[f] for f in sorted(held)])
+                pairs = list(swaps(found, held))
+                gone.append([place[f] if f is not None else -1 for f, _ in pairs])
+                new.append([place[f] if f is not None else -1 for _, f in pairs])
+            lists = [pa.array(c, pa.list_(pa.int32())) for c in (own, gone, new)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int32()), *lists], names=["label", "own", "gone", "new"])
+
+    # At most max_rows lists of numbers, and two numbers for each swap of a name.
+    rows = Examples.of_table(source.mapInArrow(describe, "label int, own array<int>, gone array<int>, new array<int>").toArrow())
     discard(source)
     weights, bias = fit(rows, len(chosen), counterfactual=counterfactual)
     return Model({int(f): float(x) for f, x in zip(chosen, weights, strict=True) if abs(x) > 1e-9}, bias)

@@ -1,5 +1,6 @@
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -124,3 +125,40 @@ def test_edges(spark):
     assert {r["predicted"] for r in X.score(documents, X.train(documents, marks.where("toxic = 1"))).collect()} == {1}
     assert X.score(documents.limit(0), model).count() == 0
     assert [r[0] for r in spark.createDataFrame([(1,), (2,), (None,)], "k long").select(X.in_fold(F.col("k"), 3, 1)).collect()] == [fold(1), fold(2), False]
+
+
+def test_differences_are_those_of_the_counterfactuals():
+    draw = random.Random(8)
+    names = sorted(X._GROUP)
+    for _ in range(300):
+        found = set(draw.sample(names, draw.randint(0, 6))) | {f"w{draw.randint(0, 50)}" for _ in range(8)}
+        features = lambda ws: {f for w in ws for f in X.word_features(w)}
+        held = Counter(f for w in found for f in X.word_features(w))
+        wanted = [(features(found) - features(o), features(o) - features(found)) for o in X.counterfactuals(found)]
+        assert [({a} - {None}, {b} - {None}) for a, b in X.swaps(found, held)] == wanted
+
+
+def test_what_reaches_the_driver_is_bounded(spark, monkeypatch):
+    draw = random.Random(9)
+    names = sorted(X._GROUP)
+    plain = [f"word{k}x" for k in range(3000)]
+    rows = [(k, " ".join([*draw.choices(plain, k=990), *draw.choices(names, k=9), "idiot" if k % 2 else "kind"])) for k in range(2000)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id long, toxic int")
+    seen = []
+    real = X.Examples.of_table
+    monkeypatch.setattr(X.Examples, "of_table", classmethod(lambda cls, table: (seen.append(table), real(table))[1]))
+    model = X.train(documents, labels)
+    # A text has at most a number for each of its chosen features, and two for each swap: 4 kB here.
+    assert seen[0].num_rows == 2000 and seen[0].nbytes < 2000 * 4096
+    # The same weights as from whole lists.
+    chosen = sorted(model.weights)
+    texts = dict(rows)
+    lists = []
+    for k, text in texts.items():
+        of = lambda ws: sorted({f for w in ws for f in X.word_features(w)} & set(chosen))
+        lists.append((k % 2, of(X.words(text)), [of(o) for o in X.counterfactuals(X.words(text))]))
+    place = {f: i for i, f in enumerate(chosen)}
+    arranged = [(y, [place[f] for f in own], [[place[f] for f in o] for o in others]) for y, own, others in lists]
+    weights, bias = X.fit(arranged, len(chosen))
+    assert abs(bias - model.bias) < 1e-4 and max(abs(w - model.weights[f]) for f, w in zip(chosen, weights, strict=True)) < 1e-4
