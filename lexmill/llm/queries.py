@@ -39,7 +39,7 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Passages also begin within lines, and short lines repeat by chance.
-    return substring_dedup.repeated_spans(table(spark, sf_dir, "documents"), kind="sentence", min_words=20)
+    return substring_dedup.repeated_spans(table(spark, sf_dir, "documents"), kind="sentence", min_words=20).drop("text_hash")
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

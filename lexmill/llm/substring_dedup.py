@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.llm.names import unused
 from lexmill.storage import discard, materialize
 
 MIN_UNIT = 4
@@ -90,10 +91,10 @@ def _units_of(documents: DataFrame, key: str, text: str, kind: str) -> DataFrame
 
 
 def repeated_spans(documents: DataFrame, *, key: str = "doc_id", text: str = "text", kind: str = "line", min_words: int = 1) -> DataFrame:
-    """Stretches to remove: ``doc_id, start, end, n_words, first_doc_id``.
+    """Stretches to remove: ``doc_id, start, end, n_words, first_doc_id, text_hash``.
 
     ``first_doc_id`` is the document that holds the first occurrence of the
-    stretch's first unit.
+    stretch's first unit; ``text_hash`` tells rows apart that share a key.
     """
     # Written first, so texts are cut once, and the planner can split the join where a digest is very frequent.
     found = materialize(_units_of(documents, key, text, kind), "units")
@@ -105,10 +106,10 @@ def repeated_spans(documents: DataFrame, *, key: str = "doc_id", text: str = "te
         last = 0
 
         def table(rows: list) -> pa.RecordBatch:
-            columns = list(zip(*rows, strict=True)) if rows else [()] * 5
+            columns = list(zip(*rows, strict=True)) if rows else [()] * 6
             none = lambda values: [None if v == _LAST else v for v in values]
-            arrays = [pa.array(none(columns[0]), pa.int64()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.int64()), pa.array(none(columns[4]), pa.int64())]
-            return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "start", "end", "n_words", "first_doc_id"])
+            arrays = [pa.array(none(columns[0]), pa.int64()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.int64()), pa.array(none(columns[4]), pa.int64()), pa.array(columns[5], pa.int64())]
+            return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "start", "end", "n_words", "first_doc_id", "text_hash"])
 
         for batch in batches:
             rows = []
@@ -119,30 +120,48 @@ def repeated_spans(documents: DataFrame, *, key: str = "doc_id", text: str = "te
                         held[3], held[4], last = end, held[4] + words, no
                 else:
                     if held and held[4] >= min_words:
-                        rows.append((held[0], *held[2:]))
+                        rows.append((held[0], *held[2:], held[1]))
                     held, last = [k, h, start, end, words, origin], no
             yield table(rows)
         if held and held[4] >= min_words:
-            yield table([(held[0], *held[2:])])
+            yield table([(held[0], *held[2:], held[1])])
 
+    # Rows that repeat key and text have the same units: one of each is enough, so no text's units are more than it has.
+    later = later.groupBy("k", "h", "start").agg(*[F.first(c).alias(c) for c in ("end", "words", "first_k", "no")]).select(*later.columns)
     ordered = later.repartition("k", "h").sortWithinPartitions("k", "h", "start")
-    spans = materialize(ordered.mapInArrow(merge, "doc_id long, start int, end int, n_words long, first_doc_id long"), "repeated-spans")
+    spans = materialize(ordered.mapInArrow(merge, "doc_id long, start int, end int, n_words long, first_doc_id long, text_hash long"), "repeated-spans")
     discard(found, first)
     return spans
 
 
-def remove_spans(documents: DataFrame, spans: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without the spans, and ``kept``: original start and end of each stretch that stays.
+def remove_spans(documents: DataFrame, spans: DataFrame, *, key: str = "doc_id", text: str = "text", kept: str = "kept") -> DataFrame:
+    """The documents without the spans, and in a column ``kept`` the original start and end of each stretch that stays.
 
-    Keys must tell the documents apart.
+    A span belongs to the rows of its key, null included, and of its text, told
+    by ``text_hash``: rows that share a key but not a text keep theirs.  Spans
+    that overlap or touch are one.  A null text stays null and keeps nothing; a
+    row without spans keeps its whole text; columns of any other name stay, and
+    one called ``kept`` is an error.
     """
-    lists = spans.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias(key)).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("__lexmill_spans"))
-    joined = documents.join(lists, key, "left")
+    if kept.lower() in {c.lower() for c in documents.columns}:
+        raise ValueError(f"{kept} is a column already: name another")
+    own_key, own_hash, lists, gone, bounds = unused(documents, "key", "hash", "spans", "gone", "kept")
+    by_text = spans.groupBy(F.coalesce("doc_id", F.lit(_LAST)).alias(own_key), F.col("text_hash").alias(own_hash)).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias(lists))
+    keyed = documents.withColumns({own_key: F.coalesce(F.col(key).cast("long"), F.lit(_LAST)), own_hash: F.xxhash64(F.col(text))})
+    joined = keyed.join(by_text, [own_key, own_hash], "left")
+    none = F.array().cast("array<struct<start:int,end:int>>")
+    # Overlapping spans are joined: a span that begins within the one before extends it.
+    merged = F.aggregate(
+        F.coalesce(F.col(lists), none),
+        none,
+        lambda held, s: F.when((F.size(held) > 0) & (F.element_at(held, -1)["end"] >= s["start"]), F.concat(F.slice(held, 1, F.size(held) - 1), F.array(F.struct(F.element_at(held, -1)["start"].alias("start"), F.greatest(F.element_at(held, -1)["end"], s["end"]).alias("end"))))).otherwise(F.concat(held, F.array(s))),
+    )
+    joined = joined.withColumn(gone, F.when(F.size(F.coalesce(F.col(lists), none)) > 1, merged).otherwise(F.coalesce(F.col(lists), none)))
     whole = F.length(F.coalesce(F.col(text), F.lit("")))
-    gone = F.coalesce(F.col("__lexmill_spans"), F.array().cast("array<struct<start:int,end:int>>"))
     starts = F.concat(F.array(F.lit(0)), F.transform(gone, lambda s: s["end"]))
     ends = F.concat(F.transform(gone, lambda s: s["start"]), F.array(whole))
-    kept = F.filter(F.arrays_zip(starts.alias("start"), ends.alias("end")), lambda s: s["end"] > s["start"])
-    kept = F.transform(kept, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
-    pieces = F.array_join(F.transform(F.col("kept"), lambda s: F.substring(F.col(text), s["start"] + 1, s["end"] - s["start"])), "")
-    return joined.withColumn("kept", kept).withColumn(text, F.when(F.col(text).isNotNull(), pieces)).drop("__lexmill_spans")
+    stay = F.filter(F.arrays_zip(starts.alias("start"), ends.alias("end")), lambda s: s["end"] > s["start"])
+    joined = joined.withColumn(bounds, F.transform(stay, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    pieces = F.array_join(F.transform(F.col(bounds), lambda s: F.substring(F.col(text), s["start"] + 1, s["end"] - s["start"])), "")
+    cut = F.when(F.col(text).isNull() | (F.size(gone) == 0), F.col(text)).otherwise(pieces)
+    return joined.select(*[cut.alias(c) if c.lower() == text.lower() else F.col(c) for c in documents.columns], F.col(bounds).alias(kept))

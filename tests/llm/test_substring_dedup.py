@@ -1,5 +1,8 @@
 import random
 
+import pytest
+from pyspark.sql import functions as F
+
 from lexmill.llm import substring_dedup as D
 
 
@@ -97,3 +100,42 @@ def test_runs_over_indented_and_short_lines(spark):
     found = {r["doc_id"]: r["n_words"] for r in D.repeated_spans(df, kind="sentence", min_words=20).collect()}
     # Of verse the first line is told by the line before it.
     assert found == {1: 72, 3: 57, 5: 60}
+
+
+def test_removal_by_key_and_text(spark):
+    shared = "a long line that stands here"
+    rows = [(1, shared, "first"), (2, f"uu vv ww {shared[:5]}", "other text"), (2, f"own words\n{shared}", "has the span"), (None, f"before\n{shared}\nafter", "null key"), (3, None, "null text"), (4, "", "empty"), (5, "plain", "untouched")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _spans string")
+    spans = D.repeated_spans(df)
+    out = {r["_spans"]: r for r in D.remove_spans(df, spans, kept="left").collect()}
+    assert {k: r["text"] for k, r in out.items()} == {"first": shared, "other text": rows[1][1], "has the span": "own words\n", "null key": "before\n\nafter", "null text": None, "empty": "", "untouched": "plain"}
+    assert [tuple(x) for x in out["null key"]["left"]] == [(0, 7), (35, 41)] and out["null text"]["left"] == [] and [tuple(x) for x in out["untouched"]["left"]] == [(0, 5)]
+    for name in ("_key", "_hash", "_gone", "__lexmill_spans", "start", "spans"):
+        clash = df.withColumnRenamed("_spans", name)
+        again = D.remove_spans(clash, spans)
+        assert again.columns == [*clash.columns, "kept"] and {r[name]: r["text"] for r in again.collect()} == {k: r["text"] for k, r in out.items()}
+    with pytest.raises(ValueError, match="kept"):
+        D.remove_spans(df.withColumnRenamed("_spans", "kept"), spans)
+
+
+def test_spans_that_overlap_are_one(spark):
+    df = spark.createDataFrame([(1, "0123456789")], "doc_id long, text string")
+    spans = df.select("doc_id", F.xxhash64("text").alias("text_hash"), F.inline(F.array(*[F.struct(F.lit(a).alias("start"), F.lit(b).alias("end")) for a, b in ((1, 4), (2, 3), (3, 6), (8, 9))])))
+    (r,) = D.remove_spans(df, spans).collect()
+    assert r["text"] == "0679" and [tuple(x) for x in r["kept"]] == [(0, 1), (6, 8), (9, 10)]
+
+
+def test_rows_that_repeat_key_and_text(spark):
+    text = "the first line is here\nthe second line is there"
+    df = spark.range(20_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit(text).alias("text")).union(spark.createDataFrame([(3, text)], "doc_id long, text string"))
+    assert [(r["doc_id"], r["start"], r["end"], r["first_doc_id"]) for r in D.repeated_spans(df).collect()] == [(7, 0, len(text), 3)]
+
+
+def test_a_text_of_several_megabytes(spark):
+    lines = [f"line {k} of one long text" for k in range(200_000)]
+    rows = [(1, "\n".join(lines)), (2, "\n".join(["own", *lines[:100_000], "own end"]))]
+    assert len(rows[0][1]) > 5_000_000
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = D.repeated_spans(df)
+    assert [(r["doc_id"], r["n_words"]) for r in spans.collect()] == [(2, 600_000)]
+    assert {r["doc_id"]: len(r["text"]) for r in D.remove_spans(df, spans).collect()} == {1: len(rows[0][1]), 2: len("own\n\nown end")}
