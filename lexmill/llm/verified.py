@@ -10,9 +10,8 @@ A shard of groups is one index in Gray order over each set's first two words.
 Groups of more than ``GROUP`` are cut into chunks first.  Only components matter,
 so not all pairs of a cluster are tried: a group with few pairs within the limit
 gives them all and is done; in others each member goes with its nearest and with
-the member that has most near ones.  What is then still apart in those groups is
-found by pairs of chunks, less those within the group's largest component: first
-each member's nearest of another component, then all pairs left.
+the member that has most near ones.  The sets of groups that are then still apart
+are linked exactly (``exact_links``).
 """
 
 from __future__ import annotations
@@ -27,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm.components import connected_components
+from lexmill.llm.exact_links import candidate_links
 from lexmill.llm.gray import GrayIndex, fingerprints, runs, words_of
 from lexmill.llm.shards import shards
 from lexmill.llm.shingles import shingle_sets
@@ -42,8 +42,6 @@ LARGE = 64
 FEW = 4
 #: Pairs that a task keeps rather than search again.
 KEPT = 1 << 21
-#: Parities of a set that is compared with very many.
-PARITIES = 2_048
 #: Flags that tell which sets are on a pair.
 SLOTS = 1 << 23
 
@@ -182,86 +180,6 @@ def _first_pairs(rows: DataFrame, limit: int) -> DataFrame:
     return dealt.repartition("part").sortWithinPartitions("part", "bits").mapInArrow(pair, "a long, b long, open long")
 
 
-def parities(hashes: np.ndarray) -> bytes:
-    """Parity of the number of hashes at each of ``PARITIES`` places.
-
-    Each hash that one of two sets lacks turns one of them: those that differ are
-    never more than the hashes that differ.
-    """
-    counts = np.bincount((hashes % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES)
-    return np.packbits(counts & 1).tobytes()
-
-
-def close_enough(one: np.ndarray, other: np.ndarray, sizes: np.ndarray, similarity: float) -> np.ndarray:
-    """Whether parities leave it open that sets, of so many hashes in sum, have the similarity."""
-    apart = np.zeros(len(one), np.int64)
-    for k in range(one.shape[1]):
-        apart += np.bitwise_count(one[:, k] ^ other[:, k])
-    return apart <= (1 - similarity) / (1 + similarity) * sizes + 1e-9
-
-
-def met_before(one: np.ndarray, other: np.ndarray, masks: np.ndarray, own: np.ndarray) -> np.ndarray:
-    """Whether pairs of fingerprints agree on a mask before their own."""
-    apart, out = one ^ other, np.zeros(len(one), bool)
-    for k, mask in enumerate(masks[: int(own.max(initial=0))]):
-        used = np.flatnonzero(mask)
-        out |= (k < own) & ~(apart[:, used] & mask[used]).any(axis=1)
-    return out
-
-
-def _pairs_apart(rows: DataFrame, roots: DataFrame, nodes: DataFrame, masks: list[tuple[int, ...]], similarity: float, limit: int, whole: tuple[int, int], *, nearest: bool) -> DataFrame:
-    """Pairs ``a``, ``b`` within the limits of groups' members that are in different components.
-
-    A pair that agrees on several masks comes from the first one's group.  If that
-    group is not among these, it has given all its pairs already.
-
-    nearest: only each member's nearest among those it meets in a task.
-    """
-    rooted = rows.join(roots, "node", "left").join(nodes.select("node", "size", "fp", "parities"), "node").withColumn("root", F.coalesce("root", "node"))
-    parts = materialize(rooted.groupBy("bits", "root").agg(F.count("*").alias("n")), "components-of-groups")
-    groups = parts.groupBy("bits").agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("n"))
-    groups = groups.where("n > most.n").select("bits", F.col("most.root").alias("main"), F.ceil(F.col("most.n") / GROUP).cast("int").alias("mains"), F.ceil((F.col("n") - F.col("most.n")) / GROUP).cast("int").alias("others"))
-    dealt = rooted.join(groups, "bits").withColumn("inside", F.col("root") == F.col("main"))
-    # The largest component's chunks come first; no two of them meet.
-    own = F.when(F.col("inside"), F.pmod(F.xxhash64("node"), F.col("mains"))).otherwise(F.col("mains") + F.pmod(F.xxhash64("node"), F.col("others"))).cast("int")
-    meets = F.sequence(F.when(F.col("inside"), F.col("mains")).otherwise(F.lit(0)), F.col("mains") + F.col("others") - 1)
-    dealt = dealt.withColumn("own", own).withColumn("other", F.explode(meets))
-    dealt = dealt.select(F.xxhash64("bits", F.least("own", "other"), F.greatest("own", "other")).alias("part"), "own", (F.col("own") == F.col("other")).alias("within"), "node", "root", "size", F.shiftrightunsigned("bits", 48).cast("int").alias("mask"), "fp", "parities")
-    words = np.packbits(np.array([[b in own for b in range(64 * WORDS)] for own in map(set, masks)], bool), axis=1).view(">u8").astype(np.uint64)
-
-    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in shards(batches):
-            part, own, within, node, root, size, mask = (c.to_numpy(zero_copy_only=False) for c in columns[:7])
-            fps, marked = words_of(columns[7].to_pylist(), WORDS), words_of(columns[8].to_pylist(), PARITIES // 64)
-            marks = fps[:, :2].copy()
-            n, best, distance = len(part), None, None
-            if nearest:
-                best, distance = np.full(n, -1), np.full(n, 1 << 30)
-            for who, found, apart in GrayIndex(marks, runs(part)[1]).pairs(limit):
-                ok = np.flatnonzero((root[who] != root[found]) & (within[who] | (own[who] != own[found])))
-                ok = ok[may_be(fps[who[ok]], fps[found[ok]], size[who[ok]], size[found[ok]], similarity, whole)]
-                ok = ok[close_enough(marked[who[ok]], marked[found[ok]], size[who[ok]].astype(np.int64) + size[found[ok]], similarity)]
-                who, found, apart = who[ok], found[ok], apart[ok]
-                if not nearest:
-                    new = ~met_before(fps[who], fps[found], words, mask[who])
-                    x, y = node[who[new]], node[found[new]]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], names=["a", "b"])
-                    continue
-                for x, y in ((who, found), (found, who)):
-                    by = np.lexsort((apart, x))[::-1]
-                    at = np.full(n, -1)
-                    at[x[by]] = by
-                    some = np.flatnonzero(at >= 0)
-                    nearer = some[apart[at[some]] < distance[some]]
-                    distance[nearer], best[nearer] = apart[at[nearer]], y[at[nearer]]
-            if nearest:
-                some = np.flatnonzero(best >= 0)
-                x, y = node[some], node[best[some]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], names=["a", "b"])
-
-    return dealt.repartition("part").sortWithinPartitions("part").mapInArrow(pair, "a long, b long").distinct()
-
-
 def _near(pairs: DataFrame, nodes: DataFrame, similarity: float, whole: tuple[int, int]) -> DataFrame:
     """Less the pairs whose sizes or whole fingerprints rule the similarity out."""
 
@@ -330,26 +248,23 @@ def links(source: DataFrame, nodes: DataFrame, *, shingle: int, similarity: floa
         discard(pairs, sets)
         return out
 
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([parities(np.frombuffer(x.as_py(), np.uint64)) for x in batch.column(1)], pa.binary())], names=["node", "parities"])
-
     first = materialize(_first_pairs(rows, limit), "first-pairs")
     opened = materialize(first.where("open is not null").select(F.col("open").alias("bits")).distinct(), "open-groups")
     found = decided(materialize(_near(first.where("open is null").select("a", "b").distinct(), nodes, similarity, whole), "near-pairs"))
     discard(first)
     if opened.take(1):
-        rest = materialize(rows.join(opened, "bits", "left_semi"), "open-rows")
-        sets = _sets(rest.select("node").distinct(), nodes, source, shingle)
-        marked = materialize(sets.mapInArrow(mark, "node long, parities binary").join(nodes.select("node", "size", "fp"), "node"), "open-nodes")
-        discard(sets)
-        for nearest in (True, False):
-            apart = materialize(_pairs_apart(rest, connected_components(found), marked, masks, similarity, limit, whole, nearest=nearest), "pairs-apart")
-            if not apart.take(1):
-                break
-            more = decided(apart)
+        # Sets of groups that are not yet one component are linked exactly, once for all their groups.
+        rest = rows.join(opened, "bits", "left_semi").select("bits", "node").join(connected_components(found), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        rest = materialize(rest, "open-rows")
+        apart = rest.groupBy("bits").agg((F.min("root") < F.max("root")).alias("apart")).where("apart").select("bits")
+        left = rest.join(apart, "bits", "left_semi").select("node", "root").distinct()
+        left = materialize(left.join(nodes.select("node", "size"), "node"), "open-nodes")
+        if left.take(1):
+            sets = _sets(left.select("node"), nodes, source, shingle)
+            pairs = candidate_links(sets.join(left.select("node"), "node", "left_semi"), left, similarity)
+            more = materialize(_true(pairs, sets, similarity), "links")
             found, old = materialize(found.union(more), "links"), found
-            discard(old, more)
-        discard(rest, marked)
+            discard(old, more, pairs, sets)
+        discard(rest, left)
     discard(opened)
     return found

@@ -232,31 +232,3 @@ def test_sets_are_those_of_the_shingles():
     assert all(len(v) <= 1 for by in names.values() for v in by.values())
     sets = list(shingle_sets(pa.array(["a b c d e f g h", "x a b c d e f g", "a b c d"]), 5))
     assert len(np.intersect1d(sets[0], sets[1])) == 3 and not len(np.intersect1d(sets[0], sets[2]))
-
-
-def test_a_pair_comes_from_its_first_mask():
-    draw = np.random.default_rng(15)
-    masks = V.plan(1_000, 0.8)[0]
-    words = np.packbits(np.array([[b in own for b in range(64 * V.WORDS)] for own in map(set, masks)], bool), axis=1).view(">u8").astype(np.uint64)
-    bits = draw.integers(0, 2, (200, 64 * V.WORDS)).astype(bool)
-    others = bits ^ (draw.random(bits.shape) < 0.15)
-    agree = np.array([[(x[list(m)] == y[list(m)]).all() for m in masks] for x, y in zip(bits, others, strict=True)])
-    one, two = (np.packbits(x, axis=1).view(">u8").astype(np.uint64) for x in (bits, others))
-    own = draw.integers(0, len(masks), 200)
-    assert V.met_before(one, two, words, own).tolist() == [bool(a[:k].any()) for a, k in zip(agree, own.tolist(), strict=True)]
-
-
-def test_parities_never_rule_out_a_similar_pair():
-    draw = np.random.default_rng(16)
-    for n in (4, 60, 500, 9_000):
-        for share in (0.7, 0.79, 0.8, 0.81, 0.95):
-            both = max(1, round(n * share))
-            hashes = draw.integers(0, 2**64, n, np.uint64)
-            cut = int(draw.integers(both, n + 1))
-            a, b = hashes[:cut], np.concatenate([hashes[:both], hashes[cut:]])
-            one, two = (G.words_of([V.parities(x)], V.PARITIES // 64) for x in (a, b))
-            kept = V.close_enough(one, two, np.array([len(a) + len(b)]), 0.8)[0]
-            if both / n >= 0.8:
-                assert kept
-            elif n == 500 and share == 0.7:
-                assert not kept
