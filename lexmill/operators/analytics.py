@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexmill.functions.values import MISSING, or_missing
+from lexmill.functions.values import MISSING, or_missing, stripped
 
 LABELS = ("yes", "no", "uncertain")
 MIN_SLICE = 100
@@ -43,7 +43,7 @@ def dataset_profile(rows: DataFrame) -> DataFrame:
         F.max(F.when(placed, F.col("lat"))).alias("max_lat"),
         F.min(F.when(placed, F.col("lon"))).alias("min_lon"),
         F.max(F.when(placed, F.col("lon"))).alias("max_lon"),
-        F.count_if(F.btrim("polygon_name") != "").alias("named"),
+        F.count_if(stripped(F.col("polygon_name")) != "").alias("named"),
         F.min(F.length(text)).alias("min_length"),
         F.avg(F.length(text)).alias("mean_length"),
         F.max(F.length(text)).alias("max_length"),
@@ -92,13 +92,15 @@ def histogram(rows: DataFrame, column: str, name: str = "value") -> DataFrame:
 def top_and_other(rows: DataFrame, column: str, top: int = 15, *, order: list[str] | None = None) -> DataFrame:
     """The most frequent values and the sum of all others, by count, then name.
 
-    order: columns of the input's order; equally frequent values then come by their first row.
+    order: columns of the input's order; equally frequent values then come by
+    their first row and the others last.  Without it the others are sorted in.
     """
     tie = F.min(F.struct(*order)) if order else F.first(F.col(column))
     counts = rows.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"), tie.alias("tie"))
     first = counts.orderBy(F.desc("n"), "tie").limit(top).drop("tie")
     rest = counts.join(first.select("value"), counts["value"].eqNullSafe(first["value"]), "left_anti").agg(F.sum("n").alias("n")).where("n IS NOT NULL").select(F.lit("Other").alias("value"), "n")
-    return first.unionByName(rest)
+    both = first.unionByName(rest)
+    return both if order else both.orderBy(F.desc("n"), "value")
 
 
 def coordinates(rows: DataFrame) -> DataFrame:

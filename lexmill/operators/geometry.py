@@ -35,7 +35,8 @@ def add_geometry(rows: DataFrame, polygons: DataFrame, *, validate: bool = True)
     return J.enrich(rows, outlines, "polygon_id", "geometry")
 
 
-def write_geometry(rows: DataFrame, path: str, *, level: int = 19) -> None:
-    """Parquet for long texts that hardly repeat: strong zstd, no dictionary, small row groups; refuses to overwrite."""
-    options = {"compression": "zstd", "parquet.compression.codec.zstd.level": str(level), "parquet.enable.dictionary": "false", "parquet.block.size": str(8 << 20)}
-    rows.write.mode("error").options(**options).parquet(path)
+def write_geometry(rows: DataFrame, path: str, *, level: int = 19, group: int = 256) -> None:
+    """Parquet for long texts that hardly repeat: strong zstd, no dictionary, row groups and pages of ``group`` rows; refuses to overwrite."""
+    options = {"compression": "zstd", "parquet.compression.codec.zstd.level": str(level), "parquet.enable.dictionary": "false"}
+    counts = dict.fromkeys(("parquet.block.row.count.limit", "parquet.page.row.count.limit", "parquet.page.size.row.check.min", "parquet.page.size.row.check.max"), str(group))
+    rows.write.mode("error").options(**options, **counts).parquet(path)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lexmill.functions.values import qids_match
@@ -145,6 +145,39 @@ def join_report(occurrences: DataFrame) -> DataFrame:
     return occurrences.agg(F.count("*").alias("occurrences"), one("encyclopedia", SOURCES[0]), one("travel", SOURCES[1]), F.countDistinct("polygon_id").alias("polygons"), F.countDistinct("document_id").alias("documents"), F.countDistinct("section_id").alias("sections"))
 
 
+#: Counters of a run's join, in order.
+COUNTERS = ("polygon_count", "polygon_article_count", "wikipedia_document_count", "wikipedia_section_count", "wikipedia_occurrence_count", "wikivoyage_document_count", "wikivoyage_section_count", "wikivoyage_occurrence_count", "total_occurrence_count")
+
+
+class Counters:
+    """Numbers of rows, counted while a job passes them; there once it has run."""
+
+    def __init__(self) -> None:
+        self._seen: dict[str, Observation] = {}
+
+    def watch(self, rows: DataFrame, name: str) -> DataFrame:
+        self._seen[name] = Observation()
+        return rows.observe(self._seen[name], F.count(F.lit(1)).alias("n"))
+
+    def counts(self) -> dict[str, int]:
+        """Of all counters; those that nothing was watched for are 0."""
+        return {name: self._seen[name].get["n"] if name in self._seen else 0 for name in COUNTERS}
+
+
+def counted_occurrences(polygons: DataFrame, links: DataFrame, documents: DataFrame, sections: DataFrame, travel: tuple[DataFrame, DataFrame] | None = None) -> tuple[DataFrame, Counters]:
+    """All occurrences, and counters that whatever job writes them fills: no other job counts anything.
+
+    travel: documents and sections of the second source.  The rows must be written whole.
+    """
+    c = Counters()
+    core = [c.watch(df, name) for df, name in zip((polygons, links, documents, sections), COUNTERS, strict=False)]
+    parts = [c.watch(encyclopedia_occurrences(*core), "wikipedia_occurrence_count")]
+    if travel is not None:
+        own = [c.watch(df, name) for df, name in zip(travel, ("wikivoyage_document_count", "wikivoyage_section_count"), strict=True)]
+        parts.append(c.watch(travel_occurrences(polygons, *own), "wikivoyage_occurrence_count"))
+    return c.watch(compose(*parts), "total_occurrence_count"), c
+
+
 def enrich(rows: DataFrame, attributes: DataFrame, key: str, *columns: str) -> DataFrame:
     """Add a parent's columns; parents that are missing show as null, see ``unmatched``."""
     return rows.drop(*[c for c in columns if c in rows.columns]).join(attributes.select(key, *columns), key, "left")

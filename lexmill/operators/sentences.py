@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions import text as T
@@ -40,7 +40,24 @@ def segmentation_report(prepared: DataFrame, source: str = "source") -> DataFram
     )
 
 
-def _stable(rows: DataFrame, *but: str) -> list[Column]:
+def observed_report(prepared: DataFrame, sources: tuple[str, ...] = SOURCE_ORDER, source: str = "source") -> tuple[DataFrame, Observation]:
+    """The rows, and an observation of ``segmentation_report``'s counts by source that the job which writes them fills."""
+    seen, counts = Observation(), []
+    for k, name in enumerate(sources):
+        of = lambda value, k=k, name=name: F.sum(F.when(F.col(source) == name, value).otherwise(0))
+        values = {"sections": F.lit(1), "emitted": F.col("prepared.emitted"), "retained": F.size("prepared.sentences"), "dropped_raw": F.col("prepared.dropped_raw"), "dropped_normalized": F.col("prepared.dropped_normalized")}
+        counts += [of(v).cast("long").alias(f"{what}_{k}") for what, v in values.items()]
+    return prepared.observe(seen, *counts), seen
+
+
+def reported(seen: Observation, sources: tuple[str, ...] = SOURCE_ORDER) -> dict[str, dict]:
+    """The counts of each source that has sections."""
+    found = seen.get
+    kinds = ("sections", "emitted", "retained", "dropped_raw", "dropped_normalized")
+    return {name: {"source": name} | {what: found[f"{what}_{k}"] for what in kinds} for k, name in enumerate(sources) if found[f"sections_{k}"]}
+
+
+def stable(rows: DataFrame, *but: str) -> list[Column]:
     """All columns by name: a total order of rows that are equal in all else.  Maps, which have none, go as JSON."""
     kinds = dict(rows.dtypes)
     return [F.to_json(c) if "map<" in kinds[c] else F.col(c) for c in sorted(rows.columns) if c not in but]
@@ -48,7 +65,7 @@ def _stable(rows: DataFrame, *but: str) -> list[Column]:
 
 def add_context(rows: DataFrame, keys: tuple[str, ...] = SECTION, index: str = "sentence_index", text: str = "sentence_text_normalized") -> DataFrame:
     """The sentences before and after in the section; do it before removing duplicates."""
-    own = Window.partitionBy(*keys).orderBy(index, *_stable(rows, *keys, index))
+    own = Window.partitionBy(*keys).orderBy(index, *stable(rows, *keys, index))
     return rows.withColumn("previous_sentence", F.lag(text).over(own)).withColumn("next_sentence", F.lead(text).over(own))
 
 
@@ -56,14 +73,19 @@ def source_rank(source: str = "source"):
     return F.when(F.col(source) == SOURCE_ORDER[0], 0).otherwise(1)
 
 
+def first_order(source: str = "source") -> list[Column]:
+    """By which the first occurrence of a group is chosen."""
+    return [source_rank(source), F.col("document_id"), F.col("section_index"), F.col("section_id"), F.col("sentence_index")]
+
+
 def deduplicate(rows: DataFrame, keys: tuple[str, ...] = GROUP, order: list | None = None, source: str = "source") -> DataFrame:
     """The first occurrence of each group, with how many there were and from which sources.
 
     The choice is an aggregate minimum, combined before the shuffle: a sentence
     that occurs very often costs a row a task, not a sorted group in one task.
     """
-    order = order or [source_rank(source), F.col("document_id"), F.col("section_index"), F.col("section_id"), F.col("sentence_index")]
-    ranked = F.struct(*[o.alias(f"o{i}") for i, o in enumerate([*order, *_stable(rows, *keys, "previous_sentence", "next_sentence")])])
+    order = order or first_order(source)
+    ranked = F.struct(*[o.alias(f"o{i}") for i, o in enumerate([*order, *stable(rows, *keys, "previous_sentence", "next_sentence")])])
     rest = [c for c in rows.columns if c not in keys]
     grouped = rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), ranked).alias("first"), F.count("*").alias("duplicate_occurrence_count"), F.array_sort(F.collect_set(source)).alias("duplicate_sources"))
     return grouped.select(*keys, *[F.col(f"first.{c}").alias(c) for c in rest], "duplicate_occurrence_count", "duplicate_sources")

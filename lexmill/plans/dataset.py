@@ -15,13 +15,16 @@ from lexmill.operators import analytics as A
 from lexmill.operators import integrity as I
 from lexmill.operators import joins as J
 from lexmill.operators import sentences as N
-from lexmill.plans.card import card
+from lexmill.plans.card import card, out_of_order
 from lexmill.schemas import contract
 from lexmill.sources import export, files, shards
 from lexmill.storage import materialize
 from lexmill.streaming.batches import run_batches
 
-MANIFEST_VERSION = 2
+MANIFEST_VERSION = 3
+MANIFEST = frozenset({"manifest_version", "row_count", "schema", "finalization", "segmentation", "statistics", "profile", "content_sha256"})
+#: How published rows are ordered, strictly.
+ORDER = ("polygon_id", "language", "sentence_id")
 _BREAKDOWNS = ("source", "language", "region")
 
 
@@ -50,6 +53,7 @@ def occurrences(spark: SparkSession, root: str, *, validate: bool = True) -> Dat
         checks |= J.travel_checks(*travel)
         parts.append(J.travel_occurrences(*travel))
     if validate:
+        checks["a polygon is outside its shard's namespace"] = I.outside_namespace(table["polygons"], "polygon_id", "shard_key")
         I.assert_all(checks)
     return J.compose(*parts)
 
@@ -68,12 +72,14 @@ def segment(joined: DataFrame, segmenter: X.Segmenter = X.split_lines, *, valida
         })
     work = lambda part: N.prepare_sections(part, "section_text_raw", "language", segmenter)
     if resume is None:
-        prepared = materialize(work(parsed), "prepared")
+        rows, seen = N.observed_report(work(parsed))
+        prepared = materialize(rows, "prepared")
+        counts = N.reported(seen)
     else:
         root, identity, batches = resume
         keyed = parsed.withColumn("occurrence", F.to_json(F.struct(*N.SECTION)))
         prepared = run_batches(keyed, root, identity, work, batches=batches, key="occurrence").drop("occurrence")
-    counts = {r["source"]: r.asDict() for r in N.segmentation_report(prepared).collect()}
+        counts = {r["source"]: r.asDict() for r in N.segmentation_report(prepared).collect()}
     return N.explode_sentences(prepared).select(*contract("segmented_sentences").names), counts
 
 
@@ -113,19 +119,24 @@ def identities(facts: dict) -> None:
         raise PublicationError("; ".join(wrong))
 
 
+def profile(rows: DataFrame) -> dict:
+    """Extents, lengths, boundaries that are left, and the first row in order."""
+    first = rows.orderBy(*ORDER).limit(1).select(F.to_json(F.struct(*sorted(rows.columns)), {"ignoreNullFields": "false"})).first()
+    return {**A.dataset_profile(rows).first().asDict(), "residual_boundaries": residual_boundaries(rows), "example": json.loads(first[0]) if first else None}
+
+
 def manifest(built: Sentences) -> dict:
     facts = statistics(built.rows)
     identities(facts)
-    first = built.rows.orderBy("polygon_id", "language", "sentence_id").limit(1).select(F.to_json(F.struct("*"))).first()
-    profile = {**A.dataset_profile(built.rows).first().asDict(), "residual_boundaries": residual_boundaries(built.rows), "example": json.loads(first[0]) if first else None}
-    return {"manifest_version": MANIFEST_VERSION, "row_count": facts["row_count"], "finalization": built.finalization, "segmentation": built.segmentation, "statistics": facts, "profile": profile, "content_sha256": export.content_hash(built.rows)}
+    schema = [[f.name, f.dataType.simpleString()] for f in built.rows.schema]
+    return {"manifest_version": MANIFEST_VERSION, "row_count": facts["row_count"], "schema": schema, "finalization": built.finalization, "segmentation": built.segmentation, "statistics": facts, "profile": profile(built.rows), "content_sha256": export.content_hash(built.rows)}
 
 
 def publish(built: Sentences, target: str, *, overwrite: bool = False) -> dict:
     """Write rows in order with their manifest, then check what stands there."""
     rows = export.check_output(built.rows)
     data = manifest(built)
-    ordered = rows.repartitionByRange("polygon_id", "language", "sentence_id").sortWithinPartitions("polygon_id", "language", "sentence_id")
+    ordered = rows.repartitionByRange(*ORDER).sortWithinPartitions(*ORDER)
     export.swap(ordered, target, overwrite=overwrite, manifest_json=export.canonical_json(data), README_md=card(data))
     validate(rows.sparkSession, target)
     return data
@@ -137,23 +148,60 @@ def residual_boundaries(rows: DataFrame) -> int:
     return rows.agg(F.sum(F.size(offsets))).first()[0] or 0
 
 
+def accounting(said: dict) -> None:
+    """What segmentation put out is what finalization took in."""
+    whole = {name: sum(c[name] for c in said["segmentation"].values()) for name in ("emitted", "retained", "dropped_raw", "dropped_normalized")}
+    if whole["emitted"] != whole["retained"] + whole["dropped_raw"] + whole["dropped_normalized"]:
+        raise PublicationError(f"segmentation doesn't sum up: {whole}")
+    if whole["retained"] != said["finalization"]["input_rows"]:
+        raise PublicationError(f"segmentation kept {whole['retained']} sentences, finalization took {said['finalization']['input_rows']}")
+
+
+def file_order(rows: DataFrame) -> DataFrame:
+    """Rows of a table of part files, with their ``place`` in the order of files and rows."""
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"^part-([0-9]+)", 1).cast("long")
+    return rows.withColumn("place", F.shiftleft(number, 33) + F.col("_metadata.row_index"))
+
+
+def _differing(name: str, said: dict, found: dict) -> None:
+    """Compare part by part, as the manifest's JSON has them."""
+    found = json.loads(export.canonical_json(found))
+    if wrong := sorted(k for k in found.keys() | said.keys() if found.get(k) != said.get(k)):
+        raise PublicationError(f"{name} differ{'s' if name == 'profile' else ''}: {wrong}")
+
+
 def validate(spark: SparkSession, target: str, *, boundaries: bool = True) -> None:
-    """Recompute from the published rows all that their manifest says."""
+    """Recompute from the published rows all that their manifest says.
+
+    What the rows no longer hold, how sentences were cut, must agree with what
+    they hold: the sentences kept are the occurrences before duplicates went.
+    """
     names = {n for n, _, _ in files.children(spark, target)}
     if names != {"data", "manifest.json", "README.md"}:
         raise PublicationError(f"{target} holds {sorted(names)}")
     said = json.loads(files.read_text(spark, f"{target}/manifest.json"))
+    if wrong := sorted(said.keys() ^ MANIFEST):
+        raise PublicationError(f"the manifest lacks or adds {wrong}")
+    if said["manifest_version"] != MANIFEST_VERSION:
+        raise PublicationError(f"the manifest is of version {said['manifest_version']}")
     if files.read_text(spark, f"{target}/README.md") != card(said):
         raise PublicationError("the page differs from the manifest")
     rows = spark.read.parquet(f"{target}/data")
-    facts = json.loads(export.canonical_json(statistics(rows)))
-    differing = sorted(k for k in facts.keys() | said["statistics"].keys() if facts.get(k) != said["statistics"].get(k))
-    if differing:
-        raise PublicationError(f"statistics differ: {differing}")
+    schema = [[f.name, f.dataType.simpleString()] for f in rows.schema]
+    if schema != said["schema"] or schema != [[f.name, f.dataType.simpleString()] for f in contract("sentences")]:
+        raise PublicationError("the rows' columns differ from the manifest's or the contract's")
+    facts = statistics(rows)
+    _differing("statistics", said["statistics"], facts)
     identities(facts)
     if rows.select("input_dataset_revision", "pipeline_version").distinct().limit(2).count() > 1:
         raise PublicationError("rows are of more than one revision or version")
     if said["row_count"] != facts["row_count"] or said["content_sha256"] != export.content_hash(rows):
         raise PublicationError("rows differ from the manifest")
-    if boundaries and (left := residual_boundaries(rows)):
-        raise PublicationError(f"{left} boundaries are left inside sentences")
+    _differing("finalization counts", said["finalization"], N.finalization_report(rows).first().asDict())
+    accounting(said)
+    found = profile(rows)
+    _differing("profile", said["profile"], found)
+    if boundaries and found["residual_boundaries"]:
+        raise PublicationError(f"{found['residual_boundaries']} boundaries are left inside sentences")
+    if misplaced := out_of_order(file_order(rows), *ORDER, order="place").select("sentence_id").limit(I.SHOWN).collect():
+        raise PublicationError(f"rows are not in order: {[r[0] for r in misplaced]}")

@@ -22,7 +22,7 @@ from lexmill.plans import growing as W
 from lexmill.plans import releases as L
 from lexmill.plans.labelling import score_faults as score_check
 from lexmill.sources import row_groups as K
-from lexmill.storage import shared_dir
+from lexmill.storage import discard, materialize, shared_dir
 from lexmill.streaming import batches as B
 from lexmill.streaming import incremental as R
 
@@ -82,6 +82,18 @@ def join_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.join_report(J.compose(_encyclopedia(spark, sf_dir), _travel(spark, sf_dir)))
 
 
+@query(f"""WITH {T.PLACES_SQL}, {T.DOCUMENTS_SQL}, {T.TRAVEL_SQL}, e AS ({_ENCYCLOPEDIA_SQL}), t AS ({_TRAVEL_SQL})
+SELECT (SELECT count(*) FROM places) AS polygon_count, (SELECT count(*) FROM docs) AS polygon_article_count, (SELECT count(*) FROM docs) AS wikipedia_document_count, (SELECT count(*) FROM sections) AS wikipedia_section_count, (SELECT count(*) FROM e) AS wikipedia_occurrence_count,
+(SELECT count(*) FROM travel_docs) AS wikivoyage_document_count, (SELECT count(*) FROM travel_sections) AS wikivoyage_section_count, (SELECT count(*) FROM t) AS wikivoyage_occurrence_count, (SELECT count(*) FROM e) + (SELECT count(*) FROM t) AS total_occurrence_count""")
+def join_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nine counters, taken while the occurrences are written."""
+    docs = T.documents(spark, sf_dir)
+    travel = T.travel_documents(spark, sf_dir), T.travel_sections(spark, sf_dir)
+    rows, counters = J.counted_occurrences(T.places(spark, sf_dir), T.links(docs), docs, T.sections(docs), travel)
+    discard(materialize(rows, "occurrences"))
+    return spark.createDataFrame([tuple(counters.counts()[c] for c in J.COUNTERS)], ", ".join(f"{c} long" for c in J.COUNTERS))
+
+
 @query("SELECT DISTINCT doc_id::VARCHAR AS offender FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def orphan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.orphans(T.read(spark, sf_dir, "documents"), "doc_id", T.read(spark, sf_dir, "labels"), "doc_id")

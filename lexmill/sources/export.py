@@ -45,13 +45,15 @@ def check_output(df: DataFrame, table: str = "sentences") -> DataFrame:
 
 
 def write_file(df: DataFrame, path: str) -> None:
-    """One zstd Parquet file, there whole or not at all; for tables of which one task can hold the rows."""
+    """One zstd Parquet file, there whole or not at all; for tables of which one task can hold the rows.
+
+    A file of the name stays until the new one takes its place in one rename.
+    """
     spark, staged = df.sparkSession, f"{path}.{uuid.uuid4().hex}.new"
     try:
         df.coalesce(1).write.option("compression", "zstd").parquet(staged)
         (part,) = [n for n, _, _ in files.children(spark, staged) if n.startswith("part-")]
-        files.remove(spark, path)
-        files.rename(spark, f"{staged}/{part}", path)
+        files.replace(spark, f"{staged}/{part}", path)
     finally:
         files.remove(spark, staged)
 

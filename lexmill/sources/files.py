@@ -37,6 +37,17 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"{source} could not be moved to {target}")
 
 
+def replace(spark: SparkSession, source: str, target: str) -> None:
+    """Move a file over another in one step, so one of them is there at any time."""
+    hadoop = spark._jvm.org.apache.hadoop
+    place = hadoop.fs.Path(target)
+    context = hadoop.fs.FileContext.getFileContext(place.getFileSystem(spark._jsc.hadoopConfiguration()).getUri(), spark._jsc.hadoopConfiguration())
+    kind = getattr(hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(kind, 1)
+    options[0] = kind.OVERWRITE
+    context.rename(hadoop.fs.Path(source), place, options)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)

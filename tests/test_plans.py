@@ -90,6 +90,99 @@ def test_build_and_publish(spark, root, tmp_path):
         dataset.validate(spark, target)
 
 
+def change(value):
+    """Another value of the same kind."""
+    if isinstance(value, bool) or value is None:
+        return "x"
+    if isinstance(value, (int, float)):
+        return value + 1
+    if isinstance(value, str):
+        return value + "x"
+    if isinstance(value, list):
+        return value[1:] if value else ["x"]
+    return {**value, "more": 1}
+
+
+def test_every_field_of_the_manifest_is_recomputed(spark, root, tmp_path):
+    target = str(tmp_path / "out")
+    said = dataset.publish(dataset.build(spark, root, revision="r", version="1"), target)
+    fields = [(k,) for k in said] + [(k, f) for k in ("statistics", "profile", "finalization") for f in said[k]] + [("segmentation", "wikipedia", f) for f in ("emitted", "retained", "dropped_raw")]
+    for path in fields:
+        tampered = json.loads(json.dumps(said))
+        place = tampered
+        for step in path[:-1]:
+            place = place[step]
+        place[path[-1]] = change(place[path[-1]])
+        files.write_text(spark, f"{target}/manifest.json", json.dumps(tampered))
+        try:
+            files.write_text(spark, f"{target}/README.md", card.card(tampered))
+        except (AttributeError, KeyError, TypeError):
+            pass  # a page can't be made of it; the old one differs then, if it shows the field
+        with pytest.raises((PublicationError, AttributeError, TypeError)):
+            dataset.validate(spark, target)
+    for missing in said:
+        files.write_text(spark, f"{target}/manifest.json", json.dumps({k: v for k, v in said.items() if k != missing}))
+        with pytest.raises(PublicationError, match=missing):
+            dataset.validate(spark, target)
+    # Rows out of order, with all else as it was.
+    files.write_text(spark, f"{target}/manifest.json", export.canonical_json(said))
+    files.write_text(spark, f"{target}/README.md", card.card(said))
+    dataset.validate(spark, target)
+    rows = spark.read.parquet(f"{target}/data")
+    held, schema = rows.orderBy(F.desc("sentence_id")).collect(), rows.schema
+    files.remove(spark, f"{target}/data")
+    spark.createDataFrame(held, schema).coalesce(1).write.parquet(f"{target}/data")
+    with pytest.raises(PublicationError, match="order"):
+        dataset.validate(spark, target)
+
+
+def test_counters_are_taken_while_rows_are_written(spark, root, tmp_path):
+    found = shards.discover(spark, root)
+    table = {name: shards.load_all(spark, found, name) for name in shards.FOLDERS}
+    rows, counters = J.counted_occurrences(*(table[n] for n in ("polygons", "links", "wikipedia_documents", "wikipedia_sections")), (table["wikivoyage_documents"], table["wikivoyage_sections"]))
+    rows.write.parquet(str(tmp_path / "rows"))
+    counts = counters.counts()
+    assert list(counts) == list(J.COUNTERS)
+    written = spark.read.parquet(str(tmp_path / "rows"))
+    assert counts["total_occurrence_count"] == written.count() == counts["wikipedia_occurrence_count"] + counts["wikivoyage_occurrence_count"]
+    for name, counter in zip(("polygons", "links", "wikipedia_documents", "wikipedia_sections", "wikivoyage_documents", "wikivoyage_sections"), [c for c in J.COUNTERS if "occurrence" not in c], strict=True):
+        assert counts[counter] == table[name].count()
+    rows, counters = J.counted_occurrences(*(table[n] for n in ("polygons", "links", "wikipedia_documents", "wikipedia_sections")))
+    rows.write.parquet(str(tmp_path / "core"))
+    assert counters.counts()["wikivoyage_section_count"] == 0 and counters.counts()["total_occurrence_count"] == 2
+
+
+def test_a_polygon_outside_its_shards_namespace(spark, root, tmp_path):
+    write_shard(spark, str(tmp_path), "north")
+    files.rename(spark, f"{tmp_path}/polygons/north.parquet", f"{tmp_path}/polygons/east.parquet")
+    for folder in ("polygon_articles", "wikipedia/documents", "wikipedia/sections", "wikivoyage/documents", "wikivoyage/sections"):
+        files.rename(spark, f"{tmp_path}/{folder}/north.parquet", f"{tmp_path}/{folder}/east.parquet")
+    with pytest.raises(IntegrityError, match="namespace"):
+        dataset.occurrences(spark, str(tmp_path))
+
+
+def test_a_single_file_is_replaced_in_one_step(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "one.parquet")
+    export.write_file(spark.range(3).toDF("k"), path)
+    with pytest.raises(OSError, match="broke off"):
+        with monkeypatch.context() as m:
+            m.setattr(files, "replace", lambda *a: (_ for _ in ()).throw(OSError("broke off")))
+            export.write_file(spark.range(5).toDF("k"), path)
+    assert spark.read.parquet(path).count() == 3
+    export.write_file(spark.range(7).toDF("k"), path)
+    assert spark.read.parquet(path).count() == 7 and [n for n, _, _ in files.children(spark, str(tmp_path)) if not n.startswith(".")] == ["one.parquet"]
+
+
+def test_names_of_any_white_space_are_none(spark):
+    from lexmill.operators.analytics import dataset_profile, top_and_other
+
+    rows = spark.createDataFrame([(n, "t", 1, ["a"], 1.0, 1.0) for n in ("x", "\t\n", "\u00a0", " ", None)], "polygon_name string, sentence_text_normalized string, duplicate_occurrence_count long, duplicate_sources array<string>, lat double, lon double")
+    assert dataset_profile(rows).first()["named"] == 1
+    counts = spark.createDataFrame([(v,) for v in "aaaabbcde"], "v string")
+    assert [tuple(r) for r in top_and_other(counts, "v", 2).collect()] == [("a", 4), ("Other", 3), ("b", 2)]
+    assert [tuple(r) for r in top_and_other(counts.withColumn("n", F.monotonically_increasing_id()), "v", 2, order=["n"]).collect()] == [("a", 4), ("b", 2), ("Other", 3)]
+
+
 def test_broken_reference(spark, tmp_path):
     write_shard(spark, str(tmp_path), "x", bad_link=True)
     with pytest.raises(IntegrityError, match="no document"):

@@ -1,5 +1,6 @@
 import random
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -140,7 +141,10 @@ def test_geometry(spark, rows, tmp_path):
     with pytest.raises(IntegrityError, match="outline"):
         G.add_geometry(rows, outlines(spark).withColumn("geometry", F.lit('{"type":"Point","coordinates":[1]}')))
     path = str(tmp_path / "g.parquet")
-    G.write_geometry(once.coalesce(1), path)
+    G.write_geometry(once.coalesce(1), path, group=7)
+    (part,) = files.leaves(spark, path)
+    footer = pq.ParquetFile(part).metadata
+    assert [footer.row_group(k).num_rows for k in range(footer.num_row_groups)] == [7] * (footer.num_rows // 7) + [footer.num_rows % 7] * (footer.num_rows % 7 > 0)
     assert G.read_geometry(spark, path).columns == ["polygon_id", "geometry"] and G.read_geometry(spark, path).count() == 20
     with pytest.raises(Exception, match="exists"):
         G.write_geometry(once, path)
