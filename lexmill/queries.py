@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lexmill import tables as T
 from lexmill.functions import spatial as P
 from lexmill.functions import text as X
+from lexmill.functions import trained as G2
 from lexmill.functions import values as V
 from lexmill.operators import analytics as A
 from lexmill.operators import geometry as G
@@ -21,10 +22,13 @@ from lexmill.operators import sentences as N
 from lexmill.plans import growing as W
 from lexmill.plans import releases as L
 from lexmill.plans.labelling import score_faults as score_check
+from lexmill.schemas import contract
 from lexmill.sources import row_groups as K
+from lexmill.sources import shards as D
 from lexmill.storage import discard, materialize, shared_dir
 from lexmill.streaming import batches as B
 from lexmill.streaming import incremental as R
+from lexmill.streaming.canonical import CanonicalState
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -66,6 +70,18 @@ def occurrence_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _encyclopedia(spark, sf_dir).select(*_OCCURRENCE)
 
 
+@query(f"WITH {T.PLACES_SQL}, {T.DOCUMENTS_SQL} {_ENCYCLOPEDIA_SQL}")
+def mixed_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same occurrences from two shards, of which one links by document and one by article; footers tell which."""
+    root, docs = f"{shared_dir(spark)}/shards/{uuid.uuid4().hex}", T.documents(spark, sf_dir)
+    links = J.with_columns_or_null(T.links(docs).join(docs.select("document_id", "article_id"), "document_id"), source_pbf="string", region="string", osm_type="string", osm_id="bigint", is_best_language="boolean")
+    for key, part, layout in (("by_document", F.col("page_id") % 2 == 0, "polygon_documents"), ("by_article", F.col("page_id") % 2 == 1, "polygon_articles")):
+        links.where(part).select(*contract(layout).names).write.parquet(f"{root}/{key}.parquet")
+    layouts = D.load_layouts(spark, [f"{root}/by_document.parquet", f"{root}/by_article.parquet"], "links")
+    parts = [J.encyclopedia_occurrences(T.places(spark, sf_dir), own, docs, T.sections(docs)) for own in layouts.values()]
+    return J.compose(*parts).select(*_OCCURRENCE)
+
+
 @query(f"WITH {T.PLACES_SQL}, {T.TRAVEL_SQL} {_TRAVEL_SQL}")
 def identifier_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _travel(spark, sf_dir).select(*_OCCURRENCE)
@@ -214,6 +230,27 @@ def canonical_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _unique(spark, sf_dir)
 
 
+@query(f"WITH {_DEDUP_SQL} SELECT * FROM uniq")
+def canonical_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows, reached over three batches of lines."""
+    keys = ("polygon_id", "language", "sentence")
+    state = CanonicalState(spark, f"{shared_dir(spark)}/canonical/{uuid.uuid4().hex}", keys=keys, order=[N.source_rank(), F.col("document_id"), F.col("sentence_index")], buckets=8)
+    lines = T.lines(spark, sf_dir)
+    for batch in range(3):
+        state.update(lines.where(F.pmod(F.xxhash64("document_id"), F.lit(3)) == batch), batch)
+    return state.rows()
+
+
+@query()
+def trained_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentences by language, cut by what the documents themselves teach, and how many abbreviations that is."""
+    docs = T.read(spark, sf_dir, "documents").select("text", "lang")
+    learned = G2.train(docs)
+    counts = N.segmentation_report(N.prepare_sections(docs, "text", "lang", G2.TrainedSegmenter(learned)), "lang")
+    known = spark.createDataFrame([(name, len(x.abbreviations), len(x.starters)) for name, x in sorted(learned.items())], "lang string, abbreviations int, starters int")
+    return counts.join(known, "lang", "left")
+
+
 @query(f"WITH {_DEDUP_SQL} SELECT sum(duplicate_occurrence_count)::BIGINT AS input_rows, count(*) AS output_rows, sum(duplicate_occurrence_count - 1)::BIGINT AS removed_rows, count(*) FILTER (len(duplicate_sources) = 2) AS cross_source_groups FROM uniq")
 def dedup_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.finalization_report(_unique(spark, sf_dir))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
@@ -18,14 +20,24 @@ def canonical_json(data: dict) -> str:
     return json.dumps(data, sort_keys=True, separators=(",", ":"), ensure_ascii=False) + "\n"
 
 
+def _content_sums(columns: list[str]) -> list[Column]:
+    row = F.sha2(F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"}), 256)
+    parts = [F.sum(F.conv(F.substring(row, 1 + 8 * k, 8), 16, 10).cast("decimal(38,0)")).alias(f"p{k}") for k in range(8)]
+    return [F.count("*").alias("n"), *parts]
+
+
+def _content_digest(sums: Sequence) -> str:
+    return hashlib.sha256(":".join(str(x) for x in sums).encode()).hexdigest()
+
+
 def content_hash(df: DataFrame) -> str:
     """A hash of the rows that does not depend on their order or files."""
-    row = F.sha2(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}), 256)
-    parts = [F.sum(F.conv(F.substring(row, 1 + 8 * k, 8), 16, 10).cast("decimal(38,0)")).alias(f"p{k}") for k in range(8)]
-    found = df.agg(F.count("*").alias("n"), *parts).first()
-    import hashlib
+    return _content_digest(df.agg(*_content_sums(df.columns)).first())
+
 
-    return hashlib.sha256(":".join(str(x) for x in found).encode()).hexdigest()
+def content_hashes(df: DataFrame, by: str) -> dict:
+    """The same of the rows of each value of a column, without that column, in one job; the values are few."""
+    return {r[0]: _content_digest(r[1:]) for r in df.groupBy(by).agg(*_content_sums([c for c in df.columns if c != by])).collect()}
 
 
 def check_output(df: DataFrame, table: str = "sentences") -> DataFrame:

@@ -19,6 +19,7 @@ from lexmill.errors import CheckpointError
 from lexmill.operators import integrity as I
 from lexmill.operators import joins as J
 from lexmill.sources import export, files
+from lexmill.storage import discard, materialize
 
 _BATCH = re.compile(r"batch=([0-9]{6})")
 
@@ -60,23 +61,25 @@ def read_batches(spark: SparkSession, root: str, identity: dict, *, key: str = "
     Every batch must be of this run, hold the rows it says, and share no key with
     another.
     """
-    parts: DataFrame | None = None
-    for number in _names(spark, root):
-        said = _said(spark, root, number)
-        if said is None:
-            continue
-        if said["identity"] != json.loads(export.canonical_json(identity)):
+    said = {number: found for number in _names(spark, root) if (found := _said(spark, root, number)) is not None}
+    if not said:
+        return None
+    own = json.loads(export.canonical_json(identity))
+    first = min(said)
+    for number, found in said.items():
+        if found["identity"] != own:
             raise CheckpointError(f"batch {number} is of another run")
-        rows = spark.read.parquet(f"{root}/batch={number:06d}/data")
-        if [list(x) for x in rows.dtypes] != said["columns"]:
+        if found["columns"] != said[first]["columns"]:
             raise CheckpointError(f"batch {number} has other columns")
-        own = rows.withColumn("batch", F.lit(number))
-        parts = own if parts is None else parts.unionByName(own)
-        if export.content_hash(rows) != said["content_sha256"]:
-            raise CheckpointError(f"batch {number} differs from what it says")
-    if parts is not None and (found := J.repeated_across(parts, key, "batch").orderBy(key).limit(I.SHOWN).collect()):
-        raise CheckpointError(f"batches share keys: {[r[key] for r in found]}")
-    return parts
+    # One table with the batch as a partition, however many there are; a file without a column shows in the hash.
+    schema = ", ".join(f"`{name}` {kind}" for name, kind in [*said[first]["columns"], ("batch", "int")])
+    rows = spark.read.schema(schema).option("basePath", root).parquet(*[f"{root}/batch={number:06d}/data" for number in sorted(said)])
+    hashes = export.content_hashes(rows, "batch")
+    if wrong := sorted(number for number, found in said.items() if hashes.get(number) != found["content_sha256"]):
+        raise CheckpointError(f"batch {wrong[0]} differs from what it says")
+    if shared := J.repeated_across(rows, key, "batch").orderBy(key).limit(I.SHOWN).collect():
+        raise CheckpointError(f"batches share keys: {[r[key] for r in shared]}")
+    return rows
 
 
 def run_batches(rows: DataFrame, root: str, identity: dict, work: Callable[[DataFrame], DataFrame], *, batches: int, key: str = "sentence_id", progress: Callable[[dict], None] | None = None) -> DataFrame:
@@ -87,8 +90,11 @@ def run_batches(rows: DataFrame, root: str, identity: dict, work: Callable[[Data
     spark = rows.sparkSession
     total, done = rows.count(), 0
     dealt = rows.withColumn("__batch", F.pmod(F.xxhash64(key), F.lit(batches)).cast("int"))
-    for number in range(batches):
-        said = _said(spark, root, number)
+    there = {number: _said(spark, root, number) for number in range(batches)}
+    if missing := [number for number, said in there.items() if said is None]:
+        # Dealt out once, so a batch reads its own rows alone.
+        dealt = materialize(dealt.where(F.col("__batch").isin(missing)), "dealt", by="__batch")
+    for number, said in there.items():
         if said is None:
             own = dealt.where(F.col("__batch") == number).drop("__batch")
             if not own.take(1):
@@ -97,6 +103,8 @@ def run_batches(rows: DataFrame, root: str, identity: dict, work: Callable[[Data
         done += said["row_count"]
         if progress:
             progress({"batch": number, "completed": done, "remaining": total - done})
+    if missing:
+        discard(dealt)
     out = read_batches(spark, root, identity, key=key)
     if out is None:
         return work(rows).limit(0)
