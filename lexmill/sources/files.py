@@ -48,6 +48,11 @@ def replace(spark: SparkSession, source: str, target: str) -> None:
     context.rename(hadoop.fs.Path(source), place, options)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
