@@ -2,11 +2,11 @@
 
 Where very many sets are near each other, most pairs share a template and little
 else, and pairs just below the similarity can't be told by a sketch.  Here
-hashes that more than ``LIGHT`` of the sets hold are heavy, the others light, and
-a global order puts light ones first.  A set's prefix are its first hashes in
+hashes that more than about ``LIGHT`` of the sets hold are heavy, the others light,
+and a global order puts light ones first.  A set's prefix are its first hashes in
 that order, of which two sets of the similarity must share one.
 
-* If they share a light one, they meet in that hash's group, of ``LIGHT`` sets.
+* If they share a light one, they meet in that hash's group, of about ``LIGHT`` sets at most.
 * If not, the prefixes of both go on beyond their light hashes, so they share no
   light hash at all: what they share follows from their heavy parts alone.  Sets
   of one heavy part are a class.  Whether two are linked then depends on their
@@ -31,8 +31,10 @@ from lexmill.llm.shards import shards
 from lexmill.storage import discard, materialize
 
 LIGHT = 64
+#: One set in so many tells which hashes are heavy; up to so many of these are broadcast (a megabyte), more are joined.
+SHARE, BROADCAST = 8, 1 << 17
 #: Classes of a chunk, and columns of their matrix that are multiplied at once.
-CLASSES, COLUMNS = 1_024, 8_192
+CLASSES, COLUMNS = 512, 4_096
 _NEAR = 1e-9
 
 
@@ -48,6 +50,39 @@ def _tokens(sets: DataFrame) -> DataFrame:
     return sets.select("node", "hashes").mapInArrow(cut, "token long, node long")
 
 
+def _heavy(sets: DataFrame) -> DataFrame:
+    """``token`` of hashes that many sets hold, as one set in ``SHARE`` tells; a table.
+
+    Which hashes are called heavy decides how a pair is found, never whether.
+    """
+    some = sets.where(F.pmod(F.xxhash64("node"), F.lit(SHARE)) == 0)
+    counts = _tokens(some).groupBy("token").agg(F.count("*").alias("n"))
+    return materialize(counts.where(F.col("n") > max(1, LIGHT // SHARE)).select("token"), "heavy-tokens")
+
+
+def _split(sets: DataFrame, heavy: DataFrame) -> DataFrame:
+    """``node, light, heavy``: each set's hashes of both kinds, sorted."""
+    if heavy.count() > BROADCAST:
+        of = lambda kind: F.array_sort(F.collect_list(F.when(kind, F.col("token"))))
+        marked = _tokens(sets).join(heavy.withColumn("many", F.lit(True)), "token", "left")
+        return marked.groupBy("node").agg(of(F.col("many").isNull()).alias("light"), of(F.col("many").isNotNull()).alias("heavy"))
+    shared = sets.sparkSession.sparkContext.broadcast(np.sort(heavy.toArrow()["token"].to_numpy()))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        many = shared.value
+        for batch in batches:
+            light, common = [], []
+            for hashes in batch.column(1):
+                values = np.sort(np.frombuffer(hashes.as_py(), np.int64))
+                at = np.minimum(np.searchsorted(many, values), max(0, len(many) - 1))
+                here = many[at] == values if len(many) else np.zeros(len(values), bool)
+                light.append(values[~here])
+                common.append(values[here])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(light, pa.list_(pa.int64())), pa.array(common, pa.list_(pa.int64()))], names=["node", "light", "heavy"])
+
+    return sets.select("node", "hashes").mapInArrow(cut, "node long, light array<long>, heavy array<long>").where(F.size("light") + F.size("heavy") > 0)
+
+
 def overlaps(ours: list[np.ndarray], theirs: list[np.ndarray]) -> np.ndarray:
     """How many hashes each of our sets shares with each of theirs.
 
@@ -163,10 +198,8 @@ def candidate_links(sets: DataFrame, nodes: DataFrame, similarity: float) -> Dat
     sets: a table of ``node`` and ``hashes``.  nodes: ``node, size, root``, the component so far.
     """
     share = similarity / (1 + similarity)
-    tokens = materialize(_tokens(sets), "tokens")
-    heavy = materialize(tokens.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > LIGHT).select("token", F.lit(True).alias("heavy")), "heavy-tokens")
-    of = lambda kind: F.array_sort(F.collect_list(F.when(kind, F.col("token"))))
-    split = tokens.join(heavy, "token", "left").groupBy("node").agg(of(F.col("heavy").isNull()).alias("light"), of(F.col("heavy").isNotNull()).alias("heavy"))
+    heavy = _heavy(sets)
+    split = _split(sets, heavy)
     length = (F.col("size") - F.ceil(F.col("size") * similarity - _NEAR) + 1).cast("int")
     split = materialize(split.join(nodes.select("node", "size", "root"), "node").withColumn("prefix", length), "split-sets")
 
@@ -188,5 +221,5 @@ def candidate_links(sets: DataFrame, nodes: DataFrame, similarity: float) -> Dat
 
     every = pairs.union(found.where("a IS NOT NULL").select("a", "b")).union(more)
     out = materialize(every.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "candidate-links")
-    discard(tokens, heavy, split, classes, found)
+    discard(heavy, split, classes, found)
     return out

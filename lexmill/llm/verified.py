@@ -9,8 +9,8 @@ groups of sets that are not alike stay small.
 A shard of groups is one index in Gray order over each set's first two words.
 Groups of more than ``GROUP`` are cut into chunks first.  Only components matter,
 so not all pairs of a cluster are tried: a group with few pairs within the limit
-gives them all and is done; in others each member goes with its nearest and with
-the member that has most near ones.  The sets of groups that are then still apart
+gives them all and is done; in others each member goes with the member that has
+most near ones, or with its nearest if that is not near.  The sets of groups that are then still apart
 are linked exactly (``exact_links``).
 """
 
@@ -38,8 +38,8 @@ WANTED, GROUP = 64, 2_048
 MISS = 0.002
 #: Sets from this size on differ in hardly more bits than the angle between them says.
 LARGE = 64
-#: A group with at most so many pairs a member gives all of them.
-FEW = 4
+#: A group with at most so many pairs a member gives all of them; in others a member gives a pair on one in so many masks.
+FEW, SPARE = 2, 4
 #: Pairs that a task keeps rather than search again.
 KEPT = 1 << 21
 #: Flags that tell which sets are on a pair.
@@ -149,13 +149,16 @@ def _first_pairs(rows: DataFrame, limit: int) -> DataFrame:
             hub = np.zeros(len(sizes), np.int64)
             order = np.lexsort((np.arange(n), -degree, group))
             hub[group[order[::-1]]] = order[::-1]
-            left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            left, right, met = [np.empty(0, np.int64)], [np.empty(0, np.int64)], np.zeros(n, bool)
             nearest, distance = np.full(n, -1), np.full(n, 1 << 30)
             for who, found, apart in index.pairs(limit) if kept is None else kept:
                 thin = ~dense[group[who]]
-                take = thin | (hub[group[who]] == who) | (hub[group[who]] == found)
+                # Most members of a cluster meet its hub on many masks; some of them are enough.
+                turn = (np.where(hub[group[who]] == who, node[found], node[who]) + (bits[who] >> 48)) % SPARE == 0
+                take = thin | (((hub[group[who]] == who) | (hub[group[who]] == found)) & turn)
                 left.append(who[take])
                 right.append(found[take])
+                met[who[take]] = met[found[take]] = True
                 who, found, apart = who[~thin], found[~thin], apart[~thin]
                 for x, y in ((who, found), (found, who)):
                     by = np.lexsort((apart, x))[::-1]
@@ -164,7 +167,8 @@ def _first_pairs(rows: DataFrame, limit: int) -> DataFrame:
                     some = np.flatnonzero(best >= 0)
                     nearer = some[apart[best[some]] < distance[some]]
                     distance[nearer], nearest[nearer] = apart[best[nearer]], y[best[nearer]]
-            some = np.flatnonzero(nearest >= 0)
+            # A pair a member is enough here, and on some masks: groups that stay apart are linked exactly.
+            some = np.flatnonzero((nearest >= 0) & ~met & ((node + (bits >> 48)) % SPARE == 0))
             x, y = node[np.concatenate([*left, some])], node[np.concatenate([*right, nearest[some]])]
             pairs = np.unique(np.stack([np.maximum(x, y), np.minimum(x, y)], axis=1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy()), pa.nulls(len(pairs), pa.int64())], names=["a", "b", "open"])
@@ -180,6 +184,30 @@ def _first_pairs(rows: DataFrame, limit: int) -> DataFrame:
     return dealt.repartition("part").sortWithinPartitions("part", "bits").mapInArrow(pair, "a long, b long, open long")
 
 
+def _with_partners(rows: DataFrame, limit: int) -> DataFrame:
+    """``node`` and ``root`` of rows ``bits, node, w0, w1, root`` that have a near one of another component in their group.
+
+    All of a group that is larger than one task compares.
+    """
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns in shards(batches):
+            bits, node, w0, w1, root = (c.to_numpy() for c in columns[:5])
+            wanted = columns[5].to_numpy(zero_copy_only=False).astype(bool)
+            for who, found, _ in GrayIndex(np.stack([w0, w1], axis=1).view(np.uint64), runs(bits)[1]).pairs(limit):
+                apart = root[who] != root[found]
+                wanted[who[apart]] = wanted[found[apart]] = True
+            node, at = np.unique(node[wanted], return_index=True)
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(root[wanted][at])], names=["node", "root"])
+
+    large = rows.groupBy("bits").agg(F.count("*").alias("n")).where(F.col("n") > GROUP).select("bits", F.lit(True).alias("large"))
+    dealt = rows.join(large, "bits", "left").withColumn("whole", F.coalesce("large", F.lit(False)))
+    # Members of a large group are dealt out by themselves: they are kept without a search.
+    alone = F.when(F.col("whole"), F.xxhash64("bits", "node")).otherwise(F.col("bits"))
+    dealt = dealt.select(alone.alias("bits"), "node", "w0", "w1", "root", "whole").repartition("bits").sortWithinPartitions("bits")
+    return dealt.mapInArrow(keep, "node long, root long").distinct()
+
+
 def _near(pairs: DataFrame, nodes: DataFrame, similarity: float, whole: tuple[int, int]) -> DataFrame:
     """Less the pairs whose sizes or whole fingerprints rule the similarity out."""
 
@@ -254,10 +282,10 @@ def links(source: DataFrame, nodes: DataFrame, *, shingle: int, similarity: floa
     discard(first)
     if opened.take(1):
         # Sets of groups that are not yet one component are linked exactly, once for all their groups.
-        rest = rows.join(opened, "bits", "left_semi").select("bits", "node").join(connected_components(found), "node", "left").withColumn("root", F.coalesce("root", "node"))
-        rest = materialize(rest, "open-rows")
-        apart = rest.groupBy("bits").agg((F.min("root") < F.max("root")).alias("apart")).where("apart").select("bits")
-        left = rest.join(apart, "bits", "left_semi").select("node", "root").distinct()
+        rest = rows.join(opened, "bits", "left_semi").join(connected_components(found), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        rest = materialize(rest.select("bits", "node", "w0", "w1", "root"), "open-rows")
+        apart = materialize(rest.groupBy("bits").agg((F.min("root") < F.max("root")).alias("apart")).where("apart").select("bits"), "open-apart")
+        left = _with_partners(rest.join(apart, "bits", "left_semi"), limit)
         left = materialize(left.join(nodes.select("node", "size"), "node"), "open-nodes")
         if left.take(1):
             sets = _sets(left.select("node"), nodes, source, shingle)
@@ -265,6 +293,6 @@ def links(source: DataFrame, nodes: DataFrame, *, shingle: int, similarity: floa
             more = materialize(_true(pairs, sets, similarity), "links")
             found, old = materialize(found.union(more), "links"), found
             discard(old, more, pairs, sets)
-        discard(rest, left)
+        discard(rest, apart, left)
     discard(opened)
     return found

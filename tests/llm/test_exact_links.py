@@ -59,6 +59,8 @@ def test_components_equal_brute_force(spark, monkeypatch, seed, light, classes,
     monkeypatch.setattr(E, "LIGHT", light)
     monkeypatch.setattr(E, "CLASSES", classes)
     monkeypatch.setattr(E, "COLUMNS", 5)
+    monkeypatch.setattr(E, "SHARE", 1 if seed % 2 else 2)
+    monkeypatch.setattr(E, "BROADCAST", 1 << 17 if seed % 3 else 0)
     draw = random.Random(seed)
     sets = templated(draw, 220)
     wanted = brute(sets, similarity)
