@@ -89,18 +89,19 @@ def histogram(rows: DataFrame, column: str, name: str = "value") -> DataFrame:
     return counts.withColumn("share", F.col("n") / total.scalar())
 
 
-def top_and_other(rows: DataFrame, column: str, top: int = 15, *, order: list[str] | None = None) -> DataFrame:
+def top_and_other(rows: DataFrame, column: str, top: int = 15, *, order: list[str] | None = None, resort: bool = False) -> DataFrame:
     """The most frequent values and the sum of all others, by count, then name.
 
     order: columns of the input's order; equally frequent values then come by
-    their first row and the others last.  Without it the others are sorted in.
+    their first row.  resort: the others' sum takes its place by count and name
+    instead of the last.
     """
     tie = F.min(F.struct(*order)) if order else F.first(F.col(column))
     counts = rows.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"), tie.alias("tie"))
     first = counts.orderBy(F.desc("n"), "tie").limit(top).drop("tie")
     rest = counts.join(first.select("value"), counts["value"].eqNullSafe(first["value"]), "left_anti").agg(F.sum("n").alias("n")).where("n IS NOT NULL").select(F.lit("Other").alias("value"), "n")
     both = first.unionByName(rest)
-    return both if order else both.orderBy(F.desc("n"), "value")
+    return both.orderBy(F.desc("n"), "value") if resort else both
 
 
 def coordinates(rows: DataFrame) -> DataFrame:
