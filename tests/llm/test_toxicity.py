@@ -152,13 +152,8 @@ def test_what_reaches_the_driver_is_bounded(spark, monkeypatch):
     # A text has at most a number for each of its chosen features, and two for each swap: 4 kB here.
     assert seen[0].num_rows == 2000 and seen[0].nbytes < 2000 * 4096
     # The same weights as from whole lists.
-    chosen = sorted(model.weights)
-    texts = dict(rows)
-    lists = []
-    for k, text in texts.items():
-        of = lambda ws: sorted({f for w in ws for f in X.word_features(w)} & set(chosen))
-        lists.append((k % 2, of(X.words(text)), [of(o) for o in X.counterfactuals(X.words(text))]))
-    place = {f: i for i, f in enumerate(chosen)}
-    arranged = [(y, [place[f] for f in own], [[place[f] for f in o] for o in others]) for y, own, others in lists]
-    weights, bias = X.fit(arranged, len(chosen))
-    assert abs(bias - model.bias) < 1e-4 and max(abs(w - model.weights[f]) for f, w in zip(chosen, weights, strict=True)) < 1e-4
+    lists = [(r["label"], r["own"], [sorted(set(r["own"]) - {gone} | {new} - {-1}) for gone, new in zip(r["gone"], r["new"], strict=True)]) for r in seen[0].to_pylist()]
+    size = 1 + max(f for _, own, others in lists for f in [*own, *(x for o in others for x in o)])
+    w, bias = X.fit(lists, size, steps=15)
+    v, again = X.fit(real(seen[0]), size, steps=15)
+    assert abs(bias - again) < 1e-6 and np.abs(w - v).max() < 1e-6 and len(model.weights) > 50
