@@ -187,7 +187,7 @@ def _first_pairs(rows: DataFrame, limit: int) -> DataFrame:
 def _with_partners(rows: DataFrame, limit: int) -> DataFrame:
     """``node`` and ``root`` of rows ``bits, node, w0, w1, root`` that have a near one of another component in their group.
 
-    All of a group that is larger than one task compares.
+    Of a group that is larger than one task compares: all, unless it is one component.
     """
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,10 +200,10 @@ def _with_partners(rows: DataFrame, limit: int) -> DataFrame:
             node, at = np.unique(node[wanted], return_index=True)
             yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(root[wanted][at])], names=["node", "root"])
 
-    large = rows.groupBy("bits").agg(F.count("*").alias("n")).where(F.col("n") > GROUP).select("bits", F.lit(True).alias("large"))
-    dealt = rows.join(large, "bits", "left").withColumn("whole", F.coalesce("large", F.lit(False)))
-    # Members of a large group are dealt out by themselves: they are kept without a search.
-    alone = F.when(F.col("whole"), F.xxhash64("bits", "node")).otherwise(F.col("bits"))
+    large = rows.groupBy("bits").agg(F.count("*").alias("n"), (F.min("root") < F.max("root")).alias("apart")).where(F.col("n") > GROUP).select("bits", "apart")
+    dealt = rows.join(large, "bits", "left").withColumn("whole", F.coalesce("apart", F.lit(False)))
+    # Members of a large group are dealt out by themselves: there is no search.
+    alone = F.when(F.col("apart").isNotNull(), F.xxhash64("bits", "node")).otherwise(F.col("bits"))
     dealt = dealt.select(alone.alias("bits"), "node", "w0", "w1", "root", "whole").repartition("bits").sortWithinPartitions("bits")
     return dealt.mapInArrow(keep, "node long, root long").distinct()
 
@@ -284,8 +284,7 @@ def links(source: DataFrame, nodes: DataFrame, *, shingle: int, similarity: floa
         # Sets of groups that are not yet one component are linked exactly, once for all their groups.
         rest = rows.join(opened, "bits", "left_semi").join(connected_components(found), "node", "left").withColumn("root", F.coalesce("root", "node"))
         rest = materialize(rest.select("bits", "node", "w0", "w1", "root"), "open-rows")
-        apart = materialize(rest.groupBy("bits").agg((F.min("root") < F.max("root")).alias("apart")).where("apart").select("bits"), "open-apart")
-        left = _with_partners(rest.join(apart, "bits", "left_semi"), limit)
+        left = _with_partners(rest, limit)
         left = materialize(left.join(nodes.select("node", "size"), "node"), "open-nodes")
         if left.take(1):
             sets = _sets(left.select("node"), nodes, source, shingle)
@@ -293,6 +292,6 @@ def links(source: DataFrame, nodes: DataFrame, *, shingle: int, similarity: floa
             more = materialize(_true(pairs, sets, similarity), "links")
             found, old = materialize(found.union(more), "links"), found
             discard(old, more, pairs, sets)
-        discard(rest, apart, left)
+        discard(rest, left)
     discard(opened)
     return found
