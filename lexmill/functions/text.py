@@ -8,9 +8,12 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,6 +25,8 @@ _ARABIC_LANGUAGES = frozenset({"ar", "fa", "ps", "ur"})
 _ARABIC_BLOCKS = ((0x600, 0x6FF), (0x750, 0x77F), (0x8A0, 0x8FF), (0xFB50, 0xFDFF), (0xFE70, 0xFEFF))
 #: Characters on either side of a full stop, and of any other sign; letters of the word before a full stop.
 _STOP_SIDE, _SIGN_SIDE, _STOP_WORD = 12, 2, 3
+#: Bytes of texts that a worker takes apart at once.
+STRETCH = 1 << 20
 
 _CONTROL = re.compile(r"[\x00-\x1f\x7f-\x9f]")
 _SPACES, _GAP = re.compile(r"\s+"), re.compile(r"\s*")
@@ -173,10 +178,24 @@ def normalized(text: Column) -> Column:
     return run(text)
 
 
+def stretches(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """First row and number of rows of parts of about ``STRETCH`` bytes of text, at least a row each, of all rows in order."""
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0), np.int64))
+    at = 0
+    while at < len(ends):
+        done = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, done + STRETCH, "right")))
+        yield at, to - at
+        at = to
+
+
 def boundary_offsets(text: Column, language: Column) -> Column:
-    @F.pandas_udf("array<int>")
-    def run(texts: pd.Series, languages: pd.Series) -> pd.Series:
-        return pd.Series([None if t is None else boundaries(t, lang or "") for t, lang in zip(texts, languages, strict=True)], dtype=object)
+    @F.arrow_udf("array<int>")
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, languages in batches:
+            for at, n in stretches(texts):
+                both = zip(texts.slice(at, n).to_pylist(), languages.slice(at, n).to_pylist(), strict=True)
+                yield pa.array([None if t is None else boundaries(t, lang or "") for t, lang in both], pa.list_(pa.int32()))
 
     return run(text, language)
 
@@ -192,13 +211,24 @@ def prepare(segments: Iterable[str], language: str) -> tuple[list[tuple[str, str
     return both, len(pieces), len(pieces) - len(raw), len(raw) - len(both)
 
 
+def _prepared_array(rows: list[tuple[list[tuple[str, str]], int, int, int]]) -> pa.Array:
+    """What ``prepare`` gave for each row, as an array of ``PREPARED``."""
+    ends = np.concatenate(([0], np.cumsum([len(r[0]) for r in rows]))).astype(np.int32)
+    raw, normal = (pa.array([s[k] for r in rows for s in r[0]], pa.string()) for k in (0, 1))
+    sentences = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([raw, normal], ["raw", "normalized"]))
+    counts = [pa.array([r[k] for r in rows], pa.int64()) for k in (1, 2, 3)]
+    return pa.StructArray.from_arrays([sentences, *counts], ["sentences", "emitted", "dropped_raw", "dropped_normalized"])
+
+
 def prepared(text: Column, language: Column, segmenter: Segmenter = split_lines) -> Column:
-    """A section's sentences and counts; one call of the segmenter for each Arrow batch."""
+    """A section's sentences and counts; one call of the segmenter for each stretch of texts, so a worker holds the sentences of one."""
 
-    @F.pandas_udf(PREPARED)
-    def run(texts: pd.Series, languages: pd.Series) -> pd.DataFrame:
-        texts, languages = [t or "" for t in texts], [x or "" for x in languages]
-        rows = [prepare(g, x) for g, x in zip(segmented(segmenter, texts, languages), languages, strict=True)]
-        return pd.DataFrame({"sentences": [[{"raw": a, "normalized": b} for a, b in r[0]] for r in rows], "emitted": [r[1] for r in rows], "dropped_raw": [r[2] for r in rows], "dropped_normalized": [r[3] for r in rows]})
+    @F.arrow_udf(PREPARED)
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for every_text, every_language in batches:
+            for at, n in stretches(every_text):
+                texts, languages = ([x or "" for x in column.slice(at, n).to_pylist()] for column in (every_text, every_language))
+                yield _prepared_array([prepare(g, x) for g, x in zip(segmented(segmenter, texts, languages), languages, strict=True)])
 
-    return run(text, language)
+    # Else the planner infers a filter on an exploded result, and segments every text once more for it.
+    return run.asNondeterministic()(text, language)

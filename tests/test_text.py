@@ -4,8 +4,10 @@ import unicodedata
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from lexmill.functions import text as X
+from lexmill.operators import sentences as N
 
 
 @pytest.mark.parametrize(
@@ -129,3 +131,25 @@ def test_lazy_segmenter_is_made_once_and_called_by_language():
     assert lazy(["d"], ["en"]) == [["en:d"]] and made == [[(["a", "c"], "en"), (["b"], "fr"), (["d"], "en")]]
     with pytest.raises(ValueError, match="groups"):
         X.LazySegmenter(lambda: lambda t, _: [])(["a"], ["en"])
+
+
+def test_a_worker_takes_long_texts_apart_in_stretches(spark):
+    def segmenter(texts, languages):
+        if len(texts) > 1 and sum(map(len, texts)) > X.STRETCH:
+            raise ValueError("too much at once")
+        return X.split_lines(texts, languages)
+
+    texts = [("One sentence here. " * 5 + "\n") * (k * 300) for k in range(20)] + [None, "", "x" * (2 * X.STRETCH)]
+    rows = spark.createDataFrame([(k, t, "en") for k, t in enumerate(texts)], "k long, text string, lang string").coalesce(1)
+    found = rows.select("k", X.prepared(F.col("text"), F.col("lang"), segmenter).alias("p"), X.boundary_offsets(F.col("text"), F.col("lang")).alias("o")).orderBy("k").collect()
+    for r, t in zip(found, texts, strict=True):
+        kept, emitted, raw, normal = X.prepare((t or "").split("\n"), "en")
+        assert [tuple(s) for s in r["p"]["sentences"]] == kept and tuple(r["p"])[1:] == (emitted, raw, normal)
+        assert r["o"] == (None if t is None else X.boundaries(t, "en"))
+
+
+def test_texts_are_segmented_once(spark):
+    rows = spark.createDataFrame([("a\nb", "en")], "text string, lang string")
+    sentences = N.explode_sentences(N.prepare_sections(rows, "text", "lang"))
+    assert sentences._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    assert [r["sentence_text_raw"] for r in sentences.collect()] == ["a", "b"]
