@@ -1,10 +1,13 @@
 import random
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame
 
 from lexmill.errors import CheckpointError
 from lexmill.operators import sentences as N
 from lexmill.sources import files
+from lexmill.streaming import canonical
 from lexmill.streaming.canonical import CanonicalState
 
 SCHEMA = "polygon_id string, language string, sentence_text_normalized string, source string, document_id string, section_index long, section_id string, sentence_index long, note string, tags map<string,string>, previous_sentence string, next_sentence string"
@@ -69,3 +72,20 @@ def test_a_stream(spark, tmp_path):
         part.coalesce(1).write.mode("append").parquet(source)
         state.run(spark.readStream.schema(whole.schema).parquet(source), checkpoint)
     assert plain(state.rows()) == plain(N.deduplicate(spark.read.parquet(source)))
+
+
+def test_a_batch_is_added_without_writing_the_state_anew(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(canonical, "PARTS", 2)
+    state, whole = CanonicalState(spark, str(tmp_path / "s"), buckets=2), []
+    for batch in range(4):
+        whole.append(occurrences(spark, 60, batch))
+        before = {path for paths in (state._said() or {"paths": {}})["paths"].values() for path in paths}
+        changed = state.update(whole[-1], batch)
+        after = {path for paths in state._said()["paths"].values() for path in paths}
+        so_far = N.deduplicate(reduce(DataFrame.union, whole))
+        assert plain(state.rows()) == plain(so_far)
+        named = {tuple(r) for r in whole[-1].select(*N.GROUP).collect()}
+        assert plain(changed) == plain(spark.createDataFrame([r for r in so_far.collect() if tuple(r[k] for k in N.GROUP) in named], so_far.schema))
+        # Parts stay as they are until there would be too many.
+        assert before <= after if batch != 2 else not before & after
+        assert {p.name for p in (tmp_path / "s").glob("part-*/bucket=*")} and all((tmp_path / "s" / path).exists() for path in after)
