@@ -222,3 +222,15 @@ def test_small_operators(spark, tmp_path):
     one = spark.createDataFrame([("\t",), ("　x\x1c",), (None,), (" ok",)], "t string")
     assert [r[0] for r in one.select(V.or_missing(F.col("t"))).collect()] == ["(missing)", "x", "(missing)", "ok"]
     assert [r[0] for r in spark.createDataFrame([("a" * 64,), ("a" * 64 + "\n",), (None,)], "t string").select(V.has_form(F.col("t"), "sha256")).collect()] == [True, False, False]
+
+
+def test_checks_of_batches_deal_keys_to_as_many_tasks_as_they_need(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(B, "KEYS", 100)
+    rows = spark.range(950).selectExpr("id AS sentence_id", "id * 2 AS v")
+    assert B._one_sided(rows, rows.limit(0), "sentence_id", 950)._jdf.queryExecution().toString().count("hashpartitioning(offender") and B._dealt(rows, "sentence_id", 950).rdd.getNumPartitions() == 10
+    out = B.run_batches(rows, str(tmp_path / "b"), {"run": 1}, lambda part: part, batches=2)
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, rows.collect()))
+    with pytest.raises(IntegrityError, match="no result"):
+        B.run_batches(rows, str(tmp_path / "c"), {"run": 1}, lambda part: part.where("sentence_id <> 7"), batches=2)
+    with pytest.raises(IntegrityError, match="repeats"):
+        B.run_batches(rows, str(tmp_path / "d"), {"run": 1}, lambda part: part.union(part.where("sentence_id = 7")), batches=2)
