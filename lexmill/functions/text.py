@@ -18,7 +18,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values.
-_DROPPED = dict.fromkeys(map(ord, "​⁠﻿"))
+_DROPPED = "\u200b\u2060\ufeff"
 _TERMINALS = "?!؟。！？।॥."
 _CLOSERS = "\"'»”’)]}"
 _ARABIC_LANGUAGES = frozenset({"ar", "fa", "ps", "ur"})
@@ -38,10 +38,12 @@ _END = re.compile(rf"([{re.escape(_TERMINALS)}])[{re.escape(_CLOSERS)}]*")
 
 def normalize(text: str) -> str:
     """NFC, no zero-width marks, control characters and white space as single spaces, no edit markers."""
-    text = unicodedata.normalize("NFC", text).translate(_DROPPED)
-    text = _SPACES.sub(" ", _CONTROL.sub(" ", text)).strip()
+    text = unicodedata.normalize("NFC", text)
+    for mark in _DROPPED:
+        text = text.replace(mark, "")
+    text = " ".join(_CONTROL.sub(" ", text).split())
     if marked := _MARKERS.match(text):
-        text = _SPACES.sub(" ", text[marked.end() :]).strip()
+        text = " ".join(text[marked.end() :].split())
     return text
 
 

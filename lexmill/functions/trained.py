@@ -19,16 +19,26 @@ from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.functions.text import stretches
+from lexmill.storage import discard, materialize
+
 # The bounds of the published method.
 ABBREVIATION, STARTER = 0.3, 30.0
 #: Words seen fewer times before a stop teach nothing.
 SEEN = 3
-_TOKEN = re.compile(r"\S+")
+#: Different tokens that a task holds.
+HELD = 1 << 18
 _EDGE = "\"'“”‘’«»()[]{}"
+_EDGES = re.escape(_EDGE)
+#: What follows a token that ends with another sign than a stop, that holds edges alone, or that ends its line.
+_SURE = re.compile(rf"[!?\n{_EDGES}](?:(?<=[!?])[{_EDGES}]*\s+|(?<=\S\n)\s*|(?<=[{_EDGES}])(?<!\S.)[{_EDGES}]*\s+)(?=(\S+))")
+_NEXT = re.compile(r"\S+")
 _STOP = re.compile(r"([.!?؟。！？।॥]+)[\"'»”’)\]}]*(?=\s|$)")
 
 
@@ -44,24 +54,33 @@ def log_likelihood(together: float, first: float, second: float, total: float) -
     return 2 * (likelihood(together, first, min(together / first, 1 - 1e-12)) - likelihood(together, first, p))
 
 
+def tokens_of(text: str) -> tuple[list[str], list[str]]:
+    """All tokens as they stand, and those after a sign that surely ends a sentence, which the first is too."""
+    tokens = text.split()
+    return tokens, tokens[:1] + _SURE.findall(text)
+
+
+def folded(tokens: Counter, begins: Counter) -> dict[str, list[int]]:
+    """How often each word stands before a stop, otherwise, and after a sign that surely ends a sentence."""
+    out: dict[str, list[int]] = {}
+    for counts, first in ((tokens, False), (begins, True)):
+        for raw, n in counts.items():
+            token = raw.strip(_EDGE)
+            if first and token[:1].islower():
+                continue
+            word = token.rstrip(".!?,;:").casefold()
+            if word.isalpha() or any(map(str.isalpha, word)):
+                out.setdefault(word, [0, 0, 0])[2 if first else not token.endswith(".")] += n
+    return out
+
+
 def word_counts(text: str) -> Counter:
     """``(kind, word)`` by count: ``.`` before a stop, ``-`` otherwise, ``>`` after a sign that surely ends a sentence, ``#`` for those and all words."""
+    tokens, begins = tokens_of(text)
     out: Counter = Counter()
-    sure = True
-    for found in _TOKEN.finditer(text):
-        token = found[0].strip(_EDGE)
-        word = token.rstrip(".!?,;:").casefold()
-        if word and any(c.isalpha() for c in word):
-            out["." if token.endswith(".") else "-", word] += 1
-            out["#", "words"] += 1
-            out["#", "stops"] += token.endswith(".")
-            if sure and not token[:1].islower():
-                out[">", word] += 1
-                out["#", "starts"] += 1
-        # Other signs than a stop leave no doubt, nor does a line that ends.
-        rest = text[found.end() : found.end() + 1]
-        sure = token.endswith(("!", "?")) or rest == "\n" or not token
-    return out
+    for word, (stopped, free, begun) in folded(Counter(tokens), Counter(begins)).items():
+        out.update({(".", word): stopped, ("-", word): free, (">", word): begun, ("#", "words"): stopped + free, ("#", "stops"): stopped, ("#", "starts"): begun})
+    return +out
 
 
 @dataclass(frozen=True)
@@ -85,17 +104,34 @@ def train(texts: DataFrame, *, text: str = "text", language: str = "lang") -> di
     Null and empty texts teach nothing; a null language is that of the empty name.
     """
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Tokens as they stand are counted whole; only different ones are taken apart.
+        held: dict[str, tuple[Counter, Counter]] = {}
+
+        def emit() -> Iterator[pa.RecordBatch]:
+            for name, both in held.items():
+                words = folded(*both)
+                counts = np.array(list(words.values()), np.int64).reshape(-1, 3)
+                # All words together come as a row without a word.
+                counts = np.concatenate((counts, counts.sum(axis=0, keepdims=True)))
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(counts)), pa.array([*words, None], pa.string()), *(pa.array(c) for c in counts.T.copy())], names=["l", "word", "stopped", "free", "begins"])
+            held.clear()
+
         for batch in batches:
-            held: dict[str, Counter] = {}
-            for value, name in zip(batch["t"], batch["l"], strict=True):
-                held.setdefault(name, Counter()).update(word_counts(value))
-            yield pd.DataFrame([(name, kind, word, n) for name, c in held.items() for (kind, word), n in c.items()], columns=["l", "kind", "word", "n"])
+            for at, size in stretches(batch.column(0)):
+                part = batch.slice(at, size)
+                for value, name in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    for counts, found in zip(held.setdefault(name, (Counter(), Counter())), tokens_of(value), strict=True):
+                        counts.update(found)
+                if sum(len(c) for both in held.values() for c in both) > HELD:
+                    yield from emit()
+        yield from emit()
 
     source = texts.where(F.col(text).isNotNull()).select(F.col(text).alias("t"), F.coalesce(language, F.lit("")).alias("l"))
-    counted = source.mapInPandas(count, "l string, kind string, word string, n long").groupBy("l", "kind", "word").agg(F.sum("n").alias("n"))
-    by_word = counted.where("kind <> '#'").groupBy("l", "word").pivot("kind", [".", "-", ">"]).agg(F.sum("n")).na.fill(0)
-    totals = counted.where("kind = '#'").groupBy("l").pivot("word", ["words", "stops", "starts"]).agg(F.sum("n")).na.fill(0)
+    counted = source.mapInArrow(count, "l string, word string, stopped long, free long, begins long").groupBy("l", "word").agg(*(F.sum(c).alias(c) for c in ("stopped", "free", "begins")))
+    # Read twice, counted once.
+    counted = materialize(counted.where(F.col("word").isNull() | (F.col("stopped") >= SEEN) | (F.col("begins") >= SEEN)), "word-counts")
+    totals = counted.where("word is null").select("l", (F.col("stopped") + F.col("free")).alias("words"), F.col("stopped").alias("stops"), F.col("begins").alias("starts"))
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -108,10 +144,11 @@ def train(texts: DataFrame, *, text: str = "text", language: str = "lang") -> di
                     out.append((r.l, "starter", r.word))
             yield pd.DataFrame(out, columns=["l", "what", "word"])
 
-    table = by_word.join(totals, "l").select("l", "word", F.col("`.`").alias("stopped"), F.col("`-`").alias("free"), F.col("`>`").alias("begins"), "words", "stops", "starts")
+    table = counted.where("word is not null").join(totals, "l")
     found: dict[str, dict[str, set[str]]] = {}
-    for r in table.where((F.col("stopped") >= SEEN) | (F.col("begins") >= SEEN)).mapInPandas(judge, "l string, what string, word string").collect():
+    for r in table.mapInPandas(judge, "l string, what string, word string").collect():
         found.setdefault(r["l"], {"abbreviation": set(), "starter": set()})[r["what"]].add(r["word"])
+    discard(counted)
     return {name: Learned(frozenset(w["abbreviation"]), frozenset(w["starter"])) for name, w in found.items()}
 
 
@@ -124,10 +161,10 @@ def split(text: str, learned: Learned = _NOTHING) -> list[str]:
     for line in text.split("\n"):
         since = 0
         for end in _STOP.finditer(line):
-            rest = line[end.end() :].lstrip()
+            rest = _NEXT.search(line, end.end())
             if not rest:
                 continue
-            following = rest.split(maxsplit=1)[0].strip(_EDGE)
+            following = rest[0].strip(_EDGE)
             if following[:1].islower():
                 continue
             if end[1] == ".":

@@ -1,5 +1,6 @@
 import math
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -79,6 +80,45 @@ def test_fewer_wrong_cuts_than_without_training(learned):
     assert wrong["trained"] < 0.05 * wrong["rule"] and missed < 0.03 * total
 
 
+def plain_counts(text):
+    """Token by token, as the method says it."""
+    out, sure = Counter(), True
+    for found in re.finditer(r"\S+", text):
+        token = found[0].strip(T._EDGE)
+        word = token.rstrip(".!?,;:").casefold()
+        if any(c.isalpha() for c in word):
+            out["." if token.endswith(".") else "-", word] += 1
+            out["#", "words"] += 1
+            out["#", "stops"] += token.endswith(".")
+            if sure and not token[:1].islower():
+                out[">", word] += 1
+                out["#", "starts"] += 1
+        sure = token.endswith(("!", "?")) or text[found.end() : found.end() + 1] == "\n" or not token
+    return out
+
+
+def test_counts_equal_those_taken_token_by_token():
+    draw = random.Random(8)
+    for _ in range(5000):
+        text = "".join(draw.choices("aBÉß.!?,: \n\t\"'»”)(\x0b\x1c\x85\xa01", k=draw.randint(0, 25)))
+        assert T.word_counts(text) == plain_counts(text), repr(text)
+
+
+def test_a_token_is_taken_apart_once_for_a_task_and_texts_are_read_once(spark, monkeypatch, tmp_path):
+    seen = str(tmp_path / "tokens")
+
+    def count(tokens, begins, fold=T.folded):
+        with open(seen, "a") as f:
+            f.write(f"{len(tokens)} {sum(tokens.values())}\n")
+        return fold(tokens, begins)
+
+    monkeypatch.setattr(T, "folded", count)
+    df = spark.createDataFrame([("the cat sat. The dog ran.", "en")] * 500, "text string, lang string").coalesce(1)
+    T.train(df)
+    with open(seen) as f:
+        assert [line.split() for line in f] == [["6", "3000"]]
+
+
 def test_rules():
     learned = T.Learned(frozenset({"dr", "etc"}), frozenset({"the"}))
     assert T.split("I saw Dr. Smith. He left etc. The end.", learned) == ["I saw Dr. Smith.", "He left etc.", "The end."]
