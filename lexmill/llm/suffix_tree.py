@@ -20,9 +20,12 @@ Counts cover the whole corpus, level by level: the grams of a level are counted
 only after candidates, which the level before has counted.  Tokens and contexts
 are known by 64-bit hashes.  The tree is a table, and so is the vocabulary; a
 block of texts of about ``BLOCK_BYTES`` asks for each key it needs once.  The
-``HEAD`` most frequent keys are broadcast, so what is asked for is rare, and
-flags of fixed size (``FLAGS`` bits) spare most questions without an answer;
-flags that are set by chance only cost.
+``HEAD`` most frequent keys are broadcast: nearly every block would ask for them,
+so what is asked for is rare.  Flags of fixed size (``FLAGS`` bits) spare most
+questions without an answer; flags that are set by chance only cost.
+
+Texts are scored in ``ROUNDS``.  A round's scores are written and its shuffle files
+go before the next begins.
 
 Defined results: a null text counts as an empty one, which is the end sign
 alone; a null key is scored and learned from; repeated rows count each time; no
@@ -33,6 +36,7 @@ the one unknown symbol, 0.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm.tokens import chain, distinct, slices, token_hashes
-from lexmill.storage import discard, materialize
+from lexmill.storage import discard, materialize, release
 
 DEPTH = 3
 MIN_CONTEXT, MIN_NEXT = 128, 4
@@ -48,6 +52,9 @@ DISCOUNT = 0.5
 BLOCK_BYTES = 16 << 20
 HEAD = 1 << 17
 FLAGS = 1 << 26
+ROUNDS = 2
+#: Seconds until no event of a query that has ended holds its plan.
+SETTLE = 1.0
 #: Tokens that a task takes at once; distinct grams that it holds.
 CHUNK, HELD = 1 << 18, 1_200_000
 #: Symbols that are no word's hash: any next symbol, and the end sign.
@@ -243,10 +250,13 @@ def learn(texts: DataFrame, words: DataFrame, total: int, kinds: int, *, depth:
     logarithm v; of a retained context and 0, the logarithm of its ``back``.
     """
     flags, wanted = (flags_of(words.where(F.col("n") >= least), "next") for least in (min_context, MIN_NEXT))
-    above, on = words.select("next", ((F.col("n") + 1) / F.lit(float(total + kinds + 1))).alias("q")), ["next"]
+    above, on = words.where(F.col("n") >= MIN_NEXT).select("next", ((F.col("n") + 1) / F.lit(float(total + kinds + 1))).alias("q")), ["next"]
     levels: list[tuple[DataFrame, DataFrame]] = []
     for length in range(1, depth + 1):
-        counts = materialize(gram_counts(texts, length, flags, wanted).where((F.col("next") == ANY) | (F.col("n") >= MIN_NEXT)), "gram-counts")
+        # A context too rare to be a candidate goes here already.
+        enough = F.when(F.col("next") == ANY, F.col("n") >= min_context).otherwise(F.col("n") >= MIN_NEXT)
+        counts = materialize(gram_counts(texts, length, flags, wanted).where(enough), "gram-counts")
+        release(texts.sparkSession, settle=SETTLE)
         levels.append(_level(counts, above, on, min_context))
         discard(counts)
         chances = levels[-1][1]
@@ -331,8 +341,8 @@ class Tree:
         return counts, best
 
 
-def _head(known: DataFrame) -> DataFrame:
-    """``key`` and ``v`` of the most frequent keys: as many steps of the binary logarithm of their counts as fit in ``HEAD``."""
+def _head(known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``key`` and ``v`` of the most frequent keys, as many steps of the binary logarithm of their counts as fit in ``HEAD``, and of the others."""
     step = F.floor(F.log2("n") * 16).cast("int")
     steps, held, least = {r["step"]: r["rows"] for r in known.groupBy(step.alias("step")).agg(F.count("*").alias("rows")).collect()}, 0, None
     for at in sorted(steps, reverse=True):
@@ -340,7 +350,8 @@ def _head(known: DataFrame) -> DataFrame:
         if held > HEAD:
             break
         least = at
-    return known.where(F.lit(False) if least is None else step >= least).select("key", "v")
+    frequent = F.lit(False) if least is None else step >= least
+    return known.where(frequent).select("key", "v"), known.where(~frequent).select("key", "v")
 
 
 _SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -363,13 +374,12 @@ def score(documents: DataFrame, *, learn_from: Column | None = None, key: str =
     tree = learn(learned, words, total, kinds, min_context=min_context)
     known = materialize(tree.union(words.select(F.col("next").alias("key"), F.col("n").cast("double").alias("v"), "n")), "known-keys")
     discard(tree, words)
-    head = _head(known).toArrow()
+    head, rare = _head(known)
+    head = head.toArrow()
     model = Tree(Lookup(head["key"].to_numpy().view(np.uint64), head["v"].to_numpy()), flags_of(known, "key"), total, kinds, DEPTH)
     shared = documents.sparkSession.sparkContext.broadcast(model)
     size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    # A row's place in the input deals it out, so rows that repeat are spread.
-    dealt = source.withColumn("blk", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(size // BLOCK_BYTES + 1)).cast("int"))
-    dealt = dealt.repartition("blk")
+    blocks = size // (BLOCK_BYTES * ROUNDS) + 1
 
     def ask(key: tuple, block: pa.Table) -> pa.Table:
         tree, found = shared.value, np.empty(0, np.uint64)
@@ -391,6 +401,14 @@ def score(documents: DataFrame, *, learn_from: Column | None = None, key: str =
         arrays = [block.column("doc_id").combine_chunks(), pa.array(~block.column("training").to_numpy(zero_copy_only=False).astype(bool)), pa.array(many), pa.array(n_known), pa.array(np.full(len(many), tree.total)), pa.array(base), pa.array(chances)]
         return pa.table(dict(zip(["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"], arrays, strict=True)))
 
-    asked = dealt.groupBy("blk").applyInArrow(ask, "blk int, key long")
-    answers = asked.join(known.select("key", "v"), "key")
-    return dealt.groupBy("blk").cogroup(answers.groupBy("blk")).applyInArrow(rate, _SCHEMA)
+    rounds = []
+    for turn in range(ROUNDS):
+        # The round is told by what a row holds, so every row has one; its place in the input deals it to a block, so rows that repeat are spread.
+        own = source.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)) == turn)
+        dealt = own.withColumn("blk", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).cast("int")).repartition("blk")
+        answers = dealt.groupBy("blk").applyInArrow(ask, "blk int, key long").join(rare, "key")
+        rounds.append(materialize(dealt.groupBy("blk").cogroup(answers.groupBy("blk")).applyInArrow(rate, _SCHEMA), "suffix-scores"))
+        del own, dealt, answers
+        release(documents.sparkSession, settle=SETTLE)
+    discard(known)
+    return reduce(DataFrame.union, rounds)

@@ -143,3 +143,23 @@ def test_edges(spark):
     nothing = S.score(df, learn_from=F.lit(False)).collect()
     assert all(r["n_known"] == 0 and r["train_tokens"] == 0 and r["base_score"] == 0 == r["score"] for r in nothing)
     assert S.score(df.limit(0)).count() == 0
+
+
+def test_texts_are_scored_in_rounds_that_leave_no_shuffle_files(spark, monkeypatch):
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    rounds = []
+
+    def write(df, name, put=S.materialize):
+        files = disk.getAllFiles().size()
+        table = put(df, name)
+        if name == "suffix-scores":
+            rounds.append((files, table.count()))
+        return table
+
+    monkeypatch.setattr(S, "materialize", write)
+    docs = corpus(2) + [(None, "a b"), (None, "a b"), (1, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    out = S.score(df, min_context=16)
+    assert out.count() == len(docs) and Counter(r["doc_id"] for r in out.collect()) == Counter(k for k, _ in docs)
+    assert len(rounds) == S.ROUNDS > 1 and sum(n for _, n in rounds) == len(docs) and max(n for _, n in rounds) < 0.7 * len(docs)
+    assert rounds[1][0] <= rounds[0][0] + 8
