@@ -18,11 +18,17 @@ A token is scored from the longest retained suffix of what is before it.
 
 Counts cover the whole corpus, level by level: the grams of a level are counted
 only after candidates, which the level before has counted.  Tokens and contexts
-are known by 64-bit hashes.  The tree is a table, and so is the vocabulary; a
-block of texts of about ``BLOCK_BYTES`` asks for each key it needs once.  The
-``HEAD`` most frequent keys are broadcast: nearly every block would ask for them,
-so what is asked for is rare.  Flags of fixed size (``FLAGS`` bits) spare most
-questions without an answer; flags that are set by chance only cost.
+are known by 64-bit hashes.  Most grams consist of the ``HEAD`` most frequent words
+alone, whose numbers are broadcast: such a gram travels as one number, the difference
+to the one before it; the others as hashes.  Either are dealt by what they are to
+buckets that grow in number with the corpus, and are added up there.
+
+The tree is a table, and so is the vocabulary; a block of texts of about
+``BLOCK_BYTES`` asks for each key it needs once, many in one row, and what answers
+holds a range of keys.  The ``HEAD`` most frequent keys are broadcast: nearly every
+block would ask for them, so what is asked for is rare.  Flags of fixed size
+(``FLAGS`` bits) spare most questions without an answer; flags that are set by chance
+only cost.
 
 Texts are scored in ``ROUNDS``.  A round's scores are written and its shuffle files
 go before the next begins.
@@ -43,13 +49,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.llm.packed import pack, unpack
 from lexmill.llm.tokens import chain, distinct, slices, token_hashes
 from lexmill.storage import discard, materialize, release
 
 DEPTH = 3
 MIN_CONTEXT, MIN_NEXT = 128, 4
 DISCOUNT = 0.5
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 32 << 20
+#: Blocks of a round that even a small input has, if it has so many bytes for each.
+LEAST_BLOCKS, LEAST_BYTES = 12, 1 << 16
+#: Tokens for each bucket of grams; buckets that any input has, an odd number.
+BUCKET_TOKENS, LEAST_BUCKETS = 1 << 21, 65
 HEAD = 1 << 17
 FLAGS = 1 << 26
 ROUNDS = 2
@@ -111,44 +122,53 @@ def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _Counts:
-    """Counts of contexts and next symbols, combined as they grow."""
+    """Counts of grams, combined as they grow.  The columns ``by`` tell a gram."""
 
-    def __init__(self) -> None:
-        self.parts: list[tuple[np.ndarray, ...]] = []
-        self.size = 0
+    def __init__(self, by: slice) -> None:
+        self.by, self.parts, self.size = by, [], 0
 
-    def add(self, context: np.ndarray, parent: np.ndarray, following: np.ndarray) -> None:
-        if len(context):
-            order, firsts = _grouped(gram_keys(context, following))
-            at = order[firsts]
-            self.parts.append((context[at], parent[at], following[at], np.diff(np.concatenate((firsts, [len(order)])))))
-            self.size += len(at)
-            if self.size > HELD:
-                self.combine()
+    def add(self, *columns: np.ndarray, n: np.ndarray | None = None) -> None:
+        if len(columns[0]):
+            self.parts.append(self._combined(columns, np.ones(len(columns[0]), np.int64) if n is None else n))
+            self.size += len(self.parts[-1][-1])
+
+    def _combined(self, columns: tuple[np.ndarray, ...], n: np.ndarray) -> tuple[np.ndarray, ...]:
+        told = columns[self.by]
+        order, firsts = _grouped(told[0] if len(told) == 1 else gram_keys(*told))
+        return (*(c[order[firsts]] for c in columns), np.add.reduceat(n[order], firsts))
 
     def combine(self) -> None:
         if len(self.parts) > 1:
-            columns = [np.concatenate(x) for x in zip(*self.parts, strict=True)]
+            *columns, n = (np.concatenate(x) for x in zip(*self.parts, strict=True))
             self.parts = []
-            order, firsts = _grouped(gram_keys(columns[0], columns[2]))
-            at = order[firsts]
-            self.parts = [(*(c[at] for c in columns[:3]), np.add.reduceat(columns[3][order], firsts))]
-            self.size = len(at)
+            self.parts = [self._combined(tuple(columns), n)]
+            self.size = len(self.parts[0][-1])
 
-    def rows(self, wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """Each context's own count, with next symbol ``ANY``, and those of next symbols whose flag is set; by context, which packs well."""
+    def take(self) -> tuple[np.ndarray, ...] | None:
+        """All columns and the counts, combined; they are given up here."""
         self.combine()
-        for context, parent, following, counts in self.parts:
-            order, firsts = _grouped(context)
-            own = order[firsts]
-            keep = order[flagged(wanted, following[order])]
-            for columns in (
-                (context[own], parent[own], np.full(len(own), ANY, np.uint64), np.add.reduceat(counts[order], firsts)),
-                (context[keep], parent[keep], following[keep], counts[keep]),
-            ):
-                for at in range(0, len(columns[0]), 100_000):
-                    yield pa.RecordBatch.from_arrays([*(pa.array(c[at : at + 100_000].view(np.int64)) for c in columns[:3]), pa.array(columns[3][at : at + 100_000])], names=["context", "parent", "next", "n"])
-        self.parts, self.size = [], 0
+        out, self.parts, self.size = self.parts[0] if self.parts else None, [], 0
+        return out
+
+
+class Words:
+    """Numbers from 1 of frequent words, the most frequent first; 0 for all others."""
+
+    def __init__(self, hashes: np.ndarray) -> None:
+        order = np.argsort(hashes)
+        self.hashes, self.sorted, self.numbers = hashes, hashes[order], order + 1
+
+    def __call__(self, symbols: np.ndarray, bits: int) -> np.ndarray:
+        if not len(self.hashes):
+            return np.zeros(len(symbols), np.int64)
+        at = np.minimum(np.searchsorted(self.sorted, symbols), len(self.sorted) - 1)
+        found = np.where(self.sorted[at] == symbols, self.numbers[at], 0)
+        return np.where(found < 1 << bits, found, 0)
+
+
+def _bits(depth: int) -> int:
+    """Bits of a word's number in the number of a gram: a context's words, the nearest last, and the next symbol, 0 for any."""
+    return min(17, 62 // (depth + 1))
 
 
 def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
@@ -168,31 +188,91 @@ def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         yield np.concatenate(held)
 
 
-def gram_counts(texts: DataFrame, depth: int, candidates: np.ndarray, wanted: np.ndarray) -> DataFrame:
-    """``context, parent, next, n`` of contexts of one length.
+def gram_counts(texts: DataFrame, depth: int, candidates: np.ndarray, wanted: np.ndarray, words: Words, total: int, min_context: int) -> DataFrame:
+    """``context, parent, next, n`` of contexts of one length that are seen often enough, and of their next symbols that are.
 
     candidates: flags of the contexts' keys in the level before: of the context
     but for its last symbol with that symbol next, or of words.  wanted: flags of
     next symbols that are frequent enough to matter.  ``next`` is ``ANY`` for the
-    context's own count.
+    context's own count.  total: the texts' tokens.
     """
-    shared = texts.sparkSession.sparkContext.broadcast((candidates, wanted))
+    shared = texts.sparkSession.sparkContext.broadcast((candidates, wanted, words))
+    bits, buckets = _bits(depth), LEAST_BUCKETS + 2 * (total // (2 * BUCKET_TOKENS))
+
+    def deal(at: np.ndarray, columns: tuple[np.ndarray, ...], kind: int) -> Iterator[pa.RecordBatch]:
+        """Rows of each bucket, where the first column ascends."""
+        order = np.argsort(at, kind="stable")
+        bounds = np.searchsorted(at[order], np.arange(buckets + 1))
+        columns = tuple(c[order] for c in columns)
+        here = np.flatnonzero(np.diff(bounds))
+        blobs = [pack(*(c[bounds[k] : bounds[k + 1]] for c in columns)) for k in here.tolist()]
+        yield pa.RecordBatch.from_arrays([pa.array(here.astype(np.int32)), pa.array(np.full(len(here), kind, np.int32)), pa.array(np.diff(bounds)[here].astype(np.int32)), pa.array(blobs, pa.binary())], names=["bucket", "kind", "size", "grams"])
+
+    def emit(numbered: _Counts, hashed: _Counts) -> Iterator[pa.RecordBatch]:
+        if found := numbered.take():
+            codes, n = found
+            yield from deal(codes % buckets, (codes // buckets, n), 0)
+        if found := hashed.take():
+            order = np.argsort(found[0])
+            found = tuple(c[order] for c in found)
+            yield from deal((gram_keys(found[0], found[2]) % np.uint64(buckets)).astype(np.int64), found, 1)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (flags, enough), counts = shared.value, _Counts()
+        flags, enough, head = shared.value
+        numbered, hashed = _Counts(slice(0, 1)), _Counts(slice(0, 3, 2))
         for stream in _streams(batches):
             codes = context_codes(stream, depth)
             # The context before a symbol was, one symbol earlier, a shorter context and its next symbol.
             keys = stream[:-1] if depth == 1 else np.concatenate((_ROOT, gram_keys(codes[-2][:-1], stream[1:-1])))
             here = np.flatnonzero(flagged(flags, keys) & (codes[-1] != 0))
-            counts.add(codes[-1][here], codes[-2][here] if depth > 1 else np.zeros(len(here), np.uint64), stream[1:][here])
-            if counts.size > HELD:
-                yield from counts.rows(enough)
-        yield from counts.rows(enough)
-
-    # Tasks have combined their counts already: dealing them out first spares another table of them on that side.
-    rows = texts.select("text").mapInArrow(count, "context long, parent long, next long, n long")
-    return rows.repartition("context", "parent", "next").groupBy("context", "parent", "next").agg(F.sum("n").alias("n"))
+            # Numbers of all symbols, or only of those around contexts where there are few.
+            all_ = head(stream, bits) if len(here) * (depth + 1) > len(stream) else None
+            known, code = np.ones(len(here), bool), np.zeros(len(here), np.int64)
+            for lag in range(depth - 1, -2, -1):
+                following = head(stream[here - lag], bits) if all_ is None else all_[here - lag]
+                if lag >= 0:
+                    known &= following > 0
+                    code = code << bits | following
+            both = known & (following > 0)
+            numbered.add(code[known] << bits)
+            numbered.add(code[both] << bits | following[both])
+            parents = codes[-2] if depth > 1 else np.zeros(len(codes[-1]), np.uint64)
+            for at, symbols in ((here[~known], None), (here[~both], stream[1:][here[~both]])):
+                if symbols is not None:
+                    some = flagged(enough, symbols)
+                    at, symbols = at[some], symbols[some]
+                hashed.add(codes[-1][at], parents[at], np.full(len(at), ANY, np.uint64) if symbols is None else symbols)
+            for counts in (numbered, hashed):
+                if counts.size > HELD:
+                    counts.combine()
+            if max(numbered.size, hashed.size) > HELD:
+                yield from emit(numbered, hashed)
+        yield from emit(numbered, hashed)
+
+    def add(key: tuple, rows: pa.Table) -> pa.Table:
+        head, bucket = shared.value[2].hashes, key[0].as_py()
+        counts = (_Counts(slice(0, 1)), _Counts(slice(0, 3, 2)))
+        for kind, size, grams in zip(*(rows.column(c).to_pylist() for c in ("kind", "size", "grams")), strict=True):
+            *columns, n = unpack(grams, size, 4 if kind else 2)
+            counts[kind].parts.append((*columns, n.view(np.int64)))
+        out = []
+        for kind, held in enumerate(counts):
+            if (found := held.take()) is None:
+                continue
+            least = np.where((found[0] * np.uint64(buckets) + np.uint64(bucket)) & np.uint64((1 << bits) - 1) == 0 if kind == 0 else found[2] == ANY, min_context, MIN_NEXT)
+            found = tuple(c[found[-1] >= least] for c in found)
+            if kind == 0:
+                code = (found[0] * np.uint64(buckets) + np.uint64(bucket)).astype(np.int64)
+                symbol = [np.concatenate(([np.uint64(ANY)], head))[code >> (bits * k) & ((1 << bits) - 1)] for k in range(depth + 1)]
+                context = parent = np.zeros(len(code), np.uint64)
+                for one in symbol[1:]:
+                    parent, context = context, chain(context, one)
+                found = (context, parent, symbol[0], found[-1])
+            out.append(found)
+        return pa.table({name: np.concatenate([np.empty(0, np.int64), *(x[k].view(np.int64) for x in out)]) for k, name in enumerate(("context", "parent", "next", "n"))})
+
+    rows = texts.select("text").mapInArrow(count, "bucket int, kind int, size int, grams binary")
+    return rows.groupBy("bucket").applyInArrow(add, "context long, parent long, next long, n long")
 
 
 def vocabulary(texts: DataFrame) -> DataFrame:
@@ -251,11 +331,12 @@ def learn(texts: DataFrame, words: DataFrame, total: int, kinds: int, *, depth:
     """
     flags, wanted = (flags_of(words.where(F.col("n") >= least), "next") for least in (min_context, MIN_NEXT))
     above, on = words.where(F.col("n") >= MIN_NEXT).select("next", ((F.col("n") + 1) / F.lit(float(total + kinds + 1))).alias("q")), ["next"]
+    often = words.where(F.col("n") >= MIN_NEXT)
+    often = often.where(_frequent(often)).toArrow()
+    head = Words(often["next"].to_numpy().view(np.uint64)[np.argsort(-often["n"].to_numpy(), kind="stable")])
     levels: list[tuple[DataFrame, DataFrame]] = []
     for length in range(1, depth + 1):
-        # A context too rare to be a candidate goes here already.
-        enough = F.when(F.col("next") == ANY, F.col("n") >= min_context).otherwise(F.col("n") >= MIN_NEXT)
-        counts = materialize(gram_counts(texts, length, flags, wanted).where(enough), "gram-counts")
+        counts = materialize(gram_counts(texts, length, flags, wanted, head, total, min_context), "gram-counts")
         release(texts.sparkSession, settle=SETTLE)
         levels.append(_level(counts, above, on, min_context))
         discard(counts)
@@ -341,19 +422,25 @@ class Tree:
         return counts, best
 
 
-def _head(known: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``key`` and ``v`` of the most frequent keys, as many steps of the binary logarithm of their counts as fit in ``HEAD``, and of the others."""
+def _frequent(rows: DataFrame) -> Column:
+    """Whether a row is of the most frequent by ``n``: as many steps of the binary logarithm as fit in ``HEAD``."""
     step = F.floor(F.log2("n") * 16).cast("int")
-    steps, held, least = {r["step"]: r["rows"] for r in known.groupBy(step.alias("step")).agg(F.count("*").alias("rows")).collect()}, 0, None
+    steps, held, least = {r["step"]: r["rows"] for r in rows.groupBy(step.alias("step")).agg(F.count("*").alias("rows")).collect()}, 0, None
     for at in sorted(steps, reverse=True):
         held += steps[at]
         if held > HEAD:
             break
         least = at
-    frequent = F.lit(False) if least is None else step >= least
-    return known.where(frequent).select("key", "v"), known.where(~frequent).select("key", "v")
+    return F.lit(False) if least is None else step >= least
+
+
+def _packed(blocks: np.ndarray | int, parts: np.ndarray, columns: list[tuple[np.ndarray, ...]]) -> pa.Table:
+    """Rows of ``_PACKED``."""
+    arrays = [np.array(np.broadcast_to(np.asarray(blocks, np.int32), len(parts))), parts.astype(np.int32), np.array([len(x[0]) for x in columns], np.int32)]
+    return pa.table([*map(pa.array, arrays), pa.array([pack(*x) for x in columns], pa.binary())], names=["blk", "part", "size", "found"])
 
 
+_PACKED = "blk int, part int, size int, found binary"
 _SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -374,21 +461,40 @@ def score(documents: DataFrame, *, learn_from: Column | None = None, key: str =
     tree = learn(learned, words, total, kinds, min_context=min_context)
     known = materialize(tree.union(words.select(F.col("next").alias("key"), F.col("n").cast("double").alias("v"), "n")), "known-keys")
     discard(tree, words)
-    head, rare = _head(known)
-    head = head.toArrow()
+    frequent = _frequent(known)
+    head = known.where(frequent).select("key", "v").toArrow()
     model = Tree(Lookup(head["key"].to_numpy().view(np.uint64), head["v"].to_numpy()), flags_of(known, "key"), total, kinds, DEPTH)
     shared = documents.sparkSession.sparkContext.broadcast(model)
     size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = size // (BLOCK_BYTES * ROUNDS) + 1
+    blocks = max(size // (BLOCK_BYTES * ROUNDS), min(LEAST_BLOCKS, size // (LEAST_BYTES * ROUNDS))) + 1
+    # As many ranges of keys, in bits: both what is known and what is asked for in one then stay as large as they are.
+    span = max(6, (4 * blocks).bit_length())
 
     def ask(key: tuple, block: pa.Table) -> pa.Table:
-        tree, found = shared.value, np.empty(0, np.uint64)
+        tree, found, fresh = shared.value, np.empty(0, np.uint64), []
         for stream in _streams(block.select(["text"]).to_batches()):
-            found = distinct(np.concatenate((found, tree.questions(stream))))
-        return pa.table({"blk": pa.array(np.full(len(found), key[0].as_py(), np.int32)), "key": pa.array(found.view(np.int64))})
+            fresh.append(tree.questions(stream))
+            if sum(map(len, fresh)) > max(len(found), HELD):
+                found, fresh = distinct(np.concatenate((found, *fresh))), []
+        found = distinct(np.concatenate((found, *fresh)))
+        bounds = np.searchsorted((found >> np.uint64(64 - span)).astype(np.int64), np.arange((1 << span) + 1))
+        here = np.flatnonzero(np.diff(bounds))
+        return _packed(key[0].as_py(), here, [(found[bounds[k] : bounds[k + 1]],) for k in here.tolist()])
+
+    def answer(asked: pa.Table, rows: pa.Table) -> pa.Table:
+        own, out = Lookup(rows.column("key").to_numpy().view(np.uint64), rows.column("v").to_numpy()), []
+        for size, keys in zip(asked.column("size").to_pylist(), asked.column("found").to_pylist(), strict=True):
+            (keys,) = unpack(keys, size, 1)
+            values = own(keys)
+            some = ~np.isnan(values)
+            out.append((keys[some], values[some]))
+        return _packed(asked.column("blk").to_numpy().astype(np.int32), asked.column("part").to_numpy(), out)
 
     def rate(block: pa.Table, found: pa.Table) -> pa.Table:
-        tree, own = shared.value, Lookup(found.column("key").to_numpy().view(np.uint64), found.column("v").to_numpy())
+        known = [np.empty((2, 0), np.uint64), *(unpack(x, n, 2) for n, x in zip(found.column("size").to_pylist(), found.column("found").to_pylist(), strict=True))]
+        keys, values = np.concatenate(known, axis=1)
+        tree, own = shared.value, Lookup(keys, values.view(np.float64))
+        del known, keys, values
         columns: list[list[np.ndarray]] = [[np.empty(0, t)] for t in (np.int64, np.int64, np.float64, np.float64)]
         for stream in _streams(block.select(["text"]).to_batches()):
             counts, chances = tree.score(stream, own)
@@ -401,14 +507,17 @@ def score(documents: DataFrame, *, learn_from: Column | None = None, key: str =
         arrays = [block.column("doc_id").combine_chunks(), pa.array(~block.column("training").to_numpy(zero_copy_only=False).astype(bool)), pa.array(many), pa.array(n_known), pa.array(np.full(len(many), tree.total)), pa.array(base), pa.array(chances)]
         return pa.table(dict(zip(["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"], arrays, strict=True)))
 
+    # Only keys that are not broadcast are asked for.
+    rare = known.where(~frequent).select(F.shiftrightunsigned("key", 64 - span).cast("int").alias("part"), "key", "v")
     rounds = []
     for turn in range(ROUNDS):
         # The round is told by what a row holds, so every row has one; its place in the input deals it to a block, so rows that repeat are spread.
         own = source.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)) == turn)
         dealt = own.withColumn("blk", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).cast("int")).repartition("blk")
-        answers = dealt.groupBy("blk").applyInArrow(ask, "blk int, key long").join(rare, "key")
+        asked = dealt.groupBy("blk").applyInArrow(ask, _PACKED)
+        answers = asked.groupBy("part").cogroup(rare.groupBy("part")).applyInArrow(answer, _PACKED)
         rounds.append(materialize(dealt.groupBy("blk").cogroup(answers.groupBy("blk")).applyInArrow(rate, _SCHEMA), "suffix-scores"))
-        del own, dealt, answers
+        del own, dealt, asked, answers
         release(documents.sparkSession, settle=SETTLE)
     discard(known)
     return reduce(DataFrame.union, rounds)

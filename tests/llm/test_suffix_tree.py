@@ -163,3 +163,35 @@ def test_texts_are_scored_in_rounds_that_leave_no_shuffle_files(spark, monkeypat
     assert out.count() == len(docs) and Counter(r["doc_id"] for r in out.collect()) == Counter(k for k, _ in docs)
     assert len(rounds) == S.ROUNDS > 1 and sum(n for _, n in rounds) == len(docs) and max(n for _, n in rounds) < 0.7 * len(docs)
     assert rounds[1][0] <= rounds[0][0] + 8
+
+
+def test_packed_numbers_come_back():
+    draw = np.random.default_rng(5)
+    for n in (0, 1, 1000):
+        keys, values = np.sort(draw.integers(0, 2**64, n, np.uint64)), draw.normal(size=n)
+        out = S.unpack(S.pack(keys, values), n, 2)
+        assert (out[0] == keys).all() and (out[1].view(np.float64) == values).all()
+
+
+def test_grams_of_frequent_words_are_shuffled_in_few_bytes(spark, monkeypatch):
+    """Grams that occur once are nearly all there is; as rows of hashes each took some 17 bytes."""
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    sizes = []
+
+    def files():
+        return {f.getPath(): f.length() for f in (disk.getAllFiles().apply(k) for k in range(disk.getAllFiles().size()))}
+
+    def write(df, name, put=S.materialize):
+        before = files()
+        table = put(df, name)
+        if name == "gram-counts":
+            sizes.append(sum(size for path, size in files().items() if path not in before))
+        return table
+
+    draw = random.Random(7)
+    words = [f"w{i}" for i in range(2000)]
+    docs = [(k, " ".join(draw.choices(words, k=500))) for k in range(400)]
+    grams = len({pair for _, text in docs for pair in zip(text.split(), text.split()[1:], strict=False)})
+    monkeypatch.setattr(S, "materialize", write)
+    assert S.score(spark.createDataFrame(docs, "doc_id long, text string").coalesce(2), min_context=64).count() == len(docs)
+    assert grams > 150_000 and 0 < sizes[0] < 6 * grams
