@@ -67,3 +67,35 @@ def test_reports_of_nothing(tables):
     empty = [t.limit(0) for t in tables[:4]], tuple(t.limit(0) for t in tables[4])
     assert set(J.occurrence_report(*empty[0], empty[1]).first()) == {0} and set(J.occurrence_counters(*empty[0], empty[1]).first()) == {0}
     assert J.ordered_occurrences(*empty[0], empty[1], COLUMNS).count() == 0
+
+
+def _shuffled_last(rows) -> int:
+    """Rows that the plan's last shuffle took, once the plan has run."""
+    node = rows._jdf.queryExecution().executedPlan().executedPlan()
+    while "Exchange" not in node.nodeName():
+        node = node.plan() if "QueryStage" in node.nodeName() else node.children().head()
+    return node.metrics().apply("shuffleRecordsWritten").value()
+
+
+def test_travel_sections_are_not_copied_for_each_range(tables):
+    ordered = J.ordered_occurrences(*tables, COLUMNS)
+    ordered.collect()
+    assert _shuffled_last(ordered) <= J.encyclopedia_occurrences(*tables[:4]).count() + tables[0].count()
+
+
+@pytest.mark.parametrize("held", [1, 256 << 20])
+def test_stored_sections_are_read_whole_from_small_row_groups(spark, tmp_path, held, monkeypatch):
+    monkeypatch.setattr(J, "HELD_BYTES", held)
+    path = str(tmp_path / "told")
+    spark.range(5000).selectExpr("id", "cast(id as string) AS text").coalesce(1).write.option("parquet.block.size", "4096").option("parquet.page.size.row.check.min", "10").parquet(path)
+    name = next(p.name for p in (tmp_path / "told").iterdir() if p.suffix == ".parquet")
+    stored = J._Stored(f"file:{path}", ["id", "text"])
+    for first, n in ((0, 5000), (4990, 10), (17, 3000), (17, 1), (100, 0), (0, 5000)):
+        assert [x for t in stored.rows(name, first, n) for x in t.column("id").to_pylist()] == list(range(first, first + n))
+    assert len(stored.files[name][1]) > 3 and (held > 1 or len(stored.groups) == 1) and stored.size == sum(t.nbytes for t in stored.groups.values())
+
+
+def test_a_store_that_tasks_do_not_open_gives_the_same_rows(tables, whole, monkeypatch):
+    monkeypatch.setattr(J, "opened", lambda path: False)
+    found, wanted = J.ordered_occurrences(*tables, COLUMNS).collect(), whole.select(*COLUMNS).orderBy(*J.ORDER).collect()
+    assert [tuple(r)[:6] for r in found] == [tuple(r)[:6] for r in wanted] and sorted(map(str, found)) == sorted(map(str, wanted))
