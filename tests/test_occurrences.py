@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from lexmill.operators import joins as J
 
@@ -99,3 +100,16 @@ def test_a_store_that_tasks_do_not_open_gives_the_same_rows(tables, whole, monke
     monkeypatch.setattr(J, "opened", lambda path: False)
     found, wanted = J.ordered_occurrences(*tables, COLUMNS).collect(), whole.select(*COLUMNS).orderBy(*J.ORDER).collect()
     assert [tuple(r)[:6] for r in found] == [tuple(r)[:6] for r in wanted] and sorted(map(str, found)) == sorted(map(str, wanted))
+
+
+def test_places_multiply_rows_in_as_many_tasks_as_the_session_sets(spark, tables):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = J.travel_occurrences(tables[0], *tables[4])
+        # Two identifiers of few bytes: their parts are not put together in a task or two.
+        assert rows.select(F.spark_partition_id()).distinct().count() >= 6
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert "nullif" not in plan[: plan.index("Join")] and "CASE" not in plan[: plan.index("Join")] and "if (" not in plan[: plan.index("Join")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
